@@ -8,6 +8,10 @@ _NAMES = {
     "media": "op1_media_columns",
     "licenses": "op2_license_scan",
     "neardup": "op3_near_duplicates",
+    "decontam": "op4_benchmark_decontamination",
+    "bpe": "op5_bpe_round_trip",
+    "tokencount": "op6_token_counts",
+    "substring": "op9_substring_dedup",
 }
 QUERIES = {name: getattr(importlib.import_module(f"{__package__}.{module}"), name) for module, name in _NAMES.items()}
 ORACLES: dict[str, str] = {}
