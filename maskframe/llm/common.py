@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows that a Python worker holds as objects at once.
 BATCH_ROWS = 512
@@ -72,3 +73,12 @@ class Scratch:
         for df in tables:
             if path := self.paths.pop(id(df), None):
                 self.fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def bounded_sample(df: DataFrame, most: int, *keys: str) -> DataFrame:
+    """About `most` rows (all, if there are no more), chosen by a hash of the keys, so that the choice doesn't depend on
+    partitions. For fitting classifiers only."""
+    n = df.count()
+    if n <= most:
+        return df
+    return df.filter(F.pmod(F.xxhash64(*keys, F.lit(17)), F.lit(1 << 30)) < F.lit(int((1 << 30) * most / n)))

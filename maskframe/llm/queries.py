@@ -11,7 +11,10 @@ _NAMES = {
     "decontam": "op4_benchmark_decontamination",
     "bpe": "op5_bpe_round_trip",
     "tokencount": "op6_token_counts",
+    "urls": "op7_url_filter",
+    "pii": "op8_pii",
     "substring": "op9_substring_dedup",
+    "langid": "op10_language_id",
 }
 QUERIES = {name: getattr(importlib.import_module(f"{__package__}.{module}"), name) for module, name in _NAMES.items()}
 ORACLES: dict[str, str] = {}
