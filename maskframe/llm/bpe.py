@@ -19,9 +19,11 @@ import unicodedata
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import map_batches, record_batch
 
@@ -234,5 +236,29 @@ def encoded(documents: DataFrame, tokenizer: str, digests: bool = False) -> Data
     return map_batches(documents.select(F.col("doc_id").cast("long"), "text"), start, DIGESTS if digests else SCHEMA, rows=256)
 
 
+def with_tokens(documents: DataFrame, tokenizer: str) -> DataFrame:
+    """The documents, with all columns, and n_tokens, token_ids and decoded_sha256 (prefixed by _ where the name is taken)."""
+    sent = documents.sparkSession.sparkContext.broadcast(tokenizer)
+    at, names = documents.columns.index("text"), list(documents.columns)
+    for name in ("n_tokens", "token_ids", "decoded_sha256"):
+        while name in names:
+            name = "_" + name
+        names.append(name)
+    schema = T.StructType([*documents.schema.fields, *map(T.StructField, names[-3:], (T.LongType(), T.ArrayType(T.IntegerType()), T.StringType()))])
+
+    def start():
+        bpe = encoder(sent.value)
+
+        def work(batch):
+            pairs = bpe.encode_texts([t or "" for t in batch.column(at).to_pylist()])
+            ids = [np.array(i.split(), np.int32) for i, _ in pairs]
+            new = [pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array([hashlib.sha256(d.encode()).hexdigest() for _, d in pairs])]
+            return pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
+
+        return work
+
+    return map_batches(documents, start, schema, rows=256)
+
+
 def op5_bpe_round_trip(spark, sf_dir: str) -> DataFrame:
     return encoded(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_json(), digests=True)
