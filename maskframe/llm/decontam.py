@@ -190,7 +190,7 @@ def contaminations(documents: DataFrame, benchmark: DataFrame, chars_per_edit: i
 
         part = map_batches(documents.select(F.col("doc_id").cast("long"), "text"), start, SCHEMA, rows=256)
         out = part if out is None else out.unionByName(part)
-    return spark.createDataFrame([], SCHEMA.replace(" ", ": ")) if out is None else out
+    return spark.createDataFrame([], SCHEMA) if out is None else out
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER_EDIT) -> DataFrame:
