@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import models
 from ..functions import scalars as S
-from ..operators import geometry, intensity, postprocess, regions, relationships, runs, stencil
+from ..operators import geometry, intensity, postprocess, regions, relationships, runs, spots, stencil
 from ..sources import raster
 from ..sources.raster import SIDE, table
 from . import measurements
-from .oracles import BASE, MATCH, OVERLAPS, sql, with_more
+from .oracles import MATCH, OVERLAPS, sql, with_more
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -418,3 +418,58 @@ def missing_fields(spark, sf_dir):
 
     expected = table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("plate_row"), F.col("s_suppkey").cast("long").alias("field"))
     return missing(expected, expected.filter("field % 5 <> 0"), ["plate_row", "field"]).withColumn("written", F.lit(False))
+
+
+# Spots, models, stores ---------------------------------------------------------------------------------------------------
+
+
+def bright(spark, sf_dir) -> DataFrame:
+    return raster.signal(spark, sf_dir).filter("v >= 30").select("image_id", "y", "x")
+
+
+@query(
+    """WITH RECURSIVE sig AS (SELECT CAST(l_suppkey AS BIGINT) AS image_id, CAST(l_orderkey % 32 AS BIGINT) AS y, CAST(l_partkey % 32 AS BIGINT) AS x FROM lineitem GROUP BY 1, 2, 3 HAVING sum(l_quantity) >= 30),
+    reach AS (SELECT image_id, y, x, y * 32 + x + 1 AS label FROM sig UNION SELECT s.image_id, s.y, s.x, r.label FROM reach r JOIN sig s ON s.image_id = r.image_id AND abs(s.y - r.y) <= 1 AND abs(s.x - r.x) <= 1)
+    SELECT image_id, y, x, min(label) AS label FROM reach GROUP BY 1, 2, 3"""
+)
+def connected_components(spark, sf_dir):
+    return spots.components(bright(spark, sf_dir), SIDE, SIDE)
+
+
+@query()
+def spot_refinement(spark, sf_dir):
+    points = raster.signal(spark, sf_dir).filter(F.col("v") >= raster.SPOT_LEVEL).select("image_id", (F.col("y") * SIDE + F.col("x")).alias("point"), F.col("y").cast("double").alias("py"), F.col("x").cast("double").alias("px"))
+    return spots.refined(channel_one(spark, sf_dir), points, 0.5, 0.25, SIDE, SIDE)
+
+
+def _sql_models() -> str:
+    rows = [f"('{f}:{n}', {t.split()!r}, {least})" for f, names, t, _, least in models.MODELS for n in names.split()]
+    return f"(VALUES {', '.join(rows)}) m(model_id, targets, min_channels)"
+
+
+@query(f"SELECT CAST(s_suppkey AS BIGINT) AS image_id, model_id FROM supplier, {_sql_models()} WHERE list_contains(targets, 'nuclei') AND min_channels <= 1 + s_suppkey % 3")
+def eligible_models(spark, sf_dir):
+    counts = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("image_id"), (1 + F.col("s_suppkey") % 3).alias("channels"))
+    fit = F.broadcast(models.eligible(models.models(spark), "nuclei", 3))
+    return counts.join(fit, F.col("min_channels") <= F.col("channels")).select("image_id", "model_id")
+
+
+@query(f"SELECT n_name || '|ch' || (n_nationkey % 3 + 1) || '|' || model_id AS key, n_name AS step, target, CAST(n_nationkey % 3 + 1 AS BIGINT) AS channel, model_id FROM (SELECT *, CASE n_nationkey % 3 WHEN 0 THEN 'cells' WHEN 1 THEN 'foci' ELSE 'spots' END AS target FROM nation), {_sql_models()} WHERE list_contains(targets, target)")
+def benchmark_cases(spark, sf_dir):
+    k = F.col("n_nationkey") % 3
+    steps = table(spark, sf_dir, "nation").select(F.col("n_name").alias("step"), F.when(k == 0, "cells").when(k == 1, "foci").otherwise("spots").alias("target"), (k + 1).cast("long").alias("channel"))
+    return models.cases(steps, models.models(spark))
+
+
+@query("SELECT n_name AS name FROM nation ORDER BY lower(n_name), n_name LIMIT 1")
+def first_store(spark, sf_dir):
+    from ..sources.zarr import first_store
+
+    return first_store(table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")))
+
+
+@query("SELECT a.p_partkey, a.p_size IS NOT DISTINCT FROM b.p_size AND a.p_brand IS NOT DISTINCT FROM b.p_brand AS same FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1")
+def manifest_equality(spark, sf_dir):
+    a = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
+    b = a.select((F.col("p_partkey") - 1).alias("k"), F.col("p_size").alias("size"), F.col("p_brand").alias("brand"))
+    return a.join(b, F.col("p_partkey") == F.col("k")).select("p_partkey", (F.col("p_size").eqNullSafe(F.col("size")) & F.col("p_brand").eqNullSafe(F.col("brand"))).alias("same"))
