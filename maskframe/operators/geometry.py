@@ -140,3 +140,56 @@ def axes_3d(labels: DataFrame) -> DataFrame:
             yield out
 
     return sums.mapInPandas(work, "image_id long, t int, set_index int, label long, major_axis_length_px double, minor_axis_length_px double, equivalent_diameter_px double")
+
+
+def _loops(inside: tuple[bool, ...]) -> list[list[tuple[int, int]]]:
+    """The closed outlines, as cube edges in order, that part a cube's inside corners from the others.
+
+    Corner k stands at (k >> 2 & 1, k >> 1 & 1, k & 1). On a face with four crossings each inside corner is cut off alone."""
+    links: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for axis in range(3):
+        p, q = (1 << b for b in range(3) if b != axis)
+        for side in (0, 1 << axis):
+            ring = [side, side | p, side | p | q, side | q]
+            edges = [tuple(sorted((ring[i], ring[(i + 1) % 4]))) for i in range(4)]
+            crossed = [i for i in range(4) if inside[edges[i][0]] != inside[edges[i][1]]]
+            pairs = [crossed] if len(crossed) == 2 else [[(i - 1) % 4, i] for i in range(4) if inside[ring[i]]] if crossed else []
+            for i, j in pairs:
+                links.setdefault(edges[i], []).append(edges[j])
+                links.setdefault(edges[j], []).append(edges[i])
+    out, left = [], set(links)
+    while left:
+        at = min(left)
+        loop, last = [], None
+        while at in left:
+            left.remove(at)
+            loop.append(at)
+            last, at = at, next((e for e in links[at] if e != last and e in left), None)
+        out.append(loop)
+    return out
+
+
+def surface_table(spacing: tuple[float, float, float]) -> list[float]:
+    """The surface within a cube for each of its 256 states, through the middles of the crossed edges, as fans of triangles."""
+    corner = np.array([[k >> 2 & 1, k >> 1 & 1, k & 1] for k in range(8)]) * np.array(spacing)
+    areas = []
+    for state in range(256):
+        total = 0.0
+        for loop in _loops(tuple(bool(state >> k & 1) for k in range(8))):
+            points = np.array([(corner[a] + corner[b]) / 2 for a, b in loop])
+            total += sum(float(np.linalg.norm(np.cross(points[i] - points[0], points[i + 1] - points[0]))) / 2 for i in range(1, len(points) - 1))
+        areas.append(total)
+    return areas
+
+
+def surface_areas(labels: DataFrame, spacing: tuple[float, float, float]) -> DataFrame:
+    """Surface and sphericity of volumes by marching cubes: the states of all cubes around an object's voxels, counted in the
+    JVM, weigh an area each. Ambiguous faces part the object; other conventions differ by a few parts in a hundred there."""
+    steps = F.explode(F.array(*(F.struct(F.lit(k >> 2 & 1).alias("dz"), F.lit(k >> 1 & 1).alias("dy"), F.lit(k & 1).alias("dx"), F.lit(1 << k).alias("w")) for k in range(8))))
+    keys = [*GROUP, "label"]
+    moved = labels.repartition(*keys).select(*keys, "z", "y", "x", steps.alias("s")).select(*keys, (F.col("z") - F.col("s.dz")).alias("z"), (F.col("y") - F.col("s.dy")).alias("y"), (F.col("x") - F.col("s.dx")).alias("x"), "s.w")
+    states = moved.groupBy(*keys, "z", "y", "x").agg(F.sum("w").alias("state"))
+    area = F.element_at(F.array(*map(F.lit, surface_table(spacing))), (F.col("state") + 1).cast("int"))
+    voxel = float(np.prod(spacing))
+    out = states.groupBy(*keys).agg(F.sum(area).alias("surface_area_um2"), (F.sum(F.expr("bit_count(state)")) / 8 * voxel).alias("volume_um3"))
+    return out.withColumn("sphericity", np.cbrt(np.pi) * F.pow(6 * F.col("volume_um3"), 2 / 3) / F.nullif("surface_area_um2", F.lit(0.0)))

@@ -62,11 +62,12 @@ def centre_crop(pixels: DataFrame, height: int, width: int, size: int) -> DataFr
 
 
 def resized_nearest(pixels: DataFrame, height: int, width: int, to_height: int, to_width: int) -> DataFrame:
-    """Each target place with the pixel its centre falls on. Sources emit their targets; there is no join."""
+    """Each target place k with the pixel floor(k n / m) of n onto m. Sources emit their targets; there is no join."""
     def targets(v: Column, n: int, m: int) -> Column:
-        # places k with floor((2 k + 1) n / (2 m)) = v
-        near = F.sequence(F.greatest(F.lit(0), F.floor(v * m / n) - 1), F.least(F.lit(m - 1), F.ceil((v + 1) * m / n)))
-        return F.filter(near, lambda k: F.floor((2 * k + 1) * n / (2 * m)) == v)
+        first = lambda k: F.floor((k * m + n - 1) / n)
+        # a source that no target names has none
+        near = F.sequence(F.greatest(F.lit(0).cast("long"), first(v) - 1), F.least(F.lit(m - 1).cast("long"), first(v + 1)))
+        return F.filter(near, lambda k: F.floor(k * n / m) == v)
 
     rows = pixels.withColumn("ty", F.explode(targets(F.col("y"), height, to_height)))
     return rows.withColumn("tx", F.explode(targets(F.col("x"), width, to_width))).withColumns({"y": F.col("ty"), "x": F.col("tx")}).drop("ty", "tx")

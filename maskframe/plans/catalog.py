@@ -240,7 +240,7 @@ def centre_crop(spark, sf_dir):
     return stencil.centre_crop(raster.pixels(spark, sf_dir), SIDE, SIDE, 20).select("image_id", "channel_index", "y", "x", "value")
 
 
-@query(sql("SELECT p.image_id, CAST(a.k AS BIGINT) AS y, CAST(b.k AS BIGINT) AS x, p.value FROM pixels p, range(20) a(k), range(48) b(k) WHERE p.channel_index = 1 AND p.y = ((2 * a.k + 1) * 32) // 40 AND p.x = ((2 * b.k + 1) * 32) // 96"))
+@query(sql("SELECT p.image_id, CAST(a.k AS BIGINT) AS y, CAST(b.k AS BIGINT) AS x, p.value FROM pixels p, range(20) a(k), range(48) b(k) WHERE p.channel_index = 1 AND p.y = (a.k * 32) // 20 AND p.x = (b.k * 32) // 48"))
 def nearest_resize(spark, sf_dir):
     return stencil.resized_nearest(channel_one(spark, sf_dir), SIDE, SIDE, 20, 48).select("image_id", "y", "x", "value")
 
@@ -473,3 +473,41 @@ def manifest_equality(spark, sf_dir):
     a = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
     b = a.select((F.col("p_partkey") - 1).alias("k"), F.col("p_size").alias("size"), F.col("p_brand").alias("brand"))
     return a.join(b, F.col("p_partkey") == F.col("k")).select("p_partkey", (F.col("p_size").eqNullSafe(F.col("size")) & F.col("p_brand").eqNullSafe(F.col("brand"))).alias("same"))
+
+
+# Workflow ----------------------------------------------------------------------------------------------------------------
+
+
+@query(
+    sql(
+        """SELECT image_id, slab, set_index, label + coalesce(before, 0) AS label, voxels FROM parts JOIN
+        (SELECT image_id, slab, CAST(sum(top) OVER (PARTITION BY image_id ORDER BY slab ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS before FROM (SELECT image_id, slab, max(label) AS top FROM parts GROUP BY 1, 2)) USING (image_id, slab)""",
+        base=MATCH.rstrip()
+        + """,
+parts AS (SELECT image_id, 0 AS slab, set_index, new_id AS label, count(*) AS voxels FROM (SELECT image_id, 1 AS set_index, new_id, y, x FROM nc UNION ALL SELECT image_id, 2, new_id, y, x FROM nn
+    UNION ALL SELECT image_id, 3, new_id, y, x FROM nc WHERE NOT EXISTS (SELECT 1 FROM nn WHERE nn.image_id = nc.image_id AND nn.y = nc.y AND nn.x = nc.x)) GROUP BY 1, 3, 4
+    UNION ALL SELECT image_id, 1, 4, label, count(*) FROM labels WHERE set_index = 4 GROUP BY 1, 4)
+""",
+    )
+)
+def multistep_workflow(spark, sf_dir):
+    from .workflow import multistep
+
+    labels = raster.labels(spark, sf_dir)
+    out = multistep(postprocess.of_set(labels, 1), postprocess.of_set(labels, 2), [postprocess.of_set(labels, 4)], SIDE, SIDE, remove_border=False)
+    return out.groupBy("image_id", "slab", "set_index", "label").agg(F.count("*").alias("voxels"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'spots' WHEN 1 THEN 'foci' WHEN 2 THEN 'bacteria' ELSE 'spots' END AS label, CASE p_partkey % 4 WHEN 2 THEN 'cells' WHEN 1 THEN 'foci' ELSE 'spots' END AS target FROM part")
+def foci_dispatch(spark, sf_dir):
+    from .workflow import foci_kind
+
+    k = F.col("p_partkey") % 4
+    model = F.element_at(F.array(*map(F.lit, ("spotiflow:general", "stardist:SD_Foci_Finn", "cellpose3:bact_phase_cp3", "spotiflow:hybiss"))), (k + 1).cast("int"))
+    kind = foci_kind(model)
+    return table(spark, sf_dir, "part").select("p_partkey", kind["label"].alias("label"), kind["target"].alias("target"))
+
+
+@query()
+def surface_areas(spark, sf_dir):
+    return geometry.surface_areas(raster.volumes(spark, sf_dir), (1.0, 0.5, 0.25))
