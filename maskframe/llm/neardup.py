@@ -1,7 +1,7 @@
 """Near duplicates by MinHash with sequential Bayesian verification.
 
 Texts become sets of distinct 5-word shingles. Equal sets collapse to one class by digest. Bands of signatures propose
-pairs of classes: first each member of a bucket with the bucket's smallest id, then, only where a bucket still holds
+pairs of classes: first each member of a bucket with the bucket's smallest id; then, only where a bucket still holds
 several components, the smaller components' members with all others, in blocks of bounded size. Signature batches are
 compared one after another; a pair goes as soon as the posterior probability (uniform prior) that its similarity reaches
 the threshold falls below the chosen miss probability. Survivors are verified on their full sets.
@@ -31,7 +31,7 @@ HASHES = BANDS * ROWS
 STEP = 28
 MISS = 1e-6
 #: Members of a bucket that one task compares with as many others.
-BLOCK = 1024
+BLOCK = 256
 
 _RNG = np.random.Generator(np.random.PCG64(7))
 _XOR = _RNG.integers(0, 1 << 32, HASHES, np.uint32)
@@ -102,23 +102,38 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int, miss: float) -> Dat
     return map_batches(pairs.join(sig("a"), "a").join(sig("b"), "b").select("a", "b", "sig_a", "sig_b"), lambda: work, "a long, b long", rows=4096)
 
 
-def verified(pairs: DataFrame, documents: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs whose full sets are as similar as asked: 100 * intersection >= percent * union."""
+SETS = "id long, sig binary, shingles binary"
+
+
+def sets_of(ids: DataFrame, documents: DataFrame) -> DataFrame:
+    """The full sets of some documents, with their signatures."""
+
+    def work(batch):
+        sets = [shingle_set(t) for t in texts_of(batch.column(1))]
+        return record_batch(SETS, [batch.column(0), [signature(s).tobytes() for s in sets], [s.tobytes() for s in sets]])
+
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
+    return map_batches(texts, lambda: work, SETS)
+
+
+def similar(x: bytes, y: bytes, percent: int) -> bool:
+    """100 * intersection >= percent * union, on full sets."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)]), kind="stable")
+    same = int((both[1:] == both[:-1]).sum())
+    return 0 < 100 * same and 100 * same >= percent * (len(both) - same)
 
-    def sets(batch):
-        return record_batch("id long, shingles binary", [batch.column(0), [shingle_set(t).tobytes() for t in texts_of(batch.column(1))]])
+
+def verified(pairs: DataFrame, documents: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs whose full sets are as similar as asked."""
 
     def work(batch):
-        fit = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            both = np.sort(np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)]))
-            same = int((both[1:] == both[:-1]).sum())
-            fit.append(100 * same >= percent * (len(both) - same))
+        fit = [similar(x, y, percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
         return batch.select(["a", "b"]).filter(pa.array(fit, pa.bool_()))
 
     ids = scratch.save(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    full = scratch.save(map_batches(texts, lambda: sets, "id long, shingles binary"))
+    full = scratch.save(sets_of(ids, documents).drop("sig"))
     side = lambda k: full.select(F.col("id").alias(k), F.col("shingles").alias(f"s_{k}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b")
     out = scratch.save(map_batches(joined, lambda: work, "a long, b long", rows=256).distinct())
@@ -126,10 +141,12 @@ def verified(pairs: DataFrame, documents: DataFrame, percent: int, scratch: Scra
     return out
 
 
-def apart(members: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, miss: float) -> DataFrame:
-    """(a, b, matches): likely pairs of different components within a bucket, each bucket compared in blocks.
+def bridges(members: DataFrame, roots: DataFrame, documents: DataFrame, percent: int, miss: float, scratch: Scratch) -> DataFrame:
+    """Verified links (a, b) between components that share a bucket: enough of them to join, within each block, whatever a
+    link joins. The largest component of a bucket is compared with the other members only, never within itself.
 
-    A bucket's largest component is compared with its other members only, never within itself."""
+    A block holds BLOCK members at most on each side, and emits fewer links than it has members: pairs that a link already
+    joins are skipped, the others pass the sequential test and are then verified, the likeliest first."""
     least = least_matches(percent, miss)
     named = members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
     sizes = named.groupBy("bucket", "root").agg(F.count("*").alias("n"))
@@ -142,25 +159,31 @@ def apart(members: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int,
         concat(transform(sequence(0L, many - 1), j -> struct(block as i, j as j, true as cross, true as first)),
                transform(sequence(0L, few - 1), k -> struct(least(block, k) as i, greatest(block, k) as j, false as cross, block <= k as first))),
         transform(sequence(0L, few - 1), i -> struct(i as i, block as j, true as cross, false as first)))""")
-    placed = rows.select("bucket", "id", "root", F.explode(cells).alias("c")).select("bucket", "id", "root", "c.*").join(nodes.select("id", "sig"), "id")
+    placed = scratch.save(rows.select("bucket", "id", "root", F.explode(cells).alias("c")).select("bucket", "id", "root", "c.*"))
+    if placed.isEmpty():
+        return placed.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    full = scratch.save(sets_of(scratch.save(placed.select("id").distinct()), documents))
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, roots_, first = table["id"].to_numpy(), table["root"].to_numpy(), np.array(table["first"].to_pylist())
-        sigs = _signatures(table["sig"])
+        ids, part, first = table["id"].to_numpy(), table["root"].to_numpy().copy(), np.array(table["first"].to_pylist())
+        sigs, sets = _signatures(table["sig"]), table["shingles"].to_pylist()
         same = not table["cross"][0].as_py() and table["i"][0].as_py() == table["j"][0].as_py()
         left = np.flatnonzero(first)
         right = left if same else np.flatnonzero(~first)
-        a, b, got = [], [], []
-        for x in left:
-            others = right[(roots_[right] != roots_[x]) & ((ids[right] > ids[x]) | (not same))]
+        a, b = [], []
+        for x in left.tolist():
+            others = right[(part[right] != part[x]) & ((ids[right] > ids[x]) | (not same))]
             at, matches = survivors(np.broadcast_to(sigs[x], (len(others), HASHES)), sigs[others], least)
-            a += [ids[x]] * len(at)
-            b += ids[others[at]].tolist()
-            got += matches.tolist()
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "matches": pa.array(got, pa.int64())})
+            for y in others[at[np.lexsort((ids[others[at]], -matches))]].tolist():
+                if part[x] != part[y] and similar(sets[x], sets[y], percent):
+                    a.append(int(ids[x]))
+                    b.append(int(ids[y]))
+                    part[part == part[y]] = part[x]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    found = placed.groupBy("bucket", "i", "j", "cross").applyInArrow(compare, "a long, b long, matches long")
-    return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("matches").alias("matches"))
+    found = scratch.save(placed.join(full, "id").groupBy("bucket", "i", "j", "cross").applyInArrow(compare, "a long, b long"))
+    scratch.drop(placed, full)
+    return found
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85, miss: float = MISS) -> DataFrame:
@@ -173,24 +196,14 @@ def near_duplicates(documents: DataFrame, percent: int = 85, miss: float = MISS)
     all_members = nodes.select("id", F.explode(bands).alias("bucket"))
     buckets = all_members.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub <> last")
     members = scratch.save(all_members.join(buckets, "bucket").select("bucket", "id", "hub"))
-    tried = scratch.save(members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
-    links = verified(scratch.save(likely(tried, nodes, percent, miss)), documents, percent, scratch)
+    stars = members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    links = verified(scratch.save(likely(stars, nodes, percent, miss)), documents, percent, scratch)
     # a doc_id with several texts is one document: its classes are linked through it
     joint = rows.filter("digest is not null and doc_id is not null").join(classes, "digest").filter("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     roots = components(links, scratch)
-    rest = scratch.save(apart(members.select("bucket", "id"), nodes, roots, percent, miss).join(tried, ["a", "b"], "left_anti"))
-    ranked = F.max(F.struct("matches", "b", "a"))
-    for all_left in (False, True):
-        ends = lambda k: roots.select(F.col("id").alias(k), F.col("root").alias(f"root_{k}"))  # noqa: E731,B023
-        open_ = rest.join(ends("a"), "a", "left").join(ends("b"), "b", "left").withColumns({"root_a": F.coalesce("root_a", "a"), "root_b": F.coalesce("root_b", "b")}).filter("root_a <> root_b")
-        # the likeliest pair of two components first; what they leave apart is then verified whole
-        pairs = scratch.save(open_.select("a", "b") if all_left else open_.groupBy(F.least("root_a", "root_b"), F.greatest("root_a", "root_b")).agg(ranked.alias("x")).select("x.a", "x.b"))
-        if pairs.isEmpty():
-            break
-        links = links.unionByName(verified(pairs, documents, percent, scratch))
-        roots = components(links, scratch)
+    links = links.unionByName(bridges(members.select("bucket", "id"), roots, documents, percent, miss, scratch))
     whole = components(links.unionByName(joint), scratch)
-    scratch.drop(members, tried, rest, nodes)
+    scratch.drop(members, nodes)
     named = rows.join(whole.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("root", "doc_id"))
     return named.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
 
