@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, map_batches, record_batch, texts_of
 
-#: Bits of the hash that are zero at a cut (one place in 64), and the least and most bytes of a chunk.
-MASK, LEAST, MOST = np.uint32(0xFC000000), 16, 256
-MIN_WORDS = 20
+#: Bits of the hash that are zero at a cut (one place in 32), and the least and most bytes of a chunk.
+MASK, LEAST, MOST = np.uint32(0xF8000000), 16, 128
+MIN_WORDS = 15
 
 _GEAR = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 32, 256, np.uint32)
 _WHITE = np.isin(np.arange(256), [32, *range(9, 14)])
@@ -38,11 +38,12 @@ def gear(data: np.ndarray) -> np.ndarray:
 
 
 def cuts(data: np.ndarray) -> list[int]:
-    """The ends of the chunks of a text."""
-    out, last, n = [], 0, len(data)
-    for at in [*(np.flatnonzero(gear(data) & MASK == 0) + 1).tolist(), n]:
+    """The ends of the chunks of a text. Where none of MOST bytes is a cut, the first of the greatest hash is one, so that
+    repetitive stretches too are cut alike wherever they stand."""
+    out, last, n, hashes = [], 0, len(data), gear(data)
+    for at in [*(np.flatnonzero(hashes & MASK == 0) + 1).tolist(), n]:
         while at - last > MOST:
-            last += MOST
+            last += LEAST + int(hashes[last + LEAST - 1 : last + MOST].argmax())
             out.append(last)
         if at - last >= LEAST or at == n > last:
             out.append(at)
