@@ -131,3 +131,16 @@ def exact_int(value: str | Column) -> Column:
     rounded = F.rint(v)
     checked = F.when(F.isnan(v) | (F.abs(v) == float("inf")), F.raise_error(F.lit("pixel isn't finite"))).when((rounded < -(2**31)) | (rounded > 2**31 - 1), F.raise_error(F.lit("pixel exceeds 32 bits"))).otherwise(rounded)
     return checked.cast("int")
+
+
+def rescaled_size(size: str | Column, scale_um: str | Column, target_um: float = 0.5) -> Column:
+    """Pixels of a side brought to the target's pixel size; never more than there are, one at least, halves to even."""
+    factor = F.least(F.lit(1.0), col(scale_um) / target_um)
+    return F.greatest(F.lit(1), F.rint(col(size) * factor).cast("int"))
+
+
+def selected_channels(primary: str | Column, nuclei: str | Column, count: str | Column) -> Column:
+    """Zero-based channels of a model: the primary, and the nuclei's if it is another; one outside the image is an error."""
+    p, n = col(primary), col(nuclei)
+    chosen = F.when((n > 0) & (n != p), F.array(p - 1, n - 1)).otherwise(F.array(p - 1))
+    return F.when(F.forall(chosen, lambda c: (c >= 0) & (c < col(count))), chosen).otherwise(F.raise_error(F.lit("channel outside the image")).cast("array<int>"))

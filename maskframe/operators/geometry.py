@@ -120,10 +120,11 @@ def volumetric(labels: DataFrame) -> DataFrame:
     return labels.groupBy(*GROUP).applyInPandas(work, "image_id long, t int, set_index int, label long, volume_voxels double, filled_volume_voxels double, euler_number int")
 
 
-def axes_3d(labels: DataFrame) -> DataFrame:
+def axes_3d(labels: DataFrame, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
     """Major and minor axis of volumes from the eigenvalues of the coordinates' covariance: six sums by object, then one
-    vectorised pass over objects."""
+    vectorised pass over objects. With a spacing the lengths and the diameter of the equal ball are physical."""
     axes = "zyx"
+    step, voxel = np.outer(spacing, spacing), float(np.prod(spacing))
     sums = labels.groupBy(*GROUP, "label").agg(*(F.covar_pop(a, b).alias(a + b) for i, a in enumerate(axes) for b in axes[i:]), F.count("*").alias("n"))
 
     def work(batches):
@@ -132,11 +133,11 @@ def axes_3d(labels: DataFrame) -> DataFrame:
             for i, p in enumerate(axes):
                 for j, q in enumerate(axes):
                     m[:, i, j] = b["".join(sorted(p + q, key=axes.index))]
-            low, mid, high = (np.linalg.eigvalsh(m)[:, k] for k in range(3))
+            low, mid, high = np.linalg.eigvalsh(m * step).T
             out = b[[*GROUP, "label"]].copy()
             out["major_axis_length_px"] = np.sqrt(np.maximum(10 * (high + mid - low), 0))
             out["minor_axis_length_px"] = np.sqrt(np.maximum(10 * (low + mid - high), 0))
-            out["equivalent_diameter_px"] = np.cbrt(6 * b["n"] / np.pi)
+            out["equivalent_diameter_px"] = np.cbrt(6 * b["n"] * voxel / np.pi)
             yield out
 
     return sums.mapInPandas(work, "image_id long, t int, set_index int, label long, major_axis_length_px double, minor_axis_length_px double, equivalent_diameter_px double")

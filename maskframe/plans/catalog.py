@@ -511,3 +511,30 @@ def foci_dispatch(spark, sf_dir):
 @query()
 def surface_areas(spark, sf_dir):
     return geometry.surface_areas(raster.volumes(spark, sf_dir), (1.0, 0.5, 0.25))
+
+
+VOLUMES = """vox AS (SELECT image_id, z, y, x, (y // 16) * 2 + x // 16 + 1 AS label FROM grid, range(3) p(z)
+    WHERE y % 16 BETWEEN 1 AND 10 + image_id % 3 AND x % 16 BETWEEN 2 AND 9 AND NOT (z = 1 AND y % 16 BETWEEN 4 AND 6 AND x % 16 BETWEEN 4 AND 6))"""
+
+
+@query(sql("SELECT image_id, z, label + coalesce(before, 0) AS label, n AS voxels FROM (SELECT image_id, z, label, count(*) AS n FROM vox GROUP BY 1, 2, 3) JOIN (SELECT image_id, z, CAST(sum(top) OVER (PARTITION BY image_id ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS before FROM (SELECT image_id, z, max(label) AS top FROM vox GROUP BY 1, 2)) USING (image_id, z)", base=with_more(VOLUMES)))
+def plane_ids(spark, sf_dir):
+    out = postprocess.offset_ids(raster.volumes(spark, sf_dir), ["image_id"], ["z"])
+    return out.groupBy("image_id", "z", "label").agg(F.count("*").alias("voxels"))
+
+
+@query(sql("SELECT image_id, label, count(*) AS voxel_count, 3 AS spatial_dimensions, CAST(NULL AS DOUBLE) AS area_px2, CAST(count(*) AS DOUBLE) AS volume_voxels, avg(z) AS centroid_z_px, min(z) AS bbox_min_z_px, max(z) + 1 AS bbox_max_z_px FROM vox GROUP BY 1, 2", "centroid_z_px", base=with_more(VOLUMES)))
+def volume_objects(spark, sf_dir):
+    out = regions.objects(raster.volumes(spark, sf_dir), raster.images(spark, sf_dir))
+    return out.select("image_id", "label", "voxel_count", "spatial_dimensions", "area_px2", "volume_voxels", "centroid_z_px", "bbox_min_z_px", "bbox_max_z_px")
+
+
+@query("SELECT p_partkey, greatest(1, CAST(round_even(p_size * least(1.0::DOUBLE, (p_partkey % 5 + 1) * 0.125::DOUBLE / 0.5::DOUBLE), 0) AS INTEGER)) AS size FROM part")
+def rescaled_sizes(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", S.rescaled_size("p_size", (F.col("p_partkey") % 5 + 1) * 0.125).alias("size"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 3 > 0 AND p_partkey % 3 <> p_partkey % 2 + 1 THEN [p_partkey % 2, p_partkey % 3 - 1] ELSE [p_partkey % 2] END AS channels FROM part")
+def channel_selection(spark, sf_dir):
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select("p_partkey", S.selected_channels(k % 2 + 1, k % 3, F.lit(3)).alias("channels"))
