@@ -44,6 +44,56 @@ def convex_mask(mask: np.ndarray) -> np.ndarray:
     return inside.reshape(mask.shape)
 
 
+def hull_planes(points: np.ndarray, slack: float = 1e-9) -> np.ndarray | None:
+    """The planes (normal, offset) of the convex hull of points in space, normal @ p <= offset inside; None if it is flat.
+
+    Points are added one by one: the faces that one sees give way to faces from it to their outline."""
+    a, b = points[points[:, 0].argmin()], points[points[:, 0].argmax()]
+    line = np.linalg.norm(np.cross(points - a, b - a), axis=1)
+    c = points[line.argmax()]
+    normal = np.cross(b - a, c - a)
+    height = (points - a) @ normal
+    d = points[np.abs(height).argmax()]
+    if line.max() <= slack or np.abs(height).max() <= slack:
+        return None
+    middle = (a + b + c + d) / 4
+
+    def face(p, q, r):
+        n = np.cross(q - p, r - p)
+        n = n / np.linalg.norm(n)
+        return (p, q, r, n, n @ p) if n @ (middle - p) < 0 else (p, r, q, -n, -n @ p)
+
+    faces = [face(a, b, c), face(a, b, d), face(a, c, d), face(b, c, d)]
+    for p in points:
+        seen = np.array([f[3] for f in faces]) @ p > np.array([f[4] for f in faces]) + slack
+        if seen.any():
+            sides: dict[tuple, tuple] = {}
+            for f in (f for f, s in zip(faces, seen, strict=True) if s):
+                for q, r in ((f[0], f[1]), (f[1], f[2]), (f[2], f[0])):
+                    if sides.pop((tuple(r), tuple(q)), None) is None:
+                        sides[tuple(q), tuple(r)] = (q, r)
+            faces = [f for f, s in zip(faces, seen, strict=True) if not s]
+            faces += [face(q, r, p) for q, r in sides.values() if np.linalg.norm(np.cross(r - q, p - q)) > slack]
+    return np.array([[*f[3], f[4]] for f in faces])
+
+
+def convex_volume(mask: np.ndarray) -> int:
+    """Voxels whose centres lie in the hull of the voxels' extents."""
+    at = np.argwhere(mask)
+    # of each row along the last axis only the ends can be corners
+    order = np.lexsort(at.T[::-1])
+    rows = at[order]
+    new = np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
+    ends = np.concatenate([rows[new], rows[np.concatenate([new[1:], [True]])]]).astype(float)
+    points = np.unique(np.concatenate([ends + d for d in 0.5 * np.concatenate([np.eye(3), -np.eye(3)])]), axis=0)
+    planes = hull_planes(points)
+    grid = np.indices(mask.shape).reshape(3, -1)
+    inside = np.ones(grid.shape[1], bool)
+    for *n, offset in planes:
+        inside &= np.array(n) @ grid <= offset + 1e-7
+    return int(inside.sum())
+
+
 def filled(mask: np.ndarray) -> np.ndarray:
     """The mask with its holes: background that full connectivity doesn't join to the outside. Any number of axes."""
     free = ~np.pad(mask, 1)
@@ -105,7 +155,7 @@ def planar(labels: DataFrame) -> DataFrame:
 
 
 def volumetric(labels: DataFrame) -> DataFrame:
-    """Filled volume and Euler number of volumes."""
+    """Convex and filled volume, solidity and Euler number of volumes."""
 
     def work(group: pd.DataFrame) -> pd.DataFrame:
         rows = []
@@ -114,10 +164,12 @@ def volumetric(labels: DataFrame) -> DataFrame:
             at = at - at.min(axis=0)
             mask = np.zeros(at.max(axis=0) + 1, bool)
             mask[tuple(at.T)] = True
-            rows.append((*group.iloc[0][GROUP], label, len(at), int(filled(mask).sum()), euler_3d(mask)))
-        return pd.DataFrame(rows, columns=[*GROUP, "label", "volume_voxels", "filled_volume_voxels", "euler_number"])
+            convex = convex_volume(mask)
+            rows.append((*group.iloc[0][GROUP], label, len(at), convex, len(at) / convex, int(filled(mask).sum()), euler_3d(mask)))
+        return pd.DataFrame(rows, columns=[*GROUP, "label", "volume_voxels", "convex_volume_voxels", "solidity", "filled_volume_voxels", "euler_number"])
 
-    return labels.groupBy(*GROUP).applyInPandas(work, "image_id long, t int, set_index int, label long, volume_voxels double, filled_volume_voxels double, euler_number int")
+    schema = "image_id long, t int, set_index int, label long, volume_voxels double, convex_volume_voxels double, solidity double, filled_volume_voxels double, euler_number int"
+    return labels.groupBy(*GROUP).applyInPandas(work, schema)
 
 
 def axes_3d(labels: DataFrame, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
