@@ -240,7 +240,7 @@ def surface_areas(labels: DataFrame, spacing: tuple[float, float, float]) -> Dat
     JVM, weigh an area each. Ambiguous faces part the object; other conventions differ by a few parts in a hundred there."""
     steps = F.explode(F.array(*(F.struct(F.lit(k >> 2 & 1).alias("dz"), F.lit(k >> 1 & 1).alias("dy"), F.lit(k & 1).alias("dx"), F.lit(1 << k).alias("w")) for k in range(8))))
     keys = [*GROUP, "label"]
-    moved = labels.repartition(*keys).select(*keys, "z", "y", "x", steps.alias("s")).select(*keys, (F.col("z") - F.col("s.dz")).alias("z"), (F.col("y") - F.col("s.dy")).alias("y"), (F.col("x") - F.col("s.dx")).alias("x"), "s.w")
+    moved = labels.select(*keys, "z", "y", "x", steps.alias("s")).select(*keys, (F.col("z") - F.col("s.dz")).alias("z"), (F.col("y") - F.col("s.dy")).alias("y"), (F.col("x") - F.col("s.dx")).alias("x"), "s.w")
     states = moved.groupBy(*keys, "z", "y", "x").agg(F.sum("w").alias("state"))
     area = F.element_at(F.array(*map(F.lit, surface_table(spacing))), (F.col("state") + 1).cast("int"))
     voxel = float(np.prod(spacing))

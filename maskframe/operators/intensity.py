@@ -9,22 +9,26 @@ from ..sources.raster import OBJECT, VOXEL
 
 
 def intensities(labels: DataFrame, pixels: DataFrame) -> DataFrame:
-    """Labels and pixels meet by position once; population variance, exact interpolated percentiles, and the median
-    absolute deviation from the same pass: the values of an object and channel are one array, bounded by its voxels."""
-    values = labels.join(pixels, VOXEL).groupBy(*OBJECT, "channel_index").agg(
-        F.count("*").alias("sample_count"),
-        F.sum("value").alias("intensity_sum"),
-        F.avg("value").alias("intensity_mean"),
-        F.var_pop("value").alias("intensity_variance"),
-        F.stddev_pop("value").alias("intensity_stddev"),
+    """Population variance, exact interpolated percentiles and the median absolute deviation of each object and channel.
+
+    Labels and pixels meet by position once and combine to counts by value, so a task holds an object's distinct values, not
+    its voxels; deviations are a second pass over those counts."""
+    keys = [*OBJECT, "channel_index"]
+    counts = labels.join(pixels, VOXEL).groupBy(*keys, "value").agg(F.count("*").alias("k"))
+    names = ["intensity_p10", "intensity_p25", "intensity_median", "intensity_p75", "intensity_p90"]
+    first = counts.groupBy(*keys).agg(
+        F.sum("k").alias("sample_count"),
+        F.sum(F.col("value") * F.col("k")).alias("intensity_sum"),
         F.min("value").alias("intensity_min"),
         F.max("value").alias("intensity_max"),
-        F.percentile("value", F.array(*map(F.lit, (0.1, 0.25, 0.5, 0.75, 0.9)))).alias("p"),
-        F.array_sort(F.collect_list("value")).alias("all"),
+        F.percentile("value", F.array(*map(F.lit, (0.1, 0.25, 0.5, 0.75, 0.9))), F.col("k")).alias("p"),
     )
-    names = ["intensity_p10", "intensity_p25", "intensity_median", "intensity_p75", "intensity_p90"]
-    out = values.withColumns({n: F.col("p")[i] for i, n in enumerate(names)})
-    away = F.array_sort(F.transform("all", lambda v: F.abs(v - F.col("intensity_median"))))
-    n = F.col("sample_count").cast("int")
-    mad = (F.element_at(away, ((n + 1) / 2).cast("int")) + F.element_at(away, (n / 2).cast("int") + 1)) / 2
-    return out.select(*OBJECT, "channel_index", "sample_count", "intensity_sum", "intensity_mean", "intensity_variance", "intensity_stddev", "intensity_min", "intensity_max", "intensity_median", mad.alias("intensity_mad"), "intensity_p10", "intensity_p25", "intensity_p75", "intensity_p90", (F.col("intensity_stddev") / F.nullif("intensity_mean", F.lit(0.0))).alias("coefficient_of_variation"))
+    first = first.withColumns({"intensity_mean": F.col("intensity_sum") / F.col("sample_count"), **{n: F.col("p")[i] for i, n in enumerate(names)}})
+    centre = first.select(*keys, "intensity_mean", "intensity_median")
+    away = counts.join(centre, keys).groupBy(*keys).agg(
+        F.sum(F.col("k") * F.pow(F.col("value") - F.col("intensity_mean"), 2)).alias("squares"),
+        F.percentile(F.abs(F.col("value") - F.col("intensity_median")), F.lit(0.5), F.col("k")).alias("intensity_mad"),
+    )
+    out = first.join(away, keys).withColumn("intensity_variance", F.col("squares") / F.col("sample_count"))
+    out = out.withColumn("intensity_stddev", F.sqrt("intensity_variance"))
+    return out.select(*keys, "sample_count", "intensity_sum", "intensity_mean", "intensity_variance", "intensity_stddev", "intensity_min", "intensity_max", "intensity_median", "intensity_mad", "intensity_p10", "intensity_p25", "intensity_p75", "intensity_p90", (F.col("intensity_stddev") / F.nullif("intensity_mean", F.lit(0.0))).alias("coefficient_of_variation"))

@@ -49,17 +49,20 @@ def matched_labels(labels: DataFrame, first_id: int = 1) -> DataFrame:
 
 
 def expanded(seeds: DataFrame, distance: float, scale_y: float | None, scale_x: float | None, height: int, width: int) -> DataFrame:
-    """Each position within the distance of a seed voxel, with the label of the nearest (ties: lowest label).
+    """Each position within the distance of a seed voxel, with the label (under 2**40) of the nearest (ties: lowest label).
 
     Seeds spread over a stencil of the offsets in reach, so the work is a map and one combining minimum, and no range join."""
     sy = scale_y or scale_x or 1.0
     sx = scale_x or scale_y or 1.0
     ry, rx = math.floor(distance / sy), math.floor(distance / sx)
     reach = [(dy, dx, (dy * sy) ** 2 + (dx * sx) ** 2) for dy in range(-ry, ry + 1) for dx in range(-rx, rx + 1)]
-    steps = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(d).alias("d2")) for dy, dx, d in reach if d <= distance**2)))
-    spread = seeds.select(*VOXEL, "label", steps.alias("s")).select("image_id", "t", "z", (F.col("y") + F.col("s.dy")).alias("y"), (F.col("x") + F.col("s.dx")).alias("x"), F.col("s.d2").alias("d2"), "label")
+    reach = [r for r in reach if r[2] <= distance**2]
+    # a distance by its rank above the label makes one number, whose minimum combines in a hash aggregation
+    rank = {d: i for i, d in enumerate(sorted({d for _, _, d in reach}))}
+    steps = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(rank[d] << 40).alias("d")) for dy, dx, d in reach)))
+    spread = seeds.select(*VOXEL, "label", steps.alias("s")).select("image_id", "t", "z", (F.col("y") + F.col("s.dy")).alias("y"), (F.col("x") + F.col("s.dx")).alias("x"), (F.col("s.d") + F.col("label")).alias("m"))
     inside = spread.filter(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1))
-    return inside.groupBy(*VOXEL).agg(F.min(F.struct("d2", "label")).alias("m")).select(*VOXEL, F.col("m.label").alias("label"))
+    return inside.groupBy(*VOXEL).agg(F.min("m").alias("m")).select(*VOXEL, F.expr(f"m & {(1 << 40) - 1}").alias("label"))
 
 
 def offset_ids(labels: DataFrame, within: list[str], slab: list[str]) -> DataFrame:

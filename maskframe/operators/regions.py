@@ -78,8 +78,9 @@ def _count(condition: Column) -> Column:
 def quads(labels: DataFrame) -> DataFrame:
     """From the codes of all 2 by 2 windows: Euler number (8-connected) and Crofton perimeter over four directions.
 
-    Objects are dealt out once; both aggregations then stay within their partition."""
-    codes = _spread(labels.repartition(*OBJECT), [(0, 0, 1), (0, 1, 4), (1, 0, 2), (1, 1, 8)]).groupBy(*OBJECT, "y", "x").agg(F.sum("w").alias("code"))
+    Rows are dealt by place, after neighbours' codes combine, so an object of any size spreads over all tasks; what is then
+    summed by object is one row for each object and task."""
+    codes = _spread(labels, [(0, 0, 1), (0, 1, 4), (1, 0, 2), (1, 1, 8)]).groupBy(*OBJECT, "y", "x").agg(F.sum("w").alias("code"))
     ones, threes, cross = F.col("code").isin(1, 2, 4, 8), F.col("code").isin(7, 11, 13, 14), F.col("code").isin(6, 9)
     quarter, root = math.pi / 4, math.sqrt(2)
     # Weights of the window codes.
@@ -92,7 +93,7 @@ def perimeters(labels: DataFrame) -> DataFrame:
     """Length of the border (voxels with a face neighbour outside) by weights of its own 3 by 3 neighbourhoods."""
     faces = [(0, 1), (0, -1), (1, 0), (-1, 0)]
     corners = [(1, 1), (1, -1), (-1, 1), (-1, -1)]
-    near = _spread(labels.repartition(*OBJECT), [(0, 0, 100), *((dy, dx, 1) for dy, dx in faces)])
+    near = _spread(labels, [(0, 0, 100), *((dy, dx, 1) for dy, dx in faces)])
     border = near.groupBy(*OBJECT, "z", "y", "x").agg(F.sum("w").alias("n")).filter(F.col("n").between(100, 103))
     codes = _spread(border, [(0, 0, 1), *((dy, dx, 2) for dy, dx in faces), *((dy, dx, 10) for dy, dx in corners)]).groupBy(*OBJECT, "y", "x").agg(F.sum("w").alias("code"))
     weight = F.when(F.col("code").isin(5, 7, 15, 17, 25, 27), 1.0).when(F.col("code").isin(21, 33), math.sqrt(2)).when(F.col("code").isin(13, 23), (1 + math.sqrt(2)) / 2).otherwise(0.0)
