@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -12,6 +15,23 @@ from pyspark.sql import functions as F
 
 #: Rows that a Python worker holds as objects at once.
 BATCH_ROWS = 512
+#: Rows that the JVM and a Python worker pass at once.
+ARROW_ROWS = 1024
+
+_KEPT: dict = {}
+
+
+def kept(key: tuple, make: Callable):
+    """What make() returns, kept in this worker from task to task; only the latest key's is kept, so operators that follow
+    each other don't add up their caches."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def arrow_type(kind: str) -> pa.DataType:
@@ -25,7 +45,10 @@ def record_batch(schema: str, columns: list) -> pa.RecordBatch:
 
 
 def map_batches(df: DataFrame, start: Callable, schema: str, rows: int = BATCH_ROWS) -> DataFrame:
-    """start() runs once a task and returns the function from slices of at most `rows` rows to batches of the schema."""
+    """start() runs once a task and returns the function from slices of at most `rows` rows to batches of the schema.
+
+    Sets the session's Arrow batches to ARROW_ROWS rows, as texts may be long and an executor's memory holds several batches."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
     def run(batches):
         work = start()

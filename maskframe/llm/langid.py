@@ -23,12 +23,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, map_batches, record_batch
+from .common import bounded_sample, kept, map_batches, record_batch
 
 TRAIN_DOCS, WORDS, WINDOW = 3000, 40, 24
 UNITS, STEPS, BATCH, RATE = 16, 500, 256, 0.02
 #: Runs that a worker remembers at most.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Mean probability below which the pipeline rejects a document, with two languages or more.
 LEAST_SCORE = 0.3
 
@@ -179,16 +179,10 @@ class Pools:
         return out
 
 
-_POOLS: dict[int, Pools] = {}
-
-
 def pools_of(network: Network) -> Pools:
     """The worker's, kept from task to task."""
     key = zlib.crc32(b"".join([v.tobytes() for v in network.parameters().values()]))
-    if key not in _POOLS:
-        _POOLS.clear()
-        _POOLS[key] = Pools(network)
-    return _POOLS[key]
+    return kept(("languages", key), lambda: Pools(network))
 
 
 def held_out(col: str = "doc_id"):

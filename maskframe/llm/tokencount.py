@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import byte_letters, tokenizer_json
-from .common import map_batches, record_batch
+from .common import kept, map_batches, record_batch
 
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 _ANY = regex.compile(PRE_TOKENS)
 #: Pre-tokens that a worker remembers at most, and the longest of them in characters.
-CACHE_WORDS, CACHE_CHARS = 500_000, 64
+CACHE_WORDS, CACHE_CHARS = 300_000, 64
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -95,7 +95,6 @@ class Counter:
         return out
 
 
-_COUNTERS: dict[int, Counter] = {}
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
@@ -107,10 +106,7 @@ def token_counts(documents: DataFrame, tokenizer: str, limit: int = 1024) -> Dat
     key = xxhash.xxh3_64_intdigest(tokenizer.encode())
 
     def start():
-        if key not in _COUNTERS:
-            _COUNTERS.clear()
-            _COUNTERS[key] = Counter(*sent.value)
-        counter = _COUNTERS[key]
+        counter = kept(("counts", key), lambda: Counter(*sent.value))
 
         def work(batch):
             texts = [t or "" for t in batch.column(1).to_pylist()]
