@@ -158,17 +158,13 @@ def read_image(spark: SparkSession, store: str, image_path: str = "") -> tuple[D
     return pixels, {"size": size, "axes": axes, "scales": axis_scales(multiscale, axes), "dtype": dtype.newbyteorder("=").name, "channels": channel_names(attributes, size["c"])}
 
 
-def write_labels(labels: DataFrame, store: str, name: str, size: tuple[int, int, int], chunk: int = 512, dtype: str = "<i4") -> None:
-    """One image's labels (z, y, x, label) as labels/<name> of a store, put in place when all chunks are written.
+def put_chunks(labels: DataFrame, base: str, size: tuple[int, int, int], chunk: int, dtype: str) -> None:
+    """Writes the chunks of label arrays: rows (path, z, y, x, label), where path is the array's folder under base.
 
     Each chunk is a group of at most chunk * chunk voxels that one task encodes and writes; writing it again gives the same
     file, so a lost executor does no harm. A label that doesn't fit the type is an error."""
-    spark = labels.sparkSession
-    files, partial = Files(spark, store), f"labels/.{name}.partial"
-    most, target = np.iinfo(np.dtype(dtype)).max, f"{store.rstrip('/')}/{partial}/0"
-    shape = [1, min(chunk, size[1]), min(chunk, size[2])]
-    files.fs.delete(files.at(partial), True)
-    files.fs.mkdirs(files.at(f"{partial}/0"))
+    most, shape = np.iinfo(np.dtype(dtype)).max, [1, min(chunk, size[1]), min(chunk, size[2])]
+    target = base if ":" in base.split("/")[0] else f"file://{base}"
 
     def put(group: pd.DataFrame) -> pd.DataFrame:
         from pyarrow import fs
@@ -178,15 +174,71 @@ def write_labels(labels: DataFrame, store: str, name: str, size: tuple[int, int,
         z, cy, cx = (int(group[c].iloc[0]) for c in ("z", "cy", "cx"))
         block = np.zeros(shape, dtype)
         block[0, group["y"] - cy * chunk, group["x"] - cx * chunk] = group["label"]
-        system, base = fs.FileSystem.from_uri(target if "://" in target or target.startswith("file:") else f"file://{target}")
-        with system.open_output_stream(f"{base}/{z}.{cy}.{cx}") as out:
+        system, root = fs.FileSystem.from_uri(target)
+        folder = f"{root}/{group['path'].iloc[0]}"
+        system.create_dir(folder, recursive=True)
+        with system.open_output_stream(f"{folder}/{z}.{cy}.{cx}") as out:
             out.write(zlib.compress(block.tobytes()))
         return pd.DataFrame({"chunks": [1]})
 
-    keyed = labels.select("z", "y", "x", "label", F.floor(F.col("y") / chunk).alias("cy"), F.floor(F.col("x") / chunk).alias("cx"))
-    keyed.groupBy("z", "cy", "cx").applyInPandas(put, "chunks long").agg(F.sum("chunks")).collect()
-    array = {"zarr_format": 2, "shape": list(size), "chunks": shape, "dtype": dtype, "compressor": {"id": "zlib", "level": 6}, "fill_value": 0, "order": "C", "filters": None}
-    files.write(f"{partial}/0/.zarray", json.dumps(array).encode())
-    files.write(f"{partial}/.zgroup", b'{"zarr_format": 2}')
-    files.write(f"{partial}/.zattrs", json.dumps({"multiscales": [{"version": "0.4", "axes": list("zyx"), "datasets": [{"path": "0"}]}], "image-label": {"version": "0.4"}}).encode())
+    keyed = labels.select("path", "z", "y", "x", "label", F.floor(F.col("y") / chunk).alias("cy"), F.floor(F.col("x") / chunk).alias("cx"))
+    keyed.groupBy("path", "z", "cy", "cx").applyInPandas(put, "chunks long").agg(F.sum("chunks")).collect()
+
+
+def put_metadata(files: Files, group: str, size: tuple[int, int, int], chunk: int, dtype: str) -> None:
+    """A label group of one level, without its chunks."""
+    array = {"zarr_format": 2, "shape": list(size), "chunks": [1, min(chunk, size[1]), min(chunk, size[2])], "dtype": dtype, "compressor": {"id": "zlib", "level": 6}, "fill_value": 0, "order": "C", "filters": None}
+    files.write(f"{group}/0/.zarray", json.dumps(array).encode())
+    files.write(f"{group}/.zgroup", b'{"zarr_format": 2}')
+    files.write(f"{group}/.zattrs", json.dumps({"multiscales": [{"version": "0.4", "axes": list("zyx"), "datasets": [{"path": "0"}]}], "image-label": {"version": "0.4"}}).encode())
+
+
+def write_labels(labels: DataFrame, store: str, name: str, size: tuple[int, int, int], chunk: int = 512, dtype: str = "<i4") -> None:
+    """One image's labels (z, y, x, label) as labels/<name> of a store, put in place when all chunks are written."""
+    files, partial = Files(labels.sparkSession, store), f"labels/.{name}.partial"
+    files.fs.delete(files.at(partial), True)
+    put_metadata(files, partial, size, chunk, dtype)
+    put_chunks(labels.withColumn("path", F.lit(f"{partial}/0")), files.base, size, chunk, dtype)
     files.install(partial, f"labels/{name}")
+
+
+def write_plate(labels: DataFrame, written: DataFrame, source: str, out: str, size: tuple[int, int, int], sets: list[str], chunk: int = 512, dtype: str = "<i4") -> None:
+    """All fields of a plate at once: labels (image_path, name, z, y, x, label) of the sets, for the fields of a source store.
+
+    `written` (image_path) names the fields that were segmented, with labels or without; a missing, unknown or repeated one is
+    an error. The plate appears whole or not at all. Acquisitions that the plate doesn't declare are left out."""
+    spark = labels.sparkSession
+    expected = fields(spark, source).select("image_path")
+    faults = {
+        "missing": expected.join(written, "image_path", "left_anti"),
+        "unexpected": written.join(expected, "image_path", "left_anti"),
+        "repeated": written.groupBy("image_path").count().filter("count > 1"),
+    }
+    for what, rows in faults.items():
+        if first := rows.limit(3).collect():
+            raise ValueError(f"{what} fields: {[r.image_path for r in first]}")
+    given, partial = Files(spark, source), f"{out.rstrip('/')}.partial"
+    parent, _, name = out.rstrip("/").rpartition("/")
+    top, files = Files(spark, parent), Files(spark, partial)
+    top.fs.delete(files.at(""), True)
+    try:
+        attributes = {k: v for k, v in given.attributes("").items() if k != "omero"}
+        known = {a["id"] for a in attributes["plate"].get("acquisitions", []) if isinstance(a, dict) and "id" in a}
+        wells: dict[str, list[str]] = {}
+        for r in expected.toLocalIterator():
+            well, _, field = r.image_path.rpartition("/")
+            wells.setdefault(well, []).append(field)
+            for s in sets:
+                put_metadata(files, f"{r.image_path}/labels/{s}", size, chunk, dtype)
+        for well, names in wells.items():
+            acquired = {str(i.get("path", "")).strip("/"): i.get("acquisition") for i in given.attributes(well)["well"]["images"]}
+            images = [{"path": n} | ({"acquisition": acquired[n]} if acquired[n] in known else {}) for n in sorted(names)]
+            files.write(f"{well}/.zattrs", json.dumps({"well": {"version": "0.4", "images": images}}).encode())
+        put_chunks(labels.withColumn("path", F.concat_ws("/", "image_path", F.lit("labels"), "name", F.lit("0"))), partial, size, chunk, dtype)
+        count = sum(map(len, wells.values()))
+        files.write(".zattrs", json.dumps(attributes | {"segmentation": {"field_count": count}}).encode())
+        files.write(".zgroup", b'{"zarr_format": 2}')
+        top.install(f"{name}.partial", name)
+    except BaseException:
+        top.fs.delete(files.at(""), True)
+        raise
