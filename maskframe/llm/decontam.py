@@ -28,6 +28,8 @@ SHORT, LONG, SEGMENT, STEP = 24, 192, 128, 64
 CHARS_PER_EDIT = 12
 #: Bytes of items in one broadcast index; a larger benchmark is searched in several passes.
 BLOCK_BYTES = 4 << 20
+#: Shared q-grams that are counted at once.
+HITS = 1 << 20
 _BITS = 22
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xC2B2AE3D27D4EB4F
@@ -96,12 +98,17 @@ class Index:
         n = hi - lo
         if not n.sum():
             return np.empty((0, 2), np.int64)
-        hit = np.repeat(lo - np.concatenate([[0], n.cumsum()[:-1]]), n) + np.arange(n.sum())
-        where, part = np.repeat(at, n), self.part[hit]
-        width = self.edits[part] + 1
-        band = (where - self.place[hit]) // width  # from -m on
-        keys = np.concatenate([part << 40 | band + (1 << 30), part << 40 | band - 1 + (1 << 30)])
-        keys, counts = np.unique(keys, return_counts=True)
+        counted = []
+        # in pieces of about HITS shared q-grams, as repetitive texts and items share a multiple of their length
+        ends = np.unique(np.concatenate([np.searchsorted(n.cumsum(), np.arange(HITS, n.sum(), HITS)) + 1, [len(n)]]))
+        for i, j in zip([0, *ends], ends, strict=False):
+            some = n[i:j]
+            hit = np.repeat(lo[i:j] - np.concatenate([[0], some.cumsum()[:-1]]), some) + np.arange(some.sum())
+            where, part = np.repeat(at[i:j], some), self.part[hit]
+            band = (where - self.place[hit]) // (self.edits[part] + 1)  # from -m on
+            counted.append(np.unique(np.concatenate([part << 40 | band + (1 << 30), part << 40 | band - 1 + (1 << 30)]), return_counts=True))
+        keys, back = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
+        counts = np.bincount(back, np.concatenate([c for _, c in counted]))
         part, band = keys >> 40, (keys & (1 << 40) - 1) - (1 << 30)
         fit = counts >= self.size[part] - Q + 1 - self.edits[part] * Q
         return np.stack([part[fit], band[fit] * (self.edits[part[fit]] + 1)], axis=1)

@@ -32,12 +32,12 @@ CACHE_WORDS = 200_000
 #: Mean probability below which the pipeline rejects a document, with two languages or more.
 LEAST_SCORE = 0.3
 
-_ASCII = re.compile("[a-z]+")
-_LETTERS = regex.compile(r"\p{L}+")
+_ASCII = re.compile(f"[a-z]{{1,{WINDOW}}}")
+_LETTERS = regex.compile(rf"\p{{L}}{{1,{WINDOW}}}")
 
 
 def runs(text: str) -> list[str]:
-    """Its runs of letters, lower-cased."""
+    """Its runs of letters, lower-cased, in pieces of WINDOW letters at most."""
     low = text.lower()
     return _ASCII.findall(low) if low.isascii() else _LETTERS.findall(low)
 

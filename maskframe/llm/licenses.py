@@ -9,6 +9,7 @@ an empty table gives an empty result; only the id and text columns are read.
 
 from __future__ import annotations
 
+from bisect import bisect
 from functools import lru_cache
 
 import regex
@@ -79,9 +80,10 @@ def best_apart(found: list[tuple[int, int, int, str, float]]) -> list[tuple[int,
     """Of the matches (start, end, edits, label, score) those that overlap none of a better score; ties go to the first."""
     kept: list[tuple[int, int, int, str, float]] = []
     for x in sorted(found, key=lambda x: (-x[4], x[0], x[3])):
-        if all(x[1] <= y[0] or x[0] >= y[1] for y in kept):
-            kept.append(x)
-    return sorted(kept)
+        at = bisect(kept, x)  # those kept are apart, so only the neighbours can overlap
+        if (not at or kept[at - 1][1] <= x[0]) and (at == len(kept) or x[1] <= kept[at][0]):
+            kept.insert(at, x)
+    return kept
 
 
 def base_places(line: bytes, phrases: dict[str, str]) -> list[tuple[int, str]]:

@@ -183,7 +183,8 @@ def sellers(part, text):
     return best
 
 
-def test_decontamination_by_plain_alignment():
+def test_decontamination_by_plain_alignment(monkeypatch):
+    monkeypatch.setattr(decontam, "HITS", 50)
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("aeinrst") for _ in range(rng.randrange(2, 7)))
     for _ in range(60):
@@ -434,3 +435,20 @@ def test_pipeline(spark, data):
     rows = out.collect()
     assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in kept.collect()) and all(len(r.token_ids) == r.n_tokens for r in rows)
     assert not any(s for r in rows for s in plain_spans(r.text) if s[0] == "email")
+
+
+def test_dense_texts_take_bounded_work():
+    import time
+
+    began = time.time()
+    item = decontam.normal(b"ha " * 60)
+    found = decontam.Index([(1, item)]).search([b"ha " * 40_000])
+    assert found and found[0][2] == 0
+    text = "Released under the MIT License. " * 5000
+    line = b" ".join(licenses.normal_words(text.encode()))
+    notice = licenses.Notice("released under the mit license", "mit")
+    assert len(licenses.best_apart([(a, b, e, "mit", 1.0) for a, b, e in notice.find(line)])) == 5000
+    spans = pii.base_spans("a@b.cd ee " * 5000)
+    assert len(spans) == 5000 and len(pii.contexts("a@b.cd eee " * 5000, pii.base_spans("a@b.cd eee " * 5000))) > 5000
+    assert max(map(len, langid.runs("x" * 1000))) == langid.WINDOW
+    assert time.time() - began < 60
