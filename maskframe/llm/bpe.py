@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, record_batch
+from .common import kept, map_batches, record_batch
 
 #: Words that a worker remembers at most, and the longest of them in characters.
-CACHE_WORDS, CACHE_CHARS = 400_000, 64
+CACHE_WORDS, CACHE_CHARS = 300_000, 64
 END = "</w>"
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -75,7 +75,10 @@ class Bpe:
         self.proposals = {t: i for t, i in self.vocab.items()}
         for i in whole[~sound]:
             del self.proposals[self.tokens[i]]
-        self.longest = max(map(len, self.proposals))
+        # the longest token that begins with two given letters
+        self.reach: dict[str, int] = {}
+        for t in self.proposals:
+            self.reach[t[:2]] = max(self.reach.get(t[:2], 0), len(t))
         self.cache: dict[str, tuple[str, str]] = {}
 
     def merge_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -111,7 +114,7 @@ class Bpe:
         if t is not None:
             return [t]
         while at < n:
-            for to in range(min(n, at + self.longest), at, -1):
+            for to in range(min(n, at + self.reach.get(symbols[at : at + 2], 1)), at, -1):
                 t = find(symbols[at:to] + self.end if to == n else symbols[at:to])
                 if t is not None:
                     break
@@ -122,8 +125,25 @@ class Bpe:
         return out
 
     def exact(self, symbols: str) -> list[int]:
-        """Merging by rank, leftmost first, with a heap over a linked list."""
+        """Merging by rank, leftmost first."""
         ids = [self.vocab[c] for c in symbols[:-1]] + [self.vocab[symbols[-1] + self.end]]
+        return self.merge_all(ids) if len(ids) > 40 else self.merge_few(ids)
+
+    def merge_few(self, ids: list[int]) -> list[int]:
+        find, far = self.merged.get, 1 << 40
+        merges = [find(p, far) for p in zip(ids, ids[1:])]  # noqa: B905
+        while merges and (m := min(merges)) < far:
+            i = merges.index(m)
+            ids[i : i + 2] = [m]
+            del merges[i]
+            if i:
+                merges[i - 1] = find((ids[i - 1], m), far)
+            if i < len(merges):
+                merges[i] = find((m, ids[i + 1]), far)
+        return ids
+
+    def merge_all(self, ids: list[int]) -> list[int]:
+        """For long words: a heap over a linked list."""
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         find = self.merged.get
         heap = [(m, i) for i in range(len(ids) - 1) if (m := find((ids[i], ids[i + 1]))) is not None]
@@ -194,16 +214,9 @@ def words_of(text: str) -> list[str]:
     return _WORDS.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
 
-_ENCODERS: dict[str, Bpe] = {}
-
-
 def encoder(text: str) -> Bpe:
     """The worker's encoder for a tokenizer's JSON."""
-    key = hashlib.sha256(text.encode()).hexdigest()
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Bpe(text)
-    return _ENCODERS[key]
+    return kept(("bpe", hashlib.sha256(text.encode()).hexdigest()), lambda: Bpe(text))
 
 
 SCHEMA = "doc_id long, n_tokens long, ids string, decoded string"
