@@ -47,7 +47,7 @@ def convex_mask(mask: np.ndarray) -> np.ndarray:
 def hull_planes(points: np.ndarray, slack: float = 1e-9) -> np.ndarray | None:
     """The planes (normal, offset) of the convex hull of points in space, normal @ p <= offset inside; None if it is flat.
 
-    Points are added one by one: the faces that one sees give way to faces from it to their outline."""
+    The point farthest outside is added again and again: the faces that it sees give way to faces from it to their outline."""
     a, b = points[points[:, 0].argmin()], points[points[:, 0].argmax()]
     line = np.linalg.norm(np.cross(points - a, b - a), axis=1)
     c = points[line.argmax()]
@@ -64,17 +64,19 @@ def hull_planes(points: np.ndarray, slack: float = 1e-9) -> np.ndarray | None:
         return (p, q, r, n, n @ p) if n @ (middle - p) < 0 else (p, r, q, -n, -n @ p)
 
     faces = [face(a, b, c), face(a, b, d), face(a, c, d), face(b, c, d)]
-    for p in points:
-        seen = np.array([f[3] for f in faces]) @ p > np.array([f[4] for f in faces]) + slack
-        if seen.any():
-            sides: dict[tuple, tuple] = {}
-            for f in (f for f, s in zip(faces, seen, strict=True) if s):
-                for q, r in ((f[0], f[1]), (f[1], f[2]), (f[2], f[0])):
-                    if sides.pop((tuple(r), tuple(q)), None) is None:
-                        sides[tuple(q), tuple(r)] = (q, r)
-            faces = [f for f, s in zip(faces, seen, strict=True) if not s]
-            faces += [face(q, r, p) for q, r in sides.values() if np.linalg.norm(np.cross(r - q, p - q)) > slack]
-    return np.array([[*f[3], f[4]] for f in faces])
+    while True:
+        planes = np.array([[*f[3], f[4]] for f in faces])
+        above = points @ planes[:, :3].T - planes[:, 3]
+        p, seen = points[above.max(axis=1).argmax()], above[above.max(axis=1).argmax()] > slack
+        if not seen.any():
+            return planes
+        sides: dict[tuple, tuple] = {}
+        for f in (f for f, s in zip(faces, seen, strict=True) if s):
+            for q, r in ((f[0], f[1]), (f[1], f[2]), (f[2], f[0])):
+                if sides.pop((tuple(r), tuple(q)), None) is None:
+                    sides[tuple(q), tuple(r)] = (q, r)
+        faces = [f for f, s in zip(faces, seen, strict=True) if not s]
+        faces += [face(q, r, p) for q, r in sides.values() if np.linalg.norm(np.cross(r - q, p - q)) > slack]
 
 
 def convex_volume(mask: np.ndarray) -> int:
