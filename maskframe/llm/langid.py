@@ -33,13 +33,13 @@ CACHE_WORDS = 200_000
 LEAST_SCORE = 0.3
 
 _ASCII = re.compile(f"[a-z]{{1,{WINDOW}}}")
-_LETTERS = regex.compile(rf"\p{{L}}{{1,{WINDOW}}}")
+_RUNS = regex.compile(rf"\p{{L}}{{1,{WINDOW}}}")
 
 
 def runs(text: str) -> list[str]:
     """Its runs of letters, lower-cased, in pieces of WINDOW letters at most."""
     low = text.lower()
-    return _ASCII.findall(low) if low.isascii() else _LETTERS.findall(low)
+    return _ASCII.findall(low) if low.isascii() else _RUNS.findall(low)
 
 
 def windows(word: str) -> list[bytes]:
@@ -246,5 +246,41 @@ def in_a_language(documents: DataFrame, least: float = LEAST_SCORE, network: Net
     return map_batches(documents, start, documents.schema, rows=256)
 
 
+SPANS = "doc_id long, spans array<string>"
+
+
+def language_spans(documents: DataFrame, network: Network | None = None) -> DataFrame:
+    """For each row the stretches start:stop:language (code points) of letters whose positions bear one label, a letter's
+    label being that of its first byte. Null texts, and texts without a letter, have none."""
+    network = network or fitted(documents)
+
+    def labels(word: str) -> list[str]:
+        """A language for each letter of a run."""
+        out: list[str] = []
+        for part in windows(word):
+            p = network.positions(np.frombuffer(part, np.uint8)[:, None])[0][:, 0].argmax(axis=1)
+            out += [network.langs[k] for k in p]
+        places = np.cumsum([0, *(len(c.encode()) for c in word[:-1])])
+        return [out[k] for k in places]
+
+    def work(batch):
+        rows = []
+        for text in batch.column(1).to_pylist():
+            spans: list[list] = []
+            for m in _RUNS.finditer(text or "") if network.langs else ():
+                low = m.group().lower()
+                found = labels(low)
+                for k in range(m.end() - m.start()):
+                    lang, at = found[min(k, len(low) - 1)], m.start() + k
+                    if spans and spans[-1][2] == lang and not any(c.isalpha() for c in text[spans[-1][1] : at]):
+                        spans[-1][1] = at + 1
+                    else:
+                        spans.append([at, at + 1, lang])
+            rows.append([f"{a}:{b}:{x}" for a, b, x in spans])
+        return record_batch(SPANS, [batch.column(0), rows])
+
+    return map_batches(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), lambda: work, SPANS, rows=256)
+
+
 def op10_language_id(spark, sf_dir: str) -> DataFrame:
     return languages(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -411,6 +411,17 @@ def test_languages_of_held_out_documents(spark):
     assert len(held) > 200 and np.mean(held) > 0.97
 
 
+def test_language_spans(spark, edges):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    network = langid.fitted(d)
+    text = "the and of that with thing. der und nicht einschlich sich"
+    mixed = docs(spark, [(1, text), (2, None), (3, "12 34")])
+    got = {r.doc_id: [s.split(":") for s in r.spans] for r in langid.language_spans(mixed, network).collect()}
+    assert got[2] == got[3] == [] and {s[2] for s in got[1]} >= {"en", "de"}
+    assert all(int(a) < int(b) for a, b, _ in got[1]) and any(s[2] == "de" and int(s[0]) <= text.index("schlich") < int(s[1]) for s in got[1])
+    assert langid.language_spans(edges).count() == len(EDGES)
+
+
 def test_language_edges(edges, nothing):
     got = langid.languages(edges).collect()
     assert [r.lang_pred for r in got] == ["und" if not re.search(r"[^\W\d_]", t or "") else "en" for _, t in EDGES]
