@@ -176,12 +176,14 @@ class Bpe:
                 guesses[k] = self.exact(symbols[k])
         return guesses
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: set[str]) -> list[str]:
+        """Adds what isn't known yet; returns the words too long to keep."""
         if len(self.cache) > CACHE_WORDS:  # frequent words come early: the first half stays
             self.cache = dict(islice(self.cache.items(), CACHE_WORDS // 2))
-        new = [w for w in words if w not in self.cache]
+        new = list(words.difference(self.cache))
         for w, ids in zip(new, self.encode_words(new), strict=True):
             self.cache[w] = " ".join(map(str, ids)), self.decode(ids)
+        return [w for w in new if len(w) > CACHE_CHARS]
 
     def decode(self, ids: list[int]) -> str:
         """Without a decoder in the tokenizer's file, its tokens joined by a space."""
@@ -196,14 +198,14 @@ class Bpe:
     def encode_texts(self, texts: list[str]) -> list[tuple[str, str]]:
         """For each text its ids and its decoded text, each joined by a space."""
         pieces = [self.pieces(t) for t in texts]
-        self.learn(set().union(*pieces) - self.special.keys())
+        long = self.learn(set().union(*pieces).difference(self.special))
         known = self.cache | {t: (str(i), t) for t, i in self.special.items()} if any("<|" in t for t in texts) else self.cache
         out = []
         for words in pieces:
             found = [known[w] for w in words]
             out.append((" ".join([x[0] for x in found]), " ".join([x[1] for x in found])))
-        for w in {w for words in pieces for w in words if len(w) > CACHE_CHARS}:
-            self.cache.pop(w, None)
+        for w in long:
+            del self.cache[w]
         return out
 
 
