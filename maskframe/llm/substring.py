@@ -1,8 +1,10 @@
 """Substring deduplication by content-defined chunks: a gear hash sets the cuts, digests find chunks that documents share.
 
 The gear hash of a place covers the 32 bytes before it, so cuts inside a passage depend on the passage alone and an
-insertion elsewhere moves none of them. Chunks whose digest stands in two documents or more are joined to spans where
-they follow each other; spans of fewer than `min_words` words are left alone.
+insertion elsewhere moves none of them. Chunks whose digest stands in two documents or more are joined to runs where
+they follow each other; runs of fewer than `min_words` words are left alone. A run is one span or several: a new one
+starts where the document begins or ceases to be the first holder of the chunks, so no chunk is cut in its first holder. A
+span to keep of fewer than `min_words` words has no row: it stays with the text around it.
 
 Edge cases: null and empty texts have no chunks; a passage that repeats within one document only is no repeat; a document
 without repeats has no row; null ids are left out, and rows of one doc_id count as one document; texts are used whole;
@@ -81,18 +83,25 @@ def chunks(documents: DataFrame) -> DataFrame:
 
 def repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """A row for each span of a document that other documents hold too: doc_id, start, stop, n_words, n_chunks, first_doc_id
-    (the smallest that holds one of its chunks) and keep (whether this is that document; elsewhere the span may be cut)."""
+    (the smallest that holds one of its chunks) and keep (whether this document is the first holder of all its chunks; if not, it
+is of none, and the span may be cut)."""
     scratch = Scratch(documents.sparkSession)
     rows = scratch.save(chunks(documents))
     # sums by digest combine before the shuffle, so a digest that thousands of documents hold is a row for each task
     shared = scratch.save(rows.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).filter("first_doc_id <> last").drop("last"))
     held = scratch.save(rows.join(shared, "digest").select("doc_id", "start", "stop", "words", "first_doc_id"))
     scratch.drop(rows, shared)
-    order = Window.partitionBy("doc_id").orderBy("start", "stop")
-    begins = F.when(F.col("start") > F.coalesce(F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)), 1).otherwise(0)
-    runs = held.dropDuplicates(["doc_id", "start", "stop", "first_doc_id"]).withColumn("begins", begins).withColumn("run", F.sum("begins").over(order))
-    spans = runs.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("n_words"), F.count("*").alias("n_chunks"), F.min("first_doc_id").alias("first_doc_id"))
-    return spans.filter(F.col("n_words") >= min_words).select("doc_id", "start", "stop", "n_words", "n_chunks", "first_doc_id", (F.col("doc_id") == F.col("first_doc_id")).alias("keep"))
+    order = Window.partitionBy("doc_id").orderBy("start", "stop", "first_doc_id")
+    first = F.col("first_doc_id") == F.col("doc_id")
+    apart = F.col("start") > F.coalesce(F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
+    turns = apart | (first != F.coalesce(F.lag(first).over(order), first))
+    runs = held.dropDuplicates(["doc_id", "start", "stop", "first_doc_id"]).withColumn("apart", apart.cast("int")).withColumn("turns", turns.cast("int"))
+    runs = runs.withColumn("run", F.sum("apart").over(order)).withColumn("span", F.sum("turns").over(order))
+    spans = runs.groupBy("doc_id", "run", "span").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("n_words"), F.count("*").alias("n_chunks"), F.min("first_doc_id").alias("first_doc_id"))
+    keep = F.col("doc_id") == F.col("first_doc_id")
+    # where a span may be cut, the words of its whole run count, as a passage isn't shorter for having several first holders
+    counted = F.when(keep, F.col("n_words")).otherwise(F.sum("n_words").over(Window.partitionBy("doc_id", "run")))
+    return spans.withColumn("counted", counted).filter(F.col("counted") >= min_words).select("doc_id", "start", "stop", "n_words", "n_chunks", "first_doc_id", keep.alias("keep"))
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:

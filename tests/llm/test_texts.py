@@ -364,6 +364,27 @@ def test_repeated_passages(spark, edges, nothing):
     assert substring.repeated_spans(nothing).count() == 0 and substring.repeated_spans(edges).count() == 0
 
 
+def test_each_shared_chunk_is_kept_once(spark):
+    rng = random.Random(13)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    a, b, c = words(60), words(60), words(60)
+    rows = [(1, a), (2, f"{a} {b}"), (3, f"{a} {b}"), (4, f"{c} {a} {b} {c}"), (5, f"{words(40)} {c}"), (6, words(90))]
+    got, texts = substring.repeated_spans(docs(spark, rows)).collect(), {d: t.encode() for d, t in rows}
+    held = {}
+    for d, t in texts.items():
+        ends = substring.cuts(np.frombuffer(t, np.uint8))
+        for x, y in zip([0, *ends], ends, strict=False):
+            held.setdefault(t[x:y], []).append((d, x, y))
+    within = lambda d, x, y, keep: any(r.doc_id == d and r.start <= x and y <= r.stop and r.keep == keep for r in got)
+    shared = {k: v for k, v in held.items() if len({d for d, _, _ in v}) > 1}
+    assert len(shared) > 15
+    for places in shared.values():
+        least = min(d for d, _, _ in places)
+        for d, x, y in places:
+            assert not within(d, x, y, False) if d == least else within(d, x, y, False)
+    assert any(b.encode()[60:-60] in texts[2][r.start : r.stop] for r in got if r.doc_id == 2 and r.keep)
+
+
 def test_chunks_are_whole_and_resist_insertions():
     rng = np.random.default_rng(12)
     data = rng.integers(97, 123, 50_000).astype(np.uint8)
