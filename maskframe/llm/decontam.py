@@ -7,13 +7,15 @@ Texts and items are compared with A-Z lower-cased and white space as single spac
 searched by overlapping segments, any of which counts.
 
 Edge cases: items under SHORT characters (empty and null ones never) match only a text that equals them; null and empty texts
-match nothing; repeated items count once, repeated documents repeat; ties go to the fewest edits, then the first place;
+match nothing; repeated items count once, repeated documents repeat; items without an id are searched and have a row each with
+a null item_id, unless an item with an id has the same text; ties go to the fewest edits, then the first place;
 an empty table on either side gives an empty result; only doc_id, text and item_id, text are read. Offsets count bytes of the normal text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -163,10 +165,13 @@ class Index:
         return out
 
 
-def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
+def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, bytes]]]:
     """Distinct items in blocks of bounded size; the driver holds one block at a time."""
     block, size = [], 0
-    for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("item_id is not null and text is not null").distinct().orderBy("item_id", "text").toLocalIterator():
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null").distinct()
+    named = items.filter("item_id is not null")
+    items = named.unionByName(items.filter("item_id is null").join(named.select("text").distinct(), "text", "left_anti"))
+    for r in items.orderBy("item_id", "text").toLocalIterator():
         text = normal(r.text.encode())
         block.append((r.item_id, text))
         size += len(text)
@@ -177,6 +182,14 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
         yield block
 
 
+def numbered(block: list[tuple[int | None, bytes]]) -> tuple[list[tuple[int, bytes]], set[int]]:
+    """The block with a number of its own for each item without an id, and these numbers."""
+    ids = {i for i, _ in block}
+    free = (i for i in count(-1, -1) if i not in ids)
+    items = [(next(free) if i is None else i, text) for i, text in block]
+    return items, {i for i, _ in items} - ids
+
+
 SCHEMA = "doc_id long, item_id long, edits long, start long, end long"
 
 
@@ -187,11 +200,13 @@ def contaminations(documents: DataFrame, benchmark: DataFrame, chars_per_edit: i
         sent = spark.sparkContext.broadcast(block)
 
         def start(sent=sent):
-            index = Index(sent.value, chars_per_edit)
+            items, nameless = numbered(sent.value)
+            index = Index(items, chars_per_edit)
 
             def work(batch):
                 found = index.search(texts_of(batch.column(1)))
-                return record_batch(SCHEMA, [batch.column(0).take(pa.array([f[0] for f in found], pa.int64())), *([f[i] for f in found] for i in range(1, 5))])
+                ids = [None if f[1] in nameless else f[1] for f in found]
+                return record_batch(SCHEMA, [batch.column(0).take(pa.array([f[0] for f in found], pa.int64())), ids, *([f[i] for f in found] for i in range(2, 5))])
 
             return work
 
@@ -207,7 +222,7 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, chars_per_edit: i
         sent = documents.sparkSession.sparkContext.broadcast(block)
 
         def start(sent=sent):
-            index = Index(sent.value, chars_per_edit)
+            index = Index(numbered(sent.value)[0], chars_per_edit)
 
             def work(batch):
                 held = {f[0] for f in index.search(texts_of(batch.column(at)))}

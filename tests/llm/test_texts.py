@@ -212,6 +212,15 @@ def test_decontamination_edges(spark, edges, nothing):
     assert left.columns == edges.columns and left.count() == len(rows) - 3
 
 
+def test_items_without_an_id_are_searched(spark, edges):
+    passages = [f"The {a} fox jumps over the lazy dog while {b} wizards box." for a, b in (("quick brown", "seven"), ("slow and grey", "several"))]
+    items = spark.createDataFrame([(None, passages[0]), (None, passages[0]), (None, "tiny"), (-1, passages[1]), (None, passages[1])], "item_id long, text string")
+    rows = [(50, f"start {passages[0]} end"), (51, passages[1]), (52, "Tiny"), (53, "clean text")]
+    got = decontam.contaminations(docs(spark, rows), items).collect()
+    assert {(r.doc_id, r.item_id) for r in got if r.edits == 0} == {(50, None), (51, -1), (52, None)} and len(got) == 3
+    assert [r.doc_id for r in decontam.decontaminated(docs(spark, rows), items).collect()] == [53]
+
+
 # tokens
 
 
