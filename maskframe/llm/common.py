@@ -9,14 +9,16 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that a Python worker holds as objects at once.
 BATCH_ROWS = 512
-#: Rows that the JVM and a Python worker pass at once.
-ARROW_ROWS = 1024
+#: Bytes of text (or other values) that a Python worker takes as objects at once, unless a single row holds more.
+BATCH_BYTES = 8 << 20
 
 _KEPT: dict = {}
 
@@ -44,17 +46,31 @@ def record_batch(schema: str, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, arrow_type(k)) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
-def map_batches(df: DataFrame, start: Callable, schema: str, rows: int = BATCH_ROWS) -> DataFrame:
-    """start() runs once a task and returns the function from slices of at most `rows` rows to batches of the schema.
+def slices(batch: pa.RecordBatch, rows: int, size: int = BATCH_BYTES):
+    """The batch in pieces of at most `rows` rows, and of at most `size` bytes where a piece has several rows."""
+    if batch.nbytes <= size or batch.num_rows < 2:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        return
+    each = sum((pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns if pa.types.is_binary(c.type) or pa.types.is_string(c.type) or pa.types.is_large_binary(c.type) or pa.types.is_large_string(c.type)), np.zeros(batch.num_rows, np.int64))
+    at, held = 0, 0
+    for k, n in enumerate(each.tolist()):
+        if k > at and (k - at >= rows or held + n > size):
+            yield batch.slice(at, k - at)
+            at, held = k, 0
+        held += n
+    yield batch.slice(at)
+
 
-    Sets the session's Arrow batches to ARROW_ROWS rows, as texts may be long and an executor's memory holds several batches."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+def map_batches(df: DataFrame, start: Callable, schema: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """start() runs once a task and returns the function from slices of at most `rows` rows to batches of the schema; slices of
+    long texts have fewer. How many rows the JVM sends at once is the session's setting, which stays as it is."""
 
     def run(batches):
         work = start()
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                yield work(batch.slice(at, rows))
+            for part in slices(batch, rows):
+                yield work(part)
 
     return df.mapInArrow(run, schema)
 
@@ -98,6 +114,14 @@ class Scratch:
                 self.fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path), True)
 
 
+def free_name(wanted: str, *taken: list[str]) -> str:
+    """`wanted`, with as many underscores in front as it takes to clash with no column of any letter case."""
+    names = {n.lower() for names in taken for n in names}
+    while wanted.lower() in names:
+        wanted = "_" + wanted
+    return wanted
+
+
 def bounded_sample(df: DataFrame, most: int, *keys: str) -> DataFrame:
     """About `most` rows (all, if there are no more), chosen by a hash of the keys, so that the choice doesn't depend on
     partitions. For fitting classifiers only."""

@@ -1,5 +1,6 @@
 """Every text operator against a plain version, and its edge cases."""
 
+import collections
 import hashlib
 import random
 import re
@@ -9,6 +10,8 @@ import numpy as np
 import pytest
 
 from maskframe.llm import bpe, decontam, langid, licenses, media, neardup, pii, substring, tokencount, urls
+from maskframe.llm.common import Scratch
+from maskframe.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, sig string, id long, root long"
 LONG = "Von der einen Seite " * 3000
@@ -156,6 +159,62 @@ def test_near_duplicates(spark, percent, monkeypatch):
     assert sorted(str(r.doc_id) for r in kept) == sorted(str(d) for d, _ in rows if d is None or want[d] == d)
 
 
+def test_components_of_a_chain_take_few_rounds(spark):
+    rng, rounds = random.Random(3), []
+    links = [(i, i + 1) for i in range(1000)] + [(5000 + i, 5000 + rng.randrange(i)) for i in range(1, 300)] + [(9000, 9000 + i) for i in range(1, 200)]
+    scratch = Scratch(spark)
+    got = {r.id: r.root for r in components(spark.createDataFrame(links, "a long, b long"), scratch, rounds).collect()}
+    assert got == {**{i: 0 for i in range(1001)}, **{i: 5000 for i in range(5000, 5300)}, **{i: 9000 for i in range(9000, 9200)}}
+    assert len(rounds) <= 16 and rounds.count("contract") <= 3, rounds
+    alone = []
+    chain = components(spark.createDataFrame(links[:1000], "a long, b long"), scratch, alone)
+    assert chain.filter("root <> 0").isEmpty() and len(alone) <= 12
+    assert components(spark.createDataFrame([], "a long, b long"), scratch).count() == 0
+
+
+def test_repeated_rows_add_no_pair(spark, monkeypatch):
+    seen, plain = [], neardup.likely
+    monkeypatch.setattr(neardup, "likely", lambda pairs, *x: seen.append(pairs.count()) or plain(pairs, *x))
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (2, text + " more")] * 40 + [(3, "other words stand here alone")] * 10
+    got = neardup.near_duplicates(docs(spark, rows)).collect()
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 3)} and seen == [1]
+
+
+def test_all_pairs_of_a_whole_table(spark):
+    """Every link of sf0.01 at 85 %, found by an inverted index of shingles, joins its documents; nothing else is joined."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in d.select("doc_id", "text").collect()]
+    sets, held = {}, {}
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+        for x in sets[i]:
+            held.setdefault(x, []).append(i)
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        shared = collections.Counter(b for x in sets[a] for b in held[x] if b > a)
+        for b, n in shared.items():
+            if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    got = {r.doc_id: (r.component_id, r.n_shingles) for r in neardup.near_duplicates(d).collect()}
+    assert got == {i: (find(i), len(sets[i])) for i, _ in rows}
+
+
+def test_columns_of_the_operators_names(spark):
+    rows = [(i, "one two three four five six seven " * 3 + str(i // 2), "en", 1, 2, 3, ["x"]) for i in range(6)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, gone int, _gone int, terms int, __terms array<string>")
+    left = neardup.deduplicated(d)
+    assert left.columns == d.columns and left.count() == 3
+
+
 def test_near_duplicates_of_nothing(nothing):
     assert neardup.near_duplicates(nothing).count() == 0
 
