@@ -1,21 +1,24 @@
 """Language identification by a bidirectional gated recurrent network over bytes, trained in numpy through time.
 
-The network reads the bytes of each run of letters (lower-cased; runs longer than WINDOW in pieces) in both directions,
-gives every position a distribution over the languages, and a document the mean over its positions. Runs recur, so a
-worker remembers their sums, within a bound. Training uses about TRAIN_DOCS documents (chosen by hash) with a language,
-and WORDS runs of each at most, drawn from its whole text; those with crc32(doc_id) mod 3 = 1 are held out.
+The network reads all bytes of a text (A-Z lower-cased) in both directions and gives every position a distribution over the
+languages; a document gets the mean over its positions. A recurrence cannot be run for millions of steps at once, so a text is
+read in stretches of STRETCH bytes, all of a batch side by side; each direction starts CONTEXT bytes before its stretch and
+carries its state into it. The cut is the same at any length, and no byte is left out. Bytes beyond an end are OUTSIDE.
+
+Training: TRAIN_ROWS distinct windows of WINDOW bytes at most, drawn by hash from all places of all texts with a language, but
+for those with crc32(doc_id) mod 3 = 1, which are held out. One more label stands for what is in none of the languages; its
+windows are drawn ones with their bytes shuffled or their letters swapped for others. A prediction names a language always;
+the pipeline's stage rejects a document whose positions bear that label by more than half.
 
 Edge cases: a null text or one without a letter is `und` with score 0; so is any text if no row can be learned from; with a
 single language that one is given. A null doc_id is neither held out nor learned from. Texts are read whole; repeated rows
-repeat; ties go to the first language by name; an empty table gives an empty result; only doc_id, text and lang are read.
+repeat, and are learned from once; ties go to the first language by name; an empty table gives an empty result; only doc_id,
+text and lang are read, and other columns may have any name.
 """
 
 from __future__ import annotations
 
 import random
-import re
-import zlib
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,28 +26,21 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, kept, map_batches, record_batch
-
-TRAIN_DOCS, WORDS, WINDOW = 3000, 40, 24
-UNITS, STEPS, BATCH, RATE = 16, 500, 256, 0.02
-#: Runs that a worker remembers at most.
-CACHE_WORDS = 200_000
-#: Mean probability below which the pipeline rejects a document, with two languages or more.
-LEAST_SCORE = 0.3
-
-_ASCII = re.compile(f"[a-z]{{1,{WINDOW}}}")
-_RUNS = regex.compile(rf"\p{{L}}{{1,{WINDOW}}}")
-
+from .common import map_batches, record_batch
 
-def runs(text: str) -> list[str]:
-    """Its runs of letters, lower-cased, in pieces of WINDOW letters at most."""
-    low = text.lower()
-    return _ASCII.findall(low) if low.isascii() else _RUNS.findall(low)
+#: Bytes of a stretch, and those before it that each direction reads first.
+STRETCH, CONTEXT = 256, 32
+#: Stretches that run side by side.
+SIDE_BY_SIDE = 2048
+TRAIN_ROWS, WINDOW = 6000, 64
+#: Of how many windows one is corrupted too, and the share of positions in no language by which the pipeline rejects a document.
+CORRUPT, MOST_OTHER = 2, 0.5
+UNITS, STEPS, BATCH, RATE = 16, 400, 128, 0.02
+#: The symbol of places before and after a text.
+OUTSIDE = 256
 
-
-def windows(word: str) -> list[bytes]:
-    data = word.encode()
-    return [data[i : i + WINDOW] for i in range(0, len(data), WINDOW)]
+_LOWER = np.array([*range(65), *range(97, 123), *range(91, OUTSIDE + 1)], np.intp)
+_LETTER = regex.compile(r"\p{L}")
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -56,7 +52,7 @@ class Gru:
 
     def __init__(self, units: int, rng: np.random.Generator):
         self.h = units
-        self.p = {"table": rng.normal(0, 0.3, (256, 3 * units)), "u": rng.normal(0, units**-0.5, (units, 3 * units)), "b": np.zeros(units)}
+        self.p = {"table": rng.normal(0, 0.3, (OUTSIDE + 1, 3 * units)), "u": rng.normal(0, units**-0.5, (units, 3 * units)), "b": np.zeros(units)}
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
     def forward(self, x: np.ndarray, keep: bool = False) -> np.ndarray:
@@ -92,11 +88,27 @@ class Gru:
         return {"table": table, "u": u, "b": b}
 
 
+def corrupted(windows: list[bytes], seed: int = 5) -> list[bytes]:
+    """One of CORRUPT windows, its bytes shuffled or its letters A-Z (lower-cased) swapped at random, for letters or other bytes."""
+    rng, out, letters = random.Random(seed), [], range(97, 123)
+    for k, w in enumerate(windows[::CORRUPT]):
+        data = bytearray(w)
+        if k % 3 == 0:
+            rng.shuffle(data)
+        else:
+            others = letters if k % 3 == 1 else range(128, 256)
+            data = data.lower().translate(bytes.maketrans(bytes(letters), bytes(rng.sample(others, 26))))
+        out.append(bytes(data))
+    return out
+
+
 class Network:
+    """Outputs: the languages in order of their names, then what is in none of them."""
+
     def __init__(self, langs: list[str], units: int = UNITS, seed: int = 5):
         rng = np.random.default_rng(seed)
         self.langs, self.ahead, self.back = langs, Gru(units, rng), Gru(units, rng)
-        self.w, self.b = rng.normal(0, 0.1, (2 * units, len(langs))).astype(np.float32), np.zeros(len(langs), np.float32)
+        self.w, self.b = rng.normal(0, 0.1, (2 * units, len(langs) + 1)).astype(np.float32), np.zeros(len(langs) + 1, np.float32)
 
     def positions(self, x: np.ndarray, keep: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """The distribution at each position of byte strings of one length (time by batch), and the states."""
@@ -106,10 +118,11 @@ class Network:
         return odds / odds.sum(axis=2, keepdims=True), states
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean cross entropy over all positions."""
+        """Of the mean cross entropy over all positions that lie in a text."""
         p, states = self.positions(x, keep=True)
         p[:, np.arange(len(y)), y] -= 1
-        p /= x.size
+        inside = x != OUTSIDE
+        p *= (inside / max(1, inside.sum()))[:, :, None]
         h, d = self.ahead.h, p @ self.w.T
         out = {"w": np.einsum("tbi,tbj->ij", states, p), "bias": p.sum(axis=(0, 1))}
         out |= {f"ahead.{k}": v for k, v in self.ahead.backward(x, d[:, :, :h]).items()}
@@ -119,99 +132,148 @@ class Network:
         return {"w": self.w, "bias": self.b} | {f"ahead.{k}": v for k, v in self.ahead.p.items()} | {f"back.{k}": v for k, v in self.back.p.items()}
 
     def train(self, rows: list[tuple[bytes, int]], steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = 5) -> None:
-        """Adam over batches of windows of one length each."""
-        by: dict[int, list[tuple[bytes, int]]] = {}
-        for r in sorted(rows):
-            by.setdefault(len(r[0]), []).append(r)
-        groups = [(np.array([list(w) for w, _ in g]), np.array([y for _, y in g])) for _, g in sorted(by.items())]
-        rng, odds = np.random.default_rng(seed), np.array([x.size for x, _ in groups], float)
-        params = self.parameters()
+        """Adam over batches of windows; shorter ones are followed by OUTSIDE."""
+        rows = sorted(rows)
+        x = np.full((max(len(r) for r, _ in rows), len(rows)), OUTSIDE, np.intp)
+        for k, (r, _) in enumerate(rows):
+            x[: len(r), k] = _LOWER[np.frombuffer(r, np.uint8)]
+        y, rng, params = np.array([k for _, k in rows]), np.random.default_rng(seed), self.parameters()
         first, second = ({k: np.zeros_like(v) for k, v in params.items()} for _ in range(2))
         for step in range(1, steps + 1):
-            x, y = groups[rng.choice(len(groups), p=odds / odds.sum())]
             some = rng.integers(0, len(y), batch)
             pace = rate * min(1, 2 * (1 - step / (steps + 1)))
-            for k, g in self.gradients(x[some].T, y[some]).items():
+            for k, g in self.gradients(x[:, some], y[some]).items():
                 first[k] += 0.1 * (g - first[k])
                 second[k] += 0.01 * (g * g - second[k])
                 params[k] -= pace * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-7)
 
-    def sums(self, words: list[str]) -> np.ndarray:
-        """For each word the sum over its bytes of their distributions, and the bytes."""
-        out = np.zeros((len(words), len(self.langs) + 1))
-        by: dict[int, list[tuple[int, bytes]]] = {}
-        for k, w in enumerate(words):
-            for part in windows(w):
-                by.setdefault(len(part), []).append((k, part))
-        for n, group in by.items():
-            for i in range(0, len(group), 4096):
-                some = group[i : i + 4096]
-                x = np.frombuffer(b"".join([p for _, p in some]), np.uint8).reshape(-1, n).T
-                np.add.at(out[:, :-1], [k for k, _ in some], self.positions(x)[0].sum(axis=0, dtype=np.float64))
-                np.add.at(out[:, -1], [k for k, _ in some], n)
-        return out
-
 
-class Pools:
-    """Documents' distributions, with the words' sums remembered."""
+class Reader:
+    """A network laid out for reading: both directions side by side, features by rows, gates halved for the logistic function."""
 
     def __init__(self, network: Network):
-        self.network, self.places = network, {}
-        self.rows = np.zeros((0, len(network.langs) + 1))
-
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        words = [runs(t or "") for t in texts]
-        if len(self.places) > CACHE_WORDS:  # frequent words come early: the first half stays
-            self.places = dict(islice(self.places.items(), CACHE_WORDS // 2))
-            self.rows = self.rows[: CACHE_WORDS // 2].copy()
-        new = sorted(set().union(*words).difference(self.places))
-        self.places.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
-        self.rows = np.concatenate([self.rows, self.network.sums(new)])
-        find, out = self.places.__getitem__, []
-        for w in words:
-            if not w or not self.network.langs:
-                out.append(("und", 0.0))
-                continue
-            total = self.rows[np.fromiter(map(find, w), np.int64, len(w))].sum(axis=0)
-            p = total[:-1] / total[-1]
-            best = int(p.argmax())
-            out.append((self.network.langs[best], round(min(1.0, float(p[best])), 5)))
+        h, sides = network.ahead.h, (network.ahead, network.back)
+        half = np.repeat(np.array([0.5, 0.5, 1.0], np.float32), h)
+        self.langs, self.h = network.langs, h
+        self.table = [np.ascontiguousarray((g.p["table"] * half).T) for g in sides]
+        self.u = np.ascontiguousarray(np.stack([(g.p["u"] * half).T for g in sides]))
+        self.b = np.stack([g.p["b"] for g in sides])[:, :, None]
+        self.w, self.bias = [np.ascontiguousarray(w.T) for w in (network.w[:h], network.w[h:])], network.b[:, None]
+
+    def distributions(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Position by language by stretch, for stretches of the symbols `flat` that begin at `starts`."""
+        h, n = self.h, len(starts)
+        state, a, g = np.zeros((2, h, n), np.float32), np.empty((2, 3 * h, n), np.float32), np.empty((2, 3 * h, n), np.float32)
+        out = np.broadcast_to(self.bias, (STRETCH, len(self.bias), n)).copy()
+        gates, r, fresh = a[:, : 2 * h], a[:, h : 2 * h], g[:, 2 * h :]
+        for t in range(CONTEXT + STRETCH):
+            at = t - CONTEXT
+            np.take(self.table[0], flat[starts + at], axis=1, out=a[0], mode="clip")
+            np.take(self.table[1], flat[starts + (STRETCH - 1 - at)], axis=1, out=a[1], mode="clip")
+            np.matmul(self.u, state, out=g)
+            gates += g[:, : 2 * h]
+            np.tanh(gates, out=gates)
+            gates *= 0.5
+            gates += 0.5
+            fresh += self.b
+            fresh *= r
+            fresh += a[:, 2 * h :]
+            np.tanh(fresh, out=fresh)
+            state -= fresh
+            state *= a[:, :h]
+            state += fresh
+            if at >= 0:
+                out[at] += self.w[0] @ state[0]
+                out[STRETCH - 1 - at] += self.w[1] @ state[1]
+        out -= out.max(axis=1, keepdims=True)
+        np.exp(out, out=out)
+        out /= out.sum(axis=1, keepdims=True)
         return out
 
-
-def pools_of(network: Network) -> Pools:
-    """The worker's, kept from task to task."""
-    key = zlib.crc32(b"".join([v.tobytes() for v in network.parameters().values()]))
-    return kept(("languages", key), lambda: Pools(network))
+    def read(self, texts: list[bytes], each=None) -> np.ndarray:
+        """For each text the sum of its positions' distributions. each(text's number, first position, array of position by
+        language) is called for every stretch, in order within a text."""
+        sizes = np.array([len(t) for t in texts], np.int64)
+        gap = CONTEXT + STRETCH
+        begins = np.concatenate([[0], (sizes + gap).cumsum()])[:-1] + gap
+        flat = np.full(int(sizes.sum()) + gap * (len(texts) + 1), OUTSIDE, np.intp)
+        for t, b in zip(texts, begins.tolist(), strict=True):
+            flat[b : b + len(t)] = _LOWER[np.frombuffer(t, np.uint8)]
+        many = -(-sizes // STRETCH)
+        owner = np.repeat(np.arange(len(texts)), many)
+        place = (np.arange(len(owner)) - np.repeat(many.cumsum() - many, many)) * STRETCH
+        sums = np.zeros((len(texts), len(self.bias)))
+        for i in range(0, len(owner), SIDE_BY_SIDE):
+            who, first = owner[i : i + SIDE_BY_SIDE], place[i : i + SIDE_BY_SIDE]
+            p = self.distributions(flat, begins[who] + first)
+            left = sizes[who] - first
+            if each:
+                for k in range(len(who)):
+                    each(int(who[k]), int(first[k]), p[: left[k], :, k])
+            p *= (np.arange(STRETCH)[:, None] < left)[:, None, :]
+            np.add.at(sums, who, p.sum(axis=0, dtype=np.float64).T)
+        return sums
+
+    def predict(self, texts: list[str | None], spans: list | None = None) -> list[tuple[str, float, float]]:
+        """(language, score, share in no language) of each text. `spans`, if given, gets a list start:stop:language (bytes; `und`
+        for no language) for each."""
+        data = [t.encode() if t and self.langs and _LETTER.search(t) else b"" for t in texts]
+        runs: list[list[list]] = [[] for _ in texts]
+
+        def each(k, first, p):
+            best = p.argmax(axis=1)
+            turns = [0, *(np.flatnonzero(best[1:] != best[:-1]) + 1).tolist(), len(best)]
+            for a, b in zip(turns, turns[1:], strict=False):
+                if runs[k] and runs[k][-1][2] == best[a]:
+                    runs[k][-1][1] = first + b
+                else:
+                    runs[k].append([first + a, first + b, best[a]])
+
+        out = []
+        for d, total in zip(data, self.read(data, each if spans is not None else None), strict=True):
+            if not d:
+                out.append(("und", 0.0, 1.0))
+                continue
+            best = int(total[:-1].argmax())
+            out.append((self.langs[best], round(min(1.0, float(total[best] / len(d))), 5), float(total[-1] / len(d))))
+        if spans is not None:
+            names = [*self.langs, "und"]
+            spans += [[f"{a}:{b}:{names[k]}" for a, b, k in r] for r in runs]
+        return out
 
 
 def held_out(col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def fitted(documents: DataFrame, train_docs: int = TRAIN_DOCS) -> Network:
-    """A network trained on the rows that may be learned from."""
-    known = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).filter("doc_id is not null and text is not null and lang is not null").filter(~held_out())
+def labelled(documents: DataFrame) -> DataFrame:
+    known = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    return known.filter("doc_id is not null and text is not null and lang is not null and octet_length(text) > 0")
 
-    def work(batch):
-        langs, parts = [], []
-        for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            words = runs(text)
-            rng = random.Random(zlib.crc32(text.encode()))
-            for w in words if len(words) <= WORDS else rng.sample(words, WORDS):
-                langs.append(lang)
-                parts.append(windows(w)[0])
-        return record_batch("lang string, part binary", [langs, parts])
 
-    rows = map_batches(bounded_sample(known, train_docs, "doc_id"), lambda: work, "lang string, part binary").collect()
+def fitted(documents: DataFrame, train_rows: int = TRAIN_ROWS) -> Network:
+    """A network trained on windows of the texts that may be learned from; every window of theirs is as likely to be drawn."""
+    known = labelled(documents).filter(~held_out()).select("text", "lang", F.expr(f"ceil(octet_length(text) / {WINDOW})").alias("n"))
+    total = known.agg(F.sum("n")).first()[0] or 0
+    share = int((1 << 30) * min(1.0, 1.5 * train_rows / max(1, total)))
+    drawn = F.expr(f"filter(sequence(0L, n - 1), k -> pmod(xxhash64(text, lang, k), {1 << 30}L) < {share}L)")
+    parts = known.select("lang", F.encode("text", "utf-8").alias("data"), F.explode(drawn).alias("k")).select("lang", F.expr(f"substring(data, cast(k * {WINDOW} + 1 as int), {WINDOW})").alias("part"))
+    # copies of a window count once; the order is by hash, so the rows taken don't depend on partitions
+    rows = parts.distinct().orderBy(F.xxhash64("part", "lang"), "part", "lang").limit(train_rows).collect()
     langs = sorted({r.lang for r in rows})
     network = Network(langs)
     if rows:
-        network.train([(bytes(r.part), langs.index(r.lang)) for r in rows])
+        drawn = [(bytes(r.part), langs.index(r.lang)) for r in rows]
+        network.train(drawn + [(w, len(langs)) for w in corrupted([w for w, _ in drawn])])
     return network
 
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
+SPANS = "doc_id long, spans array<string>"
+
+
+def _ids(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out().alias("held"))
 
 
 def languages(documents: DataFrame, network: Network | None = None) -> DataFrame:
@@ -219,67 +281,55 @@ def languages(documents: DataFrame, network: Network | None = None) -> DataFrame
     network = network or fitted(documents)
 
     def start():
-        pools = pools_of(network)
+        reader = Reader(network)
 
         def work(batch):
-            found = pools.predict(batch.column(1).to_pylist())
-            return record_batch(SCHEMA, [batch.column(0), batch.column(2), [x for x, _ in found], [x for _, x in found]])
+            found = reader.predict(batch.column(1).to_pylist())
+            return record_batch(SCHEMA, [batch.column(0), batch.column(2), [x[0] for x in found], [x[1] for x in found]])
 
         return work
 
-    return map_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out().alias("held")), start, SCHEMA, rows=256)
+    return map_batches(_ids(documents), start, SCHEMA, rows=256)
 
 
-def in_a_language(documents: DataFrame, least: float = LEAST_SCORE, network: Network | None = None) -> DataFrame:
-    """The documents, with all columns, that have letters and, where two languages or more are known, one likely enough."""
-    network, at = network or fitted(documents), documents.columns.index("text")
+def language_spans(documents: DataFrame, network: Network | None = None) -> DataFrame:
+    """For each row the stretches start:stop:language (bytes) of positions that bear one label; they cover the whole text. Null
+    texts, and texts without a letter, have none."""
+    network = network or fitted(documents)
 
     def start():
-        pools = pools_of(network)
+        reader = Reader(network)
 
         def work(batch):
-            found = pools.predict(batch.column(at).to_pylist())
-            return batch.filter(pa.array([x != "und" and (s >= least or len(network.langs) < 2) for x, s in found], pa.bool_()))
+            spans: list[list[str]] = []
+            reader.predict(batch.column(1).to_pylist(), spans)
+            return record_batch(SPANS, [batch.column(0), spans])
 
         return work
 
-    return map_batches(documents, start, documents.schema, rows=256)
+    return map_batches(_ids(documents), start, SPANS, rows=256)
 
 
-SPANS = "doc_id long, spans array<string>"
+def in_a_language(documents: DataFrame, most_other: float = MOST_OTHER, network: Network | None = None) -> DataFrame:
+    """The documents, with all columns, that have letters and are mostly in one of the languages; those without a lang get theirs."""
+    network = network or fitted(documents)
+    at, lang = documents.columns.index("text"), documents.columns.index("lang") if "lang" in documents.columns else None
 
+    def start():
+        reader = Reader(network)
 
-def language_spans(documents: DataFrame, network: Network | None = None) -> DataFrame:
-    """For each row the stretches start:stop:language (code points) of letters whose positions bear one label, a letter's
-    label being that of its first byte. Null texts, and texts without a letter, have none."""
-    network = network or fitted(documents)
+        def work(batch):
+            found = reader.predict(batch.column(at).to_pylist())
+            columns = list(batch.columns)
+            if lang is not None:
+                old = columns[lang].to_pylist()
+                columns[lang] = pa.array([x[0] if y is None else y for x, y in zip(found, old, strict=True)], columns[lang].type)
+            rows = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            return rows.filter(pa.array([x != "und" and other <= most_other for x, _, other in found], pa.bool_()))
 
-    def labels(word: str) -> list[str]:
-        """A language for each letter of a run."""
-        out: list[str] = []
-        for part in windows(word):
-            p = network.positions(np.frombuffer(part, np.uint8)[:, None])[0][:, 0].argmax(axis=1)
-            out += [network.langs[k] for k in p]
-        places = np.cumsum([0, *(len(c.encode()) for c in word[:-1])])
-        return [out[k] for k in places]
-
-    def work(batch):
-        rows = []
-        for text in batch.column(1).to_pylist():
-            spans: list[list] = []
-            for m in _RUNS.finditer(text or "") if network.langs else ():
-                low = m.group().lower()
-                found = labels(low)
-                for k in range(m.end() - m.start()):
-                    lang, at = found[min(k, len(low) - 1)], m.start() + k
-                    if spans and spans[-1][2] == lang and not any(c.isalpha() for c in text[spans[-1][1] : at]):
-                        spans[-1][1] = at + 1
-                    else:
-                        spans.append([at, at + 1, lang])
-            rows.append([f"{a}:{b}:{x}" for a, b, x in spans])
-        return record_batch(SPANS, [batch.column(0), rows])
-
-    return map_batches(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), lambda: work, SPANS, rows=256)
+        return work
+
+    return map_batches(documents, start, documents.schema, rows=256)
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:
