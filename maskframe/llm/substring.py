@@ -1,14 +1,17 @@
 """Substring deduplication by content-defined chunks: a gear hash sets the cuts, digests find chunks that documents share.
 
 The gear hash of a place covers the 32 bytes before it, so cuts inside a passage depend on the passage alone and an
-insertion elsewhere moves none of them. Chunks whose digest stands in two documents or more are joined to runs where
-they follow each other; runs of fewer than `min_words` words are left alone. A run is one span or several: a new one
-starts where the document begins or ceases to be the first holder of the chunks, so no chunk is cut in its first holder. A
-span to keep of fewer than `min_words` words has no row: it stays with the text around it.
+insertion elsewhere moves none of them. Chunks whose 64-bit digest stands in two documents or more are joined to runs where
+they follow each other; runs of fewer than `min_words` words are left alone, so a chance collision of digests makes no run.
+A run lacks part of a passage at both of its ends, some 10 words in all, so MIN_WORDS words are found of passages of 50.
+A run is one span or several: a new one starts where the document begins or ceases to be the first holder of the chunks, so no
+chunk is cut in its first holder. A span to keep of fewer than `min_words` words has no row: it stays with the text around it.
 
 Edge cases: null and empty texts have no chunks; a passage that repeats within one document only is no repeat; a document
-without repeats has no row; null ids are left out, and rows of one doc_id count as one document; texts are used whole;
-an empty table gives an empty result; only doc_id and text are read. Offsets count bytes, the end exclusive.
+without repeats has no row; repeated rows count once; texts of one doc_id have spans of their own, told apart by text_key, but
+share nothing with each other; rows without an id are documents by their text, come after all ids, and give a null first_doc_id
+where no row with an id holds the chunk; texts are used whole; an empty table gives an empty result; only doc_id and text are
+read, so other columns may have any name. Ids are below 2**62. Offsets count bytes, the end exclusive.
 """
 
 from __future__ import annotations
@@ -16,14 +19,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, map_batches, record_batch, texts_of
 
-#: Bits of the hash that are zero at a cut (one place in 32), and the least and most bytes of a chunk.
-MASK, LEAST, MOST = np.uint32(0xF8000000), 16, 128
-MIN_WORDS = 15
+#: Bits of the hash that are zero at a cut (one place in 16), and the least and most bytes of a chunk.
+MASK, LEAST, MOST = np.uint32(0xF0000000), 8, 64
+MIN_WORDS = 32
+#: Holders from here on are texts without an id.
+NAMELESS = 1 << 62
 
 _GEAR = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 32, 256, np.uint32)
 _WHITE = np.isin(np.arange(256), [32, *range(9, 14)])
@@ -53,16 +58,18 @@ def cuts(data: np.ndarray) -> list[int]:
     return out
 
 
-CHUNKS = "doc_id long, start long, stop long, words long, digest binary"
+CHUNKS = "holder long, key long, place array<long>, digest array<long>"
 
 
 def chunks(documents: DataFrame) -> DataFrame:
-    """Each document's chunks: the stretch, the words that begin in it and a 128-bit digest."""
+    """Each document's chunks: where it begins, its bytes and the words that begin in it, packed as start << 16 | bytes << 8 | words, and its digest."""
 
     def work(batch):
-        docs, starts, stops, words, digests = [], [], [], [], []
-        for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+        places, digests = [], []
+        for text in texts_of(batch.column(2)):
             if not text:
+                places.append([])
+                digests.append([])
                 continue
             data = np.frombuffer(text, np.uint8)
             white = _WHITE[data]
@@ -70,38 +77,63 @@ def chunks(documents: DataFrame) -> DataFrame:
             np.cumsum(~white & np.concatenate([[True], white[:-1]]), out=begun[1:])
             ends = np.array(cuts(data))
             begins = np.concatenate([[0], ends[:-1]])
-            docs += [doc] * len(ends)
-            starts.append(begins)
-            stops.append(ends)
-            words.append(begun[ends] - begun[begins])
-            digests += [xxhash.xxh3_128_digest(text[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
-        flat = [np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (starts, stops, words)]
-        return record_batch(CHUNKS, [docs, *(pa.array(x) for x in flat), digests])
-
-    return map_batches(documents.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text"), lambda: work, CHUNKS, rows=256)
+            places.append(begins << 16 | ends - begins << 8 | begun[ends] - begun[begins])
+            digests.append(np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], np.uint64).view(np.int64))
+        return record_batch(CHUNKS, [batch.column(0), batch.column(1), places, digests])
+
+    text = F.col("text").cast("string")
+    nameless = F.xxhash64(text).bitwiseAND(F.lit(NAMELESS - 1)) + F.lit(NAMELESS)
+    return map_batches(documents.select(F.coalesce(F.col("doc_id").cast("long"), nameless).alias("holder"), F.xxhash64(text).alias("key"), text.alias("text")), lambda: work, CHUNKS, rows=256)
+
+
+SPANS = "doc_id long, text_key long, start long, stop long, n_words long, n_chunks long, first_doc_id long, keep boolean"
+
+
+def spans_of(holder: int, shared: list[tuple[int, int]], min_words: int) -> list[tuple[int, int, int, int, int, bool]]:
+    """(start, stop, words, chunks, first holder, keep) from a document's shared chunks (place, first holder). Where a span may be
+    cut, the words of its whole run count, as a passage isn't shorter for having several first holders."""
+    out, run = [], []
+
+    def close():
+        words = sum(x[2] for x in run)
+        out.extend((*x, first) for *x, first in run if (x[2] if first else words) >= min_words)
+        run.clear()
+
+    for place, by in sorted(shared):
+        start, size, words, first = place >> 16, place >> 8 & 255, place & 255, by == holder
+        if run and run[-1][1] != start:
+            close()
+        if run and run[-1][5] == first:
+            last = run[-1]
+            last[1], last[2], last[3], last[4] = start + size, last[2] + words, last[3] + 1, min(last[4], by)
+        else:
+            run.append([start, start + size, words, 1, by, first])
+    close()
+    return out
 
 
 def repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each span of a document that other documents hold too: doc_id, start, stop, n_words, n_chunks, first_doc_id
-    (the smallest that holds one of its chunks) and keep (whether this document is the first holder of all its chunks; if not, it
-is of none, and the span may be cut)."""
+    """A row for each span of a document that other documents hold too: doc_id, text_key, start, stop, n_words, n_chunks,
+    first_doc_id (the smallest that holds one of its chunks) and keep (whether this document is the first holder of all its
+    chunks; if not, it is of none, and the span may be cut).
+
+    Digests go through one combining sum and one join, which adaptive execution may split at a digest that a third of all
+    documents hold; what is then gathered is one document's shared chunks, once however often its row repeats."""
     scratch = Scratch(documents.sparkSession)
     rows = scratch.save(chunks(documents))
-    # sums by digest combine before the shuffle, so a digest that thousands of documents hold is a row for each task
-    shared = scratch.save(rows.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).filter("first_doc_id <> last").drop("last"))
-    held = scratch.save(rows.join(shared, "digest").select("doc_id", "start", "stop", "words", "first_doc_id"))
-    scratch.drop(rows, shared)
-    order = Window.partitionBy("doc_id").orderBy("start", "stop", "first_doc_id")
-    first = F.col("first_doc_id") == F.col("doc_id")
-    apart = F.col("start") > F.coalesce(F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
-    turns = apart | (first != F.coalesce(F.lag(first).over(order), first))
-    runs = held.dropDuplicates(["doc_id", "start", "stop", "first_doc_id"]).withColumn("apart", apart.cast("int")).withColumn("turns", turns.cast("int"))
-    runs = runs.withColumn("run", F.sum("apart").over(order)).withColumn("span", F.sum("turns").over(order))
-    spans = runs.groupBy("doc_id", "run", "span").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("n_words"), F.count("*").alias("n_chunks"), F.min("first_doc_id").alias("first_doc_id"))
-    keep = F.col("doc_id") == F.col("first_doc_id")
-    # where a span may be cut, the words of its whole run count, as a passage isn't shorter for having several first holders
-    counted = F.when(keep, F.col("n_words")).otherwise(F.sum("n_words").over(Window.partitionBy("doc_id", "run")))
-    return spans.withColumn("counted", counted).filter(F.col("counted") >= min_words).select("doc_id", "start", "stop", "n_words", "n_chunks", "first_doc_id", keep.alias("keep"))
+    flat = rows.select("holder", "key", F.explode(F.arrays_zip("place", "digest")).alias("x")).select("holder", "key", "x.*")
+    shared = flat.groupBy("digest").agg(F.min("holder").alias("first"), F.max("holder").alias("last")).filter("first <> last").select("digest", "first")
+    held = flat.join(shared, "digest").groupBy("holder", "key").agg(F.collect_set(F.struct("place", "first")).alias("shared"))
+
+    def work(batch):
+        out = []
+        named = lambda h: h if h < NAMELESS else None
+        for holder, key, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            spans = spans_of(holder, [(x["place"], x["first"]) for x in found], min_words)
+            out += [(named(holder), key, a, b, words, n, named(first), keep) for a, b, words, n, first, keep in spans]
+        return record_batch(SPANS, [[x[i] for x in out] for i in range(8)])
+
+    return map_batches(held, lambda: work, SPANS, rows=256)
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -510,13 +510,17 @@ def test_pii_of_long_digit_runs_and_odd_letters(spark):
 # substrings
 
 
+def random_words(seed):
+    rng = random.Random(seed)
+    return lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+
+
 def test_repeated_passages(spark, edges, nothing):
-    rng = random.Random(11)
-    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    words = random_words(11)
     passage, own = words(80), words(60)
     rows = [(1, f"{words(100)} {passage} {words(30)}"), (2, f"{words(7)} {passage}"), (3, words(400)), (4, f"{own} {own}"), (5, None), (6, ""), (None, passage), (8, f"{words(50)} {passage[:200]} inserted {passage[200:]}")]
     got = substring.repeated_spans(docs(spark, rows)).collect()
-    assert {r.doc_id for r in got} == {1, 2, 8}
+    assert {r.doc_id for r in got} == {1, 2, 8, None}
     texts = dict(rows)
     for r in got:
         piece = texts[r.doc_id][r.start : r.stop]
@@ -525,9 +529,74 @@ def test_repeated_passages(spark, edges, nothing):
     assert substring.repeated_spans(nothing).count() == 0 and substring.repeated_spans(edges).count() == 0
 
 
+def plain_spans_of(rows, min_words):
+    """From the definition: chunks by the scalar gear hash, holders by dictionaries, runs by a walk over each document."""
+    texts = sorted({(-1 if d is None else d, t) for d, t in rows if t}, key=repr)
+    name = lambda d, t: (1, t) if d == -1 else (0, d)
+    cut, holders = {}, collections.defaultdict(set)
+    for d, t in texts:
+        data, h, last, found, best = t.encode(), 0, 0, [], None
+        hashes = []
+        for b in data:
+            h = (2 * h + int(substring._GEAR[b])) & 0xFFFFFFFF
+            hashes.append(h)
+        for at in range(1, len(data) + 1):
+            if (hashes[at - 1] & int(substring.MASK) == 0 and at - last >= substring.LEAST) or at == len(data):
+                while at - last > substring.MOST:
+                    best = max(range(last + substring.LEAST, last + substring.MOST + 1), key=lambda i: (hashes[i - 1], -i))
+                    found.append((last, best))
+                    last = best
+                if at - last >= substring.LEAST or at == len(data):
+                    found.append((last, at))
+                    last = at
+            elif at - last > substring.MOST:
+                best = max(range(last + substring.LEAST, last + substring.MOST + 1), key=lambda i: (hashes[i - 1], -i))
+                found.append((last, best))
+                last = best
+        cut[d, t] = [x for x in found if x[0] < x[1]]
+        for a, b in cut[d, t]:
+            holders[data[a:b]].add(name(d, t))
+    out = set()
+    for d, t in texts:
+        data, runs = t.encode(), []
+        starts = [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+        for a, b in cut[d, t]:
+            who = holders[data[a:b]]
+            if len(who) > 1:
+                first = min(who, key=lambda n: (n[0], n[1] if n[0] == 0 else 0))
+                n, mine = sum(a <= s < b for s in starts), min(who, key=repr) == name(d, t) if all(x[0] for x in who) else first == name(d, t)
+                if not runs or runs[-1][-1][1] != a:
+                    runs.append([])
+                if runs[-1] and runs[-1][-1][3] == mine:
+                    runs[-1][-1][1:3] = [b, runs[-1][-1][2] + n]
+                else:
+                    runs[-1].append([a, b, n, mine])
+        for run in runs:
+            out |= {(None if d == -1 else d, t, a, b, n, mine) for a, b, n, mine in run if (n if mine else sum(x[2] for x in run)) >= min_words}
+    return out
+
+
+def test_spans_by_brute_force(spark):
+    words = random_words(14)
+    a, b, c = words(60), words(70), words(45)
+    rows = [(1, f"{words(30)} {a} {words(9)}"), (2, f"{a} {b}"), (2, f"{a} {b}"), (3, f"{b} {c} {words(40)} {a}"), (3, f"{words(10)} {c} é漢字 {words(5)}"), (None, f"{c} {words(30)}"), (7, "ha " * 400), (8, "ha " * 300 + c), (9, words(20)), (10, None), (11, "")]
+    d = docs(spark, rows)
+    texts = {(r.doc_id, r.key): r.text for r in d.select("doc_id", "text", F.xxhash64("text").alias("key")).collect()}
+    got = [(r.doc_id, texts[r.doc_id, r.text_key], r.start, r.stop, r.n_words, r.keep) for r in substring.repeated_spans(d).collect()]
+    want = plain_spans_of(rows, substring.MIN_WORDS)
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 6
+
+
+def test_recall_of_passages_of_fifty_words(spark):
+    words = random_words(15)
+    passages = [words(53) for _ in range(300)]
+    rows = [(i, f"{words(20)} {p} {words(10)}") for i, p in enumerate(passages)] + [(1000 + i, f"{words(33)} {p} {words(4)}") for i, p in enumerate(passages)] + [(2000 + i, words(120)) for i in range(300)]
+    got = {r.doc_id for r in substring.repeated_spans(docs(spark, rows)).collect()}
+    assert len([i for i in got if i < 1300]) >= 0.98 * 600 and not [i for i in got if i >= 2000]
+
+
 def test_each_shared_chunk_is_kept_once(spark):
-    rng = random.Random(13)
-    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    words = random_words(13)
     a, b, c = words(60), words(60), words(60)
     rows = [(1, a), (2, f"{a} {b}"), (3, f"{a} {b}"), (4, f"{c} {a} {b} {c}"), (5, f"{words(40)} {c}"), (6, words(90))]
     got, texts = substring.repeated_spans(docs(spark, rows)).collect(), {d: t.encode() for d, t in rows}
