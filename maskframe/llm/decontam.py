@@ -3,13 +3,18 @@
 A passage of m characters within k edits of a text keeps m - q + 1 - k q of its q-grams, and they lie on k + 1
 neighbouring diagonals. Bands of 2 (k + 1) diagonals, each overlapping the next by half, hold any such range whole, so
 a band with fewer shared q-grams cannot match; the others are aligned within the band, all bands of a batch at once.
-Texts and items are compared with A-Z lower-cased and white space as single spaces. An item longer than LONG is
-searched by overlapping segments, any of which counts.
-
-Edge cases: items under SHORT characters (empty and null ones never) match only a text that equals them; null and empty texts
-match nothing; repeated items count once, repeated documents repeat; items without an id are searched and have a row each with
-a null item_id, unless an item with an id has the same text; ties go to the fewest edits, then the first place;
-an empty table on either side gives an empty result; only doc_id, text and item_id, text are read. Offsets count bytes of the normal text.
+Texts and items are compared with A-Z lower-cased, white space as single spaces, and a space at both ends.
+
+One rule holds for items of any length: an item of m characters is n = ceil(m / PART) equal parts and the n - 1 parts of that
+length that lie half way between them, and a text holds the item if it holds a part with an edit for each CHARS_PER_EDIT of
+its characters at most. So a text with the whole item within that share of edits holds it, as one of the n parts has no more
+than its share; and so does one with a part of a long item. Edits are never so many that the lemma asks for no q-gram: parts
+under 2 q characters must stand exactly, as whole words. Items under q characters are looked up as phrases.
+
+Edge cases: empty and null items never match; null and empty texts match nothing; repeated items count once, repeated documents
+repeat; items without an id are searched and have a row each with a null item_id, unless an item with an id has the same text;
+ties go to the fewest edits, then the first place; an empty table on either side gives an empty result; only doc_id, text and
+item_id, text are read, and other columns may have any name. Offsets count bytes of the normal text, and leave its end spaces out.
 """
 
 from __future__ import annotations
@@ -25,11 +30,12 @@ from pyspark.sql import functions as F
 from .common import map_batches, record_batch, texts_of
 
 Q = 10
-SHORT, LONG, SEGMENT, STEP = 24, 192, 128, 64
+#: Most characters of a part.
+PART = 160
 #: Characters for each edit that a match may have.
 CHARS_PER_EDIT = 12
 #: Bytes of items in one broadcast index; a larger benchmark is searched in several passes.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 #: Shared q-grams that are counted at once.
 HITS = 1 << 20
 _BITS = 22
@@ -38,7 +44,7 @@ _BASE = 0xC2B2AE3D27D4EB4F
 
 
 def normal(text: bytes) -> bytes:
-    return b" ".join(text.lower().split())
+    return b" %s " % b" ".join(text.lower().split())
 
 
 def grams(data: np.ndarray) -> np.ndarray:
@@ -59,15 +65,15 @@ def grams(data: np.ndarray) -> np.ndarray:
 
 
 def budget(m: int, chars_per_edit: int = CHARS_PER_EDIT) -> int:
-    """The edits allowed, so few that the lemma asks for one shared q-gram at least."""
-    return min(m // chars_per_edit, (m - Q) // Q)
+    """The edits allowed, so few that the lemma asks for one shared q-gram at least; a text's end spaces aren't the item's."""
+    return max(0, min((m - 2) // chars_per_edit, (m - Q) // Q))
 
 
-def segments(text: bytes) -> list[bytes]:
-    n = len(text)
-    if n <= LONG:
-        return [text]
-    return [text[a : a + SEGMENT] for a in [*range(0, n - SEGMENT, STEP), n - SEGMENT]]
+def parts_of(text: bytes) -> list[bytes]:
+    """The item's parts: equal ones, and those half way between."""
+    n = -(-len(text) // PART)
+    cuts = [i * len(text) // (2 * n) for i in range(2 * n + 1)]
+    return [text[a:b] for a, b in zip(cuts, cuts[2:], strict=False)]
 
 
 class Index:
@@ -75,11 +81,11 @@ class Index:
         self.short: dict[bytes, list[int]] = {}
         parts: list[tuple[int, bytes]] = []
         for item, text in items:
-            if len(text) < SHORT:
-                if text:
-                    self.short.setdefault(text, []).append(item)
-            else:
-                parts += [(item, s) for s in segments(text)]
+            if 2 < len(text) < Q:
+                self.short.setdefault(text[1:-1], []).append(item)
+            elif len(text) > 2:
+                parts += [(item, s) for s in parts_of(text)]
+        self.lengths = sorted({t.count(b" ") + 1 for t in self.short})
         self.items, self.parts = np.array([i for i, _ in parts], np.int64), [np.frombuffer(s, np.uint8) for _, s in parts]
         self.size = np.array([len(s) for s in self.parts], np.int64)
         self.edits = np.array([budget(len(s), chars_per_edit) for s in self.parts], np.int64)
@@ -87,8 +93,8 @@ class Index:
         code = np.concatenate([*codes, np.empty(0, np.uint64)])
         order = code.argsort(kind="stable")
         self.code = code[order]
-        self.part = np.repeat(np.arange(len(codes)), [len(c) for c in codes])[order]
-        self.place = np.concatenate([*(np.arange(len(c)) for c in codes), np.empty(0, np.int64)]).astype(np.int64)[order]
+        self.part = np.repeat(np.arange(len(codes), dtype=np.int32), [len(c) for c in codes])[order]
+        self.place = np.concatenate([*(np.arange(len(c)) for c in codes), np.empty(0, np.int64)]).astype(np.int32)[order]
         self.known = np.zeros(1 << _BITS, bool)
         self.known[self.code >> np.uint64(64 - _BITS)] = True
 
@@ -106,7 +112,7 @@ class Index:
         for i, j in zip([0, *ends], ends, strict=False):
             some = n[i:j]
             hit = np.repeat(lo[i:j] - np.concatenate([[0], some.cumsum()[:-1]]), some) + np.arange(some.sum())
-            where, part = np.repeat(at[i:j], some), self.part[hit]
+            where, part = np.repeat(at[i:j], some), self.part[hit].astype(np.int64)
             band = (where - self.place[hit]) // (self.edits[part] + 1)  # from -m on
             counted.append(np.unique(np.concatenate([part << 40 | band + (1 << 30), part << 40 | band - 1 + (1 << 30)]), return_counts=True))
         keys, back = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
@@ -121,8 +127,8 @@ class Index:
         wanted, docs = [], []
         for k, text in enumerate(texts):
             text = normal(text)
-            for item in self.short.get(text, ()):
-                found[k, item] = (0, 0, len(text))
+            if self.short:
+                self.phrases(k, text, found)
             data = np.frombuffer(text, np.uint8)
             docs.append(data)
             wanted += [(k, p, d) for p, d in (self.bands(data).tolist() if len(self.code) else ())]
@@ -130,10 +136,22 @@ class Index:
             some = wanted[i : i + 512]
             for (k, p, d), (edits, start, end) in zip(some, self.align(docs, some), strict=True):
                 if edits <= self.edits[p]:
-                    key, place = (k, int(self.items[p])), (edits, max(0, d + start), min(len(docs[k]), d + end))
+                    a, b = max(0, d + start), min(len(docs[k]), d + end)
+                    a, b = a + (docs[k][a] == 32), b - (docs[k][b - 1] == 32)
+                    key, place = (k, int(self.items[p])), (edits, a - 1, b - 1)
                     found[key] = min(place, found.get(key, place))
         return sorted((k, item, *x) for (k, item), x in found.items())
 
+    def phrases(self, k: int, text: bytes, found: dict) -> None:
+        """The first place of each item that is looked up as a whole phrase."""
+        words = text.split()
+        starts = np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
+        for n in self.lengths:
+            for i in range(len(words) - n + 1):
+                for item in self.short.get(b" ".join(words[i : i + n]), ()):
+                    place = (0, starts[i], starts[i + n] - 1)
+                    found[k, item] = min(place, found.get((k, item), place))
+
     def align(self, docs: list[np.ndarray], wanted: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """For each (text, part, first diagonal) the fewest edits of the whole part along the band, and the stretch, from the first diagonal."""
         sizes = np.array([self.size[p] for _, p, _ in wanted])

@@ -258,10 +258,31 @@ def test_decontamination_by_plain_alignment(monkeypatch):
             copy[at : at + (kind < 0.6)] = b"" if kind < 0.3 else rng.choice(b"aeinrst").to_bytes()
         text = decontam.normal(" ".join(word() for _ in range(30)).encode() + b" " + bytes(copy) + b" tail")
         item = decontam.normal(item)
-        parts = decontam.segments(item) if len(item) >= decontam.SHORT else []
-        want = [e for p in parts if (e := sellers(p, text)) <= decontam.budget(len(p))]
+        want = [e for p in decontam.parts_of(item) if (e := sellers(p, text)) <= decontam.budget(len(p))]
         found = decontam.Index([(3, item)]).search([text])
         assert bool(found) == bool(want) and (not want or found[0][2] == min(want))
+        # the whole item within its share of edits is always found, whatever its length
+        assert found or sellers(item, text) > (len(item) - 2) // decontam.CHARS_PER_EDIT or len(item) < 60
+
+
+def test_items_of_any_length_follow_one_rule():
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("aeinrst") for _ in range(rng.randrange(2, 7)))
+    around = lambda s: decontam.normal(f"{' '.join(word() for _ in range(40))} {s} {' '.join(word() for _ in range(40))}".encode())
+    for n in (1, 2, 3, 4, 5, 8, 20, 33, 60, 200, 700):
+        for _ in range(8):
+            item = " ".join(word() for _ in range(n))
+            one = decontam.Index([(1, decontam.normal(item.upper().encode()))])
+            text = around(item)
+            found = one.search([text])
+            assert len(found) == 1 and found[0][2] == 0
+            piece = text[1 + found[0][3] : 1 + found[0][4]]
+            assert piece.decode() in item and len(piece) >= min(len(item), decontam.PART // 2) - 2
+            # an item is whole words: inside longer ones it doesn't count, if it must stand exactly
+            if len(item) < 18:
+                assert not any(f[2] == 0 for f in one.search([decontam.normal(b"xx" + item.encode() + b"xx")]))
+    short = decontam.Index([(1, decontam.normal(b"Who wrote Moby-Dick?")), (2, decontam.normal(b"a b"))])
+    assert [x[1:] for x in short.search([decontam.normal(b"tell me, who  wrote moby-dick? a b")])] == [(1, 0, 9, 29), (2, 0, 30, 33)]
 
 
 def test_decontamination_edges(spark, edges, nothing):
@@ -269,10 +290,10 @@ def test_decontamination_edges(spark, edges, nothing):
     items = spark.createDataFrame([(1, passage), (1, passage), (2, None), (3, ""), (4, "tiny"), (None, passage)], "item_id long, text string")
     rows = [*EDGES, (50, f"start {passage.upper()} end"), (51, passage.replace(" ", "\n ")), (52, "Tiny"), (53, "a tiny thing"), (54, passage[:30])]
     got = decontam.contaminations(docs(spark, rows), items).collect()
-    assert sorted((r.doc_id, r.item_id, r.edits) for r in got) == [(50, 1, 0), (51, 1, 0), (52, 4, 0)]
+    assert sorted((r.doc_id, r.item_id, r.edits) for r in got) == [(50, 1, 0), (51, 1, 0), (52, 4, 0), (53, 4, 0)]
     assert decontam.contaminations(nothing, items).count() == 0 and decontam.contaminations(edges, items.limit(0)).count() == 0
     left = decontam.decontaminated(docs(spark, rows), items)
-    assert left.columns == edges.columns and left.count() == len(rows) - 3
+    assert left.columns == edges.columns and left.count() == len(rows) - 4
 
 
 def test_items_without_an_id_are_searched(spark, edges):
