@@ -1,19 +1,25 @@
 """Token counts from two tiers: a broadcast table of frequent pre-tokens' lengths, then exact encoding remembered by worker.
 
-The table holds a 64-bit hash and the number of tokens for every entry of the vocabulary that stands as a pre-token of
-its own: the vocabulary's merges are the frequent strings in order of frequency, so no pass over the corpus and no
-shuffle of pre-tokens is needed, and its size is bound by the vocabulary (12 bytes an entry).
+Which pre-tokens are frequent is counted over all documents: each task keeps the MOST pre-tokens that occur oftest by the
+frequent-items summary of Misra and Gries (when a task's counts exceed KEPT entries, the least are lowered away, so what
+stands for more than a share of 1 / MOST of a task's pre-tokens is never lost), and emits one row. Summaries meet pairwise in a
+tree of FAN by FAN merges; no row is a pre-token, and none is shuffled by one. The driver gets a single summary of MOST
+entries, encodes each, and broadcasts their bytes and lengths. A worker looks there first; keys are compared whole, so a hit is
+the pre-token itself. Misses are encoded exactly and remembered by the worker, within a bound. Counts don't depend on the table.
+
 Edge cases: null and empty texts have 0 bytes and 0 tokens; strings of special tokens in a text count as one token each;
-texts are counted whole; repeated rows repeat; an empty table gives an empty result; only doc_id and text are read.
+texts are counted whole; repeated rows repeat; an empty table gives an empty result; only doc_id and text are read, and other
+columns may have any name.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from itertools import islice
 
-import numpy as np
+import pyarrow as pa
 import regex
 import tiktoken
 import xxhash
@@ -21,11 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import byte_letters, tokenizer_json
-from .common import kept, map_batches, record_batch
+from .common import Scratch, kept, map_batches, record_batch, slices
 
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 _ANY = regex.compile(PRE_TOKENS)
+#: Pre-tokens of the broadcast table; those that a task counts at once; summaries that one merge takes.
+MOST, KEPT, FAN = 8192, 1 << 17, 64
 #: Pre-tokens that a worker remembers at most, and the longest of them in characters.
 CACHE_WORDS, CACHE_CHARS = 300_000, 64
 
@@ -41,18 +49,59 @@ def ranks_of(spec: dict) -> dict[bytes, int]:
     return {bytes([byte[c] for c in t]): i for t, i in spec["model"]["vocab"].items() if t not in special}
 
 
-def frequent_lengths(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes in order, and tokens, of the vocabulary's entries that are pre-tokens themselves."""
-    encode, found = core(ranks), {}
-    for t in ranks:
-        try:
-            word = t.decode()
-        except UnicodeDecodeError:
-            continue
-        if pre_tokens(word) == [word]:
-            found[xxhash.xxh3_64_intdigest(t)] = len(encode(t))
-    keys = np.array(sorted(found), np.uint64)
-    return keys, np.array([found[k] for k in keys.tolist()], np.uint32)
+def lowered(counts: Counter, most: int) -> Counter:
+    """The `most` largest counts, all lowered by the largest that goes."""
+    if len(counts) <= most:
+        return counts
+    ranked = counts.most_common(most + 1)
+    less = ranked[-1][1]
+    return Counter({w: n - less for w, n in ranked[:most] if n > less})
+
+
+SUMMARY = "words array<string>, counts array<long>"
+
+
+def summaries(documents: DataFrame, most: int = MOST) -> DataFrame:
+    """A row for each task: its frequent pre-tokens and lower bounds of their counts."""
+
+    def run(batches):
+        counts: Counter = Counter()
+        for batch in batches:
+            for part in slices(batch, 256):
+                for text in part.column(0).to_pylist():
+                    if text:
+                        counts.update(pre_tokens(text))
+                if len(counts) > KEPT:
+                    counts = lowered(counts, KEPT // 2)
+        top = [x for x in lowered(counts, most).most_common() if len(x[0]) <= CACHE_CHARS]
+        yield record_batch(SUMMARY, [[[w for w, _ in top]], [[n for _, n in top]]])
+
+    return documents.select(F.col("text").cast("string")).mapInArrow(run, SUMMARY)
+
+
+def merged(table: pa.Table, most: int = MOST) -> pa.Table:
+    """One summary of several."""
+    counts: Counter = Counter()
+    for words, numbers in zip(table["words"].to_pylist(), table["counts"].to_pylist(), strict=True):
+        counts.update(dict(zip(words, numbers, strict=True)))
+    top = lowered(counts, most).most_common()
+    return pa.Table.from_batches([record_batch(SUMMARY, [[[w for w, _ in top]], [[n for _, n in top]]])])
+
+
+def frequent(documents: DataFrame, most: int = MOST) -> list[str]:
+    """The most frequent pre-tokens of all documents, the commonest first, through a tree of merges."""
+    scratch = Scratch(documents.sparkSession)
+    found = scratch.save(summaries(documents, most))
+    while (n := found.count()) > FAN:
+        dealt = found.withColumn("node", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(-(-n // FAN))))
+        last, found = found, scratch.save(dealt.groupBy("node").applyInArrow(lambda t: merged(t, most), SUMMARY))
+        scratch.drop(last)
+    rows = found.collect()
+    scratch.drop(found)
+    counts: Counter = Counter()
+    for r in rows:
+        counts.update(dict(zip(r["words"], r["counts"], strict=True)))
+    return sorted(lowered(counts, most), key=lambda w: (-counts[w], w))
 
 
 def core(ranks: dict[bytes, int]):
@@ -60,57 +109,65 @@ def core(ranks: dict[bytes, int]):
     return tiktoken.Encoding("counts", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
 
 
-class Counter:
-    def __init__(self, ranks: dict[bytes, int], special: list[str], table: tuple[np.ndarray, np.ndarray]):
-        self.encode, (self.keys, self.lengths) = core(ranks), table
+class Lengths(dict):
+    """The first tier: the broadcast table's pre-tokens and their lengths. What isn't there comes from the second."""
+
+    def __init__(self, ranks: dict[bytes, int], table: tuple[bytes, list[int], list[int]]):
+        data, ends, lengths = table
+        super().__init__(zip((data[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)), lengths, strict=True))
+        self.encode, self.cache = core(ranks), {}
+
+    def __missing__(self, word: str) -> int:
+        n = self.cache.get(word)
+        if n is None:
+            n = len(self.encode(word.encode()))
+            if len(word) <= CACHE_CHARS:
+                if len(self.cache) >= CACHE_WORDS:  # frequent pre-tokens come early: the first half stays
+                    self.cache = dict(islice(self.cache.items(), CACHE_WORDS // 2))
+                self.cache[word] = n
+        return n
+
+
+def compact(words: list[str], ranks: dict[bytes, int]) -> tuple[bytes, list[int], list[int]]:
+    """The table as it is broadcast: the pre-tokens' bytes, where each ends, and its tokens."""
+    encode, data = core(ranks), [w.encode() for w in words]
+    ends, at = [], 0
+    for x in data:
+        at += len(x)
+        ends.append(at)
+    return b"".join(data), ends, [len(encode(x)) for x in data]
+
+
+class Tokens:
+    def __init__(self, ranks: dict[bytes, int], special: list[str], table: tuple[bytes, list[int], list[int]]):
+        self.lengths = Lengths(ranks, table)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.cache: dict[str, int] = {}
-
-    def learn(self, words: list[str]) -> None:
-        data = [w.encode() for w in words]
-        hashes = np.array([xxhash.xxh3_64_intdigest(x) for x in data], np.uint64)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        hit = self.keys[at] == hashes
-        for w, x, h, n in zip(words, data, hit.tolist(), self.lengths[at].tolist(), strict=True):
-            self.cache[w] = n if h else len(self.encode(x))
-
-    def count(self, texts: list[str]) -> list[int]:
-        extra, pieces = [0] * len(texts), []
-        for k, text in enumerate(texts):
-            if self.special and "<|" in text and len(parts := self.special.split(text)) > 1:
-                extra[k] = len(parts) // 2
-                pieces.append([w for part in parts[::2] for w in pre_tokens(part)])
-            else:
-                pieces.append(pre_tokens(text))
-        if len(self.cache) > CACHE_WORDS:  # frequent pre-tokens come early: the first half stays
-            self.cache = dict(islice(self.cache.items(), CACHE_WORDS // 2))
-        new = set().union(*pieces).difference(self.cache)
-        if new:
-            self.learn(list(new))
-        find = self.cache.__getitem__
-        out = [n + sum(map(find, words)) for n, words in zip(extra, pieces, strict=True)]
-        for w in new:
-            if len(w) > CACHE_CHARS:
-                del self.cache[w]
-        return out
+
+    def count(self, text: str) -> int:
+        find = self.lengths.__getitem__
+        if self.special and "<|" in text and len(parts := self.special.split(text)) > 1:
+            return len(parts) // 2 + sum(find(w) for part in parts[::2] for w in pre_tokens(part))
+        return sum(map(find, pre_tokens(text)))
 
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
 def token_counts(documents: DataFrame, tokenizer: str, limit: int = 1024) -> DataFrame:
-    """For each row its bytes, its tokens and whether they exceed the limit. A map without a shuffle."""
+    """For each row its bytes, its tokens and whether they exceed the limit. Two maps; only summaries of tasks are shuffled, where
+    there are more than FAN of them."""
     spec = json.loads(tokenizer)
     ranks = ranks_of(spec)
-    sent = documents.sparkSession.sparkContext.broadcast((ranks, [x["content"] for x in spec["added_tokens"]], frequent_lengths(ranks)))
-    key = xxhash.xxh3_64_intdigest(tokenizer.encode())
+    table = compact(frequent(documents), ranks)
+    sent = documents.sparkSession.sparkContext.broadcast((ranks, [x["content"] for x in spec["added_tokens"]], table))
+    key = xxhash.xxh3_64_intdigest(tokenizer.encode() + table[0])
 
     def start():
-        counter = kept(("counts", key), lambda: Counter(*sent.value))
+        tokens = kept(("counts", key), lambda: Tokens(*sent.value))
 
         def work(batch):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            n = counter.count(texts)
+            n = [tokens.count(t) for t in texts]
             return record_batch(SCHEMA, [batch.column(0), [len(t.encode()) for t in texts], n, [x > limit for x in n]])
 
         return work

@@ -349,9 +349,12 @@ def test_counts_equal_the_library(edges, nothing):
     text = bpe.tokenizer_json("byte_bpe_50k.json")
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     ranks = tokencount.ranks_of(__import__("json").loads(text))
-    counter = tokencount.Counter(ranks, ["<|endoftext|>"], tokencount.frequent_lengths(ranks))
+    table = ["a", " the", "!!!!!!!", " notamerge", "'s", " \n", " 漢字"]
+    tokens = tokencount.Tokens(ranks, ["<|endoftext|>"], tokencount.compact(table, ranks))
     texts = fuzz(3000, 8)
-    assert counter.count(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [tokens.count(t) for t in texts] == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert dict(tokens.lengths) == {w: len(library.encode(w, add_special_tokens=False).ids) for w in table} and tokens.lengths[" notamerge"] > 1
+    assert not set(table) & set(tokens.lengths.cache) and tokens.lengths.cache and max(map(len, tokens.lengths.cache)) <= tokencount.CACHE_CHARS
     rows = tokencount.token_counts(edges, text).collect()
     for r, (d, t) in zip(rows, EDGES, strict=True):
         n = len(library.encode(t or "", add_special_tokens=False).ids)
@@ -359,6 +362,18 @@ def test_counts_equal_the_library(edges, nothing):
     assert tokencount.token_counts(nothing, text).count() == 0
 
 
+def test_frequent_pre_tokens_are_those_of_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(tokencount, "FAN", 3)
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(11)
+    exact = collections.Counter(w for r in d.select("text").collect() for w in tokencount.pre_tokens(r.text or ""))
+    whole = tokencount.frequent(d, 100_000)
+    assert set(whole) == {w for w in exact if len(w) <= tokencount.CACHE_CHARS} and exact[whole[0]] == max(exact.values())
+    some = set(tokencount.frequent(d, 50))
+    assert len(some) <= 50 and {w for w, n in exact.items() if n > sum(exact.values()) / 50} <= some
+    counts = tokencount.lowered(collections.Counter("aaaabbbccd"), 2)
+    assert counts == {"a": 2, "b": 1}
+
+
 # urls
 
 
