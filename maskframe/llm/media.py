@@ -137,4 +137,4 @@ def media_columns(documents: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def op1_media_columns(spark, sf_dir: str) -> DataFrame:
-    return media_columns(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("media", "phash")
+    return media_columns(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -1,29 +1,35 @@
 """URL filters: rules by host and path, and for the rest gradient-boosted trees on lexical features.
 
-The trees (logistic loss, depth DEPTH, splits at quantiles) are trained in numpy on the URLs that a rule labels; about
-TRAIN_ROWS of them are used, chosen by hash. Suffix statistics come from the same rows: how often a host's last label is
-blocked, drawn towards the mean, and how often it occurs. Each prediction reads lexical features of one URL only.
+The trees (logistic loss, depth DEPTH, splits at quantiles) are trained in numpy on distinct URLs that a rule labels, each
+weighted by its rows; TRAIN_ROWS of them at most are used, the first in the order of their hashes, so neither copies nor
+partitions choose them. Suffix statistics come from the same URLs: how often a host's last label is blocked, drawn towards the
+mean, and how often it occurs; a URL that is trained on gets those of the other folds, so no label reaches its own features.
+Each prediction reads lexical features of one URL only.
 
 Edge cases: a null URL or one without `://` has an empty host and path and fits no rule; its features are those of the
 string; if rules label no URL, or all alike, every other URL gets that verdict (allow, if none is labelled); repeated rows
-repeat; URLs are read whole; an empty table gives an empty result; only page_id and url are read.
+repeat; URLs are read whole, however long; an empty table gives an empty result; only page_id and url are read, and other
+columns may have any name.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, map_batches, record_batch
+from .common import map_batches, record_batch
 
 # Fixed values: (verdict, host/path).
 RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 TRAIN_ROWS = 20_000
+#: Parts of the labelled URLs whose suffix statistics come from the other parts.
+FOLDS = 5
 ROUNDS, DEPTH, RATE, BINS, LEAST_ROWS = 40, 3, 0.2, 32, 5
 _UPPER = {c: c + 32 for c in range(65, 91)}
 _HOST_END = re.compile("[/?#]")
@@ -63,15 +69,17 @@ def features(url: str | None, suffixes: dict[str, tuple[float, float]], base: fl
 class Trees:
     """Boosted trees of one depth, as arrays: the feature and threshold of each inner node, the value of each leaf."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.base = math.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None):
+        weight = np.ones(len(y)) if weight is None else weight
+        mean = float((y * weight).sum() / weight.sum())
+        self.base = math.log((mean + 1e-3) / (1 - mean + 1e-3))
         self.trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         edges = [np.unique(np.quantile(c, np.arange(1, BINS) / BINS)) for c in x.T]
         codes = np.stack([np.searchsorted(e, c, "left") for e, c in zip(edges, x.T, strict=True)], axis=1)
         score = np.full(len(y), self.base)
         for _ in range(ROUNDS):
             p = 1 / (1 + np.exp(-score))
-            grad, hess, node = y - p, p * (1 - p), np.zeros(len(y), np.int64)
+            grad, hess, node = weight * (y - p), weight * p * (1 - p), np.zeros(len(y), np.int64)
             feature, cut = np.zeros(2**DEPTH - 1, np.int64), np.full(2**DEPTH - 1, np.inf)
             for level in range(DEPTH):
                 for k in range(2**level):
@@ -110,21 +118,35 @@ class Trees:
         return 1 / (1 + np.exp(-score))
 
 
+class Suffixes:
+    """How often hosts with a last label are blocked, drawn towards the mean, and the logarithm of their number."""
+
+    def __init__(self, rows: list[tuple[str, str, int]]):
+        seen: dict[str, list[float]] = {}
+        for url, verdict, n in rows:
+            of = seen.setdefault(host_path(url)[0].rpartition(".")[2], [0.0, 0.0])
+            of[0] += n * (verdict == "block")
+            of[1] += n
+        blocked, total = (sum(x[i] for x in seen.values()) for i in range(2))
+        self.base = blocked / total if total else 0.0
+        self.rates = {s: ((k + 10 * self.base) / (n + 10), math.log1p(n)) for s, (k, n) in seen.items()}
+
+
 class Filter:
-    """What is learned from labelled URLs: suffix statistics and trees, or one verdict if all are alike."""
+    """What is learned from labelled URLs (url, verdict, rows): suffix statistics and trees, or one verdict if all are alike."""
 
-    def __init__(self, labelled: list[tuple[str, str]]):
+    def __init__(self, labelled: list[tuple[str, str, int]]):
         labelled = sorted(labelled)
-        y = np.array([v == "block" for _, v in labelled], float)
-        self.base = float(y.mean()) if len(y) else 0.0
-        seen: dict[str, list[float]] = {}
-        for (url, _), v in zip(labelled, y.tolist(), strict=True):
-            seen.setdefault(host_path(url)[0].rpartition(".")[2], []).append(v)
-        self.suffixes = {s: ((sum(v) + 10 * self.base) / (len(v) + 10), math.log1p(len(v))) for s, v in seen.items()}
-        self.trees = Trees(self.matrix([u for u, _ in labelled]), y) if 0 < self.base < 1 else None
+        self.suffixes = Suffixes(labelled)
+        self.base, self.trees = self.suffixes.base, None
+        if 0 < self.base < 1:
+            fold = [zlib.crc32(u.encode()) % FOLDS for u, _, _ in labelled]
+            others = [Suffixes([r for r, g in zip(labelled, fold, strict=True) if g != f]) for f in range(FOLDS)]
+            x = np.array([features(u, others[f].rates, others[f].base) for (u, _, _), f in zip(labelled, fold, strict=True)])
+            self.trees = Trees(x, np.array([v == "block" for _, v, _ in labelled], float), np.array([n for _, _, n in labelled], float))
 
     def matrix(self, urls: list[str | None]) -> np.ndarray:
-        return np.array([features(u, self.suffixes, self.base) for u in urls]).reshape(len(urls), -1)
+        return np.array([features(u, self.suffixes.rates, self.base) for u in urls]).reshape(len(urls), -1)
 
     def probability(self, urls: list[str | None]) -> np.ndarray:
         return self.trees.probability(self.matrix(urls)) if self.trees and urls else np.full(len(urls), self.base)
@@ -133,15 +155,26 @@ class Filter:
 SCHEMA = "page_id long, host string, path string, rule string, verdict string, score double"
 
 
-def url_verdicts(pages: DataFrame, rules: list[tuple[str, str]] = RULES, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """For each row host, path, rule, verdict and the trees' probability of block. Maps only, and one small collect to train."""
+def training_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, train_rows: int = TRAIN_ROWS) -> list[tuple[str, str, int]]:
+    """(url, verdict, rows) of distinct labelled URLs, `train_rows` at most. Rows combine by URL before they are shuffled, and only
+    those of about twice as many URLs as are wanted are."""
 
     def label(batch):
         rows = [(u, r[1]) for u in batch.column(0).to_pylist() if (r := rule_of(*host_path(u), rules))]
         return record_batch("url string, verdict string", [[u for u, _ in rows], [v for _, v in rows]])
 
-    labelled = map_batches(pages.select(F.col("url").cast("string")), lambda: label, "url string, verdict string", rows=4096)
-    learned = Filter([(r.url, r.verdict) for r in bounded_sample(labelled, train_rows, "url").limit(2 * train_rows).collect()])
+    by_hash = F.pmod(F.xxhash64(F.col("url"), F.lit(17)), F.lit(1 << 30))
+    labelled = lambda df: map_batches(df, lambda: label, "url string, verdict string", rows=4096)
+    urls = pages.select(F.col("url").cast("string").alias("url")).filter("url is not null")
+    n = labelled(urls).agg(F.approx_count_distinct("url")).first()[0]
+    some = urls.filter(by_hash < F.lit(int((1 << 30) * min(1.0, 2 * train_rows / max(1, n)))))
+    counted = labelled(some).groupBy("url", "verdict").agg(F.count("*").alias("n"))
+    return [(r.url, r.verdict, r.n) for r in counted.orderBy(by_hash, "url").limit(train_rows).collect()]
+
+
+def url_verdicts(pages: DataFrame, rules: list[tuple[str, str]] = RULES, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """For each row host, path, rule, verdict and the trees' probability of block. Maps only, and one small collect to train."""
+    learned = Filter(training_urls(pages, rules, train_rows))
 
     def work(batch):
         urls = batch.column(1).to_pylist()
