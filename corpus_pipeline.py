@@ -1,7 +1,14 @@
 """The corpus pipeline: language, near duplicates, benchmark passages, personal data, tokens.
 
 Each stage gets the documents that its predecessor kept, written as Parquet and read again, and returns documents with
-the same columns; the last adds tokens. Null and empty texts go with the first stage; repeated rows stay or go together.
+the same columns; the last adds tokens. What each stage decides takes effect: documents in none of the learned languages go,
+and those without a lang get theirs; of each group with links of 80 % (the usual threshold; only op3's contract says 85 %) the
+smallest doc_id stays; documents with a benchmark passage go; personal data, secrets and disclosing words are replaced.
+
+Edge cases: null and empty texts, and those without a letter, go with the first stage; repeated rows stay or go together; rows
+without an id stay, as nothing smaller stands for them; long texts are read whole by each stage; an empty table gives an empty
+result with the columns of any other; all columns stay, whatever their names; the token columns get an underscore in front where
+their names are taken; ties are settled as each operator's docstring says.
 """
 
 from __future__ import annotations
@@ -19,7 +26,7 @@ from maskframe.llm.pii import sanitised
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters in a language that is likely enough."""
+    """Documents that are mostly in one of the learned languages."""
     return in_a_language(docs)
 
 

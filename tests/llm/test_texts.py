@@ -888,6 +888,34 @@ def test_pipeline(spark, data):
     assert not any(s for r in rows for s in plain_spans(r.text) if s[0] == "email")
 
 
+def corpus(spark, tmp_path, rows, items, name):
+    """A folder with documents and a benchmark, and columns of the operators' names."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n_tokens int, token_ids string, gone int, terms array<string>, sig binary, key long"
+    spark.createDataFrame([(d, t, x, "s", len(t or ""), 1, "x", 2, ["y"], b"z", 3) for d, t, x in rows], schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    return f"{tmp_path}/{name}"
+
+
+def test_pipeline_edges(spark, tmp_path):
+    import corpus_pipeline as p
+
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null and doc_id < 400").dropDuplicates(["text"])
+    rows = [(r.doc_id, r.text, r.lang) for r in known.collect()]
+    passage = "Where did the seven wizards box while the quick brown fox was jumping over it, and which of them won?"
+    a, b, c, d = sorted((t for _, t, x in rows if x == "en"), key=len)[-4:]
+    once, twice, text = " ".join(a.split()[:150]), " ".join(b.split()[:150]), f"{c} {d} "
+    more = [(5000, None, "en"), (5001, "", "en"), (5002, "12 34 --", "en"), (None, once[::-1] + once, "en"), (5003, "这是一个中文文本，用于测试语言识别系统的性能。" * 20, "en"), (5004, f"{once} {passage}", "en"), (5005, f"{twice} write to me@example.com or token = \"9f8a7c6d5e4b3a2f1e0d9c8b7a6f5e4d3c2b1a0f\"", None), (5006, text * 40, "en"), (5007, text * 40, "en"), (5007, text * 40, "en")]
+    folder = corpus(spark, tmp_path, rows + more, [(1, passage), (None, "tiny"), (2, None)], "some")
+    got = p.run(spark, folder)
+    assert got.columns[-3:] == ["_n_tokens", "_token_ids", "decoded_sha256"] and got.columns[:-3] == spark.read.parquet(f"{folder}/documents.parquet").columns
+    out = {r.doc_id: r for r in got.collect()}
+    assert not {5000, 5001, 5002, 5003, 5004, 5007} & set(out) and {5005, 5006} <= set(out)
+    assert "[EMAIL]" in out[5005].text and "[SECRET]" in out[5005].text and out[5005].lang == "en" and out[5005].n_chars == len(out[5005].text)
+    assert out[5006].text == text * 40 and all(len(r._token_ids) == r._n_tokens and r.gone == 2 and r.terms == ["y"] for r in out.values())
+    nothing = p.run(spark, corpus(spark, tmp_path, [], [], "none"))
+    assert nothing.columns == got.columns and nothing.count() == 0
+
+
 def test_dense_texts_take_bounded_work():
     import time
 
