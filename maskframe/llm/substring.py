@@ -58,7 +58,15 @@ def cuts(data: np.ndarray) -> list[int]:
     return out
 
 
-CHUNKS = "holder long, key long, place array<long>, digest array<long>"
+CHUNKS = "doc long, holder long, place array<long>, digest array<long>"
+
+
+def named(documents: DataFrame) -> DataFrame:
+    """(doc, holder, key, text): a number for each distinct (id, text), what holds it, and the text's hash."""
+    text = F.col("text").cast("string")
+    nameless = F.xxhash64(text).bitwiseAND(F.lit(NAMELESS - 1)) + F.lit(NAMELESS)
+    rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), nameless).alias("holder"), F.xxhash64(text).alias("key"), text.alias("text"))
+    return rows.withColumn("doc", F.xxhash64("holder", "key"))
 
 
 def chunks(documents: DataFrame) -> DataFrame:
@@ -81,9 +89,7 @@ def chunks(documents: DataFrame) -> DataFrame:
             digests.append(np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], np.uint64).view(np.int64))
         return record_batch(CHUNKS, [batch.column(0), batch.column(1), places, digests])
 
-    text = F.col("text").cast("string")
-    nameless = F.xxhash64(text).bitwiseAND(F.lit(NAMELESS - 1)) + F.lit(NAMELESS)
-    return map_batches(documents.select(F.coalesce(F.col("doc_id").cast("long"), nameless).alias("holder"), F.xxhash64(text).alias("key"), text.alias("text")), lambda: work, CHUNKS, rows=256)
+    return map_batches(named(documents).select("doc", "holder", "text"), lambda: work, CHUNKS, rows=256)
 
 
 SPANS = "doc_id long, text_key long, start long, stop long, n_words long, n_chunks long, first_doc_id long, keep boolean"
@@ -117,20 +123,22 @@ def repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     first_doc_id (the smallest that holds one of its chunks) and keep (whether this document is the first holder of all its
     chunks; if not, it is of none, and the span may be cut).
 
-    Digests go through one combining sum and one join, which adaptive execution may split at a digest that a third of all
-    documents hold; what is then gathered is one document's shared chunks, once however often its row repeats."""
+    Digests go through one combining sum, written, and one join, which adaptive execution may split at a digest that a third of all
+    documents hold; what is then gathered is one document's shared chunks, once however often its row repeats. Chunks are cut
+    once for each of the two, as that costs less than a table of all of them."""
     scratch = Scratch(documents.sparkSession)
-    rows = scratch.save(chunks(documents))
-    flat = rows.select("holder", "key", F.explode(F.arrays_zip("place", "digest")).alias("x")).select("holder", "key", "x.*")
-    shared = flat.groupBy("digest").agg(F.min("holder").alias("first"), F.max("holder").alias("last")).filter("first <> last").select("digest", "first")
-    held = flat.join(shared, "digest").groupBy("holder", "key").agg(F.collect_set(F.struct("place", "first")).alias("shared"))
+    flat = lambda *c: chunks(documents).select(*c, F.explode(F.arrays_zip("place", "digest")).alias("x")).select(*c, "x.*")
+    shared = flat("holder").groupBy("digest").agg(F.min("holder").alias("first"), F.max("holder").alias("last")).filter("first <> last")
+    shared = scratch.save(shared.select("digest", "first"))
+    held = flat("doc").join(shared, "digest").groupBy("doc").agg(F.collect_set(F.struct("place", "first")).alias("shared"))
+    held = held.join(named(documents).select("doc", "holder", "key").distinct(), "doc").select("holder", "key", "shared")
 
     def work(batch):
         out = []
-        named = lambda h: h if h < NAMELESS else None
+        known = lambda h: h if h < NAMELESS else None
         for holder, key, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             spans = spans_of(holder, [(x["place"], x["first"]) for x in found], min_words)
-            out += [(named(holder), key, a, b, words, n, named(first), keep) for a, b, words, n, first, keep in spans]
+            out += [(known(holder), key, a, b, words, n, known(first), keep) for a, b, words, n, first, keep in spans]
         return record_batch(SPANS, [[x[i] for x in out] for i in range(8)])
 
     return map_batches(held, lambda: work, SPANS, rows=256)
