@@ -92,7 +92,7 @@ def frequent(documents: DataFrame, most: int = MOST) -> list[str]:
     """The most frequent pre-tokens of all documents, the commonest first, through a tree of merges."""
     scratch = Scratch(documents.sparkSession)
     found = scratch.save(summaries(documents, most))
-    while (n := found.count()) > FAN:
+    while (n := found.count()) > 1:
         dealt = found.withColumn("node", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(-(-n // FAN))))
         last, found = found, scratch.save(dealt.groupBy("node").applyInArrow(lambda t: merged(t, most), SUMMARY))
         scratch.drop(last)
