@@ -1,12 +1,12 @@
-"""Image stores of Zarr version 2 with NGFF metadata: discovery, plates, scans chunk by chunk, and label sinks.
+"""Image stores of Zarr version 2 with NGFF metadata: discovery, plates, scans chunk by chunk, and image and label sinks.
 
-Metadata is small and read by the driver through Hadoop's file systems; chunks are read by Spark's binaryFile source, so
-any store that Spark reads will do, a chunk is a task's unit, and no array stands in one place.
+Metadata documents are rows of JSON, parsed with a schema; chunks are read by Spark's binaryFile source, so any store that Spark
+reads will do, a chunk is a task's unit, and no array stands in one place. A chunk's name is the last part, or parts, of its path,
+whatever the folders above are called.
 """
 
 from __future__ import annotations
 
-import gzip
 import json
 import math
 import zlib
@@ -16,7 +16,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import exact_int
+from .codecs import decoder
+
 AXES = "tczyx"
+#: What is read of an attributes document.
+ATTRIBUTES = "plate struct<wells:array<struct<path:string>>>, well struct<images:array<struct<path:string>>>, multiscales array<struct<version:string>>"
+# The side of a chunk, the least side that has a next level, and the most levels.
+CHUNK, LEAST_SIDE, MOST_LEVELS = 512, 512, 5
 
 
 class Files:
@@ -30,19 +37,24 @@ class Files:
     def at(self, name: str):
         return self.path(f"{self.base}/{name}" if name else self.base)
 
-    def attributes(self, name: str, file: str = ".zattrs") -> dict | None:
-        """A JSON file's object; None if there is none or it can't be parsed."""
-        where = self.at(f"{name}/{file}" if name else file)
+    def text(self, name: str) -> str | None:
+        """A file's text; None if there is no such file."""
+        where = self.at(name)
         if not self.fs.exists(where):
             return None
         stream = self.fs.open(where)
         try:
-            return json.loads(bytes(self.io.toByteArray(stream)).decode())
-        except ValueError:
-            return None
+            return bytes(self.io.toByteArray(stream)).decode(errors="replace")
         finally:
             stream.close()
 
+    def attributes(self, name: str, file: str = ".zattrs") -> dict | None:
+        """A JSON file's object; None if there is none or it can't be parsed."""
+        try:
+            return json.loads(self.text(f"{name}/{file}" if name else file) or "null")
+        except ValueError:
+            return None
+
     def children(self, name: str = "") -> list[str]:
         return sorted(s.getPath().getName() for s in self.fs.listStatus(self.at(name)))
 
@@ -51,23 +63,47 @@ class Files:
         stream.write(bytearray(data))
         stream.close()
 
+    def write_json(self, name: str, document: dict) -> None:
+        self.write(name, json.dumps(document).encode())
+
     def install(self, partial: str, final: str) -> None:
-        """Puts a finished folder in its place in one step."""
-        self.fs.delete(self.at(final), True)
+        """Puts a finished folder in its place. What stood there is moved aside first and goes last, so there is always a whole one."""
+        aside = f"{final}.replaced"
+        self.fs.delete(self.at(aside), True)
+        if self.fs.exists(self.at(final)):
+            self.fs.rename(self.at(final), self.at(aside))
         if not self.fs.rename(self.at(partial), self.at(final)):
+            self.fs.rename(self.at(aside), self.at(final))
             raise OSError(f"can't install {final}")
+        self.fs.delete(self.at(aside), True)
+
+
+# Discovery ---------------------------------------------------------------------------------------------------------------
+
 
+def documents(spark: SparkSession, base: str, folders: list[str]) -> DataFrame:
+    """(name, a): the attributes of those folders under base that have a document of them; null where it isn't JSON. Spark's file
+    sources pass over names with a leading dot, so the driver reads these small files."""
+    files = Files(spark, base)
+    rows = [(f, text) for f in folders if (text := files.text(f"{f}/.zattrs" if f else ".zattrs")) is not None]
+    return spark.createDataFrame(rows, "name string, value string").select("name", F.from_json("value", ATTRIBUTES).alias("a"))
 
-def is_store(name: str, attributes: dict | None) -> bool:
-    return name.lower().endswith(".zarr") and attributes is not None and (isinstance(attributes.get("plate"), dict) or bool(attributes.get("multiscales")))
+
+IS_STORE = "a.plate is not null or size(a.multiscales) > 0"
 
 
 def discover(spark: SparkSession, folder: str) -> list[str]:
-    """The folder if it is a store, else its stores in order of name."""
-    files = Files(spark, folder)
-    if is_store(files.base, files.attributes("")):
-        return [files.base]
-    return [f"{files.base}/{n}" for n in files.children() if n.lower().endswith(".zarr") and is_store(n, files.attributes(n))]
+    """The folder if it is a store, else its stores in order of name. A store is named *.zarr and has a plate or multiscales."""
+    base = folder.rstrip("/")
+    named = lambda n: n.lower().endswith(".zarr")
+    if named(base) and not documents(spark, base, [""]).filter(IS_STORE).isEmpty():
+        return [base]
+    below = [n for n in Files(spark, base).children() if named(n)]
+    return [f"{base}/{r.name}" for r in documents(spark, base, below).filter(IS_STORE).orderBy("name").collect()]
+
+
+def is_plate(spark: SparkSession, store: str) -> bool:
+    return not documents(spark, store.rstrip("/"), [""]).filter("a.plate is not null").isEmpty()
 
 
 def first_store(names: DataFrame) -> DataFrame:
@@ -76,45 +112,58 @@ def first_store(names: DataFrame) -> DataFrame:
 
 
 def fields(spark: SparkSession, store: str) -> DataFrame:
-    """(store, image_path, plate_row, plate_column, field): one row without a plate, else a row for each field of each well."""
-    files = Files(spark, store)
-    plate, rows = (files.attributes("") or {}).get("plate"), []
-    if isinstance(plate, dict):
-        for path in (str(w.get("path", "")).strip("/") for w in plate.get("wells", [])):
-            if path:
-                row, _, column = path.partition("/")
-                images = ((files.attributes(path) or {}).get("well") or {}).get("images", [])
-                rows += [(files.base, f"{path}/{f}", row, column, f) for f in (str(i.get("path", "")).strip("/") for i in images)]
-        if not rows:
-            raise ValueError(f"plate without fields: {store}")
-    else:
-        rows = [(files.base, "", None, None, None)]
-    return spark.createDataFrame(rows, "store string, image_path string, plate_row string, plate_column string, field string")
+    """(store, image_path, plate_row, plate_column, field): one row without a plate, else a row for each field of each well.
+    Wells without a path are left out; a plate without fields is an error."""
+    base = store.rstrip("/")
+    schema = "store string, image_path string, plate_row string, plate_column string, field string"
+    if not is_plate(spark, base):
+        return spark.createDataFrame([(base, "", None, None, None)], schema)
+    path = F.btrim(F.col("w.path"), F.lit("/"))
+    wells = [r.well for r in documents(spark, base, [""]).select(F.explode("a.plate.wells").alias("w")).select(path.alias("well")).filter("well <> ''").distinct().orderBy("well").collect()]
+    images = documents(spark, base, wells).select(F.col("name").alias("well"), F.explode("a.well.images").alias("w"))
+    row, column = F.split("well", "/", 2)[0], F.coalesce(F.get(F.split("well", "/", 2), F.lit(1)), F.lit(""))
+    found = images.select(F.lit(base).alias("store"), F.concat_ws("/", "well", path).alias("image_path"), row.alias("plate_row"), column.alias("plate_column"), path.alias("field"))
+    if found.isEmpty():
+        raise ValueError(f"plate without fields: {store}")
+    return found
+
+
+# Reading -----------------------------------------------------------------------------------------------------------------
+
+#: Axes that an array of so many dimensions has if its metadata names none.
+USUAL = {2: "yx", 3: "zyx", 4: "czyx", 5: "tczyx"}
 
 
 def axis_names(multiscale: dict, ndim: int) -> list[str]:
-    names = [str(a.get("name") if isinstance(a, dict) else a).lower() for a in multiscale.get("axes") or []]
-    names = names or list({2: "yx", 3: "zyx", 4: "czyx", 5: "tczyx"}[ndim])
-    if unknown := set(names) - set(AXES):
-        raise ValueError(f"unknown axes {sorted(unknown)}")
-    return names
+    """The named axes; the usual ones of so many dimensions if none are named, or another number of them."""
+    given = [(a["name"] if isinstance(a, dict) and "name" in a else str(a)).lower() for a in multiscale.get("axes") or ()]
+    if len(given) != ndim:
+        if ndim not in USUAL:
+            raise ValueError(f"no axes for {ndim} dimensions")
+        given = [*USUAL[ndim]]
+    if any(a not in AXES for a in given) or len({*given}) < ndim:
+        raise ValueError(f"axes must be different ones of {', '.join(AXES)}: {given}")
+    return given
 
 
 def axis_scales(multiscale: dict, axes: list[str]) -> dict[str, float]:
-    """By axis, from the first scale of the first dataset; none if its length differs."""
-    found = next((t["scale"] for t in multiscale["datasets"][0].get("coordinateTransformations", []) if t.get("type") == "scale"), [])
-    return dict(zip(axes, map(float, found), strict=True)) if len(found) == len(axes) else {}
+    """By axis, from the finest level's scale; none if there is no scale, or one of another length."""
+    steps = multiscale["datasets"][0].get("coordinateTransformations") or []
+    scale = [s["scale"] for s in steps if s.get("type") == "scale"][:1]
+    return {a: float(v) for a, v in zip(axes, scale[0], strict=True)} if scale and len(scale[0]) == len(axes) else {}
 
 
 def channel_names(attributes: dict, count: int) -> list[tuple[str, str | None]]:
-    given = (attributes.get("omero") or {}).get("channels") or []
-    return [(str(c.get("label") or f"Channel {i + 1}"), c.get("color")) for i, c in enumerate([*given, *[{}] * count][:count])]
+    """(name, colour) of each channel; one without a name is called by its number."""
+    known = dict(enumerate((attributes.get("omero") or {}).get("channels") or []))
+    return [(str(known.get(i, {}).get("label") or f"Channel {i + 1}"), known.get(i, {}).get("color")) for i in range(count)]
 
 
 def read_image(spark: SparkSession, store: str, image_path: str = "") -> tuple[DataFrame, dict]:
     """The pixels (t, c, z, y, x, value) of the finest level, and its shape, axes, scales, type and channels.
 
-    A missing chunk holds the fill value. Big-endian values are turned; absent axes have length 1."""
+    A missing chunk holds the fill value; a stored one that isn't the array's is an error. Big-endian values are turned, either
+    order of values is read, and absent axes have length 1."""
     files = Files(spark, store)
     attributes = files.attributes(image_path) or {}
     if not attributes.get("multiscales"):
@@ -122,23 +171,15 @@ def read_image(spark: SparkSession, store: str, image_path: str = "") -> tuple[D
     multiscale = attributes["multiscales"][0]
     level = "/".join(p for p in (image_path, multiscale["datasets"][0]["path"]) if p)
     array = files.attributes(level, ".zarray")
-    if array is None or array.get("filters") or array.get("order", "C") != "C":
+    if array is None or array.get("filters"):
         raise ValueError(f"not a plain array: {store}/{level}")
-    shape, chunks, dtype = array["shape"], array["chunks"], np.dtype(array["dtype"])
-    kind = (array.get("compressor") or {}).get("id")
-    if kind not in (None, "zlib", "gzip"):
-        raise ValueError(f"unknown compressor {kind}")
-    axes = axis_names(multiscale, len(shape))
+    shape, chunks, dtype, order = array["shape"], array["chunks"], np.dtype(array["dtype"]), array.get("order", "C")
+    plain, axes = decoder(array.get("compressor")), axis_names(multiscale, len(shape))
     grid, mark = [math.ceil(n / c) for n, c in zip(shape, chunks, strict=True)], array.get("dimension_separator", ".")
-    fill = array.get("fill_value") or 0
-
-    def decode(name: str, content: bytes | None) -> pd.DataFrame:
-        at = [int(i) for i in name.split(mark)]
-        if content is None:
-            block = np.full(chunks, fill, dtype)
-        else:
-            raw = content if kind is None else zlib.decompress(content) if kind == "zlib" else gzip.decompress(content)
-            block = np.frombuffer(raw, dtype).reshape(chunks)
+    fill = np.array(array.get("fill_value") or 0, float).astype(dtype)
+
+    def decode(at: list[int], content: bytes | None) -> pd.DataFrame:
+        block = np.full(chunks, fill, dtype) if content is None else np.frombuffer(plain(content), dtype).reshape(chunks, order=order)
         low = [i * c for i, c in zip(at, chunks, strict=True)]
         block = block[tuple(slice(0, n - a) for n, a in zip(shape, low, strict=True))]
         places = np.indices(block.shape).reshape(len(shape), -1) + np.array(low)[:, None]
@@ -147,97 +188,189 @@ def read_image(spark: SparkSession, store: str, image_path: str = "") -> tuple[D
 
     def work(batches):
         for b in batches:
-            for name, content in zip(b["name"], b["content"], strict=True):
-                yield decode(name, content)
+            for name, wanted, content in zip(b["name"], b["wanted"], b["content"], strict=True):
+                if wanted is not True:
+                    raise ValueError(f"chunk {name} isn't one of the array {level}")
+                yield decode([int(i) for i in name.split("/")], content)
 
     schema = ", ".join(f"{a} long" for a in AXES) + ", value double"
-    wanted = spark.range(math.prod(grid)).select(*((F.floor(F.col("id") / math.prod(grid[i + 1 :])) % n).alias(f"g{i}") for i, n in enumerate(grid))).select(F.concat_ws(mark, *(F.col(f"g{i}").cast("long") for i in range(len(grid)))).alias("name"))
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{files.base}/{level}").select(F.regexp_extract("path", rf"/{level}/(.*)$", 1).alias("name"), "content")
-    pixels = wanted.join(found, "name", "left").mapInPandas(work, schema)
+    places = [(F.floor(F.col("id") / math.prod(grid[i + 1 :])) % n).cast("long") for i, n in enumerate(grid)]
+    wanted = spark.range(math.prod(grid)).select(F.concat_ws("/", *places).alias("name"), F.lit(True).alias("wanted"))
+    parts = F.split("path", "/")
+    name = F.array_join(F.slice(parts, F.size(parts) - len(shape) + 1, len(shape)), "/") if mark == "/" else F.replace(F.element_at(parts, -1), F.lit(mark), F.lit("/"))
+    stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{files.base}/{level}").filter(~F.element_at(F.split("path", "/"), -1).startswith("."))
+    pixels = wanted.join(stored.select(name.alias("name"), "content"), "name", "full").mapInPandas(work, schema)
     size = dict.fromkeys(AXES, 1) | dict(zip(axes, shape, strict=True))
     return pixels, {"size": size, "axes": axes, "scales": axis_scales(multiscale, axes), "dtype": dtype.newbyteorder("=").name, "channels": channel_names(attributes, size["c"])}
 
 
-def put_chunks(labels: DataFrame, base: str, size: tuple[int, int, int], chunk: int, dtype: str) -> None:
-    """Writes the chunks of label arrays: rows (path, z, y, x, label), where path is the array's folder under base.
+# Writing -----------------------------------------------------------------------------------------------------------------
+
 
-    Each chunk is a group of at most chunk * chunk voxels that one task encodes and writes; writing it again gives the same
-    file, so a lost executor does no harm. A label that doesn't fit the type is an error."""
-    most, shape = np.iinfo(np.dtype(dtype)).max, [1, min(chunk, size[1]), min(chunk, size[2])]
+def level_sizes(height: int, width: int) -> list[tuple[int, int]]:
+    """The sides of a pyramid's levels: each keeps every second row and column of the one before."""
+    out = [(height, width)]
+    while min(out[-1]) >= LEAST_SIDE and len(out) < MOST_LEVELS:
+        out.append(tuple((n + 1) // 2 for n in out[-1]))
+    return out
+
+
+def put_chunks(rows: DataFrame, base: str, chunk: int, dtype: str) -> None:
+    """Writes the chunks of arrays of five axes: rows (path, t, c, z, y, x, value, height, width), where path is the array's
+    folder under base, and height and width are its sides.
+
+    Each chunk is a group of at most chunk * chunk values that one task encodes and writes; writing it again gives the same
+    file, so a lost executor does no harm. A value that doesn't fit the type is an error."""
+    kind = np.dtype(dtype)
+    whole = np.issubdtype(kind, np.integer)
     target = base if ":" in base.split("/")[0] else f"file://{base}"
 
     def put(group: pd.DataFrame) -> pd.DataFrame:
         from pyarrow import fs
 
-        if group["label"].max() > most:
-            raise OverflowError("label exceeds the type")
-        z, cy, cx = (int(group[c].iloc[0]) for c in ("z", "cy", "cx"))
-        block = np.zeros(shape, dtype)
-        block[0, group["y"] - cy * chunk, group["x"] - cx * chunk] = group["label"]
+        values = group["value"].to_numpy()
+        if whole and (values.max() > np.iinfo(kind).max or values.min() < np.iinfo(kind).min):
+            raise OverflowError(f"value exceeds the type {dtype}")
+        t, c, z, cy, cx, height, width = (int(group[n].iloc[0]) for n in ("t", "c", "z", "cy", "cx", "height", "width"))
+        block = np.zeros((min(chunk, height), min(chunk, width)), kind)
+        block[group["y"] - cy * chunk, group["x"] - cx * chunk] = values
         system, root = fs.FileSystem.from_uri(target)
         folder = f"{root}/{group['path'].iloc[0]}"
         system.create_dir(folder, recursive=True)
-        with system.open_output_stream(f"{folder}/{z}.{cy}.{cx}") as out:
+        with system.open_output_stream(f"{folder}/{t}.{c}.{z}.{cy}.{cx}") as out:
             out.write(zlib.compress(block.tobytes()))
         return pd.DataFrame({"chunks": [1]})
 
-    keyed = labels.select("path", "z", "y", "x", "label", F.floor(F.col("y") / chunk).alias("cy"), F.floor(F.col("x") / chunk).alias("cx"))
-    keyed.groupBy("path", "z", "cy", "cx").applyInPandas(put, "chunks long").agg(F.sum("chunks")).collect()
+    side = F.lit(chunk)
+    keyed = rows.select("path", "t", "c", "z", "y", "x", "value", "height", "width", F.floor(F.col("y") / side).alias("cy"), F.floor(F.col("x") / side).alias("cx"))
+    keyed.groupBy("path", "t", "c", "z", "cy", "cx").applyInPandas(put, "chunks long").agg(F.sum("chunks")).collect()
+
+
+def put_metadata(files: Files, group: str, size: dict[str, int], chunk: int, dtype: str, scales: dict[str, float] | None = None, more: dict | None = None) -> None:
+    """An image or label group without its chunks: its levels' arrays, and what it says of itself."""
+    datasets = []
+    for k, (height, width) in enumerate(level_sizes(size["y"], size["x"])):
+        shape = [size["t"], size["c"], size["z"], height, width]
+        array = {"zarr_format": 2, "shape": shape, "chunks": [1, 1, 1, min(chunk, height), min(chunk, width)], "dtype": dtype, "compressor": {"id": "zlib", "level": 6}, "fill_value": 0, "order": "C", "filters": None}
+        files.write_json(f"{group}/{k}/.zarray", array)
+        step = [float((scales or {}).get(a, 1.0)) * (2**k if a in "yx" else 1) for a in AXES]
+        datasets.append({"path": str(k), "coordinateTransformations": [{"type": "scale", "scale": step}]})
+    kinds = {"t": "time", "c": "channel"}
+    axes = [{"name": a, "type": kinds.get(a, "space")} | ({"unit": "micrometer"} if a in "zyx" and a in (scales or {}) else {}) for a in AXES]
+    files.write_json(f"{group}/.zgroup", {"zarr_format": 2})
+    files.write_json(f"{group}/.zattrs", {"multiscales": [{"version": "0.4", "axes": axes, "datasets": datasets}]} | (more or {}))
+
+
+def with_axes(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({a: F.lit(0).cast("long") for a in "tcz" if a not in rows.columns})
+
+
+def in_levels(rows: DataFrame, group, size: dict[str, int]) -> DataFrame:
+    """The rows once for each level that keeps them, with the level's folder under `group` (text or column)."""
+    levels = level_sizes(size["y"], size["x"])
+    level = F.explode(F.array(*(F.struct(F.lit(str(k)).alias("k"), F.lit(2**k).alias("step"), F.lit(h).alias("height"), F.lit(w).alias("width")) for k, (h, w) in enumerate(levels))))
+    kept = rows.withColumn("l", level).filter((F.col("y") % F.col("l.step") == 0) & (F.col("x") % F.col("l.step") == 0))
+    path = F.concat_ws("/", F.lit(group) if isinstance(group, str) else group, "l.k")
+    return kept.select(path.alias("path"), "t", "c", "z", F.floor(F.col("y") / F.col("l.step")).alias("y"), F.floor(F.col("x") / F.col("l.step")).alias("x"), "value", "l.height", "l.width")
+
+
+def same_sides(first: dict[str, int], second: dict[str, int]) -> None:
+    """ValueError if two images that are to stand in one differ in time, depth or sides."""
+    if wrong := [a for a in "tzyx" if first[a] != second[a]]:
+        raise ValueError(f"images differ in {', '.join(wrong)}: {first} and {second}")
+
+
+def write_image(rows: DataFrame, store: str, size: dict[str, int], channels: list[tuple[str, str | None]], scales: dict[str, float] | None = None, dtype: str = "<i4", chunk: int = CHUNK, original: tuple[DataFrame, dict] | None = None) -> None:
+    """An image store (t, c, z, y, x, value) with all its levels and channels (name, colour), put in place when it is whole.
+
+    In the channel layout the rows are labels, a channel for each set; with `original` (what read_image gives) the source's
+    channels come first, as whole numbers: halves go to even, and a value that isn't finite or doesn't fit is an error."""
+    spark, rows, size = rows.sparkSession, with_axes(rows), dict.fromkeys(AXES, 1) | size
+    if original is not None:
+        pixels, about = original
+        same_sides(about["size"], size)
+        count = about["size"]["c"]
+        moved = rows.withColumns({"c": F.col("c") + count, "value": F.col("value").cast("double")})
+        rows = with_axes(pixels).withColumn("value", exact_int("value").cast("double")).unionByName(moved.select(*AXES, "value"))
+        size, channels = size | {"c": size["c"] + count}, [*about["channels"], *channels]
+    parent, _, name = store.rstrip("/").rpartition("/")
+    top, partial = Files(spark, parent), f"{name}.partial"
+    files = Files(spark, f"{parent}/{partial}")
+    files.fs.delete(files.at(""), True)
+    try:
+        shown = [{"label": n, "active": True} | ({"color": c} if c else {}) for n, c in channels]
+        put_metadata(files, "image", size, chunk, dtype, scales, {"omero": {"channels": shown}})
+        put_chunks(in_levels(rows, "image", size), files.base, chunk, dtype)
+        top.install(f"{partial}/image", name)
+    finally:
+        files.fs.delete(files.at(""), True)
+
+
+def write_labels(labels: DataFrame, store: str, name: str, size: dict[str, int], chunk: int = CHUNK, dtype: str = "<i4", scales: dict[str, float] | None = None) -> None:
+    """One image's labels ([t,] z, y, x, label) as labels/<name> of a store, with all levels and an entry in the store's index of
+    labels, put in place when all chunks are written. The image itself stays as it is."""
+    files, partial, size = Files(labels.sparkSession, store), f"labels/.{name}.partial", dict.fromkeys(AXES, 1) | size
+    files.fs.delete(files.at(partial), True)
+    try:
+        put_metadata(files, partial, size, chunk, dtype, scales, {"image-label": {"version": "0.4", "source": {"image": "../../"}}})
+        put_chunks(in_levels(with_axes(labels.withColumnRenamed("label", "value")), partial, size), files.base, chunk, dtype)
+    except BaseException:
+        files.fs.delete(files.at(partial), True)
+        raise
+    files.install(partial, f"labels/{name}")
+    listed = (files.attributes("labels") or {}).get("labels", [])
+    files.write_json("labels/.zgroup", {"zarr_format": 2})
+    files.write_json("labels/.zattrs", {"labels": [*listed, *([] if name in listed else [name])]})
 
 
-def put_metadata(files: Files, group: str, size: tuple[int, int, int], chunk: int, dtype: str) -> None:
-    """A label group of one level, without its chunks."""
-    array = {"zarr_format": 2, "shape": list(size), "chunks": [1, min(chunk, size[1]), min(chunk, size[2])], "dtype": dtype, "compressor": {"id": "zlib", "level": 6}, "fill_value": 0, "order": "C", "filters": None}
-    files.write(f"{group}/0/.zarray", json.dumps(array).encode())
-    files.write(f"{group}/.zgroup", b'{"zarr_format": 2}')
-    files.write(f"{group}/.zattrs", json.dumps({"multiscales": [{"version": "0.4", "axes": list("zyx"), "datasets": [{"path": "0"}]}], "image-label": {"version": "0.4"}}).encode())
+def write_native(labels: DataFrame, store: str, source: str, names: list[str], image_path: str = "", chunk: int = CHUNK, dtype: str = "<u4") -> None:
+    """A store in the native layout: the source's image as it is, in its own type, at the root, and a label group for each name
+    with the labels (name, [t,] z, y, x, label) of that name."""
+    spark = labels.sparkSession
+    pixels, about = read_image(spark, source, image_path)
+    write_image(pixels, store, about["size"], about["channels"], about["scales"], np.dtype(about["dtype"]).str, chunk)
+    for name in names:
+        write_labels(labels.filter(F.col("name") == name).drop("name"), store, name, about["size"] | {"c": 1}, chunk, dtype, about["scales"])
 
 
-def write_labels(labels: DataFrame, store: str, name: str, size: tuple[int, int, int], chunk: int = 512, dtype: str = "<i4") -> None:
-    """One image's labels (z, y, x, label) as labels/<name> of a store, put in place when all chunks are written."""
-    files, partial = Files(labels.sparkSession, store), f"labels/.{name}.partial"
-    files.fs.delete(files.at(partial), True)
-    put_metadata(files, partial, size, chunk, dtype)
-    put_chunks(labels.withColumn("path", F.lit(f"{partial}/0")), files.base, size, chunk, dtype)
-    files.install(partial, f"labels/{name}")
+def faults(expected: DataFrame, written: DataFrame) -> DataFrame:
+    """(image_path, fault) of fields that are missing, unexpected or repeated."""
+    told = lambda df, what: df.select("image_path", F.lit(what).alias("fault"))
+    twice = written.groupBy("image_path").count().filter("count > 1")
+    return told(expected.join(written, "image_path", "left_anti"), "missing").unionByName(told(written.join(expected, "image_path", "left_anti"), "unexpected")).unionByName(told(twice, "repeated"))
 
 
-def write_plate(labels: DataFrame, written: DataFrame, source: str, out: str, size: tuple[int, int, int], sets: list[str], chunk: int = 512, dtype: str = "<i4") -> None:
-    """All fields of a plate at once: labels (image_path, name, z, y, x, label) of the sets, for the fields of a source store.
+def write_plate(labels: DataFrame, written: DataFrame, source: str, out: str, size: dict[str, int], sets: list[str], chunk: int = CHUNK, dtype: str = "<i4") -> None:
+    """All fields of a plate at once: labels (image_path, name, [t,] z, y, x, label) of the sets, for the fields of a source store.
 
     `written` (image_path) names the fields that were segmented, with labels or without; a missing, unknown or repeated one is
     an error. The plate appears whole or not at all. Acquisitions that the plate doesn't declare are left out."""
-    spark = labels.sparkSession
+    spark, size = labels.sparkSession, dict.fromkeys(AXES, 1) | size
     expected = fields(spark, source).select("image_path")
-    faults = {
-        "missing": expected.join(written, "image_path", "left_anti"),
-        "unexpected": written.join(expected, "image_path", "left_anti"),
-        "repeated": written.groupBy("image_path").count().filter("count > 1"),
-    }
-    for what, rows in faults.items():
-        if first := rows.limit(3).collect():
-            raise ValueError(f"{what} fields: {[r.image_path for r in first]}")
-    given, partial = Files(spark, source), f"{out.rstrip('/')}.partial"
+    if wrong := faults(expected, written).orderBy("fault", "image_path").limit(5).collect():
+        raise ValueError(f"the plate isn't whole: {[(r.fault, r.image_path) for r in wrong]}")
+    given = Files(spark, source)
     parent, _, name = out.rstrip("/").rpartition("/")
-    top, files = Files(spark, parent), Files(spark, partial)
+    top, files = Files(spark, parent), Files(spark, f"{out.rstrip('/')}.partial")
     top.fs.delete(files.at(""), True)
     try:
-        attributes = {k: v for k, v in given.attributes("").items() if k != "omero"}
-        known = {a["id"] for a in attributes["plate"].get("acquisitions", []) if isinstance(a, dict) and "id" in a}
+        plate = {k: v for k, v in given.attributes("").items() if k != "omero"}
+        declared = {a.get("id") for a in plate["plate"].get("acquisitions") or () if isinstance(a, dict)} - {None}
         wells: dict[str, list[str]] = {}
-        for r in expected.toLocalIterator():
+        for r in expected.orderBy("image_path").toLocalIterator():
             well, _, field = r.image_path.rpartition("/")
             wells.setdefault(well, []).append(field)
             for s in sets:
-                put_metadata(files, f"{r.image_path}/labels/{s}", size, chunk, dtype)
+                put_metadata(files, f"{r.image_path}/labels/{s}", size, chunk, dtype, None, {"image-label": {"version": "0.4"}})
+            files.write_json(f"{r.image_path}/labels/.zattrs", {"labels": sets})
         for well, names in wells.items():
-            acquired = {str(i.get("path", "")).strip("/"): i.get("acquisition") for i in given.attributes(well)["well"]["images"]}
-            images = [{"path": n} | ({"acquisition": acquired[n]} if acquired[n] in known else {}) for n in sorted(names)]
-            files.write(f"{well}/.zattrs", json.dumps({"well": {"version": "0.4", "images": images}}).encode())
-        put_chunks(labels.withColumn("path", F.concat_ws("/", "image_path", F.lit("labels"), "name", F.lit("0"))), partial, size, chunk, dtype)
-        count = sum(map(len, wells.values()))
-        files.write(".zattrs", json.dumps(attributes | {"segmentation": {"field_count": count}}).encode())
-        files.write(".zgroup", b'{"zarr_format": 2}')
+            taken = {str(i.get("path", "")).strip("/"): i.get("acquisition") for i in given.attributes(well)["well"]["images"]}
+            images = [{"path": n, **({"acquisition": taken[n]} if taken[n] in declared else {})} for n in names]
+            files.write_json(f"{well}/.zattrs", {"well": {"version": "0.4", "images": images}})
+        group = F.concat_ws("/", "image_path", F.lit("labels"), "name")
+        put_chunks(in_levels(with_axes(labels.withColumnRenamed("label", "value")), group, size), files.base, chunk, dtype)
+        files.write_json(".zattrs", plate | {"segmentation": {"field_count": sum(map(len, wells.values()))}})
+        files.write_json(".zgroup", {"zarr_format": 2})
         top.install(f"{name}.partial", name)
     except BaseException:
         top.fs.delete(files.at(""), True)
