@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Protocol
 
 import numpy as np
@@ -11,21 +12,21 @@ from pyspark.sql import functions as F
 
 # Fixed values: (family, checkpoints, targets, dimensions, least channels).
 MODELS = [
-    ("cellpose3", "cyto3 cyto2_cp3 tissuenet_cp3 livecell_cp3 yeast_PhC_cp3 yeast_BF_cp3 bact_phase_cp3 bact_fluor_cp3 deepbacs_cp3 cyto2 cyto CPx transformer_cp3 neurips_cellpose_default neurips_cellpose_transformer neurips_grayscale_cyto2 CP TN1 TN2 TN3 LC1 LC2 LC3 LC4", "cells", "3d", 1),
-    ("cellpose3", "nuclei", "nuclei", "3d", 1),
-    ("cellpose-sam", "cpsam_v2 cpsam", "nuclei cells", "3d", 1),
-    ("stardist", "SD_Nuclei_Versatile", "nuclei", "2d", 1),
-    ("stardist", "SD_Foci_Aggregates SD_Foci_Finn", "foci", "2d", 1),
-    ("instanseg", "brightfield_nuclei", "nuclei", "2d", 3),
-    ("instanseg", "fluorescence_nuclei_and_cells", "nuclei cells", "2d", 1),
-    ("instanseg", "single_channel_nuclei", "nuclei", "2d", 1),
-    ("spotiflow", "general hybiss synth_complex fluo_live", "spots", "2d", 1),
-    ("spotiflow", "synth_3d smfish_3d", "spots", "3d", 1),
+    ("cellpose3", ("cyto3", "cyto2_cp3", "tissuenet_cp3", "livecell_cp3", "yeast_PhC_cp3", "yeast_BF_cp3", "bact_phase_cp3", "bact_fluor_cp3", "deepbacs_cp3", "cyto2", "cyto", "CPx", "transformer_cp3", "neurips_cellpose_default", "neurips_cellpose_transformer", "neurips_grayscale_cyto2", "CP", "TN1", "TN2", "TN3", "LC1", "LC2", "LC3", "LC4"), ("cells",), "3d", 1),
+    ("cellpose3", ("nuclei",), ("nuclei",), "3d", 1),
+    ("cellpose-sam", ("cpsam_v2", "cpsam"), ("nuclei", "cells"), "3d", 1),
+    ("stardist", ("SD_Nuclei_Versatile",), ("nuclei",), "2d", 1),
+    ("stardist", ("SD_Foci_Aggregates", "SD_Foci_Finn"), ("foci",), "2d", 1),
+    ("instanseg", ("brightfield_nuclei",), ("nuclei",), "2d", 3),
+    ("instanseg", ("fluorescence_nuclei_and_cells",), ("nuclei", "cells"), "2d", 1),
+    ("instanseg", ("single_channel_nuclei",), ("nuclei",), "2d", 1),
+    ("spotiflow", ("general", "hybiss", "synth_complex", "fluo_live"), ("spots",), "2d", 1),
+    ("spotiflow", ("synth_3d", "smfish_3d"), ("spots",), "3d", 1),
 ]
 
 
 def models(spark: SparkSession) -> DataFrame:
-    rows = [(f"{family}:{name}", family, name, targets.split(), dims, least) for family, names, targets, dims, least in MODELS for name in names.split()]
+    rows = [(f"{family}:{name}", family, name, list(targets), dims, least) for family, names, targets, dims, least in MODELS for name in names]
     return spark.createDataFrame(rows, "model_id string, family string, checkpoint string, targets array<string>, dimensions string, min_channels int")
 
 
@@ -41,19 +42,82 @@ def cases(steps: DataFrame, models: DataFrame) -> DataFrame:
 
 
 class Segmenter(Protocol):
-    """What a model backend offers: labels of one plane. Backends load their weights once in a worker."""
+    """What a model backend offers: labels of one plane."""
 
     def __call__(self, plane: np.ndarray) -> np.ndarray: ...
 
 
-def segmented(pixels: DataFrame, make: type | object, height: int, width: int) -> DataFrame:
-    """Runs a segmenter plane by plane: make() is called once a task and returns one. (image_id, y, x, value) -> labels."""
+def device(asked: str, has_cuda: bool) -> str:
+    """The device that a step runs on; asking for one that isn't there, or isn't known, is an error."""
+    if asked not in ("auto", "cpu", "cuda"):
+        raise ValueError(f"unknown device {asked!r}")
+    if asked == "cuda" and not has_cuda:
+        raise ValueError("CUDA was asked for and isn't there")
+    return "cuda" if asked == "cuda" or (asked == "auto" and has_cuda) else "cpu"
 
-    def work(plane: pd.DataFrame) -> pd.DataFrame:
+
+_LOADED: dict[tuple, Segmenter] = {}
+
+
+def loaded(key: tuple, make: Callable[[], Segmenter]) -> Segmenter:
+    """A worker's segmenter for a model and device: loaded at its first use, kept from plane to plane and from task to task. Only
+    the latest is kept, as one may take more than a GB."""
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = make()
+    return _LOADED[key]
+
+
+PLANE = ["image_id", "t", "z"]
+
+
+def segmented(pixels: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, on: str = "cpu") -> DataFrame:
+    """Labels (image_id, t, z, y, x, label) of one channel's pixels, plane by plane; make() is called once for each worker."""
+
+    def work(key: tuple, plane: pd.DataFrame) -> pd.DataFrame:
         values = np.zeros((height, width))
         values[plane["y"], plane["x"]] = plane["value"]
-        labels = make()(values)
+        labels = loaded((model, on), make)(values)
+        if labels.shape != values.shape:
+            raise ValueError(f"{model} gave labels of shape {labels.shape} for a plane of {values.shape}")
         y, x = np.nonzero(labels)
-        return pd.DataFrame({"image_id": plane["image_id"].iloc[0], "y": y, "x": x, "label": labels[y, x].astype("int64")})
+        rows = pd.DataFrame({"y": y, "x": x, "label": labels[y, x].astype("int64")})
+        return rows.assign(**dict(zip(PLANE, key, strict=True)))[[*PLANE, "y", "x", "label"]]
+
+    rows = pixels.withColumns({c: F.lit(0).cast(k) for c, k in (("t", "int"), ("z", "long")) if c not in pixels.columns})
+    return rows.groupBy(*PLANE).applyInPandas(work, "image_id long, t int, z long, y long, x long, label long")
+
+
+def segmented_in_tiles(pixels: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, tile: int = 1024, halo: int = 64, on: str = "cpu") -> DataFrame:
+    """As segmented(), but each tile by itself with a halo of pixels around it: a label counts where it lies in the tile's core,
+    and ids run over the tiles in reading order."""
+    from ..operators.postprocess import offset_ids
+    from ..operators.stencil import tiled
+
+    rows = pixels.withColumns({c: F.lit(0).cast(k) for c, k in (("t", "int"), ("z", "long")) if c not in pixels.columns})
+    schema = "image_id long, t int, z long, tile_y long, tile_x long, y long, x long, label long"
+
+    def work(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        y0, x0 = part["y"].min(), part["x"].min()
+        values = np.zeros((part["y"].max() - y0 + 1, part["x"].max() - x0 + 1))
+        values[part["y"] - y0, part["x"] - x0] = part["value"]
+        labels = loaded((model, on), make)(values)
+        y, x = np.nonzero(labels)
+        out = pd.DataFrame({"y": y + y0, "x": x + x0, "label": labels[y, x].astype("int64")})
+        out = out[(out["y"] // tile == key[3]) & (out["x"] // tile == key[4])]
+        return out.assign(**dict(zip([*PLANE, "tile_y", "tile_x"], key, strict=True)))[[*PLANE, "tile_y", "tile_x", "y", "x", "label"]]
+
+    whole = tiled(rows.select(*PLANE, "y", "x", "value"), tile, halo, height, width)
+    parts = whole.select(*PLANE, F.col("tile_y").cast("long"), F.col("tile_x").cast("long"), "y", "x", "value").groupBy(*PLANE, "tile_y", "tile_x").applyInPandas(work, schema)
+    return offset_ids(parts, PLANE, ["tile_y", "tile_x"]).drop("tile_y", "tile_x")
+
+
+def segmented_at_scale(pixels: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, scale_y: float, scale_x: float, target_um: float = 0.5, on: str = "cpu") -> DataFrame:
+    """As segmented(), but at the model's own pixel size, never finer than the image's: pixels are brought to it and labels back
+    to the image's size, both by the nearest."""
+    from ..operators.stencil import resized_nearest
 
-    return pixels.groupBy("image_id").applyInPandas(work, "image_id long, y long, x long, label long")
+    sizes = [max(1, int(np.rint(n * min(1.0, s / target_um)))) for n, s in ((height, scale_y), (width, scale_x))]
+    rows = pixels.withColumns({c: F.lit(0).cast(k) for c, k in (("t", "int"), ("z", "long")) if c not in pixels.columns})
+    small = resized_nearest(rows.select(*PLANE, "y", "x", "value"), height, width, *sizes)
+    return resized_nearest(segmented(small, model, make, *sizes, on=on), *sizes, height, width)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,9 +26,17 @@ def object_type(name: str | Column) -> Column:
     return out.otherwise(F.coalesce(F.nullif(rest, F.lit("")), F.lit("objects")))
 
 
-def locations_only(name: str | Column, refined: str | Column) -> Column:
-    """Whether a label set holds mere places: spot sets that weren't refined."""
-    return F.lower(col(name)).startswith("labels_spots_channel_") & ~col(refined)
+def locations_only(name: str | Column, refined: str | Column, told: str | Column | None = None) -> Column:
+    """Whether a label set holds mere places: what its statistics told, if all timepoints have them (see told_locations); else
+    spot sets that weren't refined."""
+    by_name = F.lower(col(name)).startswith("labels_spots_channel_") & ~col(refined)
+    return by_name if told is None else F.coalesce(col(told), by_name)
+
+
+def told_locations(points_only: str | Column) -> Column:
+    """Over a label set's timepoints: whether any of them holds mere places; null if one doesn't say."""
+    p = col(points_only)
+    return F.when(F.count(p) == F.count(F.lit(1)), F.bool_or(p))
 
 
 def safe_name(name: str | Column, index: str | Column) -> Column:
@@ -109,6 +117,38 @@ def canonical_number(value: str | Column) -> Column:
     return F.when(F.isnan(v), "nan").when(v == float("inf"), "inf").when(v == float("-inf"), "-inf").otherwise(v.cast("string"))
 
 
+def cache_key(parts: dict[str, str | Column]) -> Column:
+    """A digest of named values in order of their names, the same for equal values of any spelling: numbers in canonical form,
+    maps by their sorted keys, null as itself."""
+    return F.sha2(F.to_json(F.struct(*(col(c).alias(n) for n, c in sorted(parts.items()))), {"ignoreNullFields": "false"}), 256)
+
+
+def canonical_map(values: str | Column) -> Column:
+    """A map of numbers as an array of (key, number) in order of the keys, numbers in canonical form."""
+    return F.transform(F.array_sort(F.map_entries(col(values))), lambda e: F.struct(e["key"].alias("key"), canonical_number(e["value"]).alias("value")))
+
+
+def fingerprint(files: DataFrame) -> DataFrame:
+    """(bundle, path, content) -> (bundle, source_id): a digest over each bundle's files, each as its path, a zero byte and its
+    bytes, in the order of their paths. Files are a bundle's sources: small enough to stand in a row."""
+    one = F.concat(F.encode("path", "utf-8"), F.lit(b"\x00"), F.col("content").cast("binary"))
+    ordered = files.groupBy("bundle").agg(F.array_sort(F.collect_list(F.struct("path", one.alias("bytes")))).alias("files"))
+    whole = F.aggregate("files", F.lit(b""), lambda all_, f: F.concat(all_, f["bytes"]))
+    return ordered.select("bundle", F.concat(F.lit("sha256:"), F.sha2(whole, 256)).alias("source_id"))
+
+
+# What two manifests of an image are compared by.
+MANIFEST_KEYS = ["manifest_version", "docker_image_id", "descriptor_sha256", "git_commit", "image_tag"]
+
+
+def same_manifest(current: str, remote: str, keys: list[str] | None = None) -> Column:
+    """Whether two manifests (struct columns) agree on all keys; what both lack is equal, and no remote one equals none."""
+    out = F.col(remote).isNotNull()
+    for k in keys or MANIFEST_KEYS:
+        out = out & F.col(f"{current}.{k}").eqNullSafe(F.col(f"{remote}.{k}"))
+    return out
+
+
 # What stands before a short secret.
 SECRET_PLACES = [r"OMERO_(?:ROOT_)?PASSWORD=", r"\s-w\s+"]
 

@@ -1,13 +1,16 @@
-"""Shape features that need geometry: hulls, holes, largest diameters, and axes of volumes. Grouped by image and label set."""
+"""Shape features that need geometry: hulls, holes, largest diameters and surfaces.
+
+An object's voxels combine to words of 64 pixels of a row before they are shuffled, and its words to one row; Python then takes
+many objects at a time, each alone, so neither an image nor a label set stands in one task."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GROUP = ["image_id", "t", "set_index"]
+from ..sources.raster import OBJECT
 
 
 def hull(points: np.ndarray) -> np.ndarray:
@@ -138,63 +141,44 @@ def euler_3d(mask: np.ndarray) -> int:
     return total
 
 
-def planar(labels: DataFrame) -> DataFrame:
-    """Convex and filled area, solidity and largest diameter of flat objects."""
-
-    def work(group: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for label, part in group.groupby("label"):
-            at = part[["y", "x"]].to_numpy()
-            at = at - at.min(axis=0)
-            mask = np.zeros(at.max(axis=0) + 1, bool)
-            mask[tuple(at.T)] = True
-            convex = int(convex_mask(mask).sum())
-            rows.append((*group.iloc[0][GROUP], label, convex, len(at) / convex, int(filled(mask).sum()), feret(mask)))
-        return pd.DataFrame(rows, columns=[*GROUP, "label", "convex_area_px2", "solidity", "filled_area_px2", "feret_diameter_max_px"])
+WORDS = "array<struct<z:bigint,y:bigint,w:bigint,bits:bigint>>"
+SHAPES = "image_id long, t int, set_index int, label long, convex_size double, filled_size double, feret_diameter_max_px double, euler_number_3d int"
 
-    schema = "image_id long, t int, set_index int, label long, convex_area_px2 double, solidity double, filled_area_px2 double, feret_diameter_max_px double"
-    return labels.groupBy(*GROUP).applyInPandas(work, schema)
 
+def words(labels: DataFrame) -> DataFrame:
+    """A row for each object: its voxels as bits, 64 places of a row to a word."""
+    by_word = labels.groupBy(*OBJECT, "z", "y", F.floor(F.col("x") / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(x % 64 as int))")).alias("bits"))
+    return by_word.groupBy(*OBJECT).agg(F.collect_list(F.struct("z", "y", "w", "bits")).alias("words"))
 
-def volumetric(labels: DataFrame) -> DataFrame:
-    """Convex and filled volume, solidity and Euler number of volumes."""
 
-    def work(group: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for label, part in group.groupby("label"):
-            at = part[["z", "y", "x"]].to_numpy()
-            at = at - at.min(axis=0)
-            mask = np.zeros(at.max(axis=0) + 1, bool)
-            mask[tuple(at.T)] = True
-            convex = convex_volume(mask)
-            rows.append((*group.iloc[0][GROUP], label, len(at), convex, len(at) / convex, int(filled(mask).sum()), euler_3d(mask)))
-        return pd.DataFrame(rows, columns=[*GROUP, "label", "volume_voxels", "convex_volume_voxels", "solidity", "filled_volume_voxels", "euler_number"])
+def mask_of(rows: list[dict]) -> np.ndarray:
+    """An object's voxels in its box, from its words."""
+    z, y, w, bits = (np.array([r[k] for r in rows], np.int64) for k in ("z", "y", "w", "bits"))
+    on = np.unpackbits(bits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
+    k, x = np.nonzero(on)
+    at = np.stack([z[k], y[k], 64 * w[k] + x], axis=1)
+    at -= at.min(axis=0)
+    mask = np.zeros(at.max(axis=0) + 1, bool)
+    mask[tuple(at.T)] = True
+    return mask
 
-    schema = "image_id long, t int, set_index int, label long, volume_voxels double, convex_volume_voxels double, solidity double, filled_volume_voxels double, euler_number int"
-    return labels.groupBy(*GROUP).applyInPandas(work, schema)
 
-
-def axes_3d(labels: DataFrame, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """Major and minor axis of volumes from the eigenvalues of the coordinates' covariance: six sums by object, then one
-    vectorised pass over objects. With a spacing the lengths and the diameter of the equal ball are physical."""
-    axes = "zyx"
-    step, voxel = np.outer(spacing, spacing), float(np.prod(spacing))
-    sums = labels.groupBy(*GROUP, "label").agg(*(F.covar_pop(a, b).alias(a + b) for i, a in enumerate(axes) for b in axes[i:]), F.count("*").alias("n"))
+def shapes(labels: DataFrame) -> DataFrame:
+    """Of each object the size of its hull and of itself without holes; the largest diameter if it is flat, else the Euler number."""
 
     def work(batches):
-        for b in batches:
-            m = np.empty((len(b), 3, 3))
-            for i, p in enumerate(axes):
-                for j, q in enumerate(axes):
-                    m[:, i, j] = b["".join(sorted(p + q, key=axes.index))]
-            low, mid, high = np.linalg.eigvalsh(m * step).T
-            out = b[[*GROUP, "label"]].copy()
-            out["major_axis_length_px"] = np.sqrt(np.maximum(10 * (high + mid - low), 0))
-            out["minor_axis_length_px"] = np.sqrt(np.maximum(10 * (low + mid - high), 0))
-            out["equivalent_diameter_px"] = np.cbrt(6 * b["n"] * voxel / np.pi)
-            yield out
+        for batch in batches:
+            keys, rows = [batch.column(i) for i in range(4)], []
+            for parts in batch.column(4).to_pylist():
+                mask = mask_of(parts)
+                if len(mask) == 1:
+                    rows.append((float(convex_mask(mask[0]).sum()), float(filled(mask[0]).sum()), feret(mask[0]), None))
+                else:
+                    rows.append((float(convex_volume(mask)), float(filled(mask).sum()), None, euler_3d(mask)))
+            kinds = (pa.float64(), pa.float64(), pa.float64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([*keys, *(pa.array([r[i] for r in rows], kinds[i]) for i in range(4))], names=[c.split(" ")[0] for c in SHAPES.split(", ")])
 
-    return sums.mapInPandas(work, "image_id long, t int, set_index int, label long, major_axis_length_px double, minor_axis_length_px double, equivalent_diameter_px double")
+    return words(labels).mapInArrow(work, SHAPES)
 
 
 def _loops(inside: tuple[bool, ...]) -> list[list[tuple[int, int]]]:
@@ -237,14 +221,36 @@ def surface_table(spacing: tuple[float, float, float]) -> list[float]:
     return areas
 
 
-def surface_areas(labels: DataFrame, spacing: tuple[float, float, float]) -> DataFrame:
-    """Surface and sphericity of volumes by marching cubes: the states of all cubes around an object's voxels, counted in the
-    JVM, weigh an area each. Ambiguous faces part the object; other conventions differ by a few parts in a hundred there."""
+SURFACES = "image_id long, t int, set_index int, label long, surface_area_um2 double, volume_um3 double"
+
+
+def surfaces(labels: DataFrame, scales: DataFrame) -> DataFrame:
+    """Surface and volume of volumes by marching cubes, in the units of their image's scales (image_id, sz, sy, sx); null if a
+    scale is missing, or the object is flat. The states of all cubes around an object's voxels are counted in the JVM; a count by
+    state is what Python weighs with areas. Ambiguous faces part the object; other conventions differ by a few parts in a
+    hundred there."""
     steps = F.explode(F.array(*(F.struct(F.lit(k >> 2 & 1).alias("dz"), F.lit(k >> 1 & 1).alias("dy"), F.lit(k & 1).alias("dx"), F.lit(1 << k).alias("w")) for k in range(8))))
-    keys = [*GROUP, "label"]
-    moved = labels.select(*keys, "z", "y", "x", steps.alias("s")).select(*keys, (F.col("z") - F.col("s.dz")).alias("z"), (F.col("y") - F.col("s.dy")).alias("y"), (F.col("x") - F.col("s.dx")).alias("x"), "s.w")
-    states = moved.groupBy(*keys, "z", "y", "x").agg(F.sum("w").alias("state"))
-    area = F.element_at(F.array(*map(F.lit, surface_table(spacing))), (F.col("state") + 1).cast("int"))
-    voxel = float(np.prod(spacing))
-    out = states.groupBy(*keys).agg(F.sum(area).alias("surface_area_um2"), (F.sum(F.expr("bit_count(state)")) / 8 * voxel).alias("volume_um3"))
-    return out.withColumn("sphericity", np.cbrt(np.pi) * F.pow(6 * F.col("volume_um3"), 2 / 3) / F.nullif("surface_area_um2", F.lit(0.0)))
+    moved = labels.select(*OBJECT, "z", "y", "x", steps.alias("s")).select(*OBJECT, (F.col("z") - F.col("s.dz")).alias("z"), (F.col("y") - F.col("s.dy")).alias("y"), (F.col("x") - F.col("s.dx")).alias("x"), "s.w")
+    states = moved.groupBy(*OBJECT, "z", "y", "x").agg(F.sum("w").alias("state"))
+    counted = states.groupBy(*OBJECT, "state").agg(F.count("*").alias("n"), F.min("z").alias("low"), F.max("z").alias("high"))
+    # an object of one plane has cubes at two heights
+    deep = counted.groupBy(*OBJECT).agg(F.collect_list(F.struct("state", "n")).alias("states"), (F.max("high") - F.min("low")).alias("planes")).filter("planes > 1").drop("planes")
+
+    def work(batches):
+        tables: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            out = []
+            for states, *spacing in zip(*(batch.column(i).to_pylist() for i in range(4, 8)), strict=True):
+                if None in spacing:
+                    out.append((None, None))
+                    continue
+                if tuple(spacing) not in tables:
+                    if len(tables) > 64:
+                        tables.clear()
+                    tables[tuple(spacing)] = np.array(surface_table(tuple(spacing)))
+                state, n = (np.array([x[k] for x in states], np.int64) for k in ("state", "n"))
+                corners = np.unpackbits(state.astype(np.uint8)[:, None], axis=1).sum(axis=1, dtype=np.int64)
+                out.append((float((tables[tuple(spacing)][state] * n).sum()), float((corners * n).sum() / 8 * np.prod(spacing))))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *(pa.array([r[i] for r in out], pa.float64()) for i in range(2))], names=[c.split(" ")[0] for c in SURFACES.split(", ")])
+
+    return deep.join(scales.select("image_id", "sz", "sy", "sx"), "image_id").select(*OBJECT, "states", "sz", "sy", "sx").mapInArrow(work, SURFACES)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,18 +52,45 @@ def matched_labels(labels: DataFrame, first_id: int = 1) -> DataFrame:
 def expanded(seeds: DataFrame, distance: float, scale_y: float | None, scale_x: float | None, height: int, width: int) -> DataFrame:
     """Each position within the distance of a seed voxel, with the label (under 2**40) of the nearest (ties: lowest label).
 
-    Seeds spread over a stencil of the offsets in reach, so the work is a map and one combining minimum, and no range join."""
+    The nearest voxel lies on a seed's border, or is the place itself, so only border voxels spread; and they do so one axis at a
+    time: in its row each place takes, for each number of steps to the side, the lowest label, then hands those on along its column.
+    A row is spread over 2 r + 1 places twice, not over the (2 r + 1) ** 2 of a disk, and both spreads combine before they are
+    shuffled. No range join."""
     sy = scale_y or scale_x or 1.0
     sx = scale_x or scale_y or 1.0
     ry, rx = math.floor(distance / sy), math.floor(distance / sx)
-    reach = [(dy, dx, (dy * sy) ** 2 + (dx * sx) ** 2) for dy in range(-ry, ry + 1) for dx in range(-rx, rx + 1)]
-    reach = [r for r in reach if r[2] <= distance**2]
-    # a distance by its rank above the label makes one number, whose minimum combines in a hash aggregation
-    rank = {d: i for i, d in enumerate(sorted({d for _, _, d in reach}))}
-    steps = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(rank[d] << 40).alias("d")) for dy, dx, d in reach)))
-    spread = seeds.select(*VOXEL, "label", steps.alias("s")).select("image_id", "t", "z", (F.col("y") + F.col("s.dy")).alias("y"), (F.col("x") + F.col("s.dx")).alias("x"), (F.col("s.d") + F.col("label")).alias("m"))
-    inside = spread.filter(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1))
-    return inside.groupBy(*VOXEL).agg(F.min("m").alias("m")).select(*VOXEL, F.expr(f"m & {(1 << 40) - 1}").alias("label"))
+    # a squared distance by its rank above the label makes one number, whose minimum combines in a hash aggregation
+    reach = {(dy, dx): (dy * sy) ** 2 + (dx * sx) ** 2 for dy in range(ry + 1) for dx in range(rx + 1)}
+    rank = {d: i for i, d in enumerate(sorted({d for d in reach.values() if d <= distance**2}))}
+    inner = seeds.select(*VOXEL, "label")
+    faces = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((0, 0), (0, 1), (0, -1), (1, 0), (-1, 0)))))
+    near = inner.select(*VOXEL, "label", faces.alias("f")).select("image_id", "t", "z", (F.col("y") + F.col("f.dy")).alias("y"), (F.col("x") + F.col("f.dx")).alias("x"), "label", (F.expr("f.dy = 0 and f.dx = 0")).cast("int").alias("own"))
+    edge = near.groupBy(*VOXEL, "label").agg(F.count("*").alias("n"), F.max("own").alias("own")).filter("own = 1 and n < 5").select(*VOXEL, "label")
+    sides = F.explode(F.sequence(F.greatest(F.lit(0), F.col("x") - rx), F.least(F.lit(width - 1), F.col("x") + rx)))
+    rows = edge.select("image_id", "t", "z", "y", F.col("x").alias("from"), "label", sides.alias("x")).groupBy(*VOXEL, F.abs(F.col("x") - F.col("from")).alias("dx")).agg(F.min("label").alias("label"))
+    # the rank of each pair of steps, by place in an array; null beyond the distance
+    table = F.array(*(F.lit(rank.get(reach[dy, dx])).cast("long") for dy in range(ry + 1) for dx in range(rx + 1)))
+    ups = F.explode(F.sequence(F.greatest(F.lit(0), F.col("y") - ry), F.least(F.lit(height - 1), F.col("y") + ry)))
+    spread = rows.select("image_id", "t", "z", F.col("y").alias("from"), "x", "dx", "label", ups.alias("y"))
+    at = F.element_at(table, (F.abs(F.col("y") - F.col("from")) * (rx + 1) + F.col("dx") + 1).cast("int"))
+    grown = spread.select(*VOXEL, (F.shiftleft(at, 40) + F.col("label")).alias("m")).filter("m is not null")
+    whole = grown.unionByName(inner.select(*VOXEL, F.col("label").alias("m")))
+    return whole.groupBy(*VOXEL).agg(F.min("m").alias("m")).select(*VOXEL, F.expr(f"m & {(1 << 40) - 1}").alias("label"))
+
+
+#: Images whose sums one task orders.
+RANGE = 4096
+
+
+def running_sums(rows: DataFrame, within: list[str], order: list[str], value: str) -> DataFrame:
+    """The rows with `before`, the sum of `value` over all earlier rows of their group. The first column of `order`, an integer,
+    is cut into ranges of RANGE: a task orders the rows of one range, and one row for each range is what is summed across them."""
+    ranged = rows.withColumn("range", F.floor(F.col(order[0]) / RANGE))
+    totals = ranged.groupBy(*within, "range").agg(F.sum(value).alias("total"))
+    earlier = Window.partitionBy(*within).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*within, "range", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("start"))
+    inside = Window.partitionBy(*within, "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.withColumn("sum", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(starts, [*within, "range"]).withColumn("before", F.col("start") + F.col("sum")).drop("range", "sum", "start")
 
 
 def offset_ids(labels: DataFrame, within: list[str], slab: list[str]) -> DataFrame:
@@ -70,24 +98,44 @@ def offset_ids(labels: DataFrame, within: list[str], slab: list[str]) -> DataFra
 
     The running sum is over one row for each slab; the voxels only join it."""
     tops = labels.groupBy(*within, *slab).agg(F.max("label").alias("top"))
-    before = Window.partitionBy(*within).orderBy(*slab).rowsBetween(Window.unboundedPreceding, -1)
-    return labels.join(tops.withColumn("offset", F.coalesce(F.sum("top").over(before), F.lit(0))).drop("top"), [*within, *slab]).withColumn("label", F.col("label") + F.col("offset"))
+    offsets = running_sums(tops, within, slab, "top").select(*within, *slab, F.col("before").alias("offset"))
+    return labels.join(offsets, [*within, *slab]).withColumn("label", F.col("label") + F.col("offset"))
+
+
+def same_shape(first: tuple[int, ...], second: tuple[int, ...]) -> None:
+    """ValueError if two label images that are to be matched differ in shape."""
+    if tuple(first) != tuple(second):
+        raise ValueError(f"cells of shape {tuple(first)} can't be matched with nuclei of shape {tuple(second)}")
+
+
+PLANE = ["image_id", "t", "z"]
+#: Neighbours that a point tries, in order, when its place is taken.
+TRIES = [(0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)]
 
 
 def points_to_labels(points: DataFrame, height: int, width: int) -> DataFrame:
-    """Points (image_id, point, py, px) as one-voxel labels by rounding half to even and clamping. A taken place makes a
-    point try its neighbours up, down, left, right; points come in order of their number, so this is a plane's own loop."""
-    import pandas as pd
-
-    def place(plane: pd.DataFrame) -> pd.DataFrame:
-        taken, rows = set(), []
-        for r in plane.sort_values("point").itertuples():
-            y, x = (min(max(int(v), 0), n - 1) for v, n in ((round(r.py), height), (round(r.px), width)))
-            for at in ((y, x), (y - 1, x), (y + 1, x), (y, x - 1), (y, x + 1)):
-                if 0 <= at[0] < height and 0 <= at[1] < width and at not in taken:
-                    taken.add(at)
-                    rows.append((r.image_id, r.point, *at))
-                    break
-        return pd.DataFrame(rows, columns=["image_id", "label", "y", "x"])
-
-    return points.groupBy("image_id").applyInPandas(place, "image_id long, label long, y long, x long")
+    """Points (image_id, t, z, point, py, px) as one-voxel labels, numbered from 1 in their order in a plane, by rounding half to
+    even and clamping. A point whose place an earlier one has takes the first of its free neighbours, or none.
+
+    Only points that can meet depend on each other: those with a place of their own, and no other point within two steps, are
+    placed in the JVM; the others are settled in their order, plane by plane."""
+    columns = {c: F.lit(0).cast(k) for c, k in (("t", "int"), ("z", "long")) if c not in points.columns}
+    clamp = lambda c, n: F.least(F.greatest(F.rint(c), F.lit(0.0)), F.lit(float(n - 1))).cast("long")
+    rounded = points.withColumns(columns).select(*PLANE, "point", clamp("py", height).alias("y"), clamp("px", width).alias("x"))
+    numbered = rounded.withColumn("label", F.row_number().over(Window.partitionBy(*PLANE).orderBy("point")).cast("long")).drop("point")
+    around = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in range(-2, 3) for dx in range(-2, 3) if abs(dy) + abs(dx) <= 2)))
+    reach = numbered.select(*PLANE, (F.col("y") + F.lit(0)).alias("y0"), F.col("x").alias("x0"), around.alias("a")).select(*PLANE, (F.col("y0") + F.col("a.dy")).alias("y"), (F.col("x0") + F.col("a.dx")).alias("x"))
+    crowd = reach.groupBy(*PLANE, "y", "x").agg(F.count("*").alias("n")).filter("n > 1")
+    alone = numbered.join(crowd, [*PLANE, "y", "x"], "left_anti")
+    crowded = numbered.join(crowd, [*PLANE, "y", "x"], "left_semi")
+    schema = "image_id long, t int, z long, label long, y long, x long"
+
+    def settle(key: tuple, plane: pd.DataFrame) -> pd.DataFrame:
+        taken: dict[tuple[int, int], int] = {}
+        for label, y, x in sorted(zip(plane["label"].tolist(), plane["y"].tolist(), plane["x"].tolist(), strict=True)):
+            free = ((y + dy, x + dx) for dy, dx in TRIES if 0 <= y + dy < height and 0 <= x + dx < width and (y + dy, x + dx) not in taken)
+            if (at := next(free, None)) is not None:
+                taken[at] = label
+        return pd.DataFrame([(*key, k, y, x) for (y, x), k in taken.items()], columns=[*PLANE, "label", "y", "x"])
+
+    return alone.select(*PLANE, "label", "y", "x").unionByName(crowded.groupBy(*PLANE).applyInPandas(settle, schema))

@@ -11,33 +11,43 @@ PAIR = ["image_id", "t", "source_set", "source_label", "target_set", "target_lab
 
 
 def overlaps(labels: DataFrame) -> DataFrame:
-    """Shared voxels of each pair of objects, the lower label set first. The join is on the voxel, where each set has one
-    label at most, so it makes at most a row for each pair of sets and voxel."""
-    side = lambda s, k: labels.select(*VOXEL, F.col("set_index").alias(f"{s}_set"), F.col("label").alias(f"{s}_label"))  # noqa: E731,ARG005
-    a, b = side("source", 0), side("target", 1)
-    return a.join(b, VOXEL).filter("source_set < target_set").groupBy(*PAIR).agg(F.count("*").alias("overlap_voxels"))
+    """Shared voxels of each pair of objects, the lower label set first. Labels meet by voxel in one aggregation; a voxel has one
+    label of each set at most, so it makes at most a row for each pair of sets."""
+    met = labels.groupBy(*VOXEL).agg(F.sort_array(F.collect_list(F.struct("set_index", "label"))).alias("m")).filter("size(m) > 1")
+    pair = F.expr("explode(flatten(transform(sequence(1, size(m) - 1), i -> transform(slice(m, i + 1, size(m)), b -> struct(m[i - 1] as a, b as b)))))")
+    rows = met.select("image_id", "t", pair.alias("p"))
+    sides = [F.col(f"p.{k}.{c}").alias(f"{s}_{n}") for k, s in (("a", "source"), ("b", "target")) for c, n in (("set_index", "set"), ("label", "label"))]
+    return rows.select("image_id", "t", *sides).groupBy(*PAIR).agg(F.count("*").alias("overlap_voxels"))
 
 
 def relationships(labels: DataFrame, objects: DataFrame) -> DataFrame:
     """Both directions of each overlap with fractions, relation, whether it is the source's largest in the target's set
-    (ties are all primary), whether the source's centroid lies in the target, and the distance of centroids."""
-    one = overlaps(labels)
-    turned = one.select("image_id", "t", F.col("target_set").alias("source_set"), F.col("target_label").alias("source_label"), F.col("source_set").alias("target_set"), F.col("source_label").alias("target_label"), "overlap_voxels")
-    side = lambda s: objects.select("image_id", "t", F.col("set_index").alias(f"{s}_set"), F.col("label").alias(f"{s}_label"), *(F.col(c).alias(f"{s}_{c}") for c in ("voxel_count", "area_um2", "spatial_dimensions", "centroid_z_px", "centroid_y_px", "centroid_x_px", "centroid_y_um", "centroid_x_um")))
-    both = one.unionByName(turned).join(side("source"), ["image_id", "t", "source_set", "source_label"]).join(side("target"), ["image_id", "t", "target_set", "target_label"])
-    n, s, t = F.col("overlap_voxels"), F.col("source_voxel_count"), F.col("target_voxel_count")
+    (ties are all primary), whether the source's centroid lies in the target, and the distance of centroids.
+
+    The overlap is an area if both objects are flat, else a volume. The distance takes z into account; without a scale of z it
+    is given only if both centroids have the same z. An object_id of the objects, if there is one, is carried along."""
+    extra = [c for c in ("object_id",) if c in objects.columns]
+    ways = F.explode(F.array(*(F.struct(*(F.col(f"{x}_{c}").alias(f"{s}_{c}") for s, x in zip(("source", "target"), way, strict=True) for c in ("set", "label"))) for way in (("source", "target"), ("target", "source")))))
+    directed = overlaps(labels).select("image_id", "t", "overlap_voxels", ways.alias("w")).select("image_id", "t", "w.*", "overlap_voxels")
+    side = lambda s: objects.select("image_id", "t", F.col("set_index").alias(f"{s}_set"), F.col("label").alias(f"{s}_label"), *(F.col(c).alias(f"{s}_{c}") for c in (*extra, "voxel_count", "spatial_dimensions", "centroid_z_px", "centroid_y_px", "centroid_x_px", "centroid_z_um", "centroid_y_um", "centroid_x_um", "pixel_um2", "voxel_um3")))
+    both = directed.join(side("source"), ["image_id", "t", "source_set", "source_label"]).join(side("target"), ["image_id", "t", "target_set", "target_label"])
+    n, whole_s, whole_t = F.col("overlap_voxels"), F.col("source_voxel_count"), F.col("target_voxel_count")
     best = F.max("overlap_voxels").over(Window.partitionBy("image_id", "t", "source_set", "source_label", "target_set"))
     at = [F.rint(f"source_centroid_{c}_px").cast("long").alias(c) for c in "zyx"]
     hit = labels.select(*VOXEL, F.col("set_index").alias("target_set"), F.col("label").alias("target_label"), F.lit(True).alias("hit"))
     near = both.select("*", *at).join(hit, [*VOXEL, "target_set", "target_label"], "left")
+    flat = (F.col("source_spatial_dimensions") == 2) & (F.col("target_spatial_dimensions") == 2)
+    away = lambda c: F.pow(F.col(f"source_centroid_{c}_um") - F.col(f"target_centroid_{c}_um"), 2)
     return near.select(
         *PAIR,
-        F.when((n == s) & (n == t), "identical_extent").when(n == s, "inside").when(n == t, "contains").otherwise("overlaps").alias("relation"),
+        *(f"{s}_{c}" for s in ("source", "target") for c in extra),
+        F.when((n == whole_s) & (n == whole_t), "identical_extent").when(n == whole_s, "inside").when(n == whole_t, "contains").otherwise("overlaps").alias("relation"),
         "overlap_voxels",
-        F.when((F.col("source_spatial_dimensions") == 2) & (F.col("target_spatial_dimensions") == 2), n * F.col("source_area_um2") / s).alias("overlap_um2"),
-        (n / s).alias("source_overlap_fraction"),
-        (n / t).alias("target_overlap_fraction"),
+        F.when(flat, n * F.col("source_pixel_um2")).alias("overlap_um2"),
+        F.when(~flat, n * F.col("source_voxel_um3")).alias("overlap_um3"),
+        (n / whole_s).alias("source_overlap_fraction"),
+        (n / whole_t).alias("target_overlap_fraction"),
         F.coalesce("hit", F.lit(False)).alias("source_centroid_in_target"),
-        F.sqrt(F.pow(F.col("source_centroid_y_um") - F.col("target_centroid_y_um"), 2) + F.pow(F.col("source_centroid_x_um") - F.col("target_centroid_x_um"), 2)).alias("centroid_distance_um"),
+        F.sqrt(F.when(F.col("source_centroid_z_px") == F.col("target_centroid_z_px"), 0.0).otherwise(away("z")) + away("y") + away("x")).alias("centroid_distance_um"),
         (n == best).alias("is_primary_for_source"),
     )

@@ -1,29 +1,27 @@
-"""Spots grown from seeds by a local adaptive threshold, and connected components of a plane."""
+"""Spots grown from seeds by a local adaptive threshold, and connected components of a plane.
+
+A seed's neighbourhood is a join of the seed's offsets with the smoothed pixels; its background, noise, peak and threshold are
+aggregations over that join. What is left for Python is the component around the seed, one row for each candidate, and the
+candidates' competition for places, one plane at a time.
+"""
 
 from __future__ import annotations
 
 import math
+from collections import deque
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from .postprocess import PLANE, offset_ids
 from .stencil import binomial_smooth
 
 # The reach in micrometres, the share of the contrast, and the noise levels above background.
 REACH_UM, CONTRAST_SHARE, NOISE_LEVELS = 1.0, 0.30, 3.0
-
-
-def flood(mask: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """The parts of the mask that 8-connectivity joins to the seeds; grows by whole fronts."""
-    out = mask & seeds
-    while True:
-        wide = np.pad(out, 1)
-        rows = wide[:-2] | wide[1:-1] | wide[2:]
-        grown = (rows[:, :-2] | rows[:, 1:-1] | rows[:, 2:]) & mask
-        if (grown == out).all():
-            return out
-        out = grown
+# Fixed value: from a median absolute deviation to a standard deviation.
+DEVIATION = 1.4826
 
 
 def components(pixels: DataFrame, height: int, width: int) -> DataFrame:
@@ -50,55 +48,127 @@ def components(pixels: DataFrame, height: int, width: int) -> DataFrame:
     return pixels.groupBy("image_id").applyInPandas(work, "image_id long, y long, x long, label long")
 
 
-def candidate(plane: np.ndarray, py: float, px: float, ry: float, rx: float) -> dict:
-    """The region that a seed grows to within its ellipse: above the background's noise and a share of the contrast."""
-    height, width = plane.shape
-    sy, sx = min(max(round(py), 0), height - 1), min(max(round(px), 0), width - 1)
+def joined_to_seed(places: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Those offsets that steps to any of eight neighbours join to (0, 0), which is one of them if it is there at all."""
+    if (0, 0) not in places:
+        return []
+    found, open_ends = {(0, 0)}, deque([(0, 0)])
+    while open_ends:
+        y, x = open_ends.popleft()
+        for near in ((y + dy, x + dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)):
+            if near in places and near not in found:
+                found.add(near)
+                open_ends.append(near)
+    return sorted(found)
+
+
+def candidates(smooth: DataFrame, points: DataFrame, ry: float, rx: float, height: int, width: int) -> DataFrame:
+    """A row for each point (image_id, t, z, point, py, px): its rounded seed, the score (contrast over noise), the offsets
+    of its mask and whether that is a mere fallback to the seed's own pixel.
+
+    Within an ellipse of half axes ry and rx a pixel counts if it exceeds the background by NOISE_LEVELS deviations and by
+    CONTRAST_SHARE of the peak's contrast. Background and noise are medians over the ring from the ellipse to one and a half
+    times its size; where the image has no such pixels, over all outside the ellipse, and else over all of the patch."""
     oy, ox = (max(2, math.ceil(1.5 * r)) for r in (ry, rx))
-    y0, y1, x0, x1 = max(0, sy - oy), min(height, sy + oy + 1), max(0, sx - ox), min(width, sx + ox + 1)
-    patch = plane[y0:y1, x0:x1]
-    away = (((np.arange(y0, y1) - sy) / ry) ** 2)[:, None] + ((np.arange(x0, x1) - sx) / rx) ** 2
-    ring = next(v for v in (patch[(away >= 1) & (away <= 2.25)], patch[away > 1], patch.ravel()) if v.size)
-    ground = float(np.median(ring))
-    noise = 1.4826 * float(np.median(np.abs(ring - ground)))
-    contrast = max(0.0, float(plane[max(0, sy - 1) : sy + 2, max(0, sx - 1) : sx + 2].max()) - ground)
-    seed = np.zeros(patch.shape, bool)
-    seed[sy - y0, sx - x0] = True
-    grown = flood((away <= 1) & (patch >= ground + max(NOISE_LEVELS * noise, CONTRAST_SHARE * contrast)), seed)
-    return {"mask": grown if grown.any() else seed, "fallback": not grown.any(), "corner": (y0, x0), "seed": (sy, sx), "score": contrast / max(noise, 1e-6)}
-
-
-def merged(candidates: list[dict], shape: tuple[int, int]) -> tuple[np.ndarray, dict[str, int]]:
-    """Candidates take free places in order of score; one whose seed is taken is a duplicate."""
-    labels, counts = np.zeros(shape, np.int64), dict.fromkeys(("refined", "grown", "fallbacks", "suppressed", "overlap_removed"), 0)
-    for c in sorted(candidates, key=lambda c: -c["score"]):
-        y, x = c["corner"]
-        part = labels[y : y + c["mask"].shape[0], x : x + c["mask"].shape[1]]
-        free = c["mask"] & (part == 0)
-        if labels[c["seed"]] or not free.any():
-            counts["suppressed"] += 1
-            continue
-        counts["overlap_removed"] += int((c["mask"] & (part != 0)).sum())
-        counts["refined"] += 1
-        part[free] = counts["refined"]
-        counts["fallbacks"] += c["fallback"]
-        counts["grown"] += not c["fallback"] and int(free.sum()) > 1
-    return labels, counts
+    offsets = [(dy, dx, (dy / ry) ** 2 + (dx / rx) ** 2) for dy in range(-oy, oy + 1) for dx in range(-ox, ox + 1)]
+    whole = lambda c, n: F.least(F.greatest(F.rint(c), F.lit(0.0)), F.lit(n - 1.0)).cast("long")
+    seeds = points.select(*PLANE, "point", whole("py", height).alias("sy"), whole("px", width).alias("sx"))
+    around = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(d).alias("d")) for dy, dx, d in offsets)))
+    places = seeds.select("*", around.alias("o")).select("*", (F.col("sy") + F.col("o.dy")).alias("y"), (F.col("sx") + F.col("o.dx")).alias("x"))
+    seen = places.join(smooth.select(*PLANE, "y", "x", "value"), [*PLANE, "y", "x"])
+    key = [*PLANE, "point", "sy", "sx"]
+    rings = [F.col("o.d").between(1.0, 2.25), F.col("o.d") > 1, F.lit(True)]
+    middle = lambda c: F.percentile(c, F.lit(0.5))
+    ground = seen.groupBy(*key).agg(
+        F.array(*(middle(F.when(r, F.col("value"))) for r in rings)).alias("grounds"),
+        F.collect_list(F.struct(F.col("o.dy").alias("dy"), F.col("o.dx").alias("dx"), F.col("o.d").alias("d"), F.col("value").alias("v"))).alias("patch"),
+    )
+    level = ground.withColumn("ring", F.expr("if(grounds[0] is not null, 0, if(grounds[1] is not null, 1, 2))")).withColumn("ground", F.expr("grounds[ring]"))
+    one = level.select(*key, "ring", "ground", "patch", F.explode("patch").alias("o"))
+    in_ring = F.when(F.col("ring") == 0, F.col("o.d").between(1.0, 2.25)).when(F.col("ring") == 1, F.col("o.d") > 1).otherwise(True)
+    told = one.groupBy(*key).agg(
+        (DEVIATION * middle(F.when(in_ring, F.abs(F.col("o.v") - F.col("ground"))))).alias("noise"),
+        F.greatest(F.lit(0.0), F.max(F.when((F.abs(F.col("o.dy")) <= 1) & (F.abs(F.col("o.dx")) <= 1), F.col("o.v") - F.col("ground")))).alias("contrast"),
+        F.first("ground").alias("ground"),
+        F.first("patch").alias("patch"),
+    )
+    least = F.col("ground") + F.greatest(NOISE_LEVELS * F.col("noise"), CONTRAST_SHARE * F.col("contrast"))
+    bright = told.withColumn("least", least).withColumn("bright", F.expr("transform(filter(patch, o -> o.d <= 1 and o.v >= least), o -> struct(o.dy as dy, o.dx as dx))"))
+    scored = bright.select(*key, (F.col("contrast") / F.greatest(F.col("noise"), F.lit(1e-6))).alias("score"), "bright")
+
+    def work(batches):
+        for b in batches:
+            masks = [joined_to_seed({(o["dy"], o["dx"]) for o in offsets}) for offsets in b["bright"]]
+            out = b.drop(columns="bright")
+            out["fallback"] = [not m for m in masks]
+            out["mask"] = [[list(o) for o in m or [(0, 0)]] for m in masks]
+            yield out
+
+    kinds = dict(scored.dtypes)
+    return scored.mapInPandas(work, ", ".join(f"{c} {kinds[c]}" for c in (*key, "score")) + ", fallback boolean, mask array<array<int>>")
+
+
+OUTCOME = "point long, label long, fallback boolean, removed long, places array<array<long>>"
+
+
+def settled(found: DataFrame) -> DataFrame:
+    """What becomes of each candidate: the label it gets in its plane (null if its seed is taken or nothing is left for it), the
+    places it takes and how many others had taken. Candidates choose in order of their scores, equal ones in order of points."""
+    kinds = dict(found.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in PLANE) + ", " + OUTCOME
+
+    def contest(key: tuple, plane: pd.DataFrame) -> pd.DataFrame:
+        owner: dict[tuple[int, int], int] = {}
+        rows, last = [], 0
+        for r in plane.sort_values(["score", "point"], ascending=[False, True]).itertuples():
+            wanted = [(int(r.sy + dy), int(r.sx + dx)) for dy, dx in r.mask]
+            free = [p for p in wanted if p not in owner]
+            if (r.sy, r.sx) in owner or not free:
+                rows.append((*key, r.point, None, r.fallback, 0, []))
+                continue
+            last += 1
+            owner.update(dict.fromkeys(free, last))
+            rows.append((*key, r.point, last, r.fallback, len(wanted) - len(free), [list(p) for p in free]))
+        return pd.DataFrame(rows, columns=[*PLANE, "point", "label", "fallback", "removed", "places"]).astype({"label": "Int64"})
+
+    return found.groupBy(*PLANE).applyInPandas(contest, schema)
+
+
+def planes_of(df: DataFrame) -> DataFrame:
+    """With a timepoint and a plane of 0 where the rows name none."""
+    return df.withColumns({c: F.lit(0).cast(k) for c, k in (("t", "int"), ("z", "long")) if c not in df.columns})
+
+
+def outcomes(pixels: DataFrame, points: DataFrame, scale_y: float, scale_x: float, height: int, width: int, native_3d: bool = False) -> DataFrame:
+    """settled() for points over one channel's smoothed pixels; each plane is refined alone, so a model that finds points in
+    whole volumes has no planes to refine and is an error."""
+    if native_3d:
+        raise ValueError("points of a volume can't be refined plane by plane")
+    ry, rx = max(1.0, REACH_UM / scale_y), max(1.0, REACH_UM / scale_x)
+    smooth = binomial_smooth(planes_of(pixels), height, width)
+    return settled(candidates(smooth, planes_of(points), ry, rx, height, width))
+
+
+def masks(found: DataFrame) -> DataFrame:
+    """(image_id, t, z, y, x, label) of the outcomes, with ids that run over an image's planes."""
+    places = found.filter("label is not null").select(*PLANE, "label", F.explode("places").alias("p"))
+    return offset_ids(places.select(*PLANE, F.col("p")[0].alias("y"), F.col("p")[1].alias("x"), "label"), ["image_id", "t"], ["z"])
+
+
+def totals(found: DataFrame) -> DataFrame:
+    """By image and timepoint what refinement did."""
+    n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    kept = F.col("label").isNotNull()
+    return found.groupBy("image_id", "t").agg(
+        F.count("*").alias("detected_points"),
+        n(kept).alias("refined_masks"),
+        n(kept & ~F.col("fallback") & (F.size("places") > 1)).alias("grown_masks"),
+        n(kept & F.col("fallback")).alias("single_pixel_fallbacks"),
+        n(~kept).alias("suppressed_duplicate_seeds"),
+        F.coalesce(F.sum("removed"), F.lit(0)).alias("overlap_pixels_removed"),
+    )
 
 
 def refined(pixels: DataFrame, points: DataFrame, scale_y: float, scale_x: float, height: int, width: int) -> DataFrame:
-    """Masks (image_id, y, x, label) grown from points (image_id, point, py, px) over the smoothed plane. A plane is one
-    group, as its candidates compete in order of score."""
-    ry, rx = max(1.0, REACH_UM / scale_y), max(1.0, REACH_UM / scale_x)
-    smooth = binomial_smooth(pixels, height, width)
-
-    def work(plane: pd.DataFrame, seeds: pd.DataFrame) -> pd.DataFrame:
-        if plane.empty or seeds.empty:
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("image_id", "y", "x", "label")})
-        values = np.zeros((height, width))
-        values[plane["y"], plane["x"]] = plane["value"]
-        labels, _ = merged([candidate(values, r.py, r.px, ry, rx) for r in seeds.sort_values("point").itertuples()], values.shape)
-        y, x = np.nonzero(labels)
-        return pd.DataFrame({"image_id": plane["image_id"].iloc[0], "y": y, "x": x, "label": labels[y, x]})
-
-    return smooth.groupBy("image_id").cogroup(points.groupBy("image_id")).applyInPandas(work, "image_id long, y long, x long, label long")
+    """Masks grown from points over one channel's pixels."""
+    return masks(outcomes(pixels, points, scale_y, scale_x, height, width))

@@ -1,4 +1,5 @@
-"""Neighbourhood and resampling operations on pixel tables."""
+"""Neighbourhood and resampling operations on pixel tables. A plane is what image, timepoint, channel and z name, as far as a
+table has them."""
 
 from __future__ import annotations
 
@@ -6,22 +7,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def plane_of(pixels: DataFrame, *without: str) -> list[str]:
+    return [c for c in ("image_id", "t", "channel_index", "z") if c in pixels.columns and c not in without]
+
+
 def binomial_smooth(pixels: DataFrame, height: int, width: int) -> DataFrame:
     """3 by 3 binomial smoothing (1-2-1 both ways, over 16); edges repeat; what isn't finite counts as the plane's median.
 
     Each pixel adds to the places whose window it is in, once for each clamped place of the window, so one aggregation does it."""
+    plane = plane_of(pixels)
     finite = ~F.isnan("value") & (F.abs("value") != float("inf"))
-    fill = pixels.groupBy("image_id").agg(F.coalesce(F.percentile(F.when(finite, F.col("value")), F.lit(0.5)), F.lit(0.0)).alias("fill"))
-    clean = pixels.join(fill, "image_id").withColumn("value", F.when(finite, F.col("value")).otherwise(F.col("fill")))
+    fill = pixels.groupBy(*plane).agg(F.coalesce(F.percentile(F.when(finite, F.col("value")), F.lit(0.5)), F.lit(0.0)).alias("fill"))
+    clean = pixels.join(fill, plane).withColumn("value", F.when(finite, F.col("value")).otherwise(F.col("fill")))
     # along one axis: (place, weight) that a pixel at v adds to
     def ways(v: Column, n: int) -> Column:
         inner = F.filter(F.array(*(F.struct((v + d).alias("at"), F.lit(1.0 if d else 2.0).alias("w")) for d in (-1, 0, 1))), lambda s: s["at"].between(0, n - 1))
         edge = F.filter(F.array(*(F.struct(F.lit(e).cast("long").alias("at"), F.lit(1.0).alias("w")) for e in (0, n - 1))), lambda s: s["at"] == v)
         return F.concat(inner, edge)
 
-    rows = clean.select("image_id", "x", "value", F.explode(ways(F.col("y"), height)).alias("a"))
-    both = rows.select("image_id", F.col("a.at").alias("y"), (F.col("value") * F.col("a.w")).alias("v"), F.explode(ways(F.col("x"), width)).alias("b"))
-    return both.select("image_id", "y", F.col("b.at").alias("x"), (F.col("v") * F.col("b.w")).alias("v")).groupBy("image_id", "y", "x").agg((F.sum("v") / 16).alias("value"))
+    rows = clean.select(*plane, "x", "value", F.explode(ways(F.col("y"), height)).alias("a"))
+    both = rows.select(*plane, F.col("a.at").alias("y"), (F.col("value") * F.col("a.w")).alias("v"), F.explode(ways(F.col("x"), width)).alias("b"))
+    return both.select(*plane, "y", F.col("b.at").alias("x"), (F.col("v") * F.col("b.w")).alias("v")).groupBy(*plane, "y", "x").agg((F.sum("v") / 16).alias("value"))
 
 
 def stretched(pixels: DataFrame) -> DataFrame:
@@ -36,7 +42,7 @@ def stretched(pixels: DataFrame) -> DataFrame:
 
 def projected(pixels: DataFrame) -> DataFrame:
     """The largest value over all planes."""
-    return pixels.groupBy("image_id", "channel_index", "y", "x").agg(F.max("value").alias("value"))
+    return pixels.groupBy(*plane_of(pixels, "z"), "y", "x").agg(F.max("value").alias("value"))
 
 
 def decimated(pixels: DataFrame) -> DataFrame:

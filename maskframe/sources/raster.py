@@ -24,11 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """image_id, plate position and scales; every seventh image has no calibration."""
+    """image_id, plate position and scales; every seventh image has no calibration, every fifth none of z."""
     s, n, r = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
     scale = lambda v: F.when(F.col("s_suppkey") % 7 != 0, F.lit(v))
     joined = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-    return joined.select(F.col("s_suppkey").cast("long").alias("image_id"), F.col("r_name").alias("plate_row"), F.col("n_name").alias("plate_column"), F.col("s_suppkey").cast("string").alias("field_index"), scale(0.5).alias("scale_y"), scale(0.25).alias("scale_x"))
+    return joined.select(F.col("s_suppkey").cast("long").alias("image_id"), F.col("r_name").alias("plate_row"), F.col("n_name").alias("plate_column"), F.col("s_suppkey").cast("string").alias("field_index"), F.when(F.col("s_suppkey") % 5 != 0, scale(1.5)).alias("scale_z"), scale(0.5).alias("scale_y"), scale(0.25).alias("scale_x"))
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
