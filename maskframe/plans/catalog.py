@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import math
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +16,7 @@ from ..operators import geometry, intensity, postprocess, regions, relationships
 from ..sources import raster
 from ..sources.raster import SIDE, table
 from . import measurements
-from .oracles import MATCH, OVERLAPS, sql, with_more
+from .oracles import BASE, MATCH, OVERLAPS, sql, with_more
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,7 +57,7 @@ def region_objects(spark, sf_dir):
 @query(
     sql(
         """SELECT image_id, set_index, label, big AS b, 4 * sqrt(big) AS major_axis_length_px, 4 * sqrt(small) AS minor_axis_length_px, 4 * sqrt(big) * (sy + sx) / 2 AS major_axis_length_um,
-        sqrt(4 * n / pi()) AS equivalent_diameter_px, sqrt(4 * n * sy * sx / pi()) AS equivalent_diameter_um, CASE WHEN big = 0 THEN 0 ELSE sqrt(1 - small / big) END AS eccentricity,
+        sqrt(4 * n / pi()) AS equivalent_diameter_px, sqrt(4 * n / pi()) * (sy + sx) / 2 AS equivalent_diameter_um, CASE WHEN big = 0 THEN 0 ELSE sqrt(1 - small / big) END AS eccentricity,
         degrees(CASE WHEN vy = vx THEN CASE WHEN vyx > 0 THEN pi() / 4 ELSE -pi() / 4 END ELSE 0.5 * atan2(2 * vyx, vy - vx) END) AS orientation_degrees,
         CAST(n AS DOUBLE) / ((y1 - y0) * (x1 - x0)) AS extent, 4 * sqrt(big) / nullif(4 * sqrt(small), 0) AS aspect_ratio
         FROM (SELECT *, (vy + vx) / 2 + sqrt(power((vy - vx) / 2, 2) + power(vyx, 2)) AS big, greatest((vy + vx) / 2 - sqrt(power((vy - vx) / 2, 2) + power(vyx, 2)), 0) AS small FROM objs)""",
@@ -93,19 +96,102 @@ def perimeter_and_circularity(spark, sf_dir):
     return regions.relational_shape(*inputs(spark, sf_dir)).select("image_id", "set_index", "label", "perimeter_px", "perimeter_um", "circularity")
 
 
-@query()
+#: Normals of all edges that the hull of an object of at most 8 by 8 pixels' extents can have.
+_NORMALS = [(a, b) for a in range(-18, 19) for b in range(-18, 19) if math.gcd(a, b) == 1]
+HULLS = f"""shapes AS (SELECT image_id, set_index, label, y - min(y) OVER w AS y, x - min(x) OVER w AS x FROM labels WINDOW w AS (PARTITION BY image_id, set_index, label)),
+forms AS (SELECT image_id, set_index, label, string_agg(y || ',' || x, ' ' ORDER BY y, x) AS form, count(*) AS n FROM shapes GROUP BY 1, 2, 3),
+kinds AS (SELECT form, row_number() OVER (ORDER BY form) AS k FROM (SELECT DISTINCT form FROM forms)),
+cells AS (SELECT DISTINCT k, y, x FROM shapes JOIN forms USING (image_id, set_index, label) JOIN kinds USING (form)),
+sides AS (SELECT k, 2 * y + dy AS y, 2 * x + dx AS x FROM cells, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) d(dy, dx)),
+reach AS (SELECT k, a, b, max(a * y + b * x) AS most FROM sides, (VALUES {', '.join(f'({a}, {b})' for a, b in _NORMALS)}) m(a, b) GROUP BY 1, 2, 3),
+box AS (SELECT k, max(y) AS y1, max(x) AS x1 FROM cells GROUP BY 1),
+inside AS (SELECT k, u.y, v.x FROM box, range(64) u(y), range(64) v(x) WHERE u.y <= y1 AND v.x <= x1 AND NOT EXISTS (SELECT 1 FROM reach r WHERE r.k = box.k AND r.a * 2 * u.y + r.b * 2 * v.x > r.most)),
+convex AS (SELECT k, count(*) AS hull FROM inside GROUP BY 1),
+outline AS (SELECT k, 2 * y + dy AS y, 2 * x + dx AS x FROM inside, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) d(dy, dx)),
+wide AS (SELECT p.k, max(sqrt((p.y - q.y) ** 2 + (p.x - q.x) ** 2)) / 2 AS feret FROM outline p JOIN outline q USING (k) GROUP BY 1),
+around AS (SELECT k, CAST(u.y AS BIGINT) - 1 AS y, CAST(v.x AS BIGINT) - 1 AS x FROM box, range(66) u(y), range(66) v(x) WHERE u.y <= y1 + 2 AND v.x <= x1 + 2),
+free AS (SELECT a.* FROM around a ANTI JOIN cells c ON c.k = a.k AND c.y = a.y AND c.x = a.x),
+flow AS (SELECT k, y, x FROM free WHERE y = -1 AND x = -1 UNION SELECT f.k, f.y, f.x FROM flow g JOIN free f ON f.k = g.k AND abs(f.y - g.y) + abs(f.x - g.x) = 1),
+whole AS (SELECT a.k, count(*) - any_value(o.n) AS filled FROM around a JOIN (SELECT k, count(*) AS n FROM flow GROUP BY 1) o ON o.k = a.k GROUP BY 1)"""
+
+
+@query(
+    sql(
+        "SELECT image_id, 0 AS t, set_index, label, CAST(hull AS DOUBLE) AS convex_area_px2, n / hull AS solidity, CAST(filled AS DOUBLE) AS filled_area_px2, feret AS feret_diameter_max_px FROM forms JOIN kinds USING (form) JOIN convex USING (k) JOIN wide USING (k) JOIN whole USING (k)",
+        "solidity",
+        "feret_diameter_max_px",
+        base=with_more(HULLS).replace("WITH img", "WITH RECURSIVE img"),
+    )
+)
 def hull_shape(spark, sf_dir):
-    return geometry.planar(raster.labels(spark, sf_dir).filter("set_index <> 4"))
+    labels, images = inputs(spark, sf_dir)
+    out = regions.objects(labels, images).join(geometry.shapes(labels), raster.OBJECT)
+    return out.select(*raster.OBJECT, F.col("convex_size").alias("convex_area_px2"), (F.col("voxel_count") / F.col("convex_size")).alias("solidity"), F.col("filled_size").alias("filled_area_px2"), "feret_diameter_max_px")
 
 
-@query()
+VOLUMES = """vox AS (SELECT image_id, z, y, x, (y // 16) * 2 + x // 16 + 1 AS label FROM grid, range(3) p(z)
+    WHERE y % 16 BETWEEN 1 AND 10 + image_id % 3 AND x % 16 BETWEEN 2 AND 9 AND NOT (z = 1 AND y % 16 BETWEEN 4 AND 6 AND x % 16 BETWEEN 4 AND 6))"""
+#: Cells of the union of closed voxels: corners, edges, faces and bodies, at half steps.
+SOLIDS = (
+    VOLUMES
+    + """,
+place AS (SELECT image_id, label, 2 * z AS z, 2 * y - 2 * min(y) OVER w AS y, 2 * x - 2 * min(x) OVER w AS x FROM vox WINDOW w AS (PARTITION BY image_id, label)),
+closed AS (SELECT DISTINCT image_id, label, p.z + a.d AS z, p.y + b.d AS y, p.x + c.d AS x FROM place p, (VALUES (-1), (0), (1)) a(d), (VALUES (-1), (0), (1)) b(d), (VALUES (-1), (0), (1)) c(d)),
+euler AS (SELECT image_id, label, CAST(sum(CASE WHEN (z % 2 = 0)::INT + (y % 2 = 0)::INT + (x % 2 = 0)::INT IN (0, 2) THEN 1 ELSE -1 END) AS INTEGER) AS euler_number FROM closed GROUP BY 1, 2),
+size AS (SELECT image_id, label, count(*) AS n, max(y) AS y1, max(x) AS x1 FROM place GROUP BY 1, 2),
+around AS (SELECT image_id, label, 2 * a.v - 2 AS z, 2 * b.v - 2 AS y, 2 * c.v - 2 AS x FROM size, range(5) a(v), range(20) b(v), range(20) c(v) WHERE 2 * b.v - 2 <= y1 + 2 AND 2 * c.v - 2 <= x1 + 2),
+free AS (SELECT a.* FROM around a ANTI JOIN place p ON p.image_id = a.image_id AND p.label = a.label AND p.z = a.z AND p.y = a.y AND p.x = a.x),
+flow AS (SELECT image_id, label, z, y, x FROM free WHERE z = -2 AND y = -2 AND x = -2 UNION SELECT f.image_id, f.label, f.z, f.y, f.x FROM flow g JOIN free f ON f.image_id = g.image_id AND f.label = g.label AND abs(f.z - g.z) + abs(f.y - g.y) + abs(f.x - g.x) = 2),
+filled AS (SELECT image_id, label, count(*) - any_value(o) AS filled FROM around JOIN (SELECT image_id, label, count(*) AS o FROM flow GROUP BY 1, 2) USING (image_id, label) GROUP BY 1, 2)"""
+)
+
+
+@query(
+    sql(
+        # the hull of a block with a hollow is the block: its box
+        "SELECT image_id, 0 AS t, 1 AS set_index, label, CAST(n AS DOUBLE) AS volume_voxels, CAST(3 * (y1 // 2 + 1) * (x1 // 2 + 1) AS DOUBLE) AS convex_volume_voxels, n / (3 * (y1 // 2 + 1) * (x1 // 2 + 1)) AS solidity, CAST(filled AS DOUBLE) AS filled_volume_voxels, euler_number FROM size JOIN euler USING (image_id, label) JOIN filled USING (image_id, label)",
+        "solidity",
+        base=with_more(SOLIDS).replace("WITH img", "WITH RECURSIVE img"),
+    )
+)
 def volume_shape(spark, sf_dir):
-    return geometry.volumetric(raster.volumes(spark, sf_dir))
+    volumes, images = raster.volumes(spark, sf_dir), raster.images(spark, sf_dir)
+    out = regions.objects(volumes, images).join(geometry.shapes(volumes), raster.OBJECT)
+    return out.select(*raster.OBJECT, "volume_voxels", F.col("convex_size").alias("convex_volume_voxels"), (F.col("voxel_count") / F.col("convex_size")).alias("solidity"), F.col("filled_size").alias("filled_volume_voxels"), F.col("euler_number_3d").alias("euler_number"))
 
 
-@query()
+def _axes_sql(scales: str, name: str) -> str:
+    """The axes of vox's objects by the roots of the characteristic polynomial, of coordinates that the scales multiply."""
+    return f"""{name} AS (SELECT image_id, label, CASE WHEN q IS NOT NULL THEN sqrt(greatest(10 * (l1 + (3 * q - l1 - l3) - l3), 0)) END AS major, CASE WHEN q IS NOT NULL THEN sqrt(greatest(10 * (l3 + (3 * q - l1 - l3) - l1), 0)) END AS minor FROM (
+    SELECT *, q + 2 * p * cos(f) AS l1, q + 2 * p * cos(f + 2 * pi() / 3) AS l3 FROM (
+    SELECT *, acos(least(1, greatest(-1, coalesce(((zz - q) * ((yy - q) * (xx - q) - yx * yx) - zy * (zy * (xx - q) - yx * zx) + zx * (zy * yx - (yy - q) * zx)) / nullif(2 * p * p * p, 0), 0)))) / 3 AS f FROM (
+    SELECT *, sqrt(((zz - q) * (zz - q) + (yy - q) * (yy - q) + (xx - q) * (xx - q) + 2 * (zy * zy + zx * zx + yx * yx)) / 6) AS p FROM (
+    SELECT *, (zz + yy + xx) / 3 AS q FROM (SELECT image_id, label, zz * mz * mz AS zz, yy * my * my AS yy, xx * mx * mx AS xx, zy * mz * my AS zy, zx * mz * mx AS zx, yx * my * mx AS yx FROM {scales}))))))"""
+
+
+SPANS = (
+    VOLUMES
+    + """,
+cov AS (SELECT image_id, label, count(*) AS n, round(var_pop(z), 9) AS zz, round(var_pop(y), 9) AS yy, round(var_pop(x), 9) AS xx, round(covar_pop(z, y), 9) + 0.0 AS zy, round(covar_pop(z, x), 9) + 0.0 AS zx, round(covar_pop(y, x), 9) + 0.0 AS yx,
+    max(z) - min(z) + 1 AS dz, max(y) - min(y) + 1 AS dy, max(x) - min(x) + 1 AS dx, sz, sy, sx FROM vox JOIN img USING (image_id) GROUP BY 1, 2, sz, sy, sx),
+"""
+    + _axes_sql("(SELECT *, 1 AS mz, 1 AS my, 1 AS mx FROM cov)", "px")
+    + ",\n"
+    + _axes_sql("(SELECT *, sz AS mz, sy AS my, sx AS mx FROM cov)", "um")
+)
+AXIS_COLUMNS = "major_axis_length_px minor_axis_length_px major_axis_length_um minor_axis_length_um equivalent_diameter_px equivalent_diameter_um volume_um3 extent aspect_ratio".split()
+
+
+@query(
+    sql(
+        "SELECT image_id, 0 AS t, 1 AS set_index, label, px.major AS major_axis_length_px, px.minor AS minor_axis_length_px, um.major AS major_axis_length_um, um.minor AS minor_axis_length_um, cbrt(6 * n / pi()) AS equivalent_diameter_px, cbrt(6 * n * sz * sy * sx / pi()) AS equivalent_diameter_um, n * sz * sy * sx AS volume_um3, n / (dz * dy * dx) AS extent, px.major / nullif(px.minor, 0) AS aspect_ratio, CAST(NULL AS DOUBLE) AS eccentricity FROM cov JOIN px USING (image_id, label) JOIN um USING (image_id, label)",
+        *AXIS_COLUMNS,
+        base=with_more(SPANS),
+    )
+)
 def volume_axes(spark, sf_dir):
-    return geometry.axes_3d(raster.volumes(spark, sf_dir))
+    out = regions.moment_shape(regions.objects(raster.volumes(spark, sf_dir), raster.images(spark, sf_dir)))
+    return out.select(*raster.OBJECT, *AXIS_COLUMNS, "eccentricity")
 
 
 @query(sql("SELECT image_id, 0 AS t, set_index, count(*) AS label_count, CAST(sum(n) AS BIGINT) AS foreground_voxels, CAST(sum(n) AS DOUBLE) * 100 / 1024 AS foreground_percent, avg(n) AS mean_size, quantile_cont(n, 0.5) AS median_size, min(n) AS min_size, max(n) AS max_size, quantile_cont(sqrt(4 * n / pi()), 0.5) AS median_equivalent_diameter FROM obj GROUP BY 1, 3", "foreground_percent", "mean_size", "median_size", "median_equivalent_diameter"))
@@ -150,10 +236,9 @@ def border_labels(spark, sf_dir):
     return postprocess.border_labels(raster.labels(spark, sf_dir), SIDE, SIDE)
 
 
-@query(sql("SELECT image_id, set_index, label, n AS voxels FROM obj o WHERE set_index = 2 AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.image_id = o.image_id AND l.set_index = 2 AND l.label = o.label AND (y IN (0, 31) OR x IN (0, 31)))"))
+@query(sql("SELECT image_id, set_index, label, n AS voxels FROM obj o WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.image_id = o.image_id AND l.set_index = o.set_index AND l.label = o.label AND (y IN (0, 31) OR x IN (0, 31)))"))
 def border_removal(spark, sf_dir):
-    nuclei = raster.labels(spark, sf_dir).filter("set_index = 2")
-    return postprocess.without_border(nuclei, SIDE, SIDE).groupBy("image_id", "set_index", "label").agg(F.count("*").alias("voxels"))
+    return postprocess.without_border(raster.labels(spark, sf_dir), SIDE, SIDE).groupBy("image_id", "set_index", "label").agg(F.count("*").alias("voxels"))
 
 
 @query(sql("SELECT image_id, 0 AS t, cell, nucleus, CAST(new_id AS BIGINT) AS new_id FROM ids", base=MATCH))
@@ -196,7 +281,18 @@ def id_offsets(spark, sf_dir):
     return out.groupBy("image_id", "set_index", "label").agg(F.count("*").alias("voxels"))
 
 
-@query()
+@query(
+    sql(
+        """SELECT image_id, 0 AS t, CAST(0 AS BIGINT) AS z, k AS label, got // 32 AS y, got % 32 AS x FROM walk WHERE got IS NOT NULL""",
+        base=BASE.replace("WITH img", "WITH RECURSIVE img").rstrip()
+        + """,
+places AS (SELECT image_id, row_number() OVER (PARTITION BY image_id ORDER BY y * 32 + x) AS k, CAST(least(greatest(round_even(y + 0.5::DOUBLE, 0), 0), 31) AS BIGINT) AS y, CAST(least(greatest(round_even(x - 0.5::DOUBLE, 0), 0), 31) AS BIGINT) AS x FROM sig WHERE v >= 50),
+tries AS (SELECT image_id, k, list_filter([y * 32 + x, CASE WHEN y > 0 THEN (y - 1) * 32 + x END, CASE WHEN y < 31 THEN (y + 1) * 32 + x END, CASE WHEN x > 0 THEN y * 32 + x - 1 END, CASE WHEN x < 31 THEN y * 32 + x + 1 END], lambda p: p IS NOT NULL) AS ways FROM places),
+walk AS (SELECT DISTINCT image_id, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS got, CAST([] AS BIGINT[]) AS taken FROM places
+    UNION ALL SELECT w.image_id, t.k, list_filter(ways, lambda p: NOT list_contains(taken, p))[1], CASE WHEN list_filter(ways, lambda p: NOT list_contains(taken, p))[1] IS NULL THEN taken ELSE list_append(taken, list_filter(ways, lambda p: NOT list_contains(taken, p))[1]) END FROM walk w JOIN tries t ON t.image_id = w.image_id AND t.k = w.k + 1)
+""",
+    )
+)
 def points_to_labels(spark, sf_dir):
     points = raster.signal(spark, sf_dir).filter(F.col("v") >= 50).select("image_id", (F.col("y") * SIDE + F.col("x")).alias("point"), (F.col("y") + 0.5).alias("py"), (F.col("x") - 0.5).alias("px"))
     return postprocess.points_to_labels(points, SIDE, SIDE)
@@ -211,12 +307,12 @@ def channel_one(spark, sf_dir) -> DataFrame:
 
 @query(
     sql(
-        "SELECT p.image_id, p.y, p.x, sum(w * q.value) / 16 AS value FROM pixels p, (VALUES (-1, -1, 1), (-1, 0, 2), (-1, 1, 1), (0, -1, 2), (0, 0, 4), (0, 1, 2), (1, -1, 1), (1, 0, 2), (1, 1, 1)) m(dy, dx, w) JOIN pixels q ON q.image_id = p.image_id AND q.channel_index = 1 AND q.y = least(greatest(p.y + dy, 0), 31) AND q.x = least(greatest(p.x + dx, 0), 31) WHERE p.channel_index = 1 GROUP BY 1, 2, 3",
+        "SELECT p.image_id, 0 AS t, p.channel_index, CAST(0 AS BIGINT) AS z, p.y, p.x, sum(w * q.value) / 16 AS value FROM pixels p, (VALUES (-1, -1, 1), (-1, 0, 2), (-1, 1, 1), (0, -1, 2), (0, 0, 4), (0, 1, 2), (1, -1, 1), (1, 0, 2), (1, 1, 1)) m(dy, dx, w) JOIN pixels q ON q.image_id = p.image_id AND q.channel_index = p.channel_index AND q.y = least(greatest(p.y + dy, 0), 31) AND q.x = least(greatest(p.x + dx, 0), 31) GROUP BY p.image_id, p.channel_index, p.y, p.x",
         "value",
     )
 )
 def binomial_smooth(spark, sf_dir):
-    return stencil.binomial_smooth(channel_one(spark, sf_dir), SIDE, SIDE)
+    return stencil.binomial_smooth(raster.pixels(spark, sf_dir), SIDE, SIDE)
 
 
 @query(sql("SELECT image_id, channel_index, y, x, CAST(floor(least(greatest((value - lo) * 255.0::DOUBLE / ((CASE WHEN hi <= lo THEN lo + 1 ELSE hi END) - lo), 0), 255)) AS INTEGER) AS value FROM pixels JOIN (SELECT image_id, channel_index, quantile_cont(value, 0.005) AS lo, quantile_cont(value, 0.998) AS hi FROM pixels GROUP BY 1, 2) USING (image_id, channel_index)"))
@@ -230,9 +326,11 @@ def max_projection(spark, sf_dir):
     return stencil.projected(stack)
 
 
-@query(sql("SELECT image_id, channel_index, y // 2 AS y, x // 2 AS x, value FROM pixels WHERE y % 2 = 0 AND x % 2 = 0"))
-def pyramid_level(spark, sf_dir):
-    return stencil.decimated(raster.pixels(spark, sf_dir)).select("image_id", "channel_index", "y", "x", "value")
+@query(sql("SELECT image_id, k AS level, channel_index, y // (1 << k) AS y, x // (1 << k) AS x, value FROM pixels, (VALUES (0), (1), (2)) l(k) WHERE y % (1 << k) = 0 AND x % (1 << k) = 0"))
+def pyramid_levels(spark, sf_dir):
+    levels = stencil.pyramid(raster.pixels(spark, sf_dir), SIDE, SIDE, least=16, most=5)
+    parts = [d.select("image_id", F.lit(k).alias("level"), "channel_index", "y", "x", "value") for k, d in enumerate(levels)]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query(sql("SELECT image_id, channel_index, y - 6 AS y, x - 6 AS x, value FROM pixels WHERE y BETWEEN 6 AND 25 AND x BETWEEN 6 AND 25"))
@@ -240,14 +338,14 @@ def centre_crop(spark, sf_dir):
     return stencil.centre_crop(raster.pixels(spark, sf_dir), SIDE, SIDE, 20).select("image_id", "channel_index", "y", "x", "value")
 
 
-@query(sql("SELECT p.image_id, CAST(a.k AS BIGINT) AS y, CAST(b.k AS BIGINT) AS x, p.value FROM pixels p, range(20) a(k), range(48) b(k) WHERE p.channel_index = 1 AND p.y = (a.k * 32) // 20 AND p.x = (b.k * 32) // 48"))
+@query(sql("SELECT p.image_id, p.channel_index, CAST(a.k AS BIGINT) AS y, CAST(b.k AS BIGINT) AS x, p.value FROM pixels p, range(20) a(k), range(48) b(k) WHERE p.y = (a.k * 32) // 20 AND p.x = (b.k * 32) // 48"))
 def nearest_resize(spark, sf_dir):
-    return stencil.resized_nearest(channel_one(spark, sf_dir), SIDE, SIDE, 20, 48).select("image_id", "y", "x", "value")
+    return stencil.resized_nearest(raster.pixels(spark, sf_dir), SIDE, SIDE, 20, 48).select("image_id", "channel_index", "y", "x", "value")
 
 
-@query(sql("SELECT image_id, set_index, label, y, x, a.k AS tile_y, b.k AS tile_x, y // 16 = a.k AND x // 16 = b.k AS core FROM labels, range(2) a(k), range(2) b(k) WHERE set_index = 4 AND y BETWEEN a.k * 16 - 3 AND a.k * 16 + 18 AND x BETWEEN b.k * 16 - 3 AND b.k * 16 + 18"))
+@query(sql("SELECT image_id, set_index, label, y, x, a.k AS tile_y, b.k AS tile_x, y // 16 = a.k AND x // 16 = b.k AS core FROM labels, range(2) a(k), range(2) b(k) WHERE y BETWEEN a.k * 16 - 3 AND a.k * 16 + 18 AND x BETWEEN b.k * 16 - 3 AND b.k * 16 + 18"))
 def halo_tiles(spark, sf_dir):
-    return stencil.tiled(raster.labels(spark, sf_dir).filter("set_index = 4"), 16, 3, SIDE, SIDE).drop("t", "z")
+    return stencil.tiled(raster.labels(spark, sf_dir), 16, 3, SIDE, SIDE).drop("t", "z")
 
 
 @query("SELECT l_orderkey, l_linenumber, CAST(round_even(CAST(l_extendedprice AS DOUBLE), 0) AS INTEGER) AS pixel FROM lineitem")
@@ -259,8 +357,11 @@ def exact_int_pixels(spark, sf_dir):
 
 
 def view_query(text: str):
+    """Over published tables: those that the text's tables and views need are measured once a session and folder."""
+    names = {n for n in [*measurements.COLUMNS, *measurements.VIEWS] if re.search(rf"\b{n}\b", text)}
+
     def run(spark, sf_dir):
-        measurements.register(spark, sf_dir)
+        measurements.over_published(spark, sf_dir, names)
         return spark.sql(text)
 
     return run
@@ -268,20 +369,20 @@ def view_query(text: str):
 
 KIND = "CASE set_index WHEN 1 THEN 'cells' WHEN 2 THEN 'nuclei' WHEN 3 THEN 'cytoplasm' ELSE 'spots' END"
 NAME = "CASE set_index WHEN 1 THEN 'labels_cells' WHEN 2 THEN 'labels_nuclei' WHEN 3 THEN 'labels_cytoplasm' ELSE 'labels_spots_channel_1' END"
-ID = "(image_id * 10 + set_index) * 100000 + label"
+NUMBERS = """numbers AS (SELECT image_id, set_index, label, row_number() OVER (ORDER BY image_id, set_index, label) AS object_id FROM obj)"""
 FOCI = OVERLAPS.rstrip() + """,
 foci AS (SELECT *, CASE target_set WHEN 1 THEN 'cells' WHEN 2 THEN 'nuclei' ELSE 'cytoplasm' END AS target_object_type FROM rel WHERE source_set = 4 AND target_set < 4 AND is_primary_for_source)
 """
 
 for _name, _text, _oracle in (
     ("object_features_view", "SELECT object_id, image_name, plate_row, plate_column, field_index, label_name, locations_only, object_type, voxel_count, area_um2, bbox_min_y_px, major_axis_length_px FROM object_features",
-     sql(f"SELECT {ID} AS object_id, 'field_' || image_id AS image_name, plate_row, plate_column, CAST(image_id AS VARCHAR) AS field_index, {NAME} AS label_name, set_index = 4 AS locations_only, {KIND} AS object_type, n AS voxel_count, CASE WHEN set_index < 4 THEN n * sy * sx END AS area_um2, CASE WHEN set_index < 4 THEN y0 END AS bbox_min_y_px, CASE WHEN set_index < 4 THEN 4 * sqrt((vy + vx) / 2 + sqrt(power((vy - vx) / 2, 2) + power(vyx, 2))) END AS major_axis_length_px FROM objs", "area_um2", "major_axis_length_px")),
+     sql(f"SELECT object_id, 'field_' || image_id AS image_name, plate_row, plate_column, CAST(image_id AS VARCHAR) AS field_index, {NAME} AS label_name, set_index = 4 AS locations_only, {KIND} AS object_type, n AS voxel_count, CASE WHEN set_index < 4 THEN n * sy * sx END AS area_um2, CASE WHEN set_index < 4 THEN y0 END AS bbox_min_y_px, CASE WHEN set_index < 4 THEN 4 * sqrt((vy + vx) / 2 + sqrt(power((vy - vx) / 2, 2) + power(vyx, 2))) END AS major_axis_length_px FROM objs JOIN numbers USING (image_id, set_index, label)", "area_um2", "major_axis_length_px", base=with_more(NUMBERS))),
     ("intensity_features_view", "SELECT object_id, label_value, object_type, channel_index, channel_name, sample_count, intensity_mean, intensity_mad FROM intensity_features",
-     sql(f"SELECT {ID} AS object_id, label AS label_value, {KIND} AS object_type, channel_index, CASE channel_index WHEN 1 THEN 'Signal' ELSE 'Reference' END AS channel_name, sample_count, intensity_mean, intensity_mad FROM stats", "intensity_mean", "intensity_mad", base=with_more(VALUES))),
+     sql(f"SELECT object_id, label AS label_value, {KIND} AS object_type, channel_index, CASE channel_index WHEN 1 THEN 'Signal' ELSE 'Reference' END AS channel_name, sample_count, intensity_mean, intensity_mad FROM stats JOIN numbers USING (image_id, set_index, label)", "intensity_mean", "intensity_mad", base=with_more(VALUES + ",\n" + NUMBERS))),
     ("mask_relationships_view", "SELECT source_object_id, target_object_id, source_object_type, target_object_type, source_label_name, target_label_name, relation, overlap_voxels, is_primary_for_source FROM mask_relationships",
-     sql(f"SELECT (image_id * 10 + source_set) * 100000 + source_label AS source_object_id, (image_id * 10 + target_set) * 100000 + target_label AS target_object_id, {KIND.replace('set_index', 'source_set')} AS source_object_type, {KIND.replace('set_index', 'target_set')} AS target_object_type, {NAME.replace('set_index', 'source_set')} AS source_label_name, {NAME.replace('set_index', 'target_set')} AS target_label_name, relation, overlap_voxels, is_primary_for_source FROM rel", base=OVERLAPS)),
+     sql(f"SELECT a.object_id AS source_object_id, b.object_id AS target_object_id, {KIND.replace('set_index', 'source_set')} AS source_object_type, {KIND.replace('set_index', 'target_set')} AS target_object_type, {NAME.replace('set_index', 'source_set')} AS source_label_name, {NAME.replace('set_index', 'target_set')} AS target_label_name, relation, overlap_voxels, is_primary_for_source FROM rel JOIN numbers a ON a.image_id = rel.image_id AND a.set_index = source_set AND a.label = source_label JOIN numbers b ON b.image_id = rel.image_id AND b.set_index = target_set AND b.label = target_label", base=OVERLAPS.rstrip() + ",\n" + NUMBERS + "\n")),
     ("foci_assignments_view", "SELECT source_object_id, target_object_id, target_object_type, relation, source_overlap_fraction FROM foci_assignments",
-     sql("SELECT (image_id * 10 + source_set) * 100000 + source_label AS source_object_id, (image_id * 10 + target_set) * 100000 + target_label AS target_object_id, target_object_type, relation, source_overlap_fraction FROM foci", "source_overlap_fraction", base=FOCI)),
+     sql("SELECT a.object_id AS source_object_id, b.object_id AS target_object_id, target_object_type, relation, source_overlap_fraction FROM foci JOIN numbers a ON a.image_id = foci.image_id AND a.set_index = source_set AND a.label = source_label JOIN numbers b ON b.image_id = foci.image_id AND b.set_index = target_set AND b.label = target_label", "source_overlap_fraction", base=FOCI.rstrip() + ",\n" + NUMBERS + "\n")),
     ("cells_with_area", "SELECT image_name, label_value, area_um2, centroid_y_um, centroid_x_um FROM object_features WHERE object_type = 'cells' AND area_um2 IS NOT NULL",
      sql("SELECT 'field_' || image_id AS image_name, label AS label_value, n * sy * sx AS area_um2, cy * sy AS centroid_y_um, cx * sx AS centroid_x_um FROM objs WHERE set_index = 1 AND sy IS NOT NULL", "area_um2", "centroid_y_um", "centroid_x_um")),
     ("cell_signal", "SELECT image_id, label_value, intensity_mean, intensity_median FROM intensity_features WHERE object_type = 'cells' AND channel_name = 'Signal'",
@@ -292,14 +393,21 @@ for _name, _text, _oracle in (
      sql("SELECT plate_row, plate_column, count(*) AS cells, avg(n * sy * sx) AS mean_area_um2 FROM objs WHERE set_index = 1 GROUP BY 1, 2", "mean_area_um2")),
     ("cells_without_foci", "SELECT o.image_id, o.label_value, count(f.source_object_id) AS foci FROM objects o LEFT JOIN foci_assignments f ON f.target_object_id = o.object_id WHERE o.object_type = 'cells' GROUP BY o.image_id, o.label_value",
      sql("SELECT o.image_id, o.label AS label_value, count(f.source_label) AS foci FROM obj o LEFT JOIN foci f ON f.image_id = o.image_id AND f.target_set = 1 AND f.target_label = o.label WHERE o.set_index = 1 GROUP BY 1, 2", base=FOCI)),
-    ("key_violations", "SELECT 'objects' AS table_name, count(*) AS violations FROM (SELECT object_id FROM objects GROUP BY object_id HAVING count(*) > 1) UNION ALL SELECT 'intensity_measurements', count(*) FROM (SELECT object_id, channel_id FROM intensity_measurements GROUP BY object_id, channel_id HAVING count(*) > 1)",
-     "SELECT 'objects' AS table_name, CAST(0 AS BIGINT) AS violations UNION ALL SELECT 'intensity_measurements', CAST(0 AS BIGINT)"),
 ):
     _f = view_query(_text)
     _f.__name__ = _name
     query(_oracle)(_f)
 
 
+_KEYED_TABLES = [*measurements.KEYS.items(), *measurements.NATURAL_KEYS.items()]
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS table_name, '{', '.join(keys)}' AS key, CAST(0 AS BIGINT) AS violations" for name, keys in _KEYED_TABLES))
+def key_violations(spark, sf_dir):
+    measurements.over_published(spark, sf_dir, set(measurements.KEYS))
+    return measurements.violations(spark)
+
+
 # Runs --------------------------------------------------------------------------------------------------------------------
 
 
@@ -443,7 +551,7 @@ def spot_refinement(spark, sf_dir):
 
 
 def _sql_models() -> str:
-    rows = [f"('{f}:{n}', {t.split()!r}, {least})" for f, names, t, _, least in models.MODELS for n in names.split()]
+    rows = [f"('{f}:{n}', {list(t)!r}, {least})" for f, names, t, _, least in models.MODELS for n in names]
     return f"(VALUES {', '.join(rows)}) m(model_id, targets, min_channels)"
 
 
@@ -508,13 +616,16 @@ def foci_dispatch(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", kind["label"].alias("label"), kind["target"].alias("target"))
 
 
-@query()
-def surface_areas(spark, sf_dir):
-    return geometry.surface_areas(raster.volumes(spark, sf_dir), (1.0, 0.5, 0.25))
+_SURFACE = ", ".join(f"({k}, {a!r}::DOUBLE)" for k, a in enumerate(geometry.surface_table((1.5, 0.5, 0.25))))
+SURFACES = VOLUMES + f""",
+states AS (SELECT image_id, label, z + dz AS z, y + dy AS y, x + dx AS x, sum(w) AS state FROM vox, (VALUES {', '.join(f'({-(k >> 2 & 1)}, {-(k >> 1 & 1)}, {-(k & 1)}, {1 << k})' for k in range(8))}) m(dz, dy, dx, w) GROUP BY ALL)"""
 
 
-VOLUMES = """vox AS (SELECT image_id, z, y, x, (y // 16) * 2 + x // 16 + 1 AS label FROM grid, range(3) p(z)
-    WHERE y % 16 BETWEEN 1 AND 10 + image_id % 3 AND x % 16 BETWEEN 2 AND 9 AND NOT (z = 1 AND y % 16 BETWEEN 4 AND 6 AND x % 16 BETWEEN 4 AND 6))"""
+@query(sql(f"SELECT image_id, 0 AS t, 1 AS set_index, label, CASE WHEN sz IS NOT NULL THEN sum(a) END AS surface_area_um2, sum(bit_count(CAST(state AS INTEGER))) / 8 * sz * sy * sx AS volume_um3 FROM states JOIN (VALUES {_SURFACE}) v(state, a) USING (state) JOIN img USING (image_id) GROUP BY image_id, label, sz, sy, sx", "surface_area_um2", "volume_um3", base=with_more(SURFACES)))
+def surface_areas(spark, sf_dir):
+    images = raster.images(spark, sf_dir)
+    scales = images.select("image_id", *(F.col(f"scale_{c}").alias(f"s{c}") for c in "zyx"))
+    return geometry.surfaces(raster.volumes(spark, sf_dir), scales)
 
 
 @query(sql("SELECT image_id, z, label + coalesce(before, 0) AS label, n AS voxels FROM (SELECT image_id, z, label, count(*) AS n FROM vox GROUP BY 1, 2, 3) JOIN (SELECT image_id, z, CAST(sum(top) OVER (PARTITION BY image_id ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS before FROM (SELECT image_id, z, max(label) AS top FROM vox GROUP BY 1, 2)) USING (image_id, z)", base=with_more(VOLUMES)))

@@ -1,68 +1,237 @@
-"""The measurement tables and the views over them, as a Spark SQL surface."""
+"""The measurement tables and the views over them, as a Spark SQL surface.
+
+A view is its base table and lookups: each lookup names the table it reads, the key that meets that table's own, and the columns
+it adds. The views read whatever tables stand under their names, so over published tables nothing is measured again.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import label_path, locations_only, object_type
 from ..operators.intensity import intensities
-from ..operators.regions import moment_shape, objects
+from ..operators.postprocess import running_sums
+from ..operators.regions import full_shape
 from ..operators.relationships import relationships
 from ..sources import raster
+from ..sources.raster import OBJECT
+from ..sources.workspace import folder
+
+SCHEMA_VERSION = 1
+#: Bits of an image's part ids; more label sets or channels of one image are an error.
+PART_BITS = 16
+
+# The tables' columns, in order, as names of a Spark schema.
+COLUMNS = {
+    "schema_info": "key string, value string",
+    "measurement_runs": "run_id long, created_utc string, software_version string, schema_version int, database_format string, source_store string, output_ome_zarr string, settings_json string",
+    "images": "image_id long, run_id long, source_store string, source_resource_path string, output_resource_path string, image_name string, plate_row string, plate_column string, field_index string, size_t long, size_c long, size_z long, size_y long, size_x long, source_dtype string, scale_t double, scale_z_um double, scale_y_um double, scale_x_um double",
+    "channels": "channel_id long, image_id long, channel_index int, channel_name string, channel_color string",
+    "label_sets": "label_set_id long, image_id long, label_set_index int, label_name string, object_type string, locations_only boolean, output_label_path string",
+    "objects": "object_id long, image_id long, label_set_id long, timepoint int, label_value long, object_type string, is_point boolean, spatial_dimensions int, voxel_count long, area_px2 double, area_um2 double, volume_voxels double, volume_um3 double, centroid_z_px double, centroid_y_px double, centroid_x_px double, centroid_z_um double, centroid_y_um double, centroid_x_um double, bbox_min_z_px long, bbox_min_y_px long, bbox_min_x_px long, bbox_max_z_px long, bbox_max_y_px long, bbox_max_x_px long, bbox_min_z_um double, bbox_min_y_um double, bbox_min_x_um double, bbox_max_z_um double, bbox_max_y_um double, bbox_max_x_um double, convex_area_px2 double, convex_area_um2 double, filled_area_px2 double, filled_area_um2 double, convex_volume_voxels double, convex_volume_um3 double, filled_volume_voxels double, filled_volume_um3 double, equivalent_diameter_px double, equivalent_diameter_um double, major_axis_length_px double, major_axis_length_um double, minor_axis_length_px double, minor_axis_length_um double, feret_diameter_max_px double, feret_diameter_max_um double, perimeter_px double, perimeter_um double, perimeter_crofton_px double, perimeter_crofton_um double, circularity double, eccentricity double, solidity double, extent double, orientation_degrees double, euler_number int, aspect_ratio double, surface_area_um2 double, sphericity double",
+    "intensity_measurements": "object_id long, channel_id long, sample_count long, intensity_sum double, intensity_mean double, intensity_variance double, intensity_stddev double, intensity_min double, intensity_max double, intensity_median double, intensity_mad double, intensity_p10 double, intensity_p25 double, intensity_p75 double, intensity_p90 double, coefficient_of_variation double",
+    "relationships": "relationship_id long, image_id long, timepoint int, source_object_id long, target_object_id long, source_label_set_id long, target_label_set_id long, relation string, overlap_voxels long, overlap_um2 double, overlap_um3 double, source_overlap_fraction double, target_overlap_fraction double, source_centroid_in_target boolean, centroid_distance_um double, is_primary_for_source boolean",
+}
+#: What no two rows of a table may share.
+KEYS = {"images": ["image_id"], "channels": ["channel_id"], "label_sets": ["label_set_id"], "objects": ["object_id"], "intensity_measurements": ["object_id", "channel_id"], "relationships": ["relationship_id"]}
+NATURAL_KEYS = {"channels": ["image_id", "channel_index"], "label_sets": ["image_id", "label_set_index"], "objects": ["label_set_id", "timepoint", "label_value"], "relationships": ["source_object_id", "target_object_id"]}
+
+
+@dataclass(frozen=True)
+class Lookup:
+    table: str
+    on: str
+    key: str
+    adds: dict[str, str]
+
+
+@dataclass(frozen=True)
+class View:
+    base: str
+    lookups: tuple[Lookup, ...] = ()
+    only: str = "true"
+
+    def over(self, spark: SparkSession) -> DataFrame:
+        out = spark.table(self.base)
+        for n, look in enumerate(self.lookups):
+            key = f"__key_{n}"
+            found = spark.table(look.table).select(F.col(look.key).alias(key), *(F.col(c).alias(a) for c, a in look.adds.items()))
+            out = out.join(found, F.col(look.on) == F.col(key)).drop(key)
+        return out.filter(self.only)
 
-#: An object's id packs its image, label set and label, so no row needs a global order.
-OBJECT_ID = "(image_id * 10 + set_index) * 100000 + label"
 
+def same(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
+
+
+def end(side: str) -> tuple[Lookup, ...]:
+    """What a relationship's end is: the kind of its object and the name of its label set."""
+    return Lookup("objects", f"{side}_object_id", "object_id", {"object_type": f"{side}_object_type"}), Lookup("label_sets", f"{side}_label_set_id", "label_set_id", {"label_name": f"{side}_label_name"})
+
+
+# The views' names and columns, and the kinds that foci and compartments have.
 VIEWS = {
-    "object_features": """SELECT o.*, i.image_name, i.plate_row, i.plate_column, i.field_index, s.label_name, s.locations_only
-        FROM objects o JOIN images i ON i.image_id = o.image_id JOIN label_sets s ON s.label_set_id = o.label_set_id""",
-    "intensity_features": """SELECT m.*, o.image_id, o.label_set_id, o.timepoint, o.label_value, o.object_type, c.channel_index, c.channel_name
-        FROM intensity_measurements m JOIN objects o ON o.object_id = m.object_id JOIN channels c ON c.channel_id = m.channel_id""",
-    "mask_relationships": """SELECT r.*, a.object_type AS source_object_type, b.label_name AS source_label_name, c.object_type AS target_object_type, d.label_name AS target_label_name
-        FROM relationships r JOIN objects a ON a.object_id = r.source_object_id JOIN label_sets b ON b.label_set_id = r.source_label_set_id
-        JOIN objects c ON c.object_id = r.target_object_id JOIN label_sets d ON d.label_set_id = r.target_label_set_id""",
-    "foci_assignments": """SELECT * FROM mask_relationships WHERE is_primary_for_source
-        AND source_object_type IN ('spots', 'foci', 'bacteria') AND target_object_type IN ('cells', 'nuclei', 'cytoplasm')""",
+    "object_features": View("objects", (Lookup("images", "image_id", "image_id", same("image_name", "plate_row", "plate_column", "field_index")), Lookup("label_sets", "label_set_id", "label_set_id", same("label_name", "locations_only")))),
+    "intensity_features": View("intensity_measurements", (Lookup("objects", "object_id", "object_id", same("image_id", "label_set_id", "timepoint", "label_value", "object_type")), Lookup("channels", "channel_id", "channel_id", same("channel_index", "channel_name")))),
+    "mask_relationships": View("relationships", (*end("source"), *end("target"))),
+    "foci_assignments": View("mask_relationships", only="is_primary_for_source and source_object_type in ('spots', 'foci', 'bacteria') and target_object_type in ('cells', 'nuclei', 'cytoplasm')"),
 }
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The tables of one measurement run over the raster."""
+def part_id(index: str):
+    """An id for a numbered part of an image, from both numbers; one that would meet another's is an error."""
+    fits = F.col(index).between(0, (1 << PART_BITS) - 1) & F.col("image_id").between(0, (1 << 63 - PART_BITS) - 1)
+    return F.when(fits, F.shiftleft(F.col("image_id"), PART_BITS) + F.col(index)).otherwise(F.raise_error(F.lit("an image or part number is out of range")).cast("long"))
+
+
+def numbered(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Rows numbered from 1 in order of group (its first column an integer) and order. A task orders one group, or one row for
+    each of a range of groups; no window spans all rows."""
+    sizes = rows.groupBy(*group).agg(F.count("*").alias("n"))
+    starts = running_sums(sizes, [], group, "n").select(*group, "before")
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return rows.withColumn(name, place).join(starts, group).withColumn(name, (F.col("before") + F.col(name)).cast("long")).drop("before")
+
+
+def shaped(table: str, df: DataFrame) -> DataFrame:
+    """The table's columns in their order and kinds; a column that the rows lack is null."""
+    want = [c.split(" ") for c in COLUMNS[table].split(", ")]
+    return df.select(*((F.col(c) if c in df.columns else F.lit(None)).cast(k).alias(c) for c, k in want))
+
+
+def object_rows(labels: DataFrame, images: DataFrame, names: dict[int, str], points: list[int]) -> DataFrame:
+    """All objects with every feature and their ids, keyed by image, timepoint, set and label too. Objects of the sets in
+    `points` are places: no box and no shape."""
+    solid = labels.filter(~F.col("set_index").isin(points)) if points else labels
+    table = full_shape(solid, images).withColumn("is_point", F.lit(False))
+    if points:
+        from ..operators.regions import objects
+
+        places = objects(labels.filter(F.col("set_index").isin(points)), images)
+        kept = [*OBJECT, "voxel_count", "spatial_dimensions", "pixel_um2", "voxel_um3", *(c for c in places.columns if c.startswith("centroid"))]
+        table = table.unionByName(places.select(*kept, F.lit(True).alias("is_point")), allowMissingColumns=True)
+    kind = object_type(F.create_map(*(F.lit(x) for pair in names.items() for x in pair))[F.col("set_index")])
+    out = table.withColumns({"object_type": kind, "label_set_id": part_id("set_index"), "timepoint": F.col("t"), "label_value": F.col("label")})
+    return numbered(out, ["image_id", "t", "set_index"], ["label"], "object_id")
+
+
+#: What the raster's tables are measured with.
+RASTER = {"sets": raster.SETS, "channels": raster.CHANNELS, "size": {"t": 1, "c": 2, "z": 1, "y": raster.SIDE, "x": raster.SIDE}, "store": "raster", "dtype": "uint16"}
+POINT_SETS = [4]
+
+
+def tables(spark: SparkSession, sf_dir: str, objects: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The tables of one measurement run over the raster; with the rows of all objects, if they are written already."""
     images, labels, pixels = (f(spark, sf_dir) for f in (raster.images, raster.labels, raster.pixels))
-    shaped = moment_shape(objects(labels, images))
-    names = F.create_map(*(F.lit(x) for pair in raster.SETS.items() for x in pair))
-    sets = images.select("image_id", F.explode(F.array(*map(F.lit, raster.SETS))).alias("label_set_index")).withColumn("label_name", names[F.col("label_set_index")])
-    kind = lambda c: object_type(names[F.col(c)])
-    point = F.col("set_index") == 4
-    shape_only = [c for c in shaped.columns if c.startswith(("bbox", "area", "equivalent", "major", "minor", "eccentricity", "extent", "orientation", "aspect", "volume"))]
-    object_rows = shaped.select(F.expr(OBJECT_ID).alias("object_id"), "image_id", F.expr("image_id * 10 + set_index").alias("label_set_id"), F.col("t").alias("timepoint"), F.col("label").alias("label_value"), kind("set_index").alias("object_type"), point.alias("is_point"), "spatial_dimensions", "voxel_count", *(c for c in shaped.columns if c.startswith("centroid")), *(F.when(~point, F.col(c)).alias(c) for c in shape_only))
-    values = intensities(labels, pixels)
-    pairs = relationships(labels, shaped)
-    end = lambda s: F.expr(f"(image_id * 10 + {s}_set) * 100000 + {s}_label")
-    return {
-        "schema_info": spark.createDataFrame([("schema_version", "1"), ("coordinate_origin", "zero-based"), ("bbox", "half-open"), ("units", "px, um")], "key string, value string"),
-        "measurement_runs": spark.sql("SELECT CAST(1 AS BIGINT) run_id, date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ssXXX\") created_utc, '0.1.0' software_version, 1 schema_version, 'parquet' database_format, 'raster' source_store, '' output_ome_zarr, '{}' settings_json"),
-        "images": images.select("image_id", F.lit(1).cast("long").alias("run_id"), F.concat(F.lit("field_"), "field_index").alias("image_name"), "plate_row", "plate_column", "field_index", *(F.lit(n).cast("long").alias(f"size_{c}") for c, n in (("t", 1), ("c", 2), ("z", 1), ("y", raster.SIDE), ("x", raster.SIDE))), F.lit("uint16").alias("source_dtype"), F.col("scale_y").alias("scale_y_um"), F.col("scale_x").alias("scale_x_um")),
-        "channels": images.select("image_id", F.explode(F.array(*map(F.lit, raster.CHANNELS))).alias("channel_index")).select(F.expr("image_id * 10 + channel_index").alias("channel_id"), "image_id", "channel_index", F.create_map(*(F.lit(x) for pair in raster.CHANNELS.items() for x in pair))[F.col("channel_index")].alias("channel_name")),
-        "label_sets": sets.select(F.expr("image_id * 10 + label_set_index").alias("label_set_id"), "image_id", "label_set_index", "label_name", object_type("label_name").alias("object_type"), locations_only("label_name", F.lit(False)).alias("locations_only"), label_path(F.lit(True), F.concat("image_id", F.lit("/")), "label_name", F.lit(""), F.lit(0)).alias("output_label_path")),
-        "objects": object_rows,
-        "intensity_measurements": values.select(F.expr(OBJECT_ID).alias("object_id"), F.expr("image_id * 10 + channel_index").alias("channel_id"), *(c for c in values.columns if c.startswith(("sample", "intensity", "coefficient")))),
-        "relationships": pairs.select(F.expr("CAST(NULL AS BIGINT)").alias("relationship_id"), "image_id", F.col("t").alias("timepoint"), end("source").alias("source_object_id"), end("target").alias("target_object_id"), F.expr("image_id * 10 + source_set").alias("source_label_set_id"), F.expr("image_id * 10 + target_set").alias("target_label_set_id"), *pairs.columns[6:]).withColumn("relationship_id", F.xxhash64("source_object_id", "target_object_id")),
+    objects = object_rows(labels, images, raster.SETS, POINT_SETS) if objects is None else objects
+    return measured(spark, images, labels, pixels, objects, **RASTER)
+
+
+def measured(spark: SparkSession, images: DataFrame, labels: DataFrame, pixels: DataFrame, objects: DataFrame, sets: dict[int, str], channels: dict[int, str], size: dict[str, int], store: str, dtype: str, settings: dict | None = None) -> dict[str, DataFrame]:
+    """The eight tables for images (image_id, plate place, scales), labels, pixels and what object_rows makes of them; sets and
+    channels by index."""
+    texts = lambda of: F.create_map(*(F.lit(x) for pair in of.items() for x in pair))
+    each = lambda of, name: images.select("image_id", F.explode(F.array(*map(F.lit, of))).alias(name))
+    ids = objects.select(*OBJECT, "object_id")
+    values = intensities(labels, pixels).join(ids, OBJECT).withColumn("channel_id", part_id("channel_index"))
+    pairs = relationships(labels, objects)
+    for s in ("source", "target"):
+        pairs = pairs.withColumn(f"{s}_label_set_id", part_id(f"{s}_set"))
+    pairs = numbered(pairs.withColumn("timepoint", F.col("t")), ["image_id", "t"], ["source_object_id", "target_object_id"], "relationship_id")
+    path = F.coalesce("resource_path", F.lit("")) if "resource_path" in images.columns else F.concat_ws("/", "plate_row", "plate_column", "field_index")
+    named = each(sets, "label_set_index").withColumn("label_name", texts(sets)[F.col("label_set_index")])
+    by_name = locations_only("label_name", F.lit(False))
+    scale = lambda c: F.col(f"scale_{c}") if f"scale_{c}" in images.columns else F.lit(None)
+    made = {
+        "schema_info": spark.createDataFrame([("schema_version", str(SCHEMA_VERSION)), ("coordinate_origin", "zero-based"), ("bbox", "half-open"), ("units", "px, um")], COLUMNS["schema_info"]),
+        "measurement_runs": spark.range(1, 2).select(F.col("id").alias("run_id"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("created_utc"), F.lit("0.2.0").alias("software_version"), F.lit(SCHEMA_VERSION).alias("schema_version"), F.lit("parquet").alias("database_format"), F.lit(store).alias("source_store"), F.lit("").alias("output_ome_zarr"), F.lit(json.dumps(settings or {}, sort_keys=True)).alias("settings_json")),
+        "images": images.withColumns({"run_id": F.lit(1), "source_store": F.lit(store), "source_resource_path": path, "output_resource_path": path, "image_name": F.concat(F.lit("field_"), "field_index"), "source_dtype": F.lit(dtype), "scale_t": scale("t"), **{f"scale_{c}_um": scale(c) for c in "zyx"}, **{f"size_{c}": F.lit(n) for c, n in size.items()}}),
+        "channels": each(channels, "channel_index").withColumns({"channel_id": part_id("channel_index"), "channel_name": texts(channels)[F.col("channel_index")]}),
+        "label_sets": named.withColumns({"label_set_id": part_id("label_set_index"), "object_type": object_type("label_name"), "locations_only": by_name, "output_label_path": label_path(F.lit(True), F.concat("image_id", F.lit("/")), "label_name", F.lit(""), F.lit(0))}),
+        "objects": objects,
+        "intensity_measurements": values,
+        "relationships": pairs,
     }
+    return {name: shaped(name, df) for name, df in made.items()}
+
+
+def register_views(spark: SparkSession) -> None:
+    for name, view in VIEWS.items():
+        view.over(spark).createOrReplaceTempView(name)
 
 
 def register(spark: SparkSession, sf_dir: str) -> None:
-    """Tables and views under their names, for spark.sql."""
+    """Tables and views under their names, for spark.sql; each use of a table measures what it needs."""
     for name, df in tables(spark, sf_dir).items():
         df.createOrReplaceTempView(name)
-    for name, text in VIEWS.items():
-        spark.sql(text).createOrReplaceTempView(name)
+    register_views(spark)
+
+
+def violations(spark: SparkSession) -> DataFrame:
+    """(table_name, key, violations): how many keys of the tables under their names stand in several rows."""
+    out = None
+    for name, keys in [*KEYS.items(), *NATURAL_KEYS.items()]:
+        twice = spark.table(name).groupBy(*keys).count().filter("count > 1")
+        one = twice.agg(F.count("*").alias("violations")).select(F.lit(name).alias("table_name"), F.lit(", ".join(keys)).alias("key"), "violations")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def needed(names: set[str]) -> set[str]:
+    """The tables that tables and views read."""
+    below = {n: {VIEWS[n].base, *(look.table for look in VIEWS[n].lookups)} for n in names if n in VIEWS}
+    return {n for n in names if n in COLUMNS} | (needed(set().union(*below.values())) if below else set())
+
+
+def publish(spark: SparkSession, sf_dir: str, out: str, only: set[str] | None = None) -> None:
+    """The tables as Parquet under one folder, objects first: what else reads them reads what is written. A whole run's folder is
+    complete once its manifest, written last, is there; with `only` it is some tables of a run, without a manifest."""
+    wide = f"{out}/_objects"
+    path = spark._jvm.org.apache.hadoop.fs.Path(wide)
+    if not path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+        images, labels = raster.images(spark, sf_dir), raster.labels(spark, sf_dir)
+        object_rows(labels, images, raster.SETS, POINT_SETS).write.parquet(wide)
+    made = tables(spark, sf_dir, spark.read.parquet(wide))
+    for name in made:
+        if only is None or name in only:
+            made[name].write.mode("errorifexists").parquet(f"{out}/{name}")
+    if only is None:
+        spark.createDataFrame([(n,) for n in made], "name string").coalesce(1).write.json(f"{out}/manifest")
+
+
+_RUNS: dict[tuple[str, str], tuple[str, set[str]]] = {}
+
+
+def over_published(spark: SparkSession, sf_dir: str, names: set[str]) -> None:
+    """The tables that these tables and views need, written once a session and folder, and all of them under their names."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    out, there = _RUNS.setdefault(key, (folder(spark), set()))
+    if missing := needed(names) - there:
+        publish(spark, sf_dir, out, missing)
+        there |= missing
+    for name in there:
+        spark.read.schema(COLUMNS[name]).parquet(f"{out}/{name}").createOrReplaceTempView(name)
+    for name, view in VIEWS.items():
+        if needed({name}) <= there:
+            view.over(spark).createOrReplaceTempView(name)
 
 
-def publish(spark: SparkSession, sf_dir: str, out: str) -> None:
-    """All tables as Parquet under one folder. A run's folder is complete once its manifest, written last, is there."""
-    made = tables(spark, sf_dir)
-    for name, df in made.items():
-        df.write.mode("errorifexists").parquet(f"{out}/{name}")
-    spark.createDataFrame([(n,) for n in made], "name string").coalesce(1).write.json(f"{out}/manifest")
+def opened(spark: SparkSession, out: str, statistics: bool = False) -> None:
+    """A published run's tables and the views over them under their names; an error if its manifest, and so the run, isn't whole.
+    With statistics the tables are registered in the catalog and analysed, for the optimizer's join order."""
+    names = {r.name for r in spark.read.schema("name string").json(f"{out}/manifest").collect()}
+    if names != set(COLUMNS):
+        raise ValueError(f"the run under {out} isn't whole: {sorted(set(COLUMNS) - names)} are missing")
+    for name in COLUMNS:
+        if statistics:
+            spark.sql(f"DROP VIEW IF EXISTS {name}")
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{out}/{name}'")
+            spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+        else:
+            spark.read.parquet(f"{out}/{name}").createOrReplaceTempView(name)
+    register_views(spark)

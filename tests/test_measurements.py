@@ -30,10 +30,55 @@ def test_invariants(surface, data):
     assert one("SELECT count(*) FROM relationships r JOIN label_sets s ON s.label_set_id = r.source_label_set_id JOIN label_sets t ON t.label_set_id = r.target_label_set_id WHERE s.object_type = 'cytoplasm' AND t.object_type = 'nuclei'") == 0
 
 
+def test_columns_are_whole(surface):
+    for name, columns in measurements.COLUMNS.items():
+        assert surface.table(name).dtypes == [(c.split(" ")[0], {"long": "bigint"}.get(c.split(" ")[1], c.split(" ")[1])) for c in columns.split(", ")]
+    assert [len(c.split(", ")) for c in measurements.COLUMNS.values()] == [2, 8, 19, 5, 7, 60, 16, 16]
+    filled = surface.sql("SELECT " + ", ".join(f"count({c}) AS {c}" for c in surface.table("objects").columns) + " FROM objects").first().asDict()
+    # the raster's images are flat: all but the features of volumes are there
+    assert {c for c, n in filled.items() if n == 0} == {"volume_voxels", "volume_um3", "convex_volume_voxels", "convex_volume_um3", "filled_volume_voxels", "filled_volume_um3", "surface_area_um2", "sphericity"}
+
+
+def test_ids_are_dense_and_apart(surface):
+    one = lambda text: surface.sql(text).first()[0]
+    assert measurements.violations(surface).filter("violations > 0").count() == 0
+    assert one("SELECT max(object_id) - count(*) FROM objects") == 0 and one("SELECT min(relationship_id) FROM relationships") == 1
+
+
+def test_ids_of_many_sets_and_large_labels(spark):
+    labels = spark.createDataFrame([(1, t, s, k, 0, k % 7, s % 9) for t in (0, 1) for s in (1, 2, 11, 12) for k in (1, 2, 100_001, 100_002, 2**40)], "image_id long, t int, set_index int, label long, z long, y long, x long")
+    images = spark.createDataFrame([(1, 1.0, 1.0)], "image_id long, scale_y double, scale_x double")
+    rows = measurements.object_rows(labels, images, {1: "a", 2: "b", 11: "c", 12: "d"}, []).collect()
+    assert sorted(r.object_id for r in rows) == list(range(1, 41)) and len({r.label_set_id for r in rows}) == 4
+    assert sorted(rows, key=lambda r: r.object_id) == sorted(rows, key=lambda r: (r.image_id, r.t, r.set_index, r.label))
+    with pytest.raises(Exception, match="out of range"):
+        measurements.object_rows(labels.withColumn("set_index", labels["set_index"] + 70_000), images, {1: "a"}, []).select("label_set_id").collect()
+
+
 def test_publishing(surface, data, tmp_path):
     out = f"file://{tmp_path}/run"
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|isn't whole"):
+        measurements.opened(surface, out)
     measurements.publish(surface, data, out)
     names = {r.name for r in surface.read.json(f"{out}/manifest").collect()}
     assert len(names) == 8 and surface.read.parquet(f"{out}/objects").count() == surface.table("objects").count()
+    before = sorted(map(tuple, surface.sql("SELECT * FROM foci_assignments").collect()))
+    measurements.opened(surface, out)
+    assert sorted(map(tuple, surface.sql("SELECT * FROM foci_assignments").collect())) == before and before
     with pytest.raises(Exception, match="exist"):
         measurements.publish(surface, data, out)
+    measurements.register(surface, data)
+
+
+def test_statistics(spark, data, tmp_path):
+    out = f"file://{tmp_path}/run"
+    measurements.publish(spark, data, out)
+    try:
+        for name in measurements.COLUMNS:
+            spark.catalog.dropTempView(name)
+        measurements.opened(spark, out, statistics=True)
+        told = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED objects").collect()}
+        assert f"{spark.table('objects').count()} rows" in told["Statistics"]
+    finally:
+        for name in measurements.COLUMNS:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

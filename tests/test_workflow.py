@@ -1,5 +1,6 @@
 """Settings, the steps together, exports, and surfaces."""
 
+import json
 import math
 
 import duckdb
@@ -8,33 +9,56 @@ import pytest
 
 from maskframe.operators import geometry
 from maskframe.plans import measurements, workflow
-from maskframe.plans.settings import EXPANSION, SKIP, Settings, model_names, selected_channels, translated
+from maskframe.plans.settings import EXPANSION, FIELDS, SKIP, Settings, command_line, configuration, configuration_errors, model_names, read_configuration, selected_channels, translated
 
 ROW = "image_id long, t int, z long, y long, x long, label long"
 
 
 def test_settings():
     Settings().check(1)
-    for bad in ({"cell_model": SKIP}, {"cell_model": "x"}, {"cell_model": EXPANSION}, {"nucleus_model": "x"}, {"foci_model_1": "cellpose3:cyto"}, {"cell_nuclei_channel": -1}, {"cell_expansion_distance": -1}, {"measurements_database": "csv"}, {"foci_model_2": "spotiflow:general", "foci_channel_2": 3}):
+    assert len(FIELDS) == 35 and Settings().values()["flow_threshold"] == 0.4
+    for bad in ({"cell_model": SKIP}, {"cell_model": "x"}, {"cell_model": EXPANSION}, {"nucleus_model": "x"}, {"foci_model_1": "cellpose3:cyto"}, {"cell_nuclei_channel": -1}, {"cell_expansion_distance": -1}, {"measurements_database": "csv"}, {"foci_model_2": "spotiflow:general", "foci_channel_2": 3}, {"device": "tpu"}, {"foci_model_1": "spotiflow:synth_3d", "spotiflow_local_refinement": True}):
         with pytest.raises(ValueError):
             Settings.of(bad).check(2)
     Settings.of({"cell_model": EXPANSION + "cellpose3:nuclei", "measurements_database": SKIP, "remove_border_cells": "off", "unknown": 1}).check()
+    with pytest.raises(TypeError):
+        Settings(unknown=1)
     assert selected_channels(2, 1, 3) == [1, 0] and selected_channels(1, 1, 1) == [0]
     with pytest.raises(ValueError):
         selected_channels(4, 0, 3)
-    assert Settings(cell_channel=1, cell_nuclei_channel=3).seed_channel == 3
+    assert Settings(cell_channel=1, cell_nuclei_channel=3).seed_channel == 3 and Settings(cell_channel=2, cell_nuclei_channel=1).seed_channel == 2
 
 
 def test_older_settings():
     assert translated({"diameter": 3}) == {"diameter": 3}
+    assert translated({"spotiflow_microsam_refinement": 1}) == {"spotiflow_local_refinement": 1}
+    assert translated({"spotiflow_microsam_refinement": 1, "spotiflow_local_refinement": 0}) == {"spotiflow_local_refinement": 0}
     assert translated({"cell_step": "false", "nucleus_step": "yes", "foci_step_1": True, "foci_step_2": 0}) == {"cell_model": SKIP, "nucleus_model": "cellpose3:nuclei", "foci_model_1": "spotiflow:general", "foci_model_2": SKIP}
     assert translated({"cell_method": "cell-expansion"})["cell_model"] == EXPANSION + "cellpose3:nuclei"
     assert translated({"cell_step": True, "cell_nuclei_channel": 2}) == {"cell_nuclei_channel": 2, "nucleus_model": "cellpose3:nuclei", "nucleus_channel": 2}
+    assert translated({"nucleus_step": True, "nucleus_model": "stardist:SD_Nuclei_Versatile", "cell_nuclei_channel": 0}) == {"nucleus_model": "stardist:SD_Nuclei_Versatile", "cell_nuclei_channel": 0}
+    assert translated({"foci_step_3": "on", "foci_model_3": "spotiflow:hybiss", "cell_step": 0}) == {"cell_model": SKIP, "foci_model_3": "spotiflow:hybiss"}
     with pytest.raises(ValueError):
         translated({"cell_method": "x"})
     assert model_names('["a", " b "]') == model_names("a; b,") == model_names(["a", "b"]) == ["a", "b"] and model_names(None) == []
 
 
+def test_configurations(tmp_path):
+    document = configuration("run it")
+    assert configuration_errors(document) == [] and len(document["parameters"]) == 35
+    words = command_line(document, {"cell_channel": 3, "remove_border_cells": False, "nucleus_model": ""})
+    assert words.startswith("run it --model cellpose3:nuclei") and "--cell-channel 3" in words and "--remove-border-cells False" in words and "--nucleus-model" not in words
+    small = {"exec_function": {"cli_command": "x", "hidden_args": [{"name": "h", "value": "a b", "cli_tag": "--h", "cli_order": 1}]}, "inputs": [{"name": "i", "default": [1, 2], "cli_tag": "-i", "cli_order": 5}], "parameters": [{"name": "on", "type": "checkbox", "default": True, "cli_tag": "--on", "cli_order": 3}, {"name": "off", "type": "checkbox", "default": False, "cli_tag": "--off"}, {}]}
+    assert command_line(small, {}) == "x --h 'a b' --on -i 1,2"
+    wrong = configuration_errors(small)
+    assert "citations is missing" in wrong and "parameters[2] has no name" in wrong and "parameters[2] has no cli_tag" in wrong
+    (tmp_path / "c.json").write_text(json.dumps(document))
+    assert read_configuration(str(tmp_path / "c.json")) == document
+    (tmp_path / "c.json").write_text("[1]")
+    with pytest.raises(ValueError):
+        read_configuration(str(tmp_path / "c.json"))
+
+
 def test_ids_run_over_timepoints_and_steps(spark):
     rows = lambda *r: spark.createDataFrame([(1, t, 0, y, x, k) for t, k, y, x in r], ROW)
     cells = rows((0, 5, 2, 2), (0, 5, 2, 3), (0, 9, 4, 4), (1, 3, 3, 3), (1, 4, 0, 0))
@@ -68,6 +92,10 @@ def test_surfaces(spark):
     table = geometry.surface_table((1, 1, 1))
     assert table[0] == table[255] == 0 and math.isclose(table[1], math.sqrt(3) / 8) and math.isclose(table[15], 1)
     at = np.argwhere(np.linalg.norm(np.indices((21, 21, 21)) - 10, axis=0) <= 8)
-    ball = spark.createDataFrame([(1, 0, 1, 1, *map(int, p)) for p in at], "image_id long, t int, set_index int, label long, z long, y long, x long")
-    r = geometry.surface_areas(ball, (1.0, 1.0, 1.0)).first()
-    assert r.volume_um3 == len(at) and abs(r.surface_area_um2 / (4 * math.pi * 64) - 1) < 0.12 and 0.85 < r.sphericity <= 1
+    ball = spark.createDataFrame([(i, 0, 1, 1, *map(int, p)) for i in (1, 2) for p in at] + [(1, 0, 1, 2, 30, y, x) for y in range(3) for x in range(3)], "image_id long, t int, set_index int, label long, z long, y long, x long")
+    scales = spark.createDataFrame([(1, 1.0, 1.0, 1.0), (2, None, 1.0, 1.0)], "image_id long, sz double, sy double, sx double")
+    rows = {(r.image_id, r.label): r for r in geometry.surfaces(ball, scales).collect()}
+    assert rows.keys() == {(1, 1), (2, 1)} and rows[2, 1].surface_area_um2 is None
+    r = rows[1, 1]
+    sphericity = math.pi ** (1 / 3) * (6 * r.volume_um3) ** (2 / 3) / r.surface_area_um2
+    assert r.volume_um3 == len(at) and abs(r.surface_area_um2 / (4 * math.pi * 64) - 1) < 0.12 and 0.85 < sphericity <= 1
