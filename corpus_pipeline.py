@@ -18,7 +18,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 
 from maskframe.llm.bpe import tokenizer_json, with_tokens
-from maskframe.llm.common import Scratch
+from maskframe.llm.common import Scratch, bounded_batches, table
 from maskframe.llm.decontam import decontaminated
 from maskframe.llm.langid import in_a_language
 from maskframe.llm.neardup import deduplicated
@@ -27,26 +27,31 @@ from maskframe.llm.pii import sanitised
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are mostly in one of the learned languages."""
+    bounded_batches(spark)
     return in_a_language(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group."""
+    bounded_batches(spark)
     return deduplicated(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    bounded_batches(spark)
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data and what discloses it replaced."""
+    bounded_batches(spark)
     return sanitised(docs)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with the ids of their tokens, their number, and a digest of the decoded text."""
+    bounded_batches(spark)
     return with_tokens(docs, tokenizer_json())
 
 
@@ -62,7 +67,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, with a written table between each two."""
     scratch = Scratch(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     return functools.reduce(lambda d, stage: scratch.save(stage[1](spark, d, sf_dir)), STAGES, docs)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import kept, map_batches, record_batch
+from .common import kept, map_batches, record_batch, table
 
 #: Words that a worker remembers at most, and the longest of them in characters.
 CACHE_WORDS, CACHE_CHARS = 300_000, 64
@@ -276,4 +276,4 @@ def with_tokens(documents: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def op5_bpe_round_trip(spark, sf_dir: str) -> DataFrame:
-    return encoded(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_json(), digests=True)
+    return encoded(table(spark, sf_dir, "documents"), tokenizer_json(), digests=True)

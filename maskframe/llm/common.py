@@ -20,18 +20,39 @@ BATCH_ROWS = 512
 #: Bytes of text (or other values) that a Python worker takes as objects at once, unless a single row holds more.
 BATCH_BYTES = 8 << 20
 
+#: Bytes that the JVM and a Python worker pass at once in the queries and the pipeline.
+ARROW_BYTES = 4 << 20
+
 _KEPT: dict = {}
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes, as texts may be long and an executor holds several batches. For programs: the
+    queries and the pipeline call it; the operators leave the session's settings as they are. A smaller bound stays."""
+    size = min(ARROW_BYTES, spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch())
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A query's input."""
+    bounded_batches(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def freed() -> None:
+    """Gives back to the system what a worker's earlier tasks used."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def kept(key: tuple, make: Callable):
     """What make() returns, kept in this worker from task to task; only the latest key's is kept, so operators that follow
     each other don't add up their caches."""
     if key not in _KEPT:
         _KEPT.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL(None).malloc_trim(0)
+        freed()
         _KEPT[key] = make()
     return _KEPT[key]
 
@@ -64,9 +85,10 @@ def slices(batch: pa.RecordBatch, rows: int, size: int = BATCH_BYTES):
 
 def map_batches(df: DataFrame, start: Callable, schema: str, rows: int = BATCH_ROWS) -> DataFrame:
     """start() runs once a task and returns the function from slices of at most `rows` rows to batches of the schema; slices of
-    long texts have fewer. How many rows the JVM sends at once is the session's setting, which stays as it is."""
+    long texts have fewer. How much the JVM sends at once is the session's setting, which stays as it is."""
 
     def run(batches):
+        freed()
         work = start()
         for batch in batches:
             for part in slices(batch, rows):

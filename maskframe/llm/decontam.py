@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, record_batch, texts_of
+from .common import map_batches, record_batch, table, texts_of
 
 Q = 10
 #: Most characters of a part.
@@ -253,4 +253,4 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, chars_per_edit: i
 
 
 def op4_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
-    return contaminations(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

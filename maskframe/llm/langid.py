@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, record_batch
+from .common import map_batches, record_batch, table
 
 #: Bytes of a stretch, and those before it that each direction reads first.
 STRETCH, CONTEXT = 256, 32
@@ -196,7 +196,7 @@ class Reader:
         sizes = np.array([len(t) for t in texts], np.int64)
         gap = CONTEXT + STRETCH
         begins = np.concatenate([[0], (sizes + gap).cumsum()])[:-1] + gap
-        flat = np.full(int(sizes.sum()) + gap * (len(texts) + 1), OUTSIDE, np.intp)
+        flat = np.full(int(sizes.sum()) + gap * (len(texts) + 1), OUTSIDE, np.uint16)
         for t, b in zip(texts, begins.tolist(), strict=True):
             flat[b : b + len(t)] = _LOWER[np.frombuffer(t, np.uint8)]
         many = -(-sizes // STRETCH)
@@ -333,4 +333,4 @@ def in_a_language(documents: DataFrame, most_other: float = MOST_OTHER, network:
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:
-    return languages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return languages(table(spark, sf_dir, "documents"))

@@ -16,11 +16,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, record_batch, texts_of
+from .common import map_batches, record_batch, table, texts_of
 
 # Phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-# Short notices, as their words, and their labels.
+# Short notices, as their words, and their labels. Others can be given to license_scan.
 NOTICES = {
     "licensed under the apache license version 2 0": "apache-2.0",
     "released under the mit license": "mit-notice",
@@ -35,6 +35,15 @@ NOTICES = {
     "creative commons attribution 4 0 international": "cc-by-4.0",
     "subject to the terms of the mozilla public license": "mpl",
     "this is free and unencumbered software released into the public domain": "unlicense",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license": "gpl-header",
+    "under the terms of the gnu affero general public license": "agpl",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee": "isc",
+    "boost software license version 1 0": "bsl",
+    "eclipse public license version 2 0": "epl",
+    "unless required by applicable law or agreed to in writing software distributed under the license": "apache-header",
+    "neither the name of the copyright holder nor the names of its contributors may be used": "bsd-3",
+    "has waived all copyright and related or neighboring rights": "cc0",
+    "all rights reserved no part of this publication may be reproduced": "reserved",
 }
 #: Characters of a notice for each edit that a match may have.
 CHARS_PER_EDIT = 12
@@ -130,4 +139,4 @@ def license_scan(documents: DataFrame, phrases: dict[str, str] | None = None, no
 
 
 def op2_license_scan(spark, sf_dir: str) -> DataFrame:
-    return license_scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumn("spans", F.array_join("spans", ","))
+    return license_scan(table(spark, sf_dir, "documents")).withColumn("spans", F.array_join("spans", ","))

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, record_batch, texts_of
+from .common import map_batches, record_batch, table, texts_of
 
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 WIDTH = 64
@@ -137,4 +137,4 @@ def media_columns(documents: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def op1_media_columns(spark, sf_dir: str) -> DataFrame:
-    return media_columns(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return media_columns(table(spark, sf_dir, "documents"))

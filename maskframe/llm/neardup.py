@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, free_name, map_batches, record_batch, texts_of
+from .common import Scratch, free_name, map_batches, record_batch, table, texts_of
 from .components import components
 from .shingles import shingle_set
 
@@ -249,4 +249,4 @@ def deduplicated(documents: DataFrame, percent: int = 80, miss: float = MISS) ->
 
 
 def op3_near_duplicates(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(table(spark, sf_dir, "documents"))

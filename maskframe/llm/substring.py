@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_batches, record_batch, texts_of
+from .common import Scratch, map_batches, record_batch, table, texts_of
 
 #: Bits of the hash that are zero at a cut (one place in 16), and the least and most bytes of a chunk.
 MASK, LEAST, MOST = np.uint32(0xF0000000), 8, 64
@@ -145,4 +145,4 @@ def repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFram
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    return repeated_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return repeated_spans(table(spark, sf_dir, "documents"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import byte_letters, tokenizer_json
-from .common import Scratch, kept, map_batches, record_batch, slices
+from .common import Scratch, kept, map_batches, record_batch, slices, table
 
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
@@ -176,4 +176,4 @@ def token_counts(documents: DataFrame, tokenizer: str, limit: int = 1024) -> Dat
 
 
 def op6_token_counts(spark, sf_dir: str) -> DataFrame:
-    return token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_json("byte_bpe_50k.json"))
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_json("byte_bpe_50k.json"))

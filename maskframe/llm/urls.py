@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, record_batch
+from .common import map_batches, record_batch, table
 
 # Fixed values: (verdict, host/path).
 RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
@@ -188,4 +188,4 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str]] = RULES, train_r
 
 
 def op7_url_filter(spark, sf_dir: str) -> DataFrame:
-    return url_verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return url_verdicts(table(spark, sf_dir, "pages"))
