@@ -99,7 +99,7 @@ def offset_ids(labels: DataFrame, within: list[str], slab: list[str]) -> DataFra
     The running sum is over one row for each slab; the voxels only join it."""
     tops = labels.groupBy(*within, *slab).agg(F.max("label").alias("top"))
     offsets = running_sums(tops, within, slab, "top").select(*within, *slab, F.col("before").alias("offset"))
-    return labels.join(offsets, [*within, *slab]).withColumn("label", F.col("label") + F.col("offset"))
+    return labels.join(offsets, [*within, *slab]).withColumn("label", F.col("label") + F.col("offset")).drop("offset")
 
 
 def same_shape(first: tuple[int, ...], second: tuple[int, ...]) -> None:

@@ -399,6 +399,66 @@ for _name, _text, _oracle in (
     query(_oracle)(_f)
 
 
+_OBJECTS = {
+    "object_id": "object_id", "image_id": "image_id", "label_set_id": "(image_id << 16) + set_index", "timepoint": "0", "label_value": "label", "object_type": "KIND", "is_point": "set_index = 4", "spatial_dimensions": "2", "voxel_count": "n",
+    **{f"centroid_{a}_px": c for a, c in (("z", "0.0::DOUBLE"), ("y", "cy"), ("x", "cx"))}, **{f"centroid_{a}_um": c for a, c in (("z", "0 * sz"), ("y", "cy * sy"), ("x", "cx * sx"))},
+    **{f"bbox_{m}_{a}_px": f"set_index < 4 ? {v}" for m, a, v in (("min", "z", "CAST(0 AS BIGINT)"), ("min", "y", "y0"), ("min", "x", "x0"), ("max", "z", "CAST(1 AS BIGINT)"), ("max", "y", "y1"), ("max", "x", "x1"))},
+    **{f"bbox_{m}_{a}_um": f"set_index < 4 ? {v}" for m, a, v in (("min", "z", "0 * sz"), ("min", "y", "y0 * sy"), ("min", "x", "x0 * sx"), ("max", "z", "1 * sz"), ("max", "y", "y1 * sy"), ("max", "x", "x1 * sx"))},
+    "area_px2": "set_index < 4 ? CAST(n AS DOUBLE)", "area_um2": "set_index < 4 ? n * sy * sx",
+    "convex_area_px2": "set_index < 4 ? CAST(hull AS DOUBLE)", "convex_area_um2": "set_index < 4 ? hull * sy * sx", "filled_area_px2": "set_index < 4 ? CAST(filled AS DOUBLE)", "filled_area_um2": "set_index < 4 ? filled * sy * sx",
+    "equivalent_diameter_px": "set_index < 4 ? sqrt(4 * n / pi())", "equivalent_diameter_um": "set_index < 4 ? sqrt(4 * n / pi()) * (sy + sx) / 2",
+    "major_axis_length_px": "set_index < 4 ? 4 * sqrt(big)", "major_axis_length_um": "set_index < 4 ? 4 * sqrt(big) * (sy + sx) / 2", "minor_axis_length_px": "set_index < 4 ? 4 * sqrt(small)", "minor_axis_length_um": "set_index < 4 ? 4 * sqrt(small) * (sy + sx) / 2",
+    "feret_diameter_max_px": "set_index < 4 ? feret", "feret_diameter_max_um": "set_index < 4 ? feret * (sy + sx) / 2", "perimeter_px": "set_index < 4 ? p", "perimeter_um": "set_index < 4 ? p * (sy + sx) / 2", "perimeter_crofton_px": "set_index < 4 ? crofton", "perimeter_crofton_um": "set_index < 4 ? crofton * (sy + sx) / 2",
+    "circularity": "set_index < 4 ? 4 * pi() * n / nullif(p * p, 0)", "eccentricity": "set_index < 4 ? (CASE WHEN big = 0 THEN 0 ELSE sqrt(1 - small / big) END)", "solidity": "set_index < 4 ? n / hull", "extent": "set_index < 4 ? n / ((y1 - y0) * (x1 - x0))",
+    "orientation_degrees": "set_index < 4 ? degrees(CASE WHEN vy = vx THEN CASE WHEN vyx > 0 THEN pi() / 4 ELSE -pi() / 4 END ELSE 0.5 * atan2(2 * vyx, vy - vx) END)", "euler_number": "set_index < 4 ? euler", "aspect_ratio": "set_index < 4 ? 4 * sqrt(big) / nullif(4 * sqrt(small), 0)",
+}
+_EMPTY = ["volume_voxels", "volume_um3", "convex_volume_voxels", "convex_volume_um3", "filled_volume_voxels", "filled_volume_um3", "surface_area_um2", "sphericity"]
+WINDOWS = """quads AS (SELECT image_id, set_index, label, CAST((count(*) FILTER (code IN (1, 2, 4, 8)) - count(*) FILTER (code IN (7, 11, 13, 14)) - 2 * count(*) FILTER (code IN (6, 9))) / 4 AS INTEGER) AS euler,
+    sum(CASE WHEN code IN (1, 5) THEN pi() / 4 * (1 + 1 / sqrt(2)) WHEN code IN (2, 7, 10, 11) THEN pi() / (4 * sqrt(2)) WHEN code = 3 THEN pi() / (2 * sqrt(2)) WHEN code IN (8, 12) THEN pi() / 4 WHEN code IN (9, 13) THEN pi() / 2 ELSE 0 END) AS crofton FROM codes GROUP BY 1, 2, 3),
+spans AS (SELECT *, (vy + vx) / 2 + sqrt(power((vy - vx) / 2, 2) + power(vyx, 2)) AS big, greatest((vy + vx) / 2 - sqrt(power((vy - vx) / 2, 2) + power(vyx, 2)), 0) AS small FROM objs)"""
+
+
+def _objects_sql() -> str:
+    shown = [(f"CASE WHEN {v.replace(' ? ', ' THEN ')} END" if " ? " in v else v.replace("KIND", KIND)) + f" AS {c}" for c, v in _OBJECTS.items()] + [f"CAST(NULL AS DOUBLE) AS {c}" for c in _EMPTY]
+    kinds = dict(c.split(" ") for c in measurements.COLUMNS["objects"].split(", "))
+    joins = "".join(f" JOIN {t} USING (image_id, set_index, label)" for t in ("numbers", "quads", "per", "forms"))
+    body = f"SELECT {', '.join(shown)} FROM spans{joins.replace('JOIN forms', 'JOIN (SELECT image_id, set_index, label, form FROM forms) f')} JOIN kinds USING (form) JOIN convex USING (k) JOIN wide USING (k) JOIN whole USING (k)"
+    return sql(body, *(c for c in _OBJECTS if kinds[c] == "double"), base=with_more(",\n".join([HULLS, CODES, PERIMETER, WINDOWS, NUMBERS])).replace("WITH img", "WITH RECURSIVE img"))
+
+
+@query(_objects_sql())
+def objects_full(spark, sf_dir):
+    measurements.over_published(spark, sf_dir, {"objects"})
+    return spark.table("objects")
+
+
+PAIRED = (
+    VOLUMES
+    + """,
+sets AS (SELECT image_id, 1 AS s, label, z, y, x FROM vox UNION ALL SELECT image_id, 2, (y // 16) * 2 + x // 16 + 11, z, y, x FROM grid, range(1, 3) p(z) WHERE y % 16 BETWEEN 5 AND 12 AND x % 16 BETWEEN 6 AND 13 + image_id % 2
+    UNION ALL SELECT image_id, 3, (y // 8) * 4 + x // 8 + 1, 1, y, x FROM grid WHERE y % 8 BETWEEN 2 AND 5 AND x % 8 BETWEEN 1 AND 6),
+own AS (SELECT image_id, s, label, count(*) AS n, min(z) = max(z) AS flat, avg(z) AS cz, avg(y) AS cy, avg(x) AS cx FROM sets GROUP BY 1, 2, 3),
+met AS (SELECT a.image_id, a.s AS ss, a.label AS sl, b.s AS ts, b.label AS tl, count(*) AS k FROM sets a JOIN sets b USING (image_id, z, y, x) WHERE a.s <> b.s GROUP BY 1, 2, 3, 4, 5)"""
+)
+
+
+@query(
+    sql(
+        """SELECT met.image_id, 0 AS t, ss AS source_set, sl AS source_label, ts AS target_set, tl AS target_label, CASE WHEN k = p.n AND k = q.n THEN 'identical_extent' WHEN k = p.n THEN 'inside' WHEN k = q.n THEN 'contains' ELSE 'overlaps' END AS relation,
+        k AS overlap_voxels, CASE WHEN p.flat AND q.flat THEN k * sy * sx END AS overlap_um2, CASE WHEN NOT (p.flat AND q.flat) THEN k * sz * sy * sx END AS overlap_um3, k / p.n AS source_overlap_fraction, k / q.n AS target_overlap_fraction,
+        EXISTS (SELECT 1 FROM sets v WHERE v.image_id = met.image_id AND v.s = ts AND v.label = tl AND v.z = CAST(round_even(p.cz, 0) AS BIGINT) AND v.y = CAST(round_even(p.cy, 0) AS BIGINT) AND v.x = CAST(round_even(p.cx, 0) AS BIGINT)) AS source_centroid_in_target,
+        CASE WHEN p.cz = q.cz OR sz IS NOT NULL THEN sqrt(power((p.cz - q.cz) * coalesce(sz, 0), 2) + power((p.cy - q.cy) * sy, 2) + power((p.cx - q.cx) * sx, 2)) END AS centroid_distance_um,
+        k = max(k) OVER (PARTITION BY met.image_id, ss, sl, ts) AS is_primary_for_source
+        FROM met JOIN own p ON p.image_id = met.image_id AND p.s = ss AND p.label = sl JOIN own q ON q.image_id = met.image_id AND q.s = ts AND q.label = tl JOIN img ON img.image_id = met.image_id""",
+        *"overlap_um2 overlap_um3 source_overlap_fraction target_overlap_fraction centroid_distance_um".split(),
+        base=with_more(PAIRED),
+    )
+)
+def volume_relationships(spark, sf_dir):
+    labels = raster.volume_pairs(spark, sf_dir)
+    return relationships.relationships(labels, regions.objects(labels, raster.images(spark, sf_dir)))
+
+
 _KEYED_TABLES = [*measurements.KEYS.items(), *measurements.NATURAL_KEYS.items()]
 
 
@@ -445,6 +505,20 @@ def result_reuse(spark, sf_dir):
     return runs.result_reuse(steps(spark, sf_dir)).select("run", "seq", "key", "reused_from", "result_cache_hit", "runtime_seconds")
 
 
+_LEVELS = "CASE event_id % 4 WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 'nan'::DOUBLE WHEN 2 THEN 'inf'::DOUBLE END"
+
+
+@query(f"SELECT CAST(user_id AS BIGINT) AS run, CAST(event_id AS BIGINT) AS seq, min(CASE WHEN event_id % 11 <> 0 THEN CAST(event_id AS BIGINT) END) OVER (PARTITION BY user_id, event_id % 2, event_type, {_LEVELS}, event_id % 3 ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reused_from FROM events")
+def reuse_by_settings(spark, sf_dir):
+    """A step's key is its model, its settings and its image's scales, whatever their order and spelling; within a timepoint."""
+    k = F.col("event_id")
+    e = table(spark, sf_dir, "events").withColumns({"level": F.when(k % 4 == 0, 0.5).when(k % 4 == 1, float("nan")).when(k % 4 == 2, float("inf")), "step": (k % 3 + 1).cast("double")})
+    scales = F.when(k % 6 < 3, F.create_map(F.lit("y"), "step", F.lit("x"), F.lit(0.5))).otherwise(F.create_map(F.lit("x"), F.lit(0.5), F.lit("y"), "step"))
+    key = S.cache_key({"model": "event_type", "level": S.canonical_number("level"), "scales": S.canonical_map(scales)})
+    records = e.select(F.col("user_id").cast("long").alias("run"), (k % 2).cast("int").alias("timepoint"), k.cast("long").alias("seq"), key.alias("key"), F.col("value").cast("double").alias("seconds"), (k % 11 == 0).alias("failed"))
+    return runs.result_reuse(records).select("run", "seq", "reused_from")
+
+
 @query(sql(f"SELECT run, count(*) FILTER (result_cache_hit) AS result_hits, count(*) FILTER (NOT result_cache_hit AND model_cache_hit) AS model_hits, count(*) FILTER (NOT result_cache_hit AND NOT model_cache_hit) AS model_misses, sum(runtime_seconds) AS runtime_seconds FROM ({_REUSE}) GROUP BY run", "runtime_seconds", base=""))
 def cache_rollup(spark, sf_dir):
     return runs.cache_rollup(runs.result_reuse(steps(spark, sf_dir)))
@@ -544,7 +618,22 @@ def connected_components(spark, sf_dir):
     return spots.components(bright(spark, sf_dir), SIDE, SIDE)
 
 
-@query()
+REFINED = BASE.replace("WITH img", "WITH RECURSIVE img").rstrip() + """,
+smooth AS (SELECT p.image_id, p.y, p.x, sum(w * q.value) / 16 AS v FROM pixels p, (VALUES (-1, -1, 1), (-1, 0, 2), (-1, 1, 1), (0, -1, 2), (0, 0, 4), (0, 1, 2), (1, -1, 1), (1, 0, 2), (1, 1, 1)) m(dy, dx, w)
+    JOIN pixels q ON q.image_id = p.image_id AND q.channel_index = 1 AND q.y = least(greatest(p.y + dy, 0), 31) AND q.x = least(greatest(p.x + dx, 0), 31) WHERE p.channel_index = 1 GROUP BY 1, 2, 3),
+patch AS (SELECT s.image_id, s.y * 32 + s.x AS point, s.y AS sy, s.x AS sx, p.y, p.x, p.v, power((p.y - s.y) / 2, 2) + power((p.x - s.x) / 4, 2) AS d FROM sig s JOIN smooth p ON p.image_id = s.image_id AND abs(p.y - s.y) <= 3 AND abs(p.x - s.x) <= 6 WHERE s.v >= 100),
+ground AS (SELECT image_id, point, coalesce(median(v) FILTER (d BETWEEN 1 AND 2.25), median(v) FILTER (d > 1), median(v)) AS g, CASE WHEN count(*) FILTER (d BETWEEN 1 AND 2.25) > 0 THEN 1 WHEN count(*) FILTER (d > 1) > 0 THEN 2 ELSE 3 END AS ring FROM patch GROUP BY 1, 2),
+level AS (SELECT image_id, point, any_value(g) AS g, 1.4826::DOUBLE * median(abs(v - g)) FILTER (CASE ring WHEN 1 THEN d BETWEEN 1 AND 2.25 WHEN 2 THEN d > 1 ELSE true END) AS noise, greatest(0, max(v - g) FILTER (abs(y - sy) <= 1 AND abs(x - sx) <= 1)) AS contrast FROM patch JOIN ground USING (image_id, point) GROUP BY 1, 2),
+bright AS (SELECT p.* FROM patch p JOIN level l USING (image_id, point) WHERE d <= 1 AND v >= g + greatest(3 * noise, 0.3::DOUBLE * contrast)),
+flood AS (SELECT image_id, point, y, x FROM bright WHERE y = sy AND x = sx UNION SELECT b.image_id, b.point, b.y, b.x FROM flood f JOIN bright b ON b.image_id = f.image_id AND b.point = f.point AND abs(b.y - f.y) <= 1 AND abs(b.x - f.x) <= 1),
+grown AS (SELECT image_id, point, list(y * 32 + x) AS mask FROM flood GROUP BY 1, 2),
+turns AS (SELECT image_id, point, coalesce(mask, [point]) AS mask, row_number() OVER (PARTITION BY image_id ORDER BY contrast / greatest(noise, 1e-6) DESC, point) AS k FROM level LEFT JOIN grown USING (image_id, point)),
+walk AS (SELECT DISTINCT image_id, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS label, CAST([] AS BIGINT[]) AS taken, CAST([] AS BIGINT[]) AS got FROM turns
+    UNION ALL SELECT image_id, k, label + CASE WHEN len(free) > 0 THEN 1 ELSE 0 END, list_concat(taken, free), free FROM (SELECT w.image_id, t.k, label, taken, CASE WHEN list_contains(taken, point) THEN CAST([] AS BIGINT[]) ELSE list_filter(mask, lambda p: NOT list_contains(taken, p)) END AS free FROM walk w JOIN turns t ON t.image_id = w.image_id AND t.k = w.k + 1))
+"""
+
+
+@query(sql("SELECT image_id, 0 AS t, CAST(0 AS BIGINT) AS z, place // 32 AS y, place % 32 AS x, label FROM (SELECT image_id, label, unnest(got) AS place FROM walk)", base=REFINED))
 def spot_refinement(spark, sf_dir):
     points = raster.signal(spark, sf_dir).filter(F.col("v") >= raster.SPOT_LEVEL).select("image_id", (F.col("y") * SIDE + F.col("x")).alias("point"), F.col("y").cast("double").alias("py"), F.col("x").cast("double").alias("px"))
     return spots.refined(channel_one(spark, sf_dir), points, 0.5, 0.25, SIDE, SIDE)
@@ -576,11 +665,22 @@ def first_store(spark, sf_dir):
     return first_store(table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")))
 
 
-@query("SELECT a.p_partkey, a.p_size IS NOT DISTINCT FROM b.p_size AND a.p_brand IS NOT DISTINCT FROM b.p_brand AS same FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1")
+_MANIFEST = {"manifest_version": "p_size", "docker_image_id": "p_brand", "descriptor_sha256": "p_type", "git_commit": "nullif(p_size % 3, 0)", "image_tag": "substr(p_name, 1, 2)"}
+
+
+@query("WITH m AS (SELECT p_partkey, p_brand AS brand, p_size AS size, " + ", ".join(f"CAST({v} AS VARCHAR) AS {k}" for k, v in _MANIFEST.items()) + " FROM part) SELECT a.p_partkey, b.p_partkey AS other, b.p_partkey % 5 <> 0 AND " + " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in _MANIFEST) + " AS same FROM m a JOIN m b ON b.brand = a.brand AND b.size = a.size")
 def manifest_equality(spark, sf_dir):
-    a = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
-    b = a.select((F.col("p_partkey") - 1).alias("k"), F.col("p_size").alias("size"), F.col("p_brand").alias("brand"))
-    return a.join(b, F.col("p_partkey") == F.col("k")).select("p_partkey", (F.col("p_size").eqNullSafe(F.col("size")) & F.col("p_brand").eqNullSafe(F.col("brand"))).alias("same"))
+    """Manifests of parts of one brand and size, on all five keys; every fifth has no remote one."""
+    manifest = F.struct(*(F.expr(v).cast("string").alias(k) for k, v in _MANIFEST.items()))
+    m = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", manifest.alias("current"))
+    remote = m.select(F.col("p_partkey").alias("other"), "p_brand", "p_size", F.when(F.col("p_partkey") % 5 != 0, F.col("current")).alias("remote"))
+    return m.join(remote, ["p_brand", "p_size"]).select("p_partkey", "other", S.same_manifest("current", "remote").alias("same"))
+
+
+@query("SELECT s_nationkey AS bundle, 'sha256:' || sha256(string_agg(s_name || chr(0) || s_suppkey, '' ORDER BY s_name)) AS source_id FROM supplier GROUP BY 1")
+def source_fingerprints(spark, sf_dir):
+    files = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("bundle"), F.col("s_name").alias("path"), F.encode(F.col("s_suppkey").cast("string"), "utf-8").alias("content"))
+    return S.fingerprint(files)
 
 
 # Workflow ----------------------------------------------------------------------------------------------------------------

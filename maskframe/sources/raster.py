@@ -71,3 +71,13 @@ def volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     y, x, z = F.col("y") % 16, F.col("x") % 16, F.col("z")
     solid = y.between(1, 10 + F.col("image_id") % 3) & x.between(2, 9) & ~((z == 1) & y.between(4, 6) & x.between(4, 6))
     return planes.filter(solid).select("image_id", F.lit(0).alias("t"), F.lit(1).alias("set_index"), (F.floor(F.col("y") / 16) * 2 + F.floor(F.col("x") / 16) + 1).cast("long").alias("label"), "z", "y", "x")
+
+
+def volume_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three label sets in space: the volumes, blocks that cut into them from the second plane on, and flat ones in the middle."""
+    y, x, z = F.col("y"), F.col("x"), F.col("z")
+    planes = grid(spark, sf_dir).withColumn("z", F.explode(F.array(*(F.lit(k).cast("long") for k in range(3)))))
+    number = (F.floor(y / 16) * 2 + F.floor(x / 16) + 1).cast("long")
+    blocks = planes.filter((y % 16).between(5, 12) & (x % 16).between(6, 13 + F.col("image_id") % 2) & (z >= 1)).select("image_id", F.lit(0).alias("t"), F.lit(2).alias("set_index"), (number + 10).alias("label"), "z", "y", "x")
+    plates = planes.filter((y % 8).between(2, 5) & (x % 8).between(1, 6) & (z == 1)).select("image_id", F.lit(0).alias("t"), F.lit(3).alias("set_index"), (F.floor(y / 8) * 4 + F.floor(x / 8) + 1).cast("long").alias("label"), "z", "y", "x")
+    return volumes(spark, sf_dir).unionByName(blocks).unionByName(plates)
