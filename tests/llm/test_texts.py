@@ -209,6 +209,17 @@ def test_repeated_rows_add_no_pair(spark, monkeypatch):
     assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 3)} and seen == [1]
 
 
+def test_near_duplicates_equal_their_sql(spark):
+    import duckdb
+
+    from maskframe.llm.queries import ORACLES
+
+    base = duckdb.connect()
+    base.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    rows = neardup.op3_near_duplicates(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(map(tuple, rows)) == sorted(base.execute(ORACLES["op3_near_duplicates"]).fetchall())
+
+
 def test_all_pairs_of_a_whole_table(spark):
     """Every link of sf0.01 at 85 %, found by an inverted index of shingles, joins its documents; nothing else is joined."""
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
