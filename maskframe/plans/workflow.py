@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import postprocess
+from ..functions import models
+from ..operators import postprocess, spots
+from ..sources import zarr
 from ..sources.raster import VOXEL
+from . import measurements
+from .settings import SKIP, Settings
 
 
 def foci_kind(model: Column) -> Column:
@@ -42,6 +47,85 @@ def multistep(cells: DataFrame | None, nuclei: DataFrame | None, foci: list[Data
     return postprocess.offset_ids(whole, ["image_id"], ["t", "slab"])
 
 
+#: A model's name -> what makes its segmenter in a worker.
+Backends = Callable[[str], Callable[[], models.Segmenter]]
+
+
+def segmentation(settings: Settings, pixels: DataFrame, about: dict, backends: Backends) -> tuple[DataFrame, dict[int, str], list[int]]:
+    """The labels that the settings' steps make of the pixels (image_id, t, channel_index, z, y, x, value), the names of their
+    sets, and the sets that hold places only. Cells are segmented or grown from seeds; nuclei and up to four kinds of foci
+    follow; spots are refined if the settings ask for it; then all are matched and numbered."""
+    settings.check(about["size"]["c"])
+    height, width = about["size"]["y"], about["size"]["x"]
+    scale_y, scale_x = (about["scales"].get(a) for a in "yx")
+    on = models.device(settings.device, has_cuda=False)
+    run = lambda model, channel: models.segmented(pixels.filter(F.col("channel_index") == channel), model, backends(model), height, width, on)
+    cells = nuclei = seeds = None
+    if settings.seed_model:
+        seeds = run(settings.seed_model, settings.seed_channel)
+        cells = postprocess.expanded(seeds, settings.cell_expansion_distance, scale_y, scale_x, height, width)
+    elif settings.cell_model != SKIP:
+        cells = run(settings.cell_model, settings.cell_channel)
+    if settings.nucleus_model != SKIP:
+        nuclei = run(settings.nucleus_model, settings.nucleus_channel)
+    foci, names, places = [], {1: "labels_cells", 2: "labels_nuclei", 3: "labels_cytoplasm"}, []
+    for k, (_, model, channel) in enumerate(settings.foci):
+        found = run(model, channel)
+        kind = next(label for start, label in (("spotiflow:", "spots"), ("stardist:SD_Foci", "foci"), ("cellpose3:", "bacteria")) if model.startswith(start))
+        if kind == "spots" and settings.spotiflow_local_refinement:
+            if not (scale_y and scale_x):
+                raise ValueError("refinement needs the image's scales of y and x")
+            points = found.select("image_id", "t", "z", F.col("label").alias("point"), F.col("y").cast("double").alias("py"), F.col("x").cast("double").alias("px"))
+            found = spots.refined(pixels.filter(F.col("channel_index") == channel).select("image_id", "t", "z", "y", "x", "value"), points, scale_y, scale_x, height, width)
+        elif kind == "spots":
+            places.append(4 + k)
+        foci.append(found)
+        names[4 + k] = f"labels_{kind}_channel_{channel}"
+    labels = multistep(cells, nuclei, foci, height, width, settings.remove_border_cells, seeds)
+    return labels.drop("slab"), names, places
+
+
+def run(spark, store: str, out: str, settings: Settings, backends: Backends, tables: str | None = None) -> None:
+    """A store from pixels to labels and tables: every image, or every field of a plate, is segmented by the settings; the labels are
+    written to `out` (a plate as a plate, an image in the native layout) and measured into the folder `tables`. Labels are
+    written once, beside the output, so that writing and measuring read the same."""
+    plate = zarr.is_plate(spark, store)
+    if plate:
+        pixels, about = zarr.read_plate(spark, store)
+        places = zarr.fields(spark, store)
+    else:
+        pixels, about = zarr.read_image(spark, store)
+        pixels, places = pixels.withColumn("image_path", F.lit("")), zarr.fields(spark, store).withColumns({"plate_row": F.lit(None).cast("string"), "plate_column": F.lit(None).cast("string"), "field": F.lit("0")})
+    scale = lambda a: F.lit(about["scales"].get(a)).cast("double").alias(f"scale_{a}")
+    listed = places.withColumn("group", F.lit(0).cast("long"))
+    images = measurements.numbered(listed, ["group"], ["image_path"], "image_id").select("image_id", "image_path", F.col("image_path").alias("resource_path"), "plate_row", "plate_column", F.col("field").alias("field_index"), *(scale(a) for a in "tzyx"))
+    known = pixels.join(images.select("image_id", "image_path"), "image_path").select("image_id", F.col("t").cast("int").alias("t"), (F.col("c") + 1).cast("int").alias("channel_index"), "z", "y", "x", "value")
+    made, names, points = segmentation(settings, known, about, backends)
+    work = f"{out.rstrip('/')}.labels"
+    made.write.mode("overwrite").parquet(work)
+    labels = spark.read.parquet(work)
+    files = zarr.Files(spark, work)
+    try:
+        if settings.write_ome_zarr_labels:
+            shown = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))[F.col("set_index")]
+            named = labels.join(images.select("image_id", "image_path"), "image_id").select("image_path", shown.alias("name"), F.col("t").cast("long").alias("t"), "z", "y", "x", "label")
+            present = [names[r.set_index] for r in labels.select("set_index").distinct().orderBy("set_index").collect()]
+            if plate:
+                zarr.write_plate(named, places.select("image_path"), store, out, about["size"] | {"c": 1}, present)
+            else:
+                zarr.write_native(named.drop("image_path"), out, store, present)
+        if tables:
+            channels = {k: n for k, (n, _) in enumerate(about["channels"], 1)}
+            objects = measurements.object_rows(labels, images, names, points)
+            objects.write.parquet(f"{tables}/_objects")
+            rows = measurements.measured(spark, images, labels, known, spark.read.parquet(f"{tables}/_objects"), names, channels, about["size"], store, about["dtype"], settings.values())
+            for name, df in rows.items():
+                df.write.parquet(f"{tables}/{name}")
+            spark.createDataFrame([(n,) for n in rows], "name string").coalesce(1).write.json(f"{tables}/manifest")
+    finally:
+        files.fs.delete(files.at(""), True)
+
+
 def case_status(cases: DataFrame, results: DataFrame) -> DataFrame:
     """Each case with what became of it: skipped without a result, failed with an error, else success."""
     status = F.when(F.col("done").isNull(), "skipped").when(F.col("error").isNotNull(), "failed").otherwise("success")

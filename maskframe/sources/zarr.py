@@ -159,49 +159,84 @@ def channel_names(attributes: dict, count: int) -> list[tuple[str, str | None]]:
     return [(str(known.get(i, {}).get("label") or f"Channel {i + 1}"), known.get(i, {}).get("color")) for i in range(count)]
 
 
+class Array:
+    """What the finest level of an image says of itself, and its chunks' decoding."""
+
+    def __init__(self, files: Files, image_path: str):
+        attributes = files.attributes(image_path) or {}
+        if not attributes.get("multiscales"):
+            raise ValueError(f"no multiscales metadata at {files.base}/{image_path}")
+        multiscale = attributes["multiscales"][0]
+        self.level = multiscale["datasets"][0]["path"]
+        array = files.attributes("/".join(p for p in (image_path, self.level) if p), ".zarray")
+        if array is None or array.get("filters"):
+            raise ValueError(f"not a plain array: {files.base}/{image_path}/{self.level}")
+        self.shape, self.chunks, self.dtype = array["shape"], array["chunks"], np.dtype(array["dtype"])
+        self.order, self.compressor, self.mark = array.get("order", "C"), array.get("compressor"), array.get("dimension_separator", ".")
+        self.fill = array.get("fill_value") or 0
+        self.axes = axis_names(multiscale, len(self.shape))
+        self.grid = [math.ceil(n / c) for n, c in zip(self.shape, self.chunks, strict=True)]
+        size = dict.fromkeys(AXES, 1) | dict(zip(self.axes, self.shape, strict=True))
+        self.about = {"size": size, "axes": self.axes, "scales": axis_scales(multiscale, self.axes), "dtype": self.dtype.newbyteorder("=").name, "channels": channel_names(attributes, size["c"])}
+        decoder(self.compressor)
+
+    def wanted(self, images: DataFrame) -> DataFrame:
+        """The images' rows (image_path), each once for every chunk that its array may have, by name."""
+        number = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(math.prod(self.grid) - 1).cast("long")))
+        places = [(F.floor(F.col("id") / math.prod(self.grid[i + 1 :])) % n).cast("long") for i, n in enumerate(self.grid)]
+        return images.select("image_path", number.alias("id")).select("image_path", F.concat_ws("/", *places).alias("name"), F.lit(True).alias("wanted"))
+
+    def stored(self, spark: SparkSession, where: str) -> DataFrame:
+        """(folder, name, content) of the files under a path or pattern that leads to arrays: the folder of the chunk's image, by
+        its last three parts, and the chunk's name."""
+        parts, own = F.split("path", "/"), len(self.shape) if self.mark == "/" else 1
+        name = F.array_join(F.slice(parts, F.size(parts) - own + 1, own), "/") if self.mark == "/" else F.replace(F.element_at(parts, -1), F.lit(self.mark), F.lit("/"))
+        above = own + len(self.level.split("/"))
+        folder = F.array_join(F.slice(parts, F.greatest(F.lit(1), F.size(parts) - above - 2), 3), "/")
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(where)
+        return files.filter(~F.element_at(F.split("path", "/"), -1).startswith(".")).select(folder.alias("folder"), name.alias("name"), "content")
+
+    def pixels(self, chunks: DataFrame) -> DataFrame:
+        """(image_path, t, c, z, y, x, value) of chunks (image_path, name, wanted, content); one that isn't wanted is an error."""
+        shape, size, dtype, axes, order, fill = self.shape, self.chunks, self.dtype, self.axes, self.order, self.fill
+        plain = decoder(self.compressor)
+
+        def work(batches):
+            for b in batches:
+                for image, name, wanted, content in zip(b["image_path"], b["name"], b["wanted"], b["content"], strict=True):
+                    if wanted is not True:
+                        raise ValueError(f"chunk {name} of {image} isn't one of the array")
+                    low = [int(i) * c for i, c in zip(name.split("/"), size, strict=True)]
+                    block = np.full(size, np.array(fill, float).astype(dtype), dtype) if content is None else np.frombuffer(plain(content), dtype).reshape(size, order=order)
+                    block = block[tuple(slice(0, n - a) for n, a in zip(shape, low, strict=True))]
+                    places = np.indices(block.shape).reshape(len(shape), -1) + np.array(low)[:, None]
+                    columns = {a: np.zeros(block.size, np.int64) for a in AXES} | dict(zip(axes, places, strict=True))
+                    yield pd.DataFrame({"image_path": image} | columns | {"value": block.ravel().astype(float)})
+
+        schema = "image_path string, " + ", ".join(f"{a} long" for a in AXES) + ", value double"
+        return chunks.select("image_path", "name", "wanted", "content").mapInPandas(work, schema)
+
+
 def read_image(spark: SparkSession, store: str, image_path: str = "") -> tuple[DataFrame, dict]:
     """The pixels (t, c, z, y, x, value) of the finest level, and its shape, axes, scales, type and channels.
 
     A missing chunk holds the fill value; a stored one that isn't the array's is an error. Big-endian values are turned, either
     order of values is read, and absent axes have length 1."""
     files = Files(spark, store)
-    attributes = files.attributes(image_path) or {}
-    if not attributes.get("multiscales"):
-        raise ValueError(f"no multiscales metadata at {store}/{image_path}")
-    multiscale = attributes["multiscales"][0]
-    level = "/".join(p for p in (image_path, multiscale["datasets"][0]["path"]) if p)
-    array = files.attributes(level, ".zarray")
-    if array is None or array.get("filters"):
-        raise ValueError(f"not a plain array: {store}/{level}")
-    shape, chunks, dtype, order = array["shape"], array["chunks"], np.dtype(array["dtype"]), array.get("order", "C")
-    plain, axes = decoder(array.get("compressor")), axis_names(multiscale, len(shape))
-    grid, mark = [math.ceil(n / c) for n, c in zip(shape, chunks, strict=True)], array.get("dimension_separator", ".")
-    fill = np.array(array.get("fill_value") or 0, float).astype(dtype)
-
-    def decode(at: list[int], content: bytes | None) -> pd.DataFrame:
-        block = np.full(chunks, fill, dtype) if content is None else np.frombuffer(plain(content), dtype).reshape(chunks, order=order)
-        low = [i * c for i, c in zip(at, chunks, strict=True)]
-        block = block[tuple(slice(0, n - a) for n, a in zip(shape, low, strict=True))]
-        places = np.indices(block.shape).reshape(len(shape), -1) + np.array(low)[:, None]
-        columns = {a: np.zeros(block.size, np.int64) for a in AXES} | dict(zip(axes, places, strict=True))
-        return pd.DataFrame(columns | {"value": block.ravel().astype(float)})
-
-    def work(batches):
-        for b in batches:
-            for name, wanted, content in zip(b["name"], b["wanted"], b["content"], strict=True):
-                if wanted is not True:
-                    raise ValueError(f"chunk {name} isn't one of the array {level}")
-                yield decode([int(i) for i in name.split("/")], content)
-
-    schema = ", ".join(f"{a} long" for a in AXES) + ", value double"
-    places = [(F.floor(F.col("id") / math.prod(grid[i + 1 :])) % n).cast("long") for i, n in enumerate(grid)]
-    wanted = spark.range(math.prod(grid)).select(F.concat_ws("/", *places).alias("name"), F.lit(True).alias("wanted"))
-    parts = F.split("path", "/")
-    name = F.array_join(F.slice(parts, F.size(parts) - len(shape) + 1, len(shape)), "/") if mark == "/" else F.replace(F.element_at(parts, -1), F.lit(mark), F.lit("/"))
-    stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{files.base}/{level}").filter(~F.element_at(F.split("path", "/"), -1).startswith("."))
-    pixels = wanted.join(stored.select(name.alias("name"), "content"), "name", "full").mapInPandas(work, schema)
-    size = dict.fromkeys(AXES, 1) | dict(zip(axes, shape, strict=True))
-    return pixels, {"size": size, "axes": axes, "scales": axis_scales(multiscale, axes), "dtype": dtype.newbyteorder("=").name, "channels": channel_names(attributes, size["c"])}
+    array = Array(files, image_path)
+    stored = array.stored(spark, "/".join(p for p in (files.base, image_path, array.level) if p))
+    wanted = array.wanted(spark.range(1).select(F.lit(image_path).alias("image_path")))
+    chunks = wanted.drop("image_path").join(stored, "name", "full").withColumn("image_path", F.lit(image_path))
+    return array.pixels(chunks).drop("image_path"), array.about
+
+
+def read_plate(spark: SparkSession, store: str) -> tuple[DataFrame, dict]:
+    """The pixels (image_path, t, c, z, y, x, value) of all fields of a plate in one scan, and what its first field says of shape,
+    axes, scales, type and channels; all fields are of one form."""
+    files, places = Files(spark, store), fields(spark, store).select("image_path")
+    array = Array(files, places.orderBy("image_path").first().image_path)
+    stored = array.stored(spark, f"{files.base}/*/*/*/{array.level}").withColumnRenamed("folder", "image_path")
+    return array.pixels(array.wanted(places).join(stored, ["image_path", "name"], "full")), array.about
 
 
 # Writing -----------------------------------------------------------------------------------------------------------------

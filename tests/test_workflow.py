@@ -10,6 +10,7 @@ import pytest
 from maskframe.operators import geometry
 from maskframe.plans import measurements, workflow
 from maskframe.plans.settings import EXPANSION, FIELDS, SKIP, Settings, command_line, configuration, configuration_errors, model_names, read_configuration, selected_channels, translated
+from maskframe.sources import zarr
 
 ROW = "image_id long, t int, z long, y long, x long, label long"
 
@@ -99,3 +100,80 @@ def test_surfaces(spark):
     r = rows[1, 1]
     sphericity = math.pi ** (1 / 3) * (6 * r.volume_um3) ** (2 / 3) / r.surface_area_um2
     assert r.volume_um3 == len(at) and abs(r.surface_area_um2 / (4 * math.pi * 64) - 1) < 0.12 and 0.85 < sphericity <= 1
+
+
+def threshold(model):
+    """A backend that labels what is bright: rows of bright pixels that touch, or single bright pixels for spots."""
+
+    def make():
+        def segment(plane):
+            bright = plane > (180 if model.startswith("spotiflow") else 50)
+            if model.startswith("spotiflow"):
+                return np.where(bright, np.cumsum(bright).reshape(plane.shape), 0)
+            out = np.zeros(plane.shape, int)
+            for k, p in enumerate(np.argwhere(bright), 1):
+                out[tuple(p)] = min([v for v in out[max(0, p[0] - 1) : p[0] + 1, max(0, p[1] - 1) : p[1] + 2].ravel() if v], default=k)
+            return out
+
+        return segment
+
+    return make
+
+
+def picture(fields, two=2):
+    """For each field a signal with blocks and bright pixels, and a second channel with smaller blocks."""
+    a = np.zeros((fields, two, 24, 24))
+    for f in range(fields):
+        for k, (y, x) in enumerate(((3, 3), (12, 8), (14, 17))[: 3 - f % 2]):
+            a[f, 0, y : y + 6, x : x + 5] = 100 + k
+            a[f, 0, y + 3, x + 2] = 200
+            a[f, 1, y + 1 : y + 4, x + 1 : x + 4] = 90
+    return a
+
+
+def image_rows(spark, a):
+    return spark.createDataFrame([(0, c, 0, y, x, float(v)) for (c, y, x), v in np.ndenumerate(a)], "t long, c long, z long, y long, x long, value double")
+
+
+def test_a_run_from_store_to_tables(spark, tmp_path):
+    source, out, tables = (f"file://{tmp_path}/{n}" for n in ("image.zarr", "out.zarr", "tables"))
+    a = picture(1)[0]
+    zarr.write_image(image_rows(spark, a), source, {"c": 2, "y": 24, "x": 24}, [("Signal", None), ("DNA", None)], {"y": 0.5, "x": 0.25}, "<u2", chunk=16)
+    settings = Settings(cell_model="cellpose3:cyto3", nucleus_model="cellpose3:nuclei", nucleus_channel=2, foci_model_1="spotiflow:general")
+    workflow.run(spark, source, out, settings, threshold, tables)
+    measurements.opened(spark, tables)
+    got = {r.object_type: r.n for r in spark.sql("SELECT object_type, count(*) n FROM object_features GROUP BY 1").collect()}
+    assert got == {"cells": 3, "nuclei": 3, "cytoplasm": 3, "spots": 3}
+    row = spark.sql("SELECT sum(voxel_count) v, sum(area_um2) a FROM objects WHERE object_type = 'cells'").first()
+    assert row.v == 90 and math.isclose(row.a, 90 * 0.125)
+    assert spark.sql("SELECT count(*) FROM foci_assignments WHERE target_object_type = 'cells' AND relation = 'inside'").first()[0] == 3
+    assert spark.sql("SELECT intensity_max FROM intensity_features WHERE object_type = 'spots' AND channel_name = 'Signal'").first()[0] == 200
+    stored = json.loads(spark.table("measurement_runs").first().settings_json)
+    assert stored["nucleus_model"] == "cellpose3:nuclei" and len(stored) == 35
+    assert json.loads((tmp_path / "out.zarr" / "labels" / ".zattrs").read_text())["labels"] == ["labels_cells", "labels_nuclei", "labels_cytoplasm", "labels_spots_channel_1"]
+    assert zarr.read_image(spark, out)[1]["dtype"] == "uint16" and zarr.read_image(spark, out, "labels/labels_cells")[0].filter("value > 0").count() == 90
+    with pytest.raises(ValueError):
+        workflow.run(spark, source, out, Settings(nucleus_channel=3, nucleus_model="cellpose3:nuclei"), threshold)
+
+
+def test_a_run_over_a_plate(spark, tmp_path):
+    source, out, tables = (f"file://{tmp_path}/{n}" for n in ("plate.zarr", "out.zarr", "tables"))
+    fields = ["A/1/0", "A/1/1", "B/2/0"]
+    for a, path in zip(picture(3), fields, strict=True):
+        zarr.write_image(image_rows(spark, a), f"{source}/{path}", {"c": 2, "y": 24, "x": 24}, [("Signal", None), ("DNA", None)], {"z": 2.0, "y": 0.5, "x": 0.25}, "<u2", chunk=16)
+    (tmp_path / "plate.zarr" / ".zattrs").write_text(json.dumps({"plate": {"wells": [{"path": "A/1"}, {"path": "B/2"}]}}))
+    for well, names in (("A/1", "01"), ("B/2", "0")):
+        (tmp_path / "plate.zarr" / well / ".zattrs").write_text(json.dumps({"well": {"images": [{"path": n} for n in names]}}))
+    whole, _ = zarr.read_plate(spark, source)
+    assert whole.count() == 3 * 2 * 24 * 24
+    # cells grow from nuclei, and spots are refined to masks
+    settings = Settings(cell_model=EXPANSION + "cellpose3:nuclei", cell_channel=2, cell_expansion_distance=0.5, foci_model_1="spotiflow:general", spotiflow_local_refinement=True, remove_border_cells=False)
+    workflow.run(spark, source, out, settings, threshold, tables)
+    measurements.opened(spark, tables)
+    wells = {(r.plate_row, r.plate_column, r.field_index): r.n for r in spark.sql("SELECT plate_row, plate_column, field_index, count(*) n FROM object_features WHERE object_type = 'cells' GROUP BY ALL").collect()}
+    assert wells == {("A", "1", "0"): 3, ("A", "1", "1"): 2, ("B", "2", "0"): 3}
+    assert spark.sql("SELECT min(voxel_count) FROM objects WHERE object_type = 'spots'").first()[0] > 1 and spark.sql("SELECT count(*) FROM objects WHERE is_point").first()[0] == 0
+    assert spark.sql("SELECT count(*) FROM (SELECT image_id, label_value FROM objects WHERE object_type <> 'spots' GROUP BY ALL HAVING count(DISTINCT object_type) < 3)").first()[0] == 0
+    assert [r.image_path for r in zarr.fields(spark, out).orderBy("image_path").collect()] == fields
+    grown = zarr.read_image(spark, out, "A/1/1/labels/labels_cells")[0].filter("value > 0")
+    assert grown.count() == spark.sql("SELECT sum(voxel_count) FROM object_features WHERE object_type = 'cells' AND plate_row = 'A' AND field_index = '1'").first()[0] > 18
