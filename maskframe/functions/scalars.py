@@ -72,6 +72,38 @@ def signed_color(color: str | Column) -> Column:
     return F.when(v >= 2**31, v - 2**32).otherwise(v)
 
 
+# The types that an image document knows, and its namespace.
+XML_TYPES = {"uint8": "uint8", "int8": "int8", "uint16": "uint16", "int16": "int16", "uint32": "uint32", "int32": "int32", "float32": "float", "float64": "double"}
+XML_SPACE = "http://www.openmicroscopy.org/Schemas/OME/2016-06"
+
+
+def escaped(text: str | Column) -> Column:
+    """Text as it may stand in an XML attribute."""
+    out = col(text)
+    for letter, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):  # fixed values, & first
+        out = F.replace(out, F.lit(letter), F.lit(entity))
+    return out
+
+
+def element(name: str, attributes: dict[str, str | Column], *inside: Column) -> Column:
+    """An XML element of text columns; plain strings are texts."""
+    told = [F.concat(F.lit(f' {k}="'), F.lit(v) if isinstance(v, str) else escaped(v.cast("string")), F.lit('"')) for k, v in attributes.items()]
+    if not inside:
+        return F.concat(F.lit(f"<{name}"), *told, F.lit("/>"))
+    return F.concat(F.lit(f"<{name}"), *told, F.lit(">"), *inside, F.lit(f"</{name}>"))
+
+
+def image_document(name: Column, dtype: Column, size: dict[str, Column], scales: dict[str, Column], channels: Column) -> Column:
+    """An image's XML document: its type, sides (t, c, z, y, x), scales (z, y, x; 1.0 where there is none) and channels
+    (array<struct<label, color>>); a type that the format doesn't know is an error."""
+    known = F.create_map(*(F.lit(x) for pair in XML_TYPES.items() for x in pair))
+    kind = F.coalesce(F.try_element_at(known, dtype), F.raise_error(F.concat(F.lit("no image document for type "), dtype)).cast("string"))
+    one = lambda c, i: element("Channel", {"ID": F.concat(F.lit("Channel:0:"), i.cast("string")), "Name": c["label"], "Color": signed_color(c["color"]), "SamplesPerPixel": "1"})
+    sides = {f"Size{a.upper()}": size[a] for a in "xyzct"} | {f"PhysicalSize{a.upper()}": F.coalesce(scales[a], F.lit(1.0)) for a in "xyz"}
+    pixels = element("Pixels", {"ID": "Pixels:0", "DimensionOrder": "XYZCT", "Type": kind, **sides}, F.array_join(F.transform(channels, one), ""))
+    return F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n'), element("OME", {"xmlns": XML_SPACE}, element("Image", {"ID": "Image:0", "Name": name}, pixels)))
+
+
 def diameter_px(diameter_um: str | Column, mean_scale: str | Column, nuclei: str | Column) -> Column:
     """Pixels of a diameter: null below 0; at 0 the default of the target."""
     d = col(diameter_um)

@@ -563,6 +563,21 @@ def signed_colors(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", S.signed_color(color).alias("signed_color"))
 
 
+@query(
+    f"""SELECT p_partkey, '<?xml version="1.0" encoding="UTF-8"?>' || chr(10) || '<OME xmlns="{S.XML_SPACE}"><Image ID="Image:0" Name="' || replace(replace(p_name || ' & <' || p_brand || '>', '&', '&amp;'), '<', '&lt;').replace('>', '&gt;') || '"><Pixels ID="Pixels:0" DimensionOrder="XYZCT" Type="' || ['uint8', 'float', 'int32'][p_partkey % 3 + 1]
+    || '" SizeX="' || p_size || '" SizeY="' || (p_size + 1) || '" SizeZ="1" SizeC="' || (p_partkey % 3 + 1) || '" SizeT="2" PhysicalSizeX="0.25" PhysicalSizeY="0.5" PhysicalSizeZ="' || CASE WHEN p_partkey % 2 = 0 THEN '1.5' ELSE '1.0' END || '">'
+    || array_to_string(list_transform(range(p_partkey % 3 + 1), lambda i: '<Channel ID="Channel:0:' || i || '" Name="c' || i || '" Color="' || [16711935, -65281, -16711681, 65535][i + 1] || '" SamplesPerPixel="1"/>'), '') || '</Pixels></Image></OME>' AS document FROM part"""
+)
+def image_documents(spark, sf_dir):
+    k = F.col("p_partkey")
+    kind = F.element_at(F.array(*map(F.lit, ("uint8", "float32", "int32"))), (k % 3 + 1).cast("int"))
+    channels = F.transform(F.sequence(F.lit(0).cast("long"), k % 3), lambda i: F.struct(F.concat(F.lit("c"), i.cast("string")).alias("label"), F.element_at(F.array(*map(F.lit, ("00FF00", "FFFF00", "FF00FF", "0000FF"))), (i + 1).cast("int")).alias("color")))
+    size = {"t": F.lit(2), "c": k % 3 + 1, "z": F.lit(1), "y": F.col("p_size") + 1, "x": F.col("p_size")}
+    name = F.concat("p_name", F.lit(" & <"), "p_brand", F.lit(">"))
+    scales = {"z": F.when(k % 2 == 0, 1.5), "y": F.lit(0.5), "x": F.lit(0.25)}
+    return table(spark, sf_dir, "part").select("p_partkey", S.image_document(name, kind, size, scales, channels).alias("document"))
+
+
 @query(sql("SELECT p_partkey, CASE WHEN d < 0 THEN NULL WHEN d = 0 THEN (CASE WHEN p_partkey % 2 = 0 THEN 12.0::DOUBLE ELSE 25.0::DOUBLE END) / 0.5::DOUBLE ELSE d / 0.5::DOUBLE END AS diameter_px, greatest(1, CAST(round_even(abs(d) / 0.5::DOUBLE, 0) AS INTEGER)) AS distance_px FROM (SELECT p_partkey, CAST(p_size % 7 - 1 AS DOUBLE) * 0.25::DOUBLE AS d FROM part)", "diameter_px", base=""))
 def pixel_sizes(spark, sf_dir):
     d = (F.col("p_size") % 7 - 1).cast("double") * 0.25

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import exact_int
+from ..functions import scalars as S
 from .codecs import decoder
 
 AXES = "tczyx"
@@ -326,7 +326,7 @@ def write_image(rows: DataFrame, store: str, size: dict[str, int], channels: lis
         same_sides(about["size"], size)
         count = about["size"]["c"]
         moved = rows.withColumns({"c": F.col("c") + count, "value": F.col("value").cast("double")})
-        rows = with_axes(pixels).withColumn("value", exact_int("value").cast("double")).unionByName(moved.select(*AXES, "value"))
+        rows = with_axes(pixels).withColumn("value", S.exact_int("value").cast("double")).unionByName(moved.select(*AXES, "value"))
         size, channels = size | {"c": size["c"] + count}, [*about["channels"], *channels]
     parent, _, name = store.rstrip("/").rpartition("/")
     top, partial = Files(spark, parent), f"{name}.partial"
@@ -335,6 +335,8 @@ def write_image(rows: DataFrame, store: str, size: dict[str, int], channels: lis
     try:
         shown = [{"label": n, "active": True} | ({"color": c} if c else {}) for n, c in channels]
         put_metadata(files, "image", size, chunk, dtype, scales, {"omero": {"channels": shown}})
+        described = S.image_document(F.lit(name), F.lit(np.dtype(dtype).name), {a: F.lit(n) for a, n in size.items()}, {a: F.lit((scales or {}).get(a)).cast("double") for a in "zyx"}, F.array(*(F.struct(F.lit(n).alias("label"), (F.lit(c) if c else S.label_color(F.lit(n), F.lit(k))).alias("color")) for k, (n, c) in enumerate(channels))).cast("array<struct<label:string,color:string>>"))
+        files.write("image/OME/METADATA.ome.xml", spark.range(1).select(described.alias("x")).first().x.encode())
         put_chunks(in_levels(rows, "image", size), files.base, chunk, dtype)
         top.install(f"{partial}/image", name)
     finally:
