@@ -12,10 +12,10 @@ from collections import deque
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .postprocess import PLANE, offset_ids
+from .postprocess import PLANE
 from .stencil import binomial_smooth
 
 # The reach in micrometres, the share of the contrast, and the noise levels above background.
@@ -150,9 +150,11 @@ def outcomes(pixels: DataFrame, points: DataFrame, scale_y: float, scale_x: floa
 
 
 def masks(found: DataFrame) -> DataFrame:
-    """(image_id, t, z, y, x, label) of the outcomes, with ids that run over an image's planes."""
-    places = found.filter("label is not null").select(*PLANE, "label", F.explode("places").alias("p"))
-    return offset_ids(places.select(*PLANE, F.col("p")[0].alias("y"), F.col("p")[1].alias("x"), "label"), ["image_id", "t"], ["z"])
+    """(image_id, t, z, y, x, label) of the outcomes, with ids that run over an image's planes. A plane's labels are dense, so a
+    candidate's id is its place among the image's, in order of planes and labels."""
+    order = Window.partitionBy("image_id", "t").orderBy("z", "label")
+    kept = found.filter("label is not null").withColumn("label", F.row_number().over(order).cast("long"))
+    return kept.select(*PLANE, "label", F.explode("places").alias("p")).select(*PLANE, F.col("p")[0].alias("y"), F.col("p")[1].alias("x"), "label")
 
 
 def totals(found: DataFrame) -> DataFrame:
