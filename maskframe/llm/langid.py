@@ -251,15 +251,22 @@ def labelled(documents: DataFrame) -> DataFrame:
     return known.filter("doc_id is not null and text is not null and lang is not null and octet_length(text) > 0")
 
 
-def fitted(documents: DataFrame, train_rows: int = TRAIN_ROWS) -> Network:
-    """A network trained on windows of the texts that may be learned from; every window of theirs is as likely to be drawn."""
+def drawn_windows(documents: DataFrame, train_rows: int) -> DataFrame:
+    """(lang, part): distinct windows of the texts that may be learned from, the first `train_rows` in the order of their draws.
+    Every window of every text is as likely to be drawn, and copies of one count once; no order of rows or partitions matters."""
     known = labelled(documents).filter(~held_out()).select("text", "lang", F.expr(f"ceil(octet_length(text) / {WINDOW})").alias("n"))
     total = known.agg(F.sum("n")).first()[0] or 0
-    share = int((1 << 30) * min(1.0, 1.5 * train_rows / max(1, total)))
-    drawn = F.expr(f"filter(sequence(0L, n - 1), k -> pmod(xxhash64(text, lang, k), {1 << 30}L) < {share}L)")
-    parts = known.select("lang", F.encode("text", "utf-8").alias("data"), F.explode(drawn).alias("k")).select("lang", F.expr(f"substring(data, cast(k * {WINDOW} + 1 as int), {WINDOW})").alias("part"))
-    # copies of a window count once; the order is by hash, so the rows taken don't depend on partitions
-    rows = parts.distinct().orderBy(F.xxhash64("part", "lang"), "part", "lang").limit(train_rows).collect()
+    share = int((1 << 62) * min(1.0, 1.5 * train_rows / max(1, total)))
+    # a text is hashed once; its windows' draws are hashes of that and their numbers
+    seeded = known.select("lang", F.encode("text", "utf-8").alias("data"), F.xxhash64("text", "lang").alias("seed"), "n")
+    drawn = F.expr(f"filter(sequence(0L, n - 1), k -> (xxhash64(seed, k) & {(1 << 62) - 1}L) < {share}L)")
+    parts = seeded.select("lang", "data", "seed", F.explode(drawn).alias("k")).select("lang", F.expr(f"substring(data, cast(k * {WINDOW} + 1 as int), {WINDOW})").alias("part"), F.expr("xxhash64(seed, k)").alias("draw"))
+    return parts.groupBy("part", "lang").agg(F.min("draw").alias("draw")).orderBy("draw", "part", "lang").limit(train_rows).select("lang", "part")
+
+
+def fitted(documents: DataFrame, train_rows: int = TRAIN_ROWS) -> Network:
+    """A network trained on windows of the texts that may be learned from."""
+    rows = drawn_windows(documents, train_rows).collect()
     langs = sorted({r.lang for r in rows})
     network = Network(langs)
     if rows:

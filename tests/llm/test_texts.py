@@ -853,6 +853,15 @@ def test_held_out_rows_teach_nothing(spark, network):
     assert again.langs == network.langs and all((again.parameters()[k] == v).all() for k, v in network.parameters().items())
 
 
+def test_a_text_is_hashed_once_for_all_its_windows(spark, edges):
+    plan = langid.drawn_windows(edges, 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(text") == 1 and "lambdafunction" in plan
+    same = docs(spark, [(i, "same text here") for i in range(30)])
+    assert [r.part.decode() for r in langid.drawn_windows(same, 10).collect()] == ["same text here"]
+    long = docs(spark, [(i, LONG * 30) for i in range(3)])
+    assert 0 < langid.drawn_windows(long, 10**6).count() < 50
+
+
 def test_language_spans(spark, edges, network):
     text = "the and of that with thing. der und nicht einschlich sich"
     mixed = docs(spark, [(1, text), (2, None), (3, "12 34")])
