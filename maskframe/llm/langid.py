@@ -8,7 +8,7 @@ carries its state into it. The cut is the same at any length, and no byte is lef
 Training: TRAIN_ROWS distinct windows of WINDOW bytes at most, drawn by hash from all places of all texts with a language, but
 for those with crc32(doc_id) mod 3 = 1, which are held out. One more label stands for what is in none of the languages; its
 windows are drawn ones with their bytes shuffled or their letters swapped for others. A prediction names a language always;
-the pipeline's stage rejects a document whose positions bear that label by more than half.
+the pipeline's stage rejects a document whose positions bear that label by more than half, and clearly so for its length.
 
 Edge cases: a null text or one without a letter is `und` with score 0; so is any text if no row can be learned from; with a
 single language that one is given. A null doc_id is neither held out nor learned from. Texts are read whole; repeated rows
@@ -32,10 +32,11 @@ from .common import map_batches, record_batch, table
 STRETCH, CONTEXT = 256, 32
 #: Stretches that run side by side.
 SIDE_BY_SIDE = 2048
-TRAIN_ROWS, WINDOW = 6000, 64
-#: Of how many windows one is corrupted too, and the share of positions in no language by which the pipeline rejects a document.
-CORRUPT, MOST_OTHER = 2, 0.5
-UNITS, STEPS, BATCH, RATE = 16, 400, 128, 0.02
+TRAIN_ROWS, WINDOW = 12_000, 64
+#: Of how many windows one is corrupted too. A document of n bytes is rejected if more than MOST_OTHER + SLACK / sqrt(n) of it is in
+#: no language: neighbouring positions go together, so a short text shows little.
+CORRUPT, MOST_OTHER, SLACK = 2, 0.5, 4.0
+UNITS, STEPS, BATCH, RATE = 16, 500, 128, 0.02
 #: The symbol of places before and after a text.
 OUTSIDE = 256
 
@@ -325,14 +326,18 @@ def in_a_language(documents: DataFrame, most_other: float = MOST_OTHER, network:
     def start():
         reader = Reader(network)
 
+        def clear(text: str, lang: str, other: float) -> bool:
+            return lang != "und" and other <= most_other + SLACK / len(text.encode()) ** 0.5
+
         def work(batch):
-            found = reader.predict(batch.column(at).to_pylist())
+            texts = batch.column(at).to_pylist()
+            found = reader.predict(texts)
             columns = list(batch.columns)
             if lang is not None:
                 old = columns[lang].to_pylist()
                 columns[lang] = pa.array([x[0] if y is None else y for x, y in zip(found, old, strict=True)], columns[lang].type)
             rows = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-            return rows.filter(pa.array([x != "und" and other <= most_other for x, _, other in found], pa.bool_()))
+            return rows.filter(pa.array([clear(t or " ", x, other) for t, (x, _, other) in zip(texts, found, strict=True)], pa.bool_()))
 
         return work
 
