@@ -87,9 +87,11 @@ def segmentation(settings: Settings, pixels: DataFrame, about: dict, backends: B
 
 def run(spark, store: str, out: str, settings: Settings, backends: Backends, tables: str | None = None) -> None:
     """A store from pixels to labels and tables: every image, or every field of a plate, is segmented by the settings; the labels are
-    written to `out` (a plate as a plate, an image in the native layout) and measured into the folder `tables`. Labels are
+    written to `out` (a plate as a plate; an image in the native layout, or with the setting for it as channels behind its own) and measured into the folder `tables`. Labels are
     written once, beside the output, so that writing and measuring read the same."""
     plate = zarr.is_plate(spark, store)
+    if plate and settings.include_original_channels:
+        raise ValueError("a plate's labels are written as groups, not as channels beside its own")
     if plate:
         pixels, about = zarr.read_plate(spark, store)
         places = zarr.fields(spark, store)
@@ -112,6 +114,10 @@ def run(spark, store: str, out: str, settings: Settings, backends: Backends, tab
             present = [names[r.set_index] for r in labels.select("set_index").distinct().orderBy("set_index").collect()]
             if plate:
                 zarr.write_plate(named, places.select("image_path"), store, out, about["size"] | {"c": 1}, present)
+            elif settings.include_original_channels:
+                rows = labels.withColumn("c", F.array_position(F.array(*map(F.lit, sorted(names))), F.col("set_index")) - 1)
+                sets = [(names[k], None) for k in sorted(names)]
+                zarr.write_image(rows.select("t", "c", "z", "y", "x", F.col("label").alias("value")), out, about["size"] | {"c": len(sets)}, sets, about["scales"], original=zarr.read_image(spark, store))
             else:
                 zarr.write_native(named.drop("image_path"), out, store, present)
         if tables:

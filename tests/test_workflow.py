@@ -6,6 +6,7 @@ import math
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from maskframe.operators import geometry
 from maskframe.plans import measurements, workflow
@@ -152,6 +153,10 @@ def test_a_run_from_store_to_tables(spark, tmp_path):
     assert stored["nucleus_model"] == "cellpose3:nuclei" and len(stored) == 35
     assert json.loads((tmp_path / "out.zarr" / "labels" / ".zattrs").read_text())["labels"] == ["labels_cells", "labels_nuclei", "labels_cytoplasm", "labels_spots_channel_1"]
     assert zarr.read_image(spark, out)[1]["dtype"] == "uint16" and zarr.read_image(spark, out, "labels/labels_cells")[0].filter("value > 0").count() == 90
+    workflow.run(spark, source, f"{out}.channels.zarr", Settings(cell_model="cellpose3:cyto3", nucleus_model="cellpose3:nuclei", nucleus_channel=2, include_original_channels=True), threshold)
+    pixels, about = zarr.read_image(spark, f"{out}.channels.zarr")
+    assert [n for n, _ in about["channels"]] == ["Signal", "DNA", "labels_cells", "labels_nuclei", "labels_cytoplasm"]
+    assert {r.c: r.n for r in pixels.filter("value > 0").groupBy("c").agg(F.count("*").alias("n")).collect()} == {0: 90, 1: 27, 2: 90, 3: 27, 4: 63}
     with pytest.raises(ValueError):
         workflow.run(spark, source, out, Settings(nucleus_channel=3, nucleus_model="cellpose3:nuclei"), threshold)
 
