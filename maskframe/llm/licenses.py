@@ -1,7 +1,7 @@
 """License scans: exact phrases by place, and known notices within an edit budget by seeds and bounded-error matching.
 
-A notice of m characters with at most k edits is cut into k + 1 pieces; one of them stands unchanged in any match
-(pigeonhole), so only places around such a piece are handed to the regex library. Both work on the text with A-Z
+A notice of m characters with at most k edits is cut into k + 3 pieces; three of them stand unchanged in any match
+(pigeonhole), so only places with three such pieces are handed to the regex library. Both work on the text with A-Z
 lower-cased and its words joined by one space.
 Edge cases: a null or empty text has no words, no labels and score 0; texts are searched whole; repeated rows repeat;
 an empty table gives an empty result; only the id and text columns are read.
@@ -10,6 +10,7 @@ an empty table gives an empty result; only the id and text columns are read.
 from __future__ import annotations
 
 from bisect import bisect
+from collections import Counter
 from functools import lru_cache
 
 import regex
@@ -35,18 +36,20 @@ NOTICES = {
     "creative commons attribution 4 0 international": "cc-by-4.0",
     "subject to the terms of the mozilla public license": "mpl",
     "this is free and unencumbered software released into the public domain": "unlicense",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license": "gpl-header",
+    "this program is free software you can redistribute it": "gpl-header",
     "under the terms of the gnu affero general public license": "agpl",
-    "permission to use copy modify and or distribute this software for any purpose with or without fee": "isc",
+    "permission to use copy modify and or distribute this software": "isc",
     "boost software license version 1 0": "bsl",
     "eclipse public license version 2 0": "epl",
-    "unless required by applicable law or agreed to in writing software distributed under the license": "apache-header",
-    "neither the name of the copyright holder nor the names of its contributors may be used": "bsd-3",
+    "unless required by applicable law or agreed to in writing": "apache-header",
+    "neither the name of the copyright holder nor the names": "bsd-3",
     "has waived all copyright and related or neighboring rights": "cc0",
     "all rights reserved no part of this publication may be reproduced": "reserved",
 }
 #: Characters of a notice for each edit that a match may have.
 CHARS_PER_EDIT = 12
+#: Pieces of a notice that a match leaves unchanged, at least.
+INTACT = 3
 
 _WORD = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 
@@ -57,10 +60,15 @@ def normal_words(text: bytes) -> list[bytes]:
 
 
 class Notice:
+    """A notice of m characters with at most k edits, cut into k + INTACT pieces: edits reach k of them at most, so any match
+    holds INTACT pieces unchanged, at shifts that differ by k at most. Only places with that many are matched with errors."""
+
     def __init__(self, words: str, label: str, chars_per_edit: int = CHARS_PER_EDIT):
         self.words, self.label = words.encode(), label
         m, self.edits = len(self.words), len(words) // chars_per_edit
-        cuts = [i * m // (self.edits + 1) for i in range(self.edits + 2)]
+        n = self.edits + min(INTACT, m - self.edits)
+        cuts = [i * m // n for i in range(n + 1)]
+        self.need = n - self.edits
         self.seeds = [(a, self.words[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
         self.pattern = regex.compile(b"(?b)(?:%s){e<=%d}" % (regex.escape(self.words), self.edits))
         self.verify = lru_cache(4096)(self._verify)
@@ -69,18 +77,35 @@ class Notice:
         m = self.pattern.search(window)
         return m and (m.start(), m.end(), sum(m.fuzzy_counts))
 
-    def find(self, line: bytes) -> list[tuple[int, int, int]]:
-        """Matches (start, end, edits) in the joined words, one at most for each place that a seed points to."""
-        places = set()
-        for offset, seed in self.seeds:
+    def places(self, line: bytes) -> list[int]:
+        """Where a match may begin, but for edits: the first shift of each group of enough different pieces."""
+        hits = []
+        for k, (offset, seed) in enumerate(self.seeds):
             at = line.find(seed)
             while at >= 0:
-                places.add(at - offset)
+                hits.append((at - offset, k))
                 at = line.find(seed, at + 1)
+        if len(hits) < self.need:
+            return []
+        hits.sort()
+        out, inside, last = [], Counter(), 0
+        for place, k in hits:
+            while last < len(hits) and hits[last][0] <= place + self.edits:
+                inside[hits[last][1]] += 1
+                last += 1
+            if len(inside) >= self.need and (not out or out[-1] != place):
+                out.append(place)
+            inside[k] -= 1
+            if not inside[k]:
+                del inside[k]
+        return out
+
+    def find(self, line: bytes) -> list[tuple[int, int, int]]:
+        """Matches (start, end, edits) in the joined words, one at most for each place."""
         found = set()
-        for place in places:
+        for place in self.places(line):
             a = max(0, place - self.edits)
-            if m := self.verify(line[a : place + len(self.words) + self.edits]):
+            if m := self.verify(line[a : max(0, place + len(self.words) + 2 * self.edits)]):
                 found.add((a + m[0], a + m[1], m[2]))
         return sorted(found)
 
