@@ -5,7 +5,8 @@ is decided for all pairs of a batch at once: walk down the merge trees of both t
 merge across it would have come earlier than the one that built the side. Words are remembered by worker, within a bound.
 
 Edge cases: null and empty texts have no tokens; strings of special tokens inside a text become those tokens; texts are
-encoded whole, words of any length too (the exact merge takes n log n); repeated rows repeat; an empty table gives an
+encoded whole, words of any length too (the exact merge takes n log n); texts with code points that Python's Unicode tables don't
+assign are split into words by the tokenizer library's own tables; repeated rows repeat; an empty table gives an
 empty result; only doc_id and text are read.
 """
 
@@ -24,6 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from .common import kept, map_batches, record_batch, table
 
@@ -31,7 +33,10 @@ from .common import kept, map_batches, record_batch, table
 CACHE_WORDS, CACHE_CHARS = 300_000, 64
 END = "</w>"
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
-_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+_WORDS = regex.compile(WORDS)
+_LIBRARY_NORMAL = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+_LIBRARY_WORDS = pre_tokenizers.Split(Regex(WORDS), "removed", invert=True)
 
 
 def byte_letters() -> list[str]:
@@ -209,9 +214,16 @@ class Bpe:
         return out
 
 
+def newer(text: str) -> bool:
+    """Whether a text holds code points that Python's Unicode tables don't assign; others may class and compose them otherwise."""
+    return "Cn" in map(unicodedata.category, set(text))
+
+
 def words_of(text: str) -> list[str]:
     if text.isascii():
         return _ASCII_WORDS.findall(text.lower())
+    if newer(text):
+        return [w for w, _ in _LIBRARY_WORDS.pre_tokenize_str(_LIBRARY_NORMAL.normalize_str(text))]
     # lower-casing here knows no final sigma
     return _WORDS.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 

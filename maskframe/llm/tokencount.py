@@ -8,7 +8,8 @@ entries, encodes each, and broadcasts their bytes and lengths. A worker looks th
 the pre-token itself. Misses are encoded exactly and remembered by the worker, within a bound. Counts don't depend on the table.
 
 Edge cases: null and empty texts have 0 bytes and 0 tokens; strings of special tokens in a text count as one token each;
-texts are counted whole; repeated rows repeat; an empty table gives an empty result; only doc_id and text are read, and other
+texts are counted whole; those with code points that Python's Unicode tables don't assign are split by the tokenizer library's own
+tables; repeated rows repeat; an empty table gives an empty result; only doc_id and text are read, and other
 columns may have any name.
 """
 
@@ -25,13 +26,15 @@ import tiktoken
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, pre_tokenizers
 
-from .bpe import byte_letters, tokenizer_json
+from .bpe import byte_letters, newer, tokenizer_json
 from .common import Scratch, kept, map_batches, record_batch, slices, table
 
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 _ANY = regex.compile(PRE_TOKENS)
+_LIBRARY = pre_tokenizers.Split(Regex(PRE_TOKENS), "isolated")
 #: Pre-tokens of the broadcast table; those that a task counts at once; summaries that one merge takes.
 MOST, KEPT, FAN = 8192, 1 << 17, 64
 #: Pre-tokens that a worker remembers at most, and the longest of them in characters.
@@ -39,7 +42,9 @@ CACHE_WORDS, CACHE_CHARS = 300_000, 64
 
 
 def pre_tokens(text: str) -> list[str]:
-    return (_ASCII if text.isascii() else _ANY).findall(text)
+    if text.isascii():
+        return _ASCII.findall(text)
+    return [w for w, _ in _LIBRARY.pre_tokenize_str(text)] if newer(text) else _ANY.findall(text)
 
 
 def ranks_of(spec: dict) -> dict[bytes, int]:

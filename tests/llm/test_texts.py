@@ -364,6 +364,28 @@ def fuzz(n, seed):
     return ["".join(rng.choice(rng.choice(alphabets)) for _ in range(rng.randrange(0, 60))) for _ in range(n)] + ["<|endoftext|> a<|startoftext|>B", "Σ ΑΣ ΑΣΑ", "x" * 5000, "'s't're'LL", "<|endoftext|", " " * 99, LONG, ""]
 
 
+def all_code_points():
+    """Each code point between letters, digits, marks and apostrophes, in texts of 512 of them, and alone if Python doesn't know it."""
+    points = [chr(c) for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000]
+    runs = ["".join(f"{c}'s a{c}b 1{c}2 !{c}{c}A {c}" for c in points[at : at + 512]) for at in range(0, 0x20000, 512)]
+    new = [f"x{c}'S {c}{d}" for c, d in zip(points[::97], points[1::97], strict=False) if bpe.newer(c)][:3000]
+    return runs + new + [f"{c}'s a{c}{c}b 1{c}2 !{c}'ll" for c in map(chr, range(0x10000, 0x20000)) if bpe.newer(c)][::7]
+
+
+def test_code_points_of_any_unicode_version():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = all_code_points()
+    library, ours = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), bpe.Bpe(bpe.tokenizer_json())
+    for text, (ids, _), want in zip(texts, ours.encode_texts(texts), library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids == " ".join(map(str, want.ids)), text
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ranks = tokencount.ranks_of(__import__("json").loads(bpe.tokenizer_json("byte_bpe_50k.json")))
+    tokens = tokencount.Tokens(ranks, ["<|endoftext|>"], tokencount.compact(["a"], ranks))
+    assert [tokens.count(t) for t in texts] == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_bpe_equals_the_library(spark, edges, nothing):
     import public_tokenizers
     from tokenizers import Tokenizer
