@@ -1,10 +1,12 @@
-"""The queries of the text operators, by name, and the SQL of the one that SQL can express; tests hold the others against
+"""The queries of the text operators, by name, and the SQL of those that SQL can express; tests hold the others against
 brute force, exact round trips or held-out rows."""
 
 from __future__ import annotations
 
 import importlib
 
+from . import infill, lexical
+
 _NAMES = {
     "media": "op1_media_columns",
     "licenses": "op2_license_scan",
@@ -16,6 +18,9 @@ _NAMES = {
     "pii": "op8_pii",
     "substring": "op9_substring_dedup",
     "langid": "op10_language_id",
+    "mixing": "op11_source_mix",
+    "infill": "op12_fill_in_middle",
+    "lexical": "op13_ranked_search",
 }
 QUERIES = {name: getattr(importlib.import_module(f"{__package__}.{module}"), name) for module, name in _NAMES.items()}
 
@@ -29,4 +34,4 @@ ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (SELECT doc_id, doc_id AS node FROM words UNION SELECT r.doc_id, b FROM reach r JOIN ways ON a = r.node),
 roots AS (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY 1)
 SELECT words.doc_id, coalesce(n, 0) AS n_shingles, component_id, words.doc_id = component_id AS kept FROM words JOIN roots USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
-ORACLES: dict[str, str] = {"op3_near_duplicates": NEAR_DUPLICATES}
+ORACLES: dict[str, str] = {"op3_near_duplicates": NEAR_DUPLICATES, "op12_fill_in_middle": infill.ORACLE, "op13_ranked_search": lexical.ORACLE}
