@@ -9,7 +9,8 @@ All slots of the mix lie in shards of SHARD slots. One pseudorandom permutation
 counts of each source are a multinomial draw, given the totals (`shard_counts`). Free draws would miss a target by the square root
 of its slots and pass the limit half the time where a source is at it. A source's slots number its draws, and each pass maps them
 to the source's blocks by a permutation of its own, a source's short last block being the last of the pass; slots and blocks then
-meet by source and index. The last slot of a part pass is filled only as far as the target goes. Permutations are swap-or-not shuffles, exact on any number of places.
+meet by source and index. The last slot of a part pass is filled only as far as the target goes. Permutations are swap-or-not
+shuffles, exact on any number of places.
 
 Nothing is ordered or summed in one task: rows are ordered within 4096 hash ranges of a source, sources within ranges of names.
 
