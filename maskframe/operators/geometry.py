@@ -1,7 +1,7 @@
 """Shape features that need geometry: hulls, holes, largest diameters and surfaces.
 
-An object's voxels combine to words of 64 pixels of a row before they are shuffled, and its words to one row; Python then takes
-many objects at a time, each alone, so neither an image nor a label set stands in one task."""
+An object's voxels combine to words of 64 pixels of a row before they are shuffled, and its words to one row; numpy then measures
+many flat objects at once, so neither an image nor a label set stands in one task and no object costs a Python call of its own."""
 
 from __future__ import annotations
 
@@ -13,38 +13,90 @@ from pyspark.sql import functions as F
 from ..sources.raster import OBJECT
 
 
-def hull(points: np.ndarray) -> np.ndarray:
-    """Corners of the convex hull, counter-clockwise (monotone chain)."""
-    points = np.unique(points, axis=0)
-    if len(points) < 3:
-        return points
-
-    def half(rows):
-        out: list = []
-        for p in rows:
-            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]):
-                out.pop()
-            out.append(p)
-        return out[:-1]
-
-    rows = points.tolist()
-    return np.array(half(rows) + half(rows[::-1]))
+#: No point: larger than any place.
+FAR = np.int64(1) << 40
+#: Rows up to which an object's points are compared all with all.
+LOW = 16
+
+
+def envelope(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lower convex hulls of many objects at once: at[i, v] is the least place of object i in row v, FAR where it has none. Of each
+    object the rows and places of its corners, and how many it has; all objects take one row after another."""
+    n, height = at.shape
+    rows, places, count, every = np.zeros((n, height), np.int64), np.zeros((n, height), np.int64), np.zeros(n, np.int64), np.arange(n)
+    for v in range(height):
+        there = at[:, v] < FAR
+        open_ends = every[there & (count > 1)]
+        while len(open_ends):
+            k = count[open_ends]
+            y1, x1, y2, x2 = rows[open_ends, k - 2], places[open_ends, k - 2], rows[open_ends, k - 1], places[open_ends, k - 1]
+            # the last corner goes if it isn't below the line from the one before it to the new point
+            open_ends = open_ends[(x2 - x1) * (v - y1) >= (at[open_ends, v] - x1) * (y2 - y1)]
+            count[open_ends] -= 1
+            open_ends = open_ends[count[open_ends] > 1]
+        new = every[there]
+        rows[new, count[new]], places[new, count[new]] = v, at[new, v]
+        count[new] += 1
+    return rows, places, count
+
+
+def first_inside(rows: np.ndarray, places: np.ndarray, count: np.ndarray, height: int) -> np.ndarray:
+    """Of each object and odd half row 2 y + 1 the least pixel whose centre the hull holds, in whole numbers."""
+    out = np.full((len(rows), height), FAR)
+    every = np.arange(len(rows))
+    live = np.arange(rows.shape[1]) < count[:, None]
+    for y in range(height):
+        v = 2 * y + 1
+        k = (live & (rows <= v)).sum(axis=1) - 1
+        inside = every[(k >= 0) & (rows[every, count - 1] >= v)]
+        k = np.minimum(k[inside], count[inside] - 2)
+        y1, x1, y2, x2 = rows[inside, k], places[inside, k], rows[inside, k + 1], places[inside, k + 1]
+        # ceiling of the line's place, halved as places are in half pixels
+        out[inside, y] = -((-((y2 - v) * x1 + (v - y1) * x2)) // (2 * (y2 - y1)))
+    return out
 
 
-def _edges(mask: np.ndarray) -> np.ndarray:
-    """The middles of the four sides of each pixel."""
-    at = np.argwhere(mask).astype(float)
-    return np.concatenate([at + d for d in ((0.5, 0), (-0.5, 0), (0, 0.5), (0, -0.5))])
+def extents(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Least places by half row of the extents (the middles of pixels' sides) of rows that go from first to last; FAR for none."""
+    n, height = first.shape
+    out = np.full((n, 2 * height + 1), FAR)
+    out[:, 1::2] = np.where(first < FAR, 2 * first - 1, FAR)
+    side = np.where(first < FAR, 2 * first, FAR)
+    out[:, :-1:2] = np.minimum(out[:, :-1:2], side)
+    out[:, 2::2] = np.minimum(out[:, 2::2], side)
+    return out
 
 
-def convex_mask(mask: np.ndarray) -> np.ndarray:
-    """Pixels whose centres lie in the hull of the pixels' extents."""
-    corners = hull(_edges(mask))
-    grid = np.indices(mask.shape).reshape(2, -1).T
-    inside = np.ones(len(grid), bool)
-    for a, b in zip(corners, np.roll(corners, -1, axis=0), strict=True):
-        inside &= (b[0] - a[0]) * (grid[:, 1] - a[1]) - (b[1] - a[1]) * (grid[:, 0] - a[0]) >= -1e-9
-    return inside.reshape(mask.shape)
+def farthest(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The largest distance between two points of each object's extents, in pixels."""
+    if left.shape[1] > 2 * LOW + 1:
+        out = np.zeros(len(left))
+        hulls = [envelope(left), envelope(-np.where(right < FAR, right, -FAR))]
+        for i in range(len(left)):
+            points = np.concatenate([np.stack([rows[i, : count[i]], sign * places[i, : count[i]]], axis=1) for (rows, places, count), sign in zip(hulls, (1, -1), strict=True)]).astype(float)
+            out[i] = max(((points - p) ** 2).sum(axis=1).max() for p in points)
+        return np.sqrt(out) / 2
+    out = np.zeros(len(left))
+    for a in range(left.shape[1]):
+        for b in range(left.shape[1]):
+            both = (left[:, a] < FAR) & (right[:, b] < FAR)
+            for x, z in ((right[:, b], left[:, a]), (left[:, b], left[:, a]), (right[:, b], right[:, a])):
+                out = np.where(both, np.maximum(out, (a - b) ** 2 + (x - z).astype(float) ** 2), out)
+    return np.sqrt(out) / 2
+
+
+def convex_and_feret(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For objects of like height, by their rows' first and last pixels (FAR for an empty row): the pixels whose centres lie in the hull
+    of the pixels' extents, and the largest distance between two points of the outline of those."""
+    height = first.shape[1]
+    mirrored = np.where(last < FAR, -last, FAR)
+    low = first_inside(*envelope(extents(first, last)), height)
+    high = first_inside(*envelope(extents(mirrored, mirrored)), height)
+    full = (low < FAR) & (high < FAR) & (low <= -high)
+    size = np.where(full, -high - low + 1, 0).sum(axis=1)
+    low, high = np.where(full, low, FAR), np.where(full, high, FAR)
+    right = extents(high, high)
+    return size, farthest(extents(low, low), np.where(right < FAR, -right, FAR))
 
 
 def hull_planes(points: np.ndarray, slack: float = 1e-9) -> np.ndarray | None:
@@ -119,12 +171,6 @@ def filled(mask: np.ndarray) -> np.ndarray:
         out = grown
 
 
-def feret(mask: np.ndarray) -> float:
-    """The largest distance between two points of the convex mask's outline."""
-    corners = hull(_edges(convex_mask(mask)))
-    return float(np.sqrt(((corners[:, None] - corners[None]) ** 2).sum(axis=2)).max())
-
-
 def euler_3d(mask: np.ndarray) -> int:
     """Euler number of a volume with full connectivity: vertices, edges, faces and cubes of the union of closed voxels."""
     padded = np.pad(mask, 1)
@@ -163,20 +209,54 @@ def mask_of(rows: list[dict]) -> np.ndarray:
     return mask
 
 
+def runs_of(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Of a batch of objects as words: for each row of an object the object, z, y, first and last pixel, and number of pixels."""
+    parts = batch.column(4)
+    flat, ends = parts.values, np.asarray(parts.offsets)
+    owner = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+    z, y, w, bits = (flat.field(k).to_numpy(zero_copy_only=False)[ends[0] : ends[-1]] for k in ("z", "y", "w", "bits"))
+    on = np.unpackbits(np.ascontiguousarray(bits).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    first, last, n = 64 * w + on.argmax(axis=1), 64 * w + 63 - on[:, ::-1].argmax(axis=1), on.sum(axis=1, dtype=np.int64)
+    order = np.lexsort((y, z, owner))
+    owner, z, y, first, last, n = (v[order] for v in (owner, z, y, first, last, n))
+    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (z[1:] != z[:-1]) | (y[1:] != y[:-1])]))
+    return owner[new], z[new], y[new], np.minimum.reduceat(first, new), np.maximum.reduceat(last, new), np.add.reduceat(n, new)
+
+
 def shapes(labels: DataFrame) -> DataFrame:
-    """Of each object the size of its hull and of itself without holes; the largest diameter if it is flat, else the Euler number."""
+    """Of each object the size of its hull and of itself without holes; the largest diameter if it is flat, else the Euler number.
+
+    Flat objects of like height are measured together, by their rows' ends; only those with a gap in a row are looked at one by one
+    for holes, as are volumes."""
 
     def work(batches):
         for batch in batches:
-            keys, rows = [batch.column(i) for i in range(4)], []
-            for parts in batch.column(4).to_pylist():
-                mask = mask_of(parts)
-                if len(mask) == 1:
-                    rows.append((float(convex_mask(mask[0]).sum()), float(filled(mask[0]).sum()), feret(mask[0]), None))
-                else:
-                    rows.append((float(convex_volume(mask)), float(filled(mask).sum()), None, euler_3d(mask)))
-            kinds = (pa.float64(), pa.float64(), pa.float64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([*keys, *(pa.array([r[i] for r in rows], kinds[i]) for i in range(4))], names=[c.split(" ")[0] for c in SHAPES.split(", ")])
+            if not batch.num_rows:
+                continue
+            m = batch.num_rows
+            convex, full, wide, euler = np.zeros(m), np.zeros(m), np.full(m, np.nan), np.zeros(m, np.int32)
+            owner, z, y, first, last, n = runs_of(batch)
+            start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            deep = np.maximum.reduceat(z, start) > np.minimum.reduceat(z, start)
+            top, rows = np.minimum.reduceat(y, start), np.maximum.reduceat(y, start) - np.minimum.reduceat(y, start) + 1
+            gaps = np.logical_or.reduceat(last - first + 1 > n, start)
+            full[:] = np.add.reduceat(n, start)
+            size = np.maximum(1, 2 ** np.ceil(np.log2(rows)).astype(int))
+            for height in np.unique(size[~deep]).tolist():
+                for some in np.array_split(chosen := np.flatnonzero(~deep & (size == height)), -(-len(chosen) * height // (1 << 18))):
+                    place = np.full(m, -1)
+                    place[some] = np.arange(len(some))
+                    of = place[owner] >= 0
+                    ends = np.full((2, len(some), height), FAR)
+                    ends[:, place[owner[of]], (y - top[owner])[of]] = first[of], last[of]
+                    convex[some], wide[some] = convex_and_feret(*ends)
+            for i in np.flatnonzero(deep | gaps).tolist():
+                mask = mask_of(batch.column(4)[i].as_py())
+                full[i] = filled(mask if deep[i] else mask[0]).sum()
+                if deep[i]:
+                    convex[i], euler[i] = convex_volume(mask), euler_3d(mask)
+            out = [pa.array(convex), pa.array(full), pa.array(wide, mask=deep), pa.array(euler, mask=~deep)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *out], names=[c.split(" ")[0] for c in SHAPES.split(", ")])
 
     return words(labels).mapInArrow(work, SHAPES)
 

@@ -6,28 +6,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import tiles
+
 
 def plane_of(pixels: DataFrame, *without: str) -> list[str]:
     return [c for c in ("image_id", "t", "channel_index", "z") if c in pixels.columns and c not in without]
 
 
-def binomial_smooth(pixels: DataFrame, height: int, width: int) -> DataFrame:
-    """3 by 3 binomial smoothing (1-2-1 both ways, over 16); edges repeat; what isn't finite counts as the plane's median.
+def binomial_smooth(pixels: DataFrame, height: int, width: int, tile: int = 512, finite: bool = False) -> DataFrame:
+    """3 by 3 binomial smoothing (1-2-1 both ways, over 16); edges repeat; what isn't finite counts as the plane's median, for which
+    the values are looked at first unless the caller knows that all are finite.
 
-    Each pixel adds to the places whose window it is in, once for each clamped place of the window, so one aggregation does it."""
+    Pixels meet as blocks, and blocks exchange one pixel at their edges; a place that isn't named counts as 0."""
     plane = plane_of(pixels)
-    finite = ~F.isnan("value") & (F.abs("value") != float("inf"))
-    fill = pixels.groupBy(*plane).agg(F.coalesce(F.percentile(F.when(finite, F.col("value")), F.lit(0.5)), F.lit(0.0)).alias("fill"))
-    clean = pixels.join(fill, plane).withColumn("value", F.when(finite, F.col("value")).otherwise(F.col("fill")))
-    # along one axis: (place, weight) that a pixel at v adds to
-    def ways(v: Column, n: int) -> Column:
-        inner = F.filter(F.array(*(F.struct((v + d).alias("at"), F.lit(1.0 if d else 2.0).alias("w")) for d in (-1, 0, 1))), lambda s: s["at"].between(0, n - 1))
-        edge = F.filter(F.array(*(F.struct(F.lit(e).cast("long").alias("at"), F.lit(1.0).alias("w")) for e in (0, n - 1))), lambda s: s["at"] == v)
-        return F.concat(inner, edge)
-
-    rows = clean.select(*plane, "x", "value", F.explode(ways(F.col("y"), height)).alias("a"))
-    both = rows.select(*plane, F.col("a.at").alias("y"), (F.col("value") * F.col("a.w")).alias("v"), F.explode(ways(F.col("x"), width)).alias("b"))
-    return both.select(*plane, "y", F.col("b.at").alias("x"), (F.col("v") * F.col("b.w")).alias("v")).groupBy(*plane, "y", "x").agg((F.sum("v") / 16).alias("value"))
+    rows = pixels.select(*plane, "y", "x", F.col("value").cast("double").alias("value"))
+    known = F.coalesce(~F.isnan("value") & (F.abs("value") != float("inf")), F.lit(False))
+    if not finite and not (odd := rows.filter(~known).select(*plane).distinct()).isEmpty():
+        fill = rows.join(odd, plane, "left_semi").groupBy(*plane).agg(F.percentile(F.when(known, F.col("value")), F.lit(0.5)).alias("fill"))
+        rows = rows.join(fill, plane, "left").withColumn("value", F.when(known, F.col("value")).otherwise(F.coalesce("fill", F.lit(0.0)))).drop("fill")
+    blocks = tiles.to_blocks(rows, height, width, tile)
+    return tiles.to_pixels(tiles.mapped(blocks, tiles.binomial) if max(height, width) <= tile else tiles.smoothed(blocks, tile))
 
 
 def stretched(pixels: DataFrame) -> DataFrame:
