@@ -5,11 +5,12 @@ neighbouring diagonals. Bands of 2 (k + 1) diagonals, each overlapping the next
 a band with fewer shared q-grams cannot match; the others are aligned within the band, all bands of a batch at once.
 Texts and items are compared with A-Z lower-cased, white space as single spaces, and a space at both ends.
 
-One rule holds for items of any length: an item of m characters is n = ceil(m / PART) equal parts and the n - 1 parts of that
-length that lie half way between them, and a text holds the item if it holds a part with an edit for each CHARS_PER_EDIT of
-its characters at most. So a text with the whole item within that share of edits holds it, as one of the n parts has no more
-than its share; and so does one with a part of a long item. Edits are never so many that the lemma asks for no q-gram: parts
-under 2 q characters must stand exactly, as whole words. Items under q characters are looked up as phrases.
+One rule holds for items of any length: an item's parts are its windows of PART characters (the item itself, if it is no longer), one
+every PART / 2 and one at its end, and a text holds the item if it holds a part with an edit for each CHARS_PER_EDIT of the part's
+characters at most. So what makes a match of a longer item is a stretch of the same length in any item, and one more character
+changes nothing. A text with the whole item holds it where the edits of some part are within that part's share. Edits are never
+so many that the lemma asks for no q-gram: parts under 2 q characters must stand exactly, as whole words. Items under q characters
+are looked up as phrases.
 
 Edge cases: empty and null items never match; null and empty texts match nothing; repeated items count once, repeated documents
 repeat; items without an id are searched and have a row each with a null item_id, unless an item with an id has the same text;
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import map_batches, record_batch, table, texts_of
 
 Q = 10
-#: Most characters of a part.
-PART = 160
+#: Characters of a part.
+PART = 120
 #: Characters for each edit that a match may have.
 CHARS_PER_EDIT = 12
 #: Bytes of items in one broadcast index; a larger benchmark is searched in several passes.
@@ -70,10 +71,9 @@ def budget(m: int, chars_per_edit: int = CHARS_PER_EDIT) -> int:
 
 
 def parts_of(text: bytes) -> list[bytes]:
-    """The item's parts: equal ones, and those half way between."""
-    n = -(-len(text) // PART)
-    cuts = [i * len(text) // (2 * n) for i in range(2 * n + 1)]
-    return [text[a:b] for a, b in zip(cuts, cuts[2:], strict=False)]
+    """The item's windows of PART characters: one every half of that, and the last at its end."""
+    last = max(0, len(text) - PART)
+    return [text[a : a + PART] for a in (*range(0, last, PART // 2), last)]
 
 
 class Index:

@@ -8,7 +8,8 @@ carries its state into it. The cut is the same at any length, and no byte is lef
 Training: TRAIN_ROWS distinct windows of WINDOW bytes at most, drawn by hash from all places of all texts with a language, but
 for those with crc32(doc_id) mod 3 = 1, which are held out. One more label stands for what is in none of the languages; its
 windows are drawn ones with their bytes shuffled or their letters swapped for others. A prediction names a language always;
-the pipeline's stage rejects a document whose positions bear that label by more than half, and clearly so for its length.
+the pipeline's stage rejects a document by the odds that it is in none: those of its positions' mean, which count once for
+each EVIDENCE bytes as neighbours go together, against the odds of PRIOR for a language beforehand. That is one rule at any length.
 
 Edge cases: a null text or one without a letter is `und` with score 0; so is any text if no row can be learned from; with a
 single language that one is given. A null doc_id is neither held out nor learned from. Texts are read whole; repeated rows
@@ -18,6 +19,7 @@ text and lang are read, and other columns may have any name.
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -33,9 +35,10 @@ STRETCH, CONTEXT = 256, 32
 #: Stretches that run side by side.
 SIDE_BY_SIDE = 2048
 TRAIN_ROWS, WINDOW = 12_000, 64
-#: Of how many windows one is corrupted too. A document of n bytes is rejected if more than MOST_OTHER + SLACK / sqrt(n) of it is in
-#: no language: neighbouring positions go together, so a short text shows little.
-CORRUPT, MOST_OTHER, SLACK = 2, 0.5, 4.0
+#: Of how many windows one is corrupted too.
+CORRUPT = 2
+#: Bytes that are one piece of evidence, and the logarithm of the odds for a language before there is any.
+EVIDENCE, PRIOR = 8, 5.0
 UNITS, STEPS, BATCH, RATE = 16, 500, 128, 0.02
 #: The symbol of places before and after a text.
 OUTSIDE = 256
@@ -318,8 +321,14 @@ def language_spans(documents: DataFrame, network: Network | None = None) -> Data
     return map_batches(_ids(documents), start, SPANS, rows=256)
 
 
-def in_a_language(documents: DataFrame, most_other: float = MOST_OTHER, network: Network | None = None) -> DataFrame:
-    """The documents, with all columns, that have letters and are mostly in one of the languages; those without a lang get theirs."""
+def in_none(size: int, other: float, prior: float = PRIOR) -> bool:
+    """Whether a text of so many bytes, of whose positions' mean `other` is in no language, is more likely in none than in one."""
+    other = min(max(other, 1e-9), 1 - 1e-9)
+    return size / EVIDENCE * math.log(other / (1 - other)) > prior
+
+
+def in_a_language(documents: DataFrame, prior: float = PRIOR, network: Network | None = None) -> DataFrame:
+    """The documents, with all columns, that have letters and are likely in one of the languages; those without a lang get theirs."""
     network = network or fitted(documents)
     at, lang = documents.columns.index("text"), documents.columns.index("lang") if "lang" in documents.columns else None
 
@@ -327,7 +336,7 @@ def in_a_language(documents: DataFrame, most_other: float = MOST_OTHER, network:
         reader = Reader(network)
 
         def clear(text: str, lang: str, other: float) -> bool:
-            return lang != "und" and other <= most_other + SLACK / len(text.encode()) ** 0.5
+            return lang != "und" and not in_none(len(text.encode()), other, prior)
 
         def work(batch):
             texts = batch.column(at).to_pylist()

@@ -1,14 +1,14 @@
 """Substring deduplication by content-defined chunks: a gear hash sets the cuts, digests find chunks that documents share.
 
 The gear hash of a place covers the 32 bytes before it, so cuts inside a passage depend on the passage alone and an
-insertion elsewhere moves none of them. Chunks whose 64-bit digest stands in two documents or more are joined to runs where
+insertion elsewhere moves none of them. Chunks whose 64-bit digest stands in two documents, or twice in one, are joined to runs where
 they follow each other; runs of fewer than `min_words` words are left alone, so a chance collision of digests makes no run.
 A run lacks part of a passage at both of its ends, some 10 words in all, so MIN_WORDS words are found of passages of 50.
-A run is one span or several: a new one starts where the document begins or ceases to be the first holder of the chunks, so no
-chunk is cut in its first holder. A span to keep of fewer than `min_words` words has no row: it stays with the text around it.
+A run is one span or several: a new one starts where the chunks begin or cease to stand in their first place (the first in their
+first holder), so no chunk is cut there. A span to keep of fewer than `min_words` words has no row: it stays with the text around it.
 
-Edge cases: null and empty texts have no chunks; a passage that repeats within one document only is no repeat; a document
-without repeats has no row; repeated rows count once; texts of one doc_id have spans of their own, told apart by text_key, but
+Edge cases: null and empty texts have no chunks; a passage that repeats within one document only is kept where it stands first, by
+that document itself; a document without repeats has no row; repeated rows count once; texts of one doc_id have spans of their own, told apart by text_key, but
 share nothing with each other; rows without an id are documents by their text, come after all ids, and give a null first_doc_id
 where no row with an id holds the chunk; texts are used whole; an empty table gives an empty result; only doc_id and text are
 read, so other columns may have any name. Ids are below 2**62. Offsets count bytes, the end exclusive.
@@ -70,7 +70,8 @@ def named(documents: DataFrame) -> DataFrame:
 
 
 def chunks(documents: DataFrame) -> DataFrame:
-    """Each document's chunks: where it begins, its bytes and the words that begin in it, packed as start << 16 | bytes << 8 | words, and its digest."""
+    """Each document's chunks: where it begins, whether it stood in the document before, its bytes and the words that begin in it,
+    packed as start << 17 | again << 16 | bytes << 8 | words, and its digest."""
 
     def work(batch):
         places, digests = [], []
@@ -85,8 +86,11 @@ def chunks(documents: DataFrame) -> DataFrame:
             np.cumsum(~white & np.concatenate([[True], white[:-1]]), out=begun[1:])
             ends = np.array(cuts(data))
             begins = np.concatenate([[0], ends[:-1]])
-            places.append(begins << 16 | ends - begins << 8 | begun[ends] - begun[begins])
-            digests.append(np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], np.uint64).view(np.int64))
+            found = np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], np.uint64).view(np.int64)
+            again = np.ones(len(found), np.int64)
+            again[np.unique(found, return_index=True)[1]] = 0
+            places.append(begins << 17 | again << 16 | ends - begins << 8 | begun[ends] - begun[begins])
+            digests.append(found)
         return record_batch(CHUNKS, [batch.column(0), batch.column(1), places, digests])
 
     return map_batches(named(documents).select("doc", "holder", "text"), lambda: work, CHUNKS, rows=256)
@@ -106,7 +110,7 @@ def spans_of(holder: int, shared: list[tuple[int, int]], min_words: int) -> list
         run.clear()
 
     for place, by in sorted(shared):
-        start, size, words, first = place >> 16, place >> 8 & 255, place & 255, by == holder
+        start, size, words, first = place >> 17, place >> 8 & 255, place & 255, by == holder and not place >> 16 & 1
         if run and run[-1][1] != start:
             close()
         if run and run[-1][5] == first:
@@ -119,16 +123,16 @@ def spans_of(holder: int, shared: list[tuple[int, int]], min_words: int) -> list
 
 
 def repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each span of a document that other documents hold too: doc_id, text_key, start, stop, n_words, n_chunks,
-    first_doc_id (the smallest that holds one of its chunks) and keep (whether this document is the first holder of all its
-    chunks; if not, it is of none, and the span may be cut).
+    """A row for each span of a document that stands elsewhere too: doc_id, text_key, start, stop, n_words, n_chunks,
+    first_doc_id (the smallest that holds one of its chunks) and keep (whether all its chunks stand here in their first place; if not,
+    none does, and the span may be cut).
 
     Digests go through one combining sum, written, and one join, which adaptive execution may split at a digest that a third of all
     documents hold; what is then gathered is one document's shared chunks, once however often its row repeats. Chunks are cut
     once for each of the two, as that costs less than a table of all of them."""
     scratch = Scratch(documents.sparkSession)
     flat = lambda *c: chunks(documents).select(*c, F.explode(F.arrays_zip("place", "digest")).alias("x")).select(*c, "x.*")
-    shared = flat("holder").groupBy("digest").agg(F.min("holder").alias("first"), F.max("holder").alias("last")).filter("first <> last")
+    shared = flat("holder").groupBy("digest").agg(F.min("holder").alias("first"), F.max("holder").alias("last"), F.max(F.col("place").bitwiseAND(1 << 16)).alias("again")).filter("first <> last or again > 0")
     shared = scratch.save(shared.select("digest", "first"))
     held = flat("doc").join(shared, "digest").groupBy("doc").agg(F.collect_set(F.struct("place", "first")).alias("shared"))
     held = held.join(named(documents).select("doc", "holder", "key").distinct(), "doc").select("holder", "key", "shared")

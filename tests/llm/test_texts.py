@@ -311,8 +311,8 @@ def test_decontamination_by_plain_alignment(monkeypatch):
         want = [e for p in decontam.parts_of(item) if (e := sellers(p, text)) <= decontam.budget(len(p))]
         found = decontam.Index([(3, item)]).search([text])
         assert bool(found) == bool(want) and (not want or found[0][2] == min(want))
-        # the whole item within its share of edits is always found, whatever its length
-        assert found or sellers(item, text) > (len(item) - 2) // decontam.CHARS_PER_EDIT or len(item) < 60
+        # an item that is one part is found with edits within its share, a longer one if those of some part are
+        assert found or sellers(item, text) > (len(item) - 2) // decontam.CHARS_PER_EDIT or not 60 <= len(item) <= decontam.PART
 
 
 def test_items_of_any_length_follow_one_rule():
@@ -327,7 +327,7 @@ def test_items_of_any_length_follow_one_rule():
             found = one.search([text])
             assert len(found) == 1 and found[0][2] == 0
             piece = text[1 + found[0][3] : 1 + found[0][4]]
-            assert piece.decode() in item and len(piece) >= min(len(item), decontam.PART // 2) - 2
+            assert piece.decode() in item and len(piece) >= min(len(item), decontam.PART) - 2
             # an item is whole words: inside longer ones it doesn't count, if it must stand exactly
             if len(item) < 18:
                 assert not any(f[2] == 0 for f in one.search([decontam.normal(b"xx" + item.encode() + b"xx")]))
@@ -335,6 +335,16 @@ def test_items_of_any_length_follow_one_rule():
     assert [x[1:] for x in short.search([decontam.normal(b"tell me, who  wrote moby-dick? a b")])] == [(1, 0, 9, 29), (2, 0, 30, 33)]
 
 
+def test_one_more_character_changes_no_rule():
+    """For items of every length about the part's, and its multiples: what a text must hold of them is the same stretch."""
+    rng = random.Random(18)
+    item = "".join(rng.choice("aeinrst ") for _ in range(400)).replace("  ", "ab").encode()
+    for n in [*range(100, 150), *range(230, 250), *range(310, 331)]:
+        one = decontam.Index([(1, decontam.normal(item[:n]))])
+        least = next(k for k in range(10, n + 1) if one.search([b" %s " % item[:k]]))
+        assert 0.9 * min(n, decontam.PART) - 3 <= least <= min(n, decontam.PART) + 2, (n, least)
+
+
 def test_decontamination_edges(spark, edges, nothing):
     passage = "The quick brown fox jumps over the lazy dog while seven wizards box."
     items = spark.createDataFrame([(1, passage), (1, passage), (2, None), (3, ""), (4, "tiny"), (None, passage)], "item_id long, text string")
@@ -698,22 +708,25 @@ def random_words(seed):
 def test_repeated_passages(spark, edges, nothing):
     words = random_words(11)
     passage, own = words(80), words(60)
-    rows = [(1, f"{words(100)} {passage} {words(30)}"), (2, f"{words(7)} {passage}"), (3, words(400)), (4, f"{own} {own}"), (5, None), (6, ""), (None, passage), (8, f"{words(50)} {passage[:200]} inserted {passage[200:]}")]
+    rows = [(1, f"{words(100)} {passage} {words(30)}"), (2, f"{words(7)} {passage}"), (3, words(400)), (4, f"{own} {words(20)} {own} {words(20)} {own}"), (5, None), (6, ""), (None, passage), (8, f"{words(50)} {passage[:200]} inserted {passage[200:]}")]
     got = substring.repeated_spans(docs(spark, rows)).collect()
-    assert {r.doc_id for r in got} == {1, 2, 8, None}
+    assert {r.doc_id for r in got} == {1, 2, 4, 8, None}
     texts = dict(rows)
-    for r in got:
+    # within one document the first place keeps a passage, the others may be cut
+    inside = sorted((r.start, r.keep, r.first_doc_id, texts[4][r.start : r.stop] in own) for r in got if r.doc_id == 4)
+    assert [x[1:] for x in inside] == [(True, 4, True), (False, 4, True), (False, 4, True)] and inside[0][0] < len(own) < inside[1][0]
+    for r in (r for r in got if r.doc_id != 4):
         piece = texts[r.doc_id][r.start : r.stop]
         assert piece.replace(" inserted", "") in passage or passage in piece or len(set(piece.split()) & set(passage.split())) > 15
         assert r.first_doc_id == 1 and r.keep == (r.doc_id == 1)
-    assert substring.repeated_spans(nothing).count() == 0 and substring.repeated_spans(edges).count() == 0
+    assert substring.repeated_spans(nothing).count() == 0 and {(r.doc_id, r.first_doc_id) for r in substring.repeated_spans(edges).collect()} == {(4, 4)}
 
 
 def plain_spans_of(rows, min_words):
     """From the definition: chunks by the scalar gear hash, holders by dictionaries, runs by a walk over each document."""
     texts = sorted({(-1 if d is None else d, t) for d, t in rows if t}, key=repr)
     name = lambda d, t: (1, t) if d == -1 else (0, d)
-    cut, holders = {}, collections.defaultdict(set)
+    cut, holders, places = {}, collections.defaultdict(set), collections.defaultdict(set)
     for d, t in texts:
         data, h, last, found, best = t.encode(), 0, 0, [], None
         hashes = []
@@ -736,15 +749,18 @@ def plain_spans_of(rows, min_words):
         cut[d, t] = [x for x in found if x[0] < x[1]]
         for a, b in cut[d, t]:
             holders[data[a:b]].add(name(d, t))
+            places[data[a:b]].add((d, t, a))
     out = set()
     for d, t in texts:
         data, runs = t.encode(), []
         starts = [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
         for a, b in cut[d, t]:
             who = holders[data[a:b]]
-            if len(who) > 1:
+            here = sorted(x for v, w, x in places[data[a:b]] if (v, w) == (d, t))
+            if len(who) > 1 or any(n > 1 for n in collections.Counter(x[:2] for x in places[data[a:b]]).values()):
                 first = min(who, key=lambda n: (n[0], n[1] if n[0] == 0 else 0))
                 n, mine = sum(a <= s < b for s in starts), min(who, key=repr) == name(d, t) if all(x[0] for x in who) else first == name(d, t)
+                mine = mine and a == here[0]
                 if not runs or runs[-1][-1][1] != a:
                     runs.append([])
                 if runs[-1] and runs[-1][-1][3] == mine:
@@ -786,12 +802,12 @@ def test_each_shared_chunk_is_kept_once(spark):
         for x, y in zip([0, *ends], ends, strict=False):
             held.setdefault(t[x:y], []).append((d, x, y))
     within = lambda d, x, y, keep: any(r.doc_id == d and r.start <= x and y <= r.stop and r.keep == keep for r in got)
-    shared = {k: v for k, v in held.items() if len({d for d, _, _ in v}) > 1}
+    shared = {k: v for k, v in held.items() if len(v) > 1}
     assert len(shared) > 15
     for places in shared.values():
-        least = min(d for d, _, _ in places)
+        least = min(places)[:2]
         for d, x, y in places:
-            assert not within(d, x, y, False) if d == least else within(d, x, y, False)
+            assert not within(d, x, y, False) if (d, x) == least else within(d, x, y, False)
     assert any(b.encode()[60:-60] in texts[2][r.start : r.stop] for r in got if r.doc_id == 2 and r.keep)
 
 
@@ -917,11 +933,25 @@ def test_foreign_and_junk_texts_are_rejected(spark, network):
     assert not [i for i, t in rows if i not in kept and re.search(r"[^\W\d_]", t)]
 
 
+def test_short_junk_is_rejected_at_any_length(spark, network):
+    """No length is a switch: short pieces of foreign and junk texts go, those of the tables' own documents stay."""
+    junk = ["Η γρήγορη καφέ αλεπού πηδάει πάνω από το τεμπέλικο σκυλί. ", "Быстрая коричневая лиса прыгает через ленивую собаку. ", "素早い茶色の狐がのろまな犬を飛び越える。", "xqzvkjw qzxv pfgtk bbnrwq zzk "]
+    own = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) > 300").select("text").collect()]
+    reader, rng = langid.Reader(network), random.Random(34)
+    for size in (20, 60, 64, 65, 66, 200):
+        piece = lambda t: t.encode()[(k := rng.randrange(len(t.encode()) - size)) : k + size].decode(errors="ignore")  # noqa: B023, E731
+        gone = lambda texts: np.mean([langid.in_none(len(t.encode()), x[2]) for t, x in zip(texts, reader.predict(texts), strict=True)])
+        assert gone([piece(12 * j) for j in junk for _ in range(20)]) > 0.95, size
+        assert gone([p for t in own if re.search(r"[^\W\d_]", p := piece(t))]) < 0.005, size
+    bounds = [next(m / 1000 for m in range(1000) if langid.in_none(n, m / 1000)) for n in range(30, 300)]
+    assert all(0 <= a - b < 0.02 for a, b in zip(bounds, bounds[1:], strict=False))
+
+
 def test_language_edges(edges, nothing):
     got = langid.languages(edges).collect()
     assert [r.lang_pred for r in got] == ["und" if not re.search(r"[^\W\d_]", t or "") else "en" for _, t in EDGES]
     assert langid.languages(nothing).count() == 0 and langid.in_a_language(nothing).count() == 0
-    kept = langid.in_a_language(edges, most_other=1.0)
+    kept = langid.in_a_language(edges, prior=math.inf)
     assert kept.columns == edges.columns and kept.count() == 6
 
 
