@@ -31,6 +31,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, LIMIT = (5, 2, 1), 3
 #: Words of a block, slots of a shard, hash ranges of a source, rounds of a permutation, rows that one row becomes at once.
 BLOCK, SHARD, RANGES, ROUNDS, STEP = 128, 4096, 4096, 24, 4096
+#: Slots that a task draws. Slots are as many as blocks, but Spark sees a few rows of sources: joins with them are told to shuffle.
+SLOTS = 1 << 16
 
 
 def permuted(at: Column, n: Column, *seed: Column) -> Column:
@@ -43,11 +45,11 @@ def permuted(at: Column, n: Column, *seed: Column) -> Column:
     return F.aggregate(F.array(*map(F.lit, range(ROUNDS))), at, step)
 
 
-def numbers(df: DataFrame, n: str, name: str) -> DataFrame:
-    """A row for each of 0 to n - 1, in two steps, so that no row holds a long array."""
+def numbers(df: DataFrame, n: str, name: str, tasks: int = 0) -> DataFrame:
+    """A row for each of 0 to n - 1, in two steps, so that no row holds a long array; if asked, the second in so many tasks."""
     part = df.withColumn("_part", F.explode(F.expr(f"if({n} > 0, sequence(0L, ({n} - 1) div {STEP}), array())")))
-    if name == "draw":  # few rows that become many
-        part = part.repartition("no", "_part")
+    if tasks:
+        part = part.repartition(tasks, "no", "_part")
     return part.withColumn(name, F.explode(F.expr(f"sequence(_part * {STEP}, least(_part * {STEP} + {STEP}, {n}) - 1)"))).drop("_part")
 
 
@@ -110,7 +112,7 @@ def laid_out(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFra
 def drawn(sources: DataFrame) -> DataFrame:
     """A row for each slot of the mix: its shard and place, the source and the index of its block, and the words it takes at most."""
     total = sources.agg(F.sum("slots")).first()[0] or 0
-    draws = numbers(sources.select("no", "source_size", "first", "blocks", "slots", "last"), "slots", "draw")
+    draws = numbers(sources.select("no", "source_size", "first", "blocks", "slots", "last"), "slots", "draw", total // SLOTS + 1)
     at = permuted(F.col("first") + F.col("draw"), F.lit(total).cast("long"), F.lit("slots"))
     place, full = F.expr("draw % blocks"), F.expr(f"source_size div {BLOCK}")
     block = F.when(place < full, permuted(place, F.greatest(full, F.lit(1)), F.col("no"), F.expr("draw div blocks"))).otherwise(place)
@@ -134,7 +136,7 @@ def taken(documents: DataFrame) -> DataFrame:
     """For each document (doc_id, size, source_size, target, taken)."""
     scratch = Scratch(documents.sparkSession)
     sources, placed = laid_out(documents, scratch)
-    met = segments(placed).select("no", "block", "begin", "doc_id", "size", "from", "to").join(drawn(sources).select("no", "block", "most"), ["no", "block"], "left")
+    met = segments(placed).select("no", "block", "begin", "doc_id", "size", "from", "to").join(drawn(sources).select("no", "block", "most").hint("merge"), ["no", "block"], "left")
     some = met.groupBy("no", "begin", "doc_id", "size").agg(F.sum(F.expr("if(most > from, least(to, most) - from, 0L)")).alias("taken")).drop("begin")
     none = numbers(placed.filter("size = 0"), "copies", "copy").select("no", "doc_id", "size", F.lit(0).cast("long").alias("taken"))
     return some.unionByName(none).join(sources.select("no", "source_size", "target"), "no").select("doc_id", "size", "source_size", "target", "taken")
@@ -151,7 +153,7 @@ def mixed(documents: DataFrame) -> DataFrame:
     blocks = pieces.groupBy("no", "block").agg(F.sort_array(F.collect_list(F.struct("from", "words"))).alias("pieces"))
     whole = blocks.select("no", "block", F.flatten(F.col("pieces.words")).alias("words"))
     source = F.expr("if(key = '~', null, substr(key, 2))").alias("source")
-    filled = drawn(sources).join(whole, ["no", "block"]).join(sources.select("no", source), "no")
+    filled = drawn(sources).hint("merge").join(whole, ["no", "block"]).join(sources.select("no", source), "no")
     return filled.select("shard", "place", "source", "block", F.expr("slice(words, 1, cast(most as int))").alias("words"))
 
 
