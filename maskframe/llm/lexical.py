@@ -205,7 +205,8 @@ def ranked(documents: DataFrame, items: DataFrame, k: int = K, block_bytes: int
     for block in blocks(items, block_bytes):
         sent, key = spark.sparkContext.broadcast(block), xxhash.xxh3_64_intdigest(repr(block).encode())
         df = {r["term"]: r["n"] for r in counted(texts, sent, key).collect()}  # a row for each of the block's terms
-        found = scored(texts, sent, key, df, k).withColumn("part", F.pmod(F.xxhash64("doc_id", "score"), F.lit(PARTS)))
+        # written, as ranges are sampled before they are dealt, and a scan isn't to run twice for that
+        found = scratch.save(scored(texts, sent, key, df, k)).withColumn("part", F.pmod(F.xxhash64("doc_id", "score"), F.lit(PARTS)))
         best = selected(selected(found.repartitionByRange("item", "part"), k).repartitionByRange("item"), k)
         names = spark.createDataFrame([(i, item) for i, (item, _) in enumerate(block)], "item int, item_id long")
         part = scratch.save(best.join(names, "item").select("item_id", "rank", "doc_id", "score"))
