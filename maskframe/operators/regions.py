@@ -150,10 +150,17 @@ def relational_shape(labels: DataFrame, images: DataFrame) -> DataFrame:
     )
 
 
-def full_shape(labels: DataFrame, images: DataFrame) -> DataFrame:
-    """All features of all objects: those of relational_shape, and hulls, holes, diameters and surfaces."""
+#: What of the features needs more than an object's moments.
+BEYOND_MOMENTS = ("perimeter", "circularity", "euler", "convex", "filled", "feret", "solidity", "surface", "sphericity")
+
+
+def full_shape(labels: DataFrame, images: DataFrame, moments_only: bool = False) -> DataFrame:
+    """All features of all objects: those of relational_shape, and hulls, holes, diameters and surfaces; or only those that one
+    aggregation gives."""
     from . import geometry
 
+    if moments_only:
+        return moment_shape(objects(labels, images))
     table = relational_shape(labels, images).join(geometry.shapes(labels), OBJECT, "left")
     scales = images.select("image_id", *((usable_scale(f"scale_{c}") if f"scale_{c}" in images.columns else F.lit(None).cast("double")).alias(f"s{c}") for c in AXES))
     surfaces = geometry.surfaces(labels, scales).select(*OBJECT, "surface_area_um2")

@@ -312,7 +312,8 @@ def channel_one(spark, sf_dir) -> DataFrame:
     )
 )
 def binomial_smooth(spark, sf_dir):
-    return stencil.binomial_smooth(raster.pixels(spark, sf_dir), SIDE, SIDE)
+    # the raster's values are whole numbers
+    return stencil.binomial_smooth(raster.pixels(spark, sf_dir), SIDE, SIDE, finite=True)
 
 
 @query(sql("SELECT image_id, channel_index, y, x, CAST(floor(least(greatest((value - lo) * 255.0::DOUBLE / ((CASE WHEN hi <= lo THEN lo + 1 ELSE hi END) - lo), 0), 255)) AS INTEGER) AS value FROM pixels JOIN (SELECT image_id, channel_index, quantile_cont(value, 0.005) AS lo, quantile_cont(value, 0.998) AS hi FROM pixels GROUP BY 1, 2) USING (image_id, channel_index)"))
@@ -357,14 +358,8 @@ def exact_int_pixels(spark, sf_dir):
 
 
 def view_query(text: str):
-    """Over published tables: those that the text's tables and views need are measured once a session and folder."""
-    names = {n for n in [*measurements.COLUMNS, *measurements.VIEWS] if re.search(rf"\b{n}\b", text)}
-
-    def run(spark, sf_dir):
-        measurements.over_published(spark, sf_dir, names)
-        return spark.sql(text)
-
-    return run
+    """Over published tables: those that the text's tables and views need are measured once a session and state of the input."""
+    return lambda spark, sf_dir: spark.sql(measurements.over_published(spark, sf_dir, text))
 
 
 KIND = "CASE set_index WHEN 1 THEN 'cells' WHEN 2 THEN 'nuclei' WHEN 3 THEN 'cytoplasm' ELSE 'spots' END"
@@ -428,8 +423,7 @@ def _objects_sql() -> str:
 
 @query(_objects_sql())
 def objects_full(spark, sf_dir):
-    measurements.over_published(spark, sf_dir, {"objects"})
-    return spark.table("objects")
+    return spark.sql(measurements.over_published(spark, sf_dir, "SELECT * FROM objects"))
 
 
 PAIRED = (
@@ -464,8 +458,7 @@ _KEYED_TABLES = [*measurements.KEYS.items(), *measurements.NATURAL_KEYS.items()]
 
 @query(" UNION ALL ".join(f"SELECT '{name}' AS table_name, '{', '.join(keys)}' AS key, CAST(0 AS BIGINT) AS violations" for name, keys in _KEYED_TABLES))
 def key_violations(spark, sf_dir):
-    measurements.over_published(spark, sf_dir, set(measurements.KEYS))
-    return measurements.violations(spark)
+    return measurements.violations(spark, measurements.prepared(spark, sf_dir, set(measurements.KEYS), light=True))
 
 
 # Runs --------------------------------------------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ it adds. The views read whatever tables stand under their names, so over publish
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,11 +16,13 @@ from pyspark.sql import functions as F
 from ..functions.scalars import label_path, locations_only, object_type
 from ..operators.intensity import intensities
 from ..operators.postprocess import running_sums
-from ..operators.regions import full_shape
+from ..operators.regions import BEYOND_MOMENTS, full_shape
 from ..operators.relationships import relationships
 from ..sources import raster
 from ..sources.raster import OBJECT
 from ..sources.workspace import folder
+from ..sources.zarr import Files
+from .snapshots import Conflict, Snapshots
 
 SCHEMA_VERSION = 1
 #: Bits of an image's part ids; more label sets or channels of one image are an error.
@@ -55,11 +58,12 @@ class View:
     lookups: tuple[Lookup, ...] = ()
     only: str = "true"
 
-    def over(self, spark: SparkSession) -> DataFrame:
-        out = spark.table(self.base)
+    def over(self, spark: SparkSession, prefix: str = "") -> DataFrame:
+        """The view over the tables whose names have the prefix."""
+        out = spark.table(prefix + self.base)
         for n, look in enumerate(self.lookups):
             key = f"__key_{n}"
-            found = spark.table(look.table).select(F.col(look.key).alias(key), *(F.col(c).alias(a) for c, a in look.adds.items()))
+            found = spark.table(prefix + look.table).select(F.col(look.key).alias(key), *(F.col(c).alias(a) for c, a in look.adds.items()))
             out = out.join(found, F.col(look.on) == F.col(key)).drop(key)
         return out.filter(self.only)
 
@@ -103,11 +107,11 @@ def shaped(table: str, df: DataFrame) -> DataFrame:
     return df.select(*((F.col(c) if c in df.columns else F.lit(None)).cast(k).alias(c) for c, k in want))
 
 
-def object_rows(labels: DataFrame, images: DataFrame, names: dict[int, str], points: list[int]) -> DataFrame:
-    """All objects with every feature and their ids, keyed by image, timepoint, set and label too. Objects of the sets in
-    `points` are places: no box and no shape."""
+def object_rows(labels: DataFrame, images: DataFrame, names: dict[int, str], points: list[int], moments_only: bool = False) -> DataFrame:
+    """All objects with every feature (or those that follow from moments) and their ids, keyed by image, timepoint, set and label
+    too. Objects of the sets in `points` are places: no box and no shape."""
     solid = labels.filter(~F.col("set_index").isin(points)) if points else labels
-    table = full_shape(solid, images).withColumn("is_point", F.lit(False))
+    table = full_shape(solid, images, moments_only).withColumn("is_point", F.lit(False))
     if points:
         from ..operators.regions import objects
 
@@ -159,9 +163,11 @@ def measured(spark: SparkSession, images: DataFrame, labels: DataFrame, pixels:
     return {name: shaped(name, df) for name, df in made.items()}
 
 
-def register_views(spark: SparkSession) -> None:
+def register_views(spark: SparkSession, prefix: str = "", only: set[str] | None = None) -> None:
+    """The views over the tables that stand under their names, with a prefix if there is one; or those of them that are asked for."""
     for name, view in VIEWS.items():
-        view.over(spark).createOrReplaceTempView(name)
+        if only is None or name in only:
+            view.over(spark, prefix).createOrReplaceTempView(prefix + name)
 
 
 def register(spark: SparkSession, sf_dir: str) -> None:
@@ -171,11 +177,11 @@ def register(spark: SparkSession, sf_dir: str) -> None:
     register_views(spark)
 
 
-def violations(spark: SparkSession) -> DataFrame:
+def violations(spark: SparkSession, prefix: str = "") -> DataFrame:
     """(table_name, key, violations): how many keys of the tables under their names stand in several rows."""
     out = None
     for name, keys in [*KEYS.items(), *NATURAL_KEYS.items()]:
-        twice = spark.table(name).groupBy(*keys).count().filter("count > 1")
+        twice = spark.table(prefix + name).groupBy(*keys).count().filter("count > 1")
         one = twice.agg(F.count("*").alias("violations")).select(F.lit(name).alias("table_name"), F.lit(", ".join(keys)).alias("key"), "violations")
         out = one if out is None else out.unionByName(one)
     return out
@@ -187,51 +193,86 @@ def needed(names: set[str]) -> set[str]:
     return {n for n in names if n in COLUMNS} | (needed(set().union(*below.values())) if below else set())
 
 
-def publish(spark: SparkSession, sf_dir: str, out: str, only: set[str] | None = None) -> None:
-    """The tables as Parquet under one folder, objects first: what else reads them reads what is written. A whole run's folder is
-    complete once its manifest, written last, is there; with `only` it is some tables of a run, without a manifest."""
-    wide = f"{out}/_objects"
-    path = spark._jvm.org.apache.hadoop.fs.Path(wide)
-    if not path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
-        images, labels = raster.images(spark, sf_dir), raster.labels(spark, sf_dir)
-        object_rows(labels, images, raster.SETS, POINT_SETS).write.parquet(wide)
-    made = tables(spark, sf_dir, spark.read.parquet(wide))
-    for name in made:
-        if only is None or name in only:
-            made[name].write.mode("errorifexists").parquet(f"{out}/{name}")
-    if only is None:
-        spark.createDataFrame([(n,) for n in made], "name string").coalesce(1).write.json(f"{out}/manifest")
+def published(spark: SparkSession, runs: Snapshots, images: DataFrame, labels: DataFrame, pixels: DataFrame, names: dict[int, str], points: list[int], only: set[str] | None = None, moments_only: bool = False, replace: bool = False, **about) -> int:
+    """Measures a run into a folder of snapshots and commits it as one version, whose number it returns. Objects are written first, and
+    what reads them reads what is written. A run that dies before its commit has changed nothing, and can be repeated; one that is
+    to replace a version is seen by readers when it is whole."""
+    base = runs.latest()
+    if base and not replace and (only is None or runs.named(base).keys() & only):
+        raise Conflict(f"{runs.files.base} exists: version {base}")
+    objects = spark.read.parquet(f"{runs.files.base}/{runs.written('_objects', object_rows(labels, images, names, points, moments_only))}")
+    made = measured(spark, images, labels, pixels, objects, sets=names, **about)
+    return runs.commit({name: runs.written(name, df) for name, df in made.items() if only is None or name in only}, base)
 
 
-_RUNS: dict[tuple[str, str], tuple[str, set[str]]] = {}
+def publish(spark: SparkSession, sf_dir: str, out: str, only: set[str] | None = None, replace: bool = False, moments_only: bool = False) -> int:
+    """The raster's run (or some of its tables) as a version under a folder."""
+    images, labels, pixels = (f(spark, sf_dir) for f in (raster.images, raster.labels, raster.pixels))
+    about = {k: v for k, v in RASTER.items() if k != "sets"}
+    return published(spark, Snapshots(spark, out), images, labels, pixels, raster.SETS, POINT_SETS, only, moments_only, replace, **about)
 
 
-def over_published(spark: SparkSession, sf_dir: str, names: set[str]) -> None:
-    """The tables that these tables and views need, written once a session and folder, and all of them under their names."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    out, there = _RUNS.setdefault(key, (folder(spark), set()))
-    if missing := needed(names) - there:
-        publish(spark, sf_dir, out, missing)
-        there |= missing
-    for name in there:
-        spark.read.schema(COLUMNS[name]).parquet(f"{out}/{name}").createOrReplaceTempView(name)
-    for name, view in VIEWS.items():
-        if needed({name}) <= there:
-            view.over(spark).createOrReplaceTempView(name)
+#: What this session has published of which input and how deep: the folder.
+_RUNS: dict[tuple, str] = {}
+
 
+def state_of(spark: SparkSession, sf_dir: str) -> tuple:
+    """The raster's input files, with their sizes and times."""
+    files = Files(spark, sf_dir)
+    found = [files.at(f"{n}.parquet") for n in ("supplier", "nation", "region", "lineitem")]
+    parts = [s for f in found for s in (files.fs.listStatus(f) if files.fs.getFileStatus(f).isDirectory() else [files.fs.getFileStatus(f)])]
+    return tuple((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in parts)
 
-def opened(spark: SparkSession, out: str, statistics: bool = False) -> None:
-    """A published run's tables and the views over them under their names; an error if its manifest, and so the run, isn't whole.
-    With statistics the tables are registered in the catalog and analysed, for the optimizer's join order."""
-    names = {r.name for r in spark.read.schema("name string").json(f"{out}/manifest").collect()}
-    if names != set(COLUMNS):
-        raise ValueError(f"the run under {out} isn't whole: {sorted(set(COLUMNS) - names)} are missing")
+
+def prepared(spark: SparkSession, sf_dir: str, names: set[str], light: bool) -> str:
+    """The prefix under which a run's tables and views of these names stand: a session's own views stay as they are. Tables are
+    measured once for a session and a state of the input, and with `light` only those features that follow from moments."""
+    key = (spark.sparkContext.applicationId, light, state_of(spark, sf_dir))
+    store = Snapshots(spark, _RUNS.setdefault(key, folder(spark)))
+    prefix = f"maskframe_{store.files.base[-12:]}_"
+    if missing := needed(names) - store.named().keys():
+        publish(spark, sf_dir, store.files.base, missing, moments_only=light)
+    there = store.named()
+    for name in there:
+        store.table(name, schema=COLUMNS[name]).createOrReplaceTempView(prefix + name)
+    register_views(spark, prefix, {v for v in VIEWS if needed({v}) <= there.keys()})
+    return prefix
+
+
+def over_published(spark: SparkSession, sf_dir: str, text: str) -> str:
+    """The text with the names of a prepared run's tables and views instead of the plain ones; the run has all features only if the
+    text names one that needs more than moments."""
+    known = [*COLUMNS, *VIEWS]
+    light = not (any(w in text for w in BEYOND_MOMENTS) or re.search(r"\*\s+FROM\s+(objects|object_features)\b", text))
+    prefix = prepared(spark, sf_dir, {n for n in known if re.search(rf"\b{n}\b", text)}, light)
+    return re.sub(rf"\b({'|'.join(known)})\b", lambda m: prefix + m[0], text)
+
+
+def forgotten(spark: SparkSession) -> None:
+    """Drops the views and the tables that over_published has made in this session."""
+    for key in [k for k in _RUNS if k[0] == spark.sparkContext.applicationId]:
+        files = Files(spark, _RUNS.pop(key))
+        for name in (*COLUMNS, *VIEWS):
+            spark.catalog.dropTempView(f"maskframe_{files.base[-12:]}_{name}")
+        files.fs.delete(files.at(""), True)
+
+
+def opened(spark: SparkSession, out: str, statistics: bool = False, version: int | None = None) -> int:
+    """A version of a published run (the latest, if none is given), its tables and the views over them under their names; they stay
+    that version's, whatever is committed later. An error if the version isn't whole. With statistics the tables are registered in
+    the catalog and analysed, for the optimizer's join order."""
+    store = Snapshots(spark, out)
+    version = store.latest() if version is None else version
+    there = store.named(version)
+    if missing := set(COLUMNS) - there.keys():
+        raise ValueError(f"the run under {out} isn't whole: {sorted(missing)} are missing")
     for name in COLUMNS:
         if statistics:
             spark.sql(f"DROP VIEW IF EXISTS {name}")
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{out}/{name}'")
+            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{store.files.base}/{there[name]}'")
             spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
         else:
-            spark.read.parquet(f"{out}/{name}").createOrReplaceTempView(name)
+            store.table(name, version).createOrReplaceTempView(name)
     register_views(spark)
+    return version

@@ -14,6 +14,7 @@ from ..sources import zarr
 from ..sources.raster import VOXEL
 from . import measurements
 from .settings import SKIP, Settings
+from .snapshots import Snapshots
 
 
 def foci_kind(model: Column) -> Column:
@@ -122,12 +123,7 @@ def run(spark, store: str, out: str, settings: Settings, backends: Backends, tab
                 zarr.write_native(named.drop("image_path"), out, store, present)
         if tables:
             channels = {k: n for k, (n, _) in enumerate(about["channels"], 1)}
-            objects = measurements.object_rows(labels, images, names, points)
-            objects.write.parquet(f"{tables}/_objects")
-            rows = measurements.measured(spark, images, labels, known, spark.read.parquet(f"{tables}/_objects"), names, channels, about["size"], store, about["dtype"], settings.values())
-            for name, df in rows.items():
-                df.write.parquet(f"{tables}/{name}")
-            spark.createDataFrame([(n,) for n in rows], "name string").coalesce(1).write.json(f"{tables}/manifest")
+            measurements.published(spark, Snapshots(spark, tables), images, labels, known, names, points, channels=channels, size=about["size"], store=store, dtype=about["dtype"], settings=settings.values())
     finally:
         files.fs.delete(files.at(""), True)
 

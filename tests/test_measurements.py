@@ -3,15 +3,29 @@
 import pytest
 
 from maskframe.plans import measurements
+from maskframe.plans.snapshots import Conflict, Snapshots
 from maskframe.sources import raster
 
 
 @pytest.fixture(scope="module")
-def surface(spark, data):
-    measurements.register(spark, data)
+def surface(spark, data, tmp_path_factory):
+    """Published tables, so that no test measures them again."""
+    out = f"file://{tmp_path_factory.mktemp('surface')}/run"
+    measurements.publish(spark, data, out)
+    measurements.opened(spark, out)
     return spark
 
 
+def test_registered_tables_measure_what_is_asked(surface, data):
+    known = sorted(map(tuple, surface.sql("SELECT object_id, image_id, timepoint, label_value, voxel_count FROM objects").collect()))
+    views = {n: surface.table(n) for n in measurements.COLUMNS}
+    measurements.register(surface, data)
+    assert sorted(map(tuple, surface.sql("SELECT object_id, image_id, timepoint, label_value, voxel_count FROM objects").collect())) == known
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    measurements.register_views(surface)
+
+
 def test_tables_and_views_are_there(surface):
     names = {r.viewName for r in surface.sql("SHOW VIEWS").collect()}
     assert {"images", "channels", "label_sets", "objects", "intensity_measurements", "relationships", "schema_info", "measurement_runs", *measurements.VIEWS} <= names
@@ -57,17 +71,77 @@ def test_ids_of_many_sets_and_large_labels(spark):
 
 def test_publishing(surface, data, tmp_path):
     out = f"file://{tmp_path}/run"
-    with pytest.raises(Exception, match="PATH_NOT_FOUND|isn't whole"):
+    with pytest.raises(ValueError, match="isn't whole"):
         measurements.opened(surface, out)
-    measurements.publish(surface, data, out)
-    names = {r.name for r in surface.read.json(f"{out}/manifest").collect()}
-    assert len(names) == 8 and surface.read.parquet(f"{out}/objects").count() == surface.table("objects").count()
+    assert measurements.publish(surface, data, out) == 1
+    store = Snapshots(surface, out)
+    assert store.named().keys() == measurements.COLUMNS.keys() and store.table("objects").count() == surface.table("objects").count()
     before = sorted(map(tuple, surface.sql("SELECT * FROM foci_assignments").collect()))
     measurements.opened(surface, out)
     assert sorted(map(tuple, surface.sql("SELECT * FROM foci_assignments").collect())) == before and before
-    with pytest.raises(Exception, match="exist"):
+    with pytest.raises(Conflict, match="exist"):
         measurements.publish(surface, data, out)
-    measurements.register(surface, data)
+
+
+def test_a_run_that_dies_can_be_repeated(surface, data, tmp_path, monkeypatch):
+    """Killed between two tables: readers see the old version meanwhile, and the repeated run gives what an undisturbed one does."""
+    out = f"file://{tmp_path}/run"
+    only = {"label_sets", "channels"}
+    measurements.publish(surface, data, out, only)
+    store, write = Snapshots(surface, out), Snapshots.written
+    old = store.named()
+
+    def dies(self, name, df):
+        if name == "label_sets":
+            raise OSError("lost")
+        return write(self, name, df)
+
+    monkeypatch.setattr(Snapshots, "written", dies)
+    with pytest.raises(OSError, match="lost"):
+        measurements.publish(surface, data, out, only, replace=True, moments_only=True)
+    assert store.latest() == 1 and store.named() == old and store.table("label_sets").count() > 0
+    monkeypatch.setattr(Snapshots, "written", write)
+    reader = store.table("label_sets")
+    assert measurements.publish(surface, data, out, only, replace=True, moments_only=True) == 2
+    assert sorted(map(tuple, store.table("label_sets").collect())) == sorted(map(tuple, reader.collect())) == sorted(map(tuple, store.table("label_sets", 1).collect()))
+    gone = store.swept()
+    assert store.versions() == [2] and len(gone) >= 4 and store.table("channels").count() > 0
+    with pytest.raises(ValueError, match="no version 1"):
+        store.named(1)
+
+
+def test_commits_of_several_writers(spark, tmp_path):
+    store = Snapshots(spark, f"file://{tmp_path}/store")
+    rows = lambda n: spark.range(n)
+    assert store.latest() == 0 and store.named() == {} and store.commit({"a": store.written("a", rows(1))}) == 1
+    base = store.latest()
+    assert store.commit({"b": store.written("b", rows(2))}, base) == 2
+    # another's tables between leave a commit be; its own don't
+    assert store.commit({"a": store.written("a", rows(3))}, base) == 3
+    with pytest.raises(Conflict, match="a of"):
+        store.commit({"a": store.written("a", rows(4))}, base)
+    assert {n: store.table(n).count() for n in store.named()} == {"a": 3, "b": 2} and store.table("a", 1).count() == 1
+    # of two that want one number, one gets it
+    assert not store.put(3, {}) and store.versions() == [1, 2, 3] and store.named() == store.named(3)
+
+
+def test_queries_over_a_run_leave_the_sessions_views_alone(spark, data, tmp_path):
+    import shutil
+
+    spark.range(3).createOrReplaceTempView("objects")
+    folder = tmp_path / "sf"
+    shutil.copytree(data, folder)
+    shown = lambda: spark.sql(measurements.over_published(spark, str(folder), "SELECT count(*), max(object_id) FROM objects o WHERE area_um2 > 0")).first()
+    first = shown()
+    assert first[0] > 0 and spark.table("objects").count() == 3
+    # other input under the same folder gives another run
+    spark.read.parquet(f"{data}/supplier.parquet").filter("s_suppkey <= 3").coalesce(1).write.mode("overwrite").parquet(f"{folder}/few")
+    (folder / "supplier.parquet").unlink()
+    (folder / "few").rename(folder / "supplier.parquet")
+    assert 0 < shown()[0] < first[0]
+    measurements.forgotten(spark)
+    assert not [v for v in spark.catalog.listTables() if v.name.startswith("maskframe_")] and spark.table("objects").count() == 3
+    spark.catalog.dropTempView("objects")
 
 
 def test_statistics(spark, data, tmp_path):
