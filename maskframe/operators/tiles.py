@@ -62,26 +62,32 @@ def each(df: DataFrame, work: Callable[[dict], Iterator[dict]], schema: str) ->
     return df.mapInArrow(run, schema)
 
 
-def to_blocks(pixels: DataFrame, height: int, width: int, tile: int = 512, value: str = "value", dtype: str = "<f8") -> DataFrame:
-    """Blocks of pixels (key columns, y, x, value); what isn't named is 0. A block's pixels are one group of tile * tile at most."""
-    keys = [c for c in pixels.columns if c not in ("y", "x", value)]
+def to_blocks(pixels: DataFrame, height: int | None, width: int | None, tile: int = 512, value: str = "value", dtype: str = "<f8") -> DataFrame:
+    """Blocks of pixels (key columns, y, x, value) of planes of so many rows and columns, or as many as their columns size_y and size_x
+    say; what isn't named is 0, and a value that doesn't fit the type an error. A block's pixels are one group of tile * tile at most."""
+    keys = [c for c in pixels.columns if c not in ("y", "x", value, "size_y", "size_x")]
+    if height is not None:
+        pixels = pixels.withColumns({"size_y": F.lit(height).cast("long"), "size_x": F.lit(width).cast("long")})
     place = ((F.col("y") % tile) * tile + F.col("x") % tile).cast("int")
-    grouped = pixels.groupBy(*keys, F.floor(F.col("y") / tile).alias("ty"), F.floor(F.col("x") / tile).alias("tx")).agg(F.collect_list(F.struct(place.alias("p"), F.col(value).alias("v"))).alias("at"))
+    grouped = pixels.groupBy(*keys, F.floor(F.col("y") / tile).alias("ty"), F.floor(F.col("x") / tile).alias("tx"), "size_y", "size_x").agg(F.collect_list(F.struct(place.alias("p"), F.col(value).alias("v"))).alias("at"))
     schema = declared(pixels, keys, OWN)
     arrow = arrow_of(pixels, schema)
+    whole = np.iinfo(dtype) if np.dtype(dtype).kind in "iu" else None
 
     def run(batches):
         for batch in batches:
-            at = batch.column(len(keys) + 2)
+            at = batch.column(len(keys) + 4)
             ends, flat = np.asarray(at.offsets), at.values
             places, values = flat.field(0).to_numpy(zero_copy_only=False), flat.field(1).to_numpy(zero_copy_only=False)
-            ty, tx = (batch.column(len(keys) + k).to_numpy() for k in (0, 1))
-            h, w = np.minimum(tile, height - ty * tile), np.minimum(tile, width - tx * tile)
+            if whole and len(values) and (values.max() > whole.max or values.min() < whole.min):
+                raise OverflowError(f"value exceeds the type {dtype}")
+            ty, tx, sy, sx = (batch.column(len(keys) + k).to_numpy() for k in range(4))
+            h, w = np.minimum(tile, sy - ty * tile), np.minimum(tile, sx - tx * tile)
             for i in range(batch.num_rows):
                 block = np.zeros((h[i], w[i]), dtype)
                 p = places[ends[i] : ends[i + 1]]
                 block[p // tile, p % tile] = values[ends[i] : ends[i + 1]]
-                own = [[int(ty[i] * tile)], [int(tx[i] * tile)], [int(h[i])], [int(w[i])], [height], [width], [dtype], [block.tobytes()]]
+                own = [[int(ty[i] * tile)], [int(tx[i] * tile)], [int(h[i])], [int(w[i])], [int(sy[i])], [int(sx[i])], [dtype], [block.tobytes()]]
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(i, 1) for k in range(len(keys))), *(pa.array(v, t) for v, t in zip(own, arrow.types[len(keys) :], strict=True))], schema=arrow)
 
     return grouped.mapInArrow(run, schema)

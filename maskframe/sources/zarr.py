@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import math
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -17,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators import tiles
+from .chunks import read_blocks, registered
 from .codecs import decoder
 
 AXES = "tczyx"
@@ -66,17 +67,6 @@ class Files:
     def write_json(self, name: str, document: dict) -> None:
         self.write(name, json.dumps(document).encode())
 
-    def install(self, partial: str, final: str) -> None:
-        """Puts a finished folder in its place. What stood there is moved aside first and goes last, so there is always a whole one."""
-        aside = f"{final}.replaced"
-        self.fs.delete(self.at(aside), True)
-        if self.fs.exists(self.at(final)):
-            self.fs.rename(self.at(final), self.at(aside))
-        if not self.fs.rename(self.at(partial), self.at(final)):
-            self.fs.rename(self.at(aside), self.at(final))
-            raise OSError(f"can't install {final}")
-        self.fs.delete(self.at(aside), True)
-
 
 # Discovery ---------------------------------------------------------------------------------------------------------------
 
@@ -180,6 +170,12 @@ class Array:
         self.about = {"size": size, "axes": self.axes, "scales": axis_scales(multiscale, self.axes), "dtype": self.dtype.newbyteorder("=").name, "channels": channel_names(attributes, size["c"])}
         decoder(self.compressor)
 
+    def block(self, index: list[int], content: bytes | None) -> np.ndarray:
+        """A chunk's values, by its numbers along the array's axes, without what lies outside the array; the fill value if it is missing."""
+        low = [i * c for i, c in zip(index, self.chunks, strict=True)]
+        block = np.full(self.chunks, np.array(self.fill, float).astype(self.dtype), self.dtype) if content is None else np.frombuffer(decoder(self.compressor)(content), self.dtype).reshape(self.chunks, order=self.order)
+        return block[tuple(slice(0, n - a) for n, a in zip(self.shape, low, strict=True))]
+
     def wanted(self, images: DataFrame) -> DataFrame:
         """The images' rows (image_path), each once for every chunk that its array may have, by name."""
         number = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(math.prod(self.grid) - 1).cast("long")))
@@ -198,17 +194,17 @@ class Array:
 
     def pixels(self, chunks: DataFrame) -> DataFrame:
         """(image_path, t, c, z, y, x, value) of chunks (image_path, name, wanted, content); one that isn't wanted is an error."""
-        shape, size, dtype, axes, order, fill = self.shape, self.chunks, self.dtype, self.axes, self.order, self.fill
-        plain = decoder(self.compressor)
+        array, shape, size, axes = self, self.shape, self.chunks, self.axes
 
         def work(batches):
             for b in batches:
                 for image, name, wanted, content in zip(b["image_path"], b["name"], b["wanted"], b["content"], strict=True):
                     if wanted is not True:
                         raise ValueError(f"chunk {name} of {image} isn't one of the array")
-                    low = [int(i) * c for i, c in zip(name.split("/"), size, strict=True)]
-                    block = np.full(size, np.array(fill, float).astype(dtype), dtype) if content is None else np.frombuffer(plain(content), dtype).reshape(size, order=order)
-                    block = block[tuple(slice(0, n - a) for n, a in zip(shape, low, strict=True))]
+                    index = [*map(int, name.split("/"))]
+                    low, block = [i * c for i, c in zip(index, size, strict=True)], array.block(index, content)
+                    if block.dtype.kind in "iu" and block.size and max(abs(int(block.max())), abs(int(block.min()))) > 1 << 53:
+                        raise OverflowError(f"a value of chunk {name} of {image} isn't exact as a double: read the store's blocks")
                     places = np.indices(block.shape).reshape(len(shape), -1) + np.array(low)[:, None]
                     columns = {a: np.zeros(block.size, np.int64) for a in AXES} | dict(zip(axes, places, strict=True))
                     yield pd.DataFrame({"image_path": image} | columns | {"value": block.ravel().astype(float)})
@@ -242,43 +238,48 @@ def read_plate(spark: SparkSession, store: str) -> tuple[DataFrame, dict]:
 # Writing -----------------------------------------------------------------------------------------------------------------
 
 
-def level_sizes(height: int, width: int) -> list[tuple[int, int]]:
+def level_sizes(height: int, width: int, least: int | None = None, most: int | None = None) -> list[tuple[int, int]]:
     """The sides of a pyramid's levels: each keeps every second row and column of the one before."""
-    out = [(height, width)]
-    while min(out[-1]) >= LEAST_SIDE and len(out) < MOST_LEVELS:
+    out, least, most = [(height, width)], least or LEAST_SIDE, most or MOST_LEVELS
+    while min(out[-1]) >= least and len(out) < most:
         out.append(tuple((n + 1) // 2 for n in out[-1]))
     return out
 
 
-def put_chunks(rows: DataFrame, base: str, chunk: int, dtype: str) -> None:
-    """Writes the chunks of arrays of five axes: rows (path, t, c, z, y, x, value, height, width), where path is the array's
-    folder under base, and height and width are its sides.
+def put_blocks(blocks: DataFrame, final: str, chunk: int, part: str = "", expected: int | None = None) -> None:
+    """Writes blocks (path, t, c, z and a block's own columns), path being an array's folder, as chunks of the folder beside `final`
+    that holds their metadata, and puts that folder, or a part of it, in its place when all are written."""
+    writer = registered(blocks.sparkSession) and blocks.write.format("zarr_blocks").mode("append").option("chunk", chunk).option("part", part)
+    (writer if expected is None else writer.option("expected", expected)).save(final)
+
+
+def put_chunks(rows: DataFrame, final: str, chunk: int, dtype: str, part: str = "") -> None:
+    """The same for rows (path, t, c, z, y, x, value, size_y, size_x) of images of five axes, with all levels; path is an image's
+    folder. A chunk is a group of chunk * chunk values at most; a value that doesn't fit the type is an error."""
+    put_blocks(block_levels(tiles.to_blocks(rows, None, None, chunk, dtype=dtype), chunk, aligned=True), final, chunk, part)
+
 
-    Each chunk is a group of at most chunk * chunk values that one task encodes and writes; writing it again gives the same
-    file, so a lost executor does no harm. A value that doesn't fit the type is an error."""
-    kind = np.dtype(dtype)
-    whole = np.issubdtype(kind, np.integer)
-    target = base if ":" in base.split("/")[0] else f"file://{base}"
+def block_levels(blocks: DataFrame, chunk: int, aligned: bool = False) -> DataFrame:
+    """Blocks (path, t, c, z, ...) of all levels of their images, cut into chunks; `path` becomes the level's folder. Blocks that are
+    chunks already are the first level as they are."""
+    keys, least, most = ["path", "t", "c", "z"], LEAST_SIDE, MOST_LEVELS
 
-    def put(group: pd.DataFrame) -> pd.DataFrame:
-        from pyarrow import fs
+    def named(row, k):
+        return row | {"path": f"{row['path']}/{k}" if row["path"] else str(k)}
 
-        values = group["value"].to_numpy()
-        if whole and (values.max() > np.iinfo(kind).max or values.min() < np.iinfo(kind).min):
-            raise OverflowError(f"value exceeds the type {dtype}")
-        t, c, z, cy, cx, height, width = (int(group[n].iloc[0]) for n in ("t", "c", "z", "cy", "cx", "height", "width"))
-        block = np.zeros((min(chunk, height), min(chunk, width)), kind)
-        block[group["y"] - cy * chunk, group["x"] - cx * chunk] = values
-        system, root = fs.FileSystem.from_uri(target)
-        folder = f"{root}/{group['path'].iloc[0]}"
-        system.create_dir(folder, recursive=True)
-        with system.open_output_stream(f"{folder}/{t}.{c}.{z}.{cy}.{cx}") as out:
-            out.write(zlib.compress(block.tobytes()))
-        return pd.DataFrame({"chunks": [1]})
+    def fewer(row):
+        values = tiles.values_of(row)
+        for k, (height, width) in enumerate(level_sizes(row["size_y"], row["size_x"], least, most)):
+            step = 2**k
+            y, x = -(-row["y"] // step), -(-row["x"] // step)
+            piece = values[y * step - row["y"] :: step, x * step - row["x"] :: step]
+            if piece.size and (k or not aligned):
+                yield named(row, k) | {"y": y, "x": x, "height": piece.shape[0], "width": piece.shape[1], "size_y": height, "size_x": width, "data": piece.tobytes()}
 
-    side = F.lit(chunk)
-    keyed = rows.select("path", "t", "c", "z", "y", "x", "value", "height", "width", F.floor(F.col("y") / side).alias("cy"), F.floor(F.col("x") / side).alias("cx"))
-    keyed.groupBy("path", "t", "c", "z", "cy", "cx").applyInPandas(put, "chunks long").agg(F.sum("chunks")).collect()
+    blocks = blocks.select(*keys, *tiles.OWN)
+    schema = tiles.declared(blocks, keys, tiles.OWN)
+    levels = tiles.retiled(tiles.each(blocks, fewer, schema), chunk).select(*keys, *tiles.OWN)
+    return levels.unionByName(tiles.each(blocks, lambda row: iter([named(row, 0)]), schema)) if aligned else levels
 
 
 def put_metadata(files: Files, group: str, size: dict[str, int], chunk: int, dtype: str, scales: dict[str, float] | None = None, more: dict | None = None) -> None:
@@ -300,13 +301,10 @@ def with_axes(rows: DataFrame) -> DataFrame:
     return rows.withColumns({a: F.lit(0).cast("long") for a in "tcz" if a not in rows.columns})
 
 
-def in_levels(rows: DataFrame, group, size: dict[str, int]) -> DataFrame:
-    """The rows once for each level that keeps them, with the level's folder under `group` (text or column)."""
-    levels = level_sizes(size["y"], size["x"])
-    level = F.explode(F.array(*(F.struct(F.lit(str(k)).alias("k"), F.lit(2**k).alias("step"), F.lit(h).alias("height"), F.lit(w).alias("width")) for k, (h, w) in enumerate(levels))))
-    kept = rows.withColumn("l", level).filter((F.col("y") % F.col("l.step") == 0) & (F.col("x") % F.col("l.step") == 0))
-    path = F.concat_ws("/", F.lit(group) if isinstance(group, str) else group, "l.k")
-    return kept.select(path.alias("path"), "t", "c", "z", F.floor(F.col("y") / F.col("l.step")).alias("y"), F.floor(F.col("x") / F.col("l.step")).alias("x"), "value", "l.height", "l.width")
+def in_folder(rows: DataFrame, folder, size: dict[str, int]) -> DataFrame:
+    """The rows with their image's folder (text or column) and sides, where they don't name these."""
+    known = rows.withColumns({f"size_{a}": F.lit(size[a]).cast("long") for a in "yx" if f"size_{a}" not in rows.columns})
+    return known.select((F.lit(folder) if isinstance(folder, str) else folder).alias("path"), "t", "c", "z", "y", "x", "value", "size_y", "size_x")
 
 
 def same_sides(first: dict[str, int], second: dict[str, int]) -> None:
@@ -316,7 +314,7 @@ def same_sides(first: dict[str, int], second: dict[str, int]) -> None:
 
 
 def write_image(rows: DataFrame, store: str, size: dict[str, int], channels: list[tuple[str, str | None]], scales: dict[str, float] | None = None, dtype: str = "<i4", chunk: int = CHUNK, original: tuple[DataFrame, dict] | None = None) -> None:
-    """An image store (t, c, z, y, x, value) with all its levels and channels (name, colour), put in place when it is whole.
+    """An image store (t, c, z, y, x, value; or blocks) with all its levels and channels (name, colour), put in place when it is whole.
 
     In the channel layout the rows are labels, a channel for each set; with `original` (what read_image gives) the source's
     channels come first, as whole numbers: halves go to even, and a value that isn't finite or doesn't fit is an error."""
@@ -328,17 +326,18 @@ def write_image(rows: DataFrame, store: str, size: dict[str, int], channels: lis
         moved = rows.withColumns({"c": F.col("c") + count, "value": F.col("value").cast("double")})
         rows = with_axes(pixels).withColumn("value", S.exact_int("value").cast("double")).unionByName(moved.select(*AXES, "value"))
         size, channels = size | {"c": size["c"] + count}, [*about["channels"], *channels]
-    parent, _, name = store.rstrip("/").rpartition("/")
-    top, partial = Files(spark, parent), f"{name}.partial"
-    files = Files(spark, f"{parent}/{partial}")
+    name = store.rstrip("/").rpartition("/")[2]
+    files = Files(spark, f"{store.rstrip('/')}.partial")
     files.fs.delete(files.at(""), True)
     try:
         shown = [{"label": n, "active": True} | ({"color": c} if c else {}) for n, c in channels]
         put_metadata(files, "image", size, chunk, dtype, scales, {"omero": {"channels": shown}})
         described = S.image_document(F.lit(name), F.lit(np.dtype(dtype).name), {a: F.lit(n) for a, n in size.items()}, {a: F.lit((scales or {}).get(a)).cast("double") for a in "zyx"}, F.array(*(F.struct(F.lit(n).alias("label"), (F.lit(c) if c else S.label_color(F.lit(n), F.lit(k))).alias("color")) for k, (n, c) in enumerate(channels))).cast("array<struct<label:string,color:string>>"))
         files.write("image/OME/METADATA.ome.xml", spark.range(1).select(described.alias("x")).first().x.encode())
-        put_chunks(in_levels(rows, "image", size), files.base, chunk, dtype)
-        top.install(f"{partial}/image", name)
+        if "data" in rows.columns:
+            put_blocks(block_levels(rows.withColumn("path", F.lit("image")), chunk), store, chunk, "image")
+        else:
+            put_chunks(in_folder(rows, "image", size), store, chunk, dtype, "image")
     finally:
         files.fs.delete(files.at(""), True)
 
@@ -346,15 +345,13 @@ def write_image(rows: DataFrame, store: str, size: dict[str, int], channels: lis
 def write_labels(labels: DataFrame, store: str, name: str, size: dict[str, int], chunk: int = CHUNK, dtype: str = "<i4", scales: dict[str, float] | None = None) -> None:
     """One image's labels ([t,] z, y, x, label) as labels/<name> of a store, with all levels and an entry in the store's index of
     labels, put in place when all chunks are written. The image itself stays as it is."""
-    files, partial, size = Files(labels.sparkSession, store), f"labels/.{name}.partial", dict.fromkeys(AXES, 1) | size
+    files, partial, size = Files(labels.sparkSession, store), f"labels/{name}.partial", dict.fromkeys(AXES, 1) | size
     files.fs.delete(files.at(partial), True)
     try:
-        put_metadata(files, partial, size, chunk, dtype, scales, {"image-label": {"version": "0.4", "source": {"image": "../../"}}})
-        put_chunks(in_levels(with_axes(labels.withColumnRenamed("label", "value")), partial, size), files.base, chunk, dtype)
-    except BaseException:
+        put_metadata(files, f"{partial}/group", size, chunk, dtype, scales, {"image-label": {"version": "0.4", "source": {"image": "../../"}}})
+        put_chunks(in_folder(with_axes(labels.withColumnRenamed("label", "value")), "group", size), f"{files.base}/labels/{name}", chunk, dtype, "group")
+    finally:
         files.fs.delete(files.at(partial), True)
-        raise
-    files.install(partial, f"labels/{name}")
     listed = (files.attributes("labels") or {}).get("labels", [])
     files.write_json("labels/.zgroup", {"zarr_format": 2})
     files.write_json("labels/.zattrs", {"labels": [*listed, *([] if name in listed else [name])]})
@@ -362,10 +359,10 @@ def write_labels(labels: DataFrame, store: str, name: str, size: dict[str, int],
 
 def write_native(labels: DataFrame, store: str, source: str, names: list[str], image_path: str = "", chunk: int = CHUNK, dtype: str = "<u4") -> None:
     """A store in the native layout: the source's image as it is, in its own type, at the root, and a label group for each name
-    with the labels (name, [t,] z, y, x, label) of that name."""
+    with the labels (name, [t,] z, y, x, label) of that name. The image goes from store to store in blocks."""
     spark = labels.sparkSession
-    pixels, about = read_image(spark, source, image_path)
-    write_image(pixels, store, about["size"], about["channels"], about["scales"], np.dtype(about["dtype"]).str, chunk)
+    about = Array(Files(spark, source), image_path).about
+    write_image(read_blocks(spark, source, images=[image_path]).drop("image_path"), store, about["size"], about["channels"], about["scales"], np.dtype(about["dtype"]).str, chunk)
     for name in names:
         write_labels(labels.filter(F.col("name") == name).drop("name"), store, name, about["size"] | {"c": 1}, chunk, dtype, about["scales"])
 
@@ -377,38 +374,37 @@ def faults(expected: DataFrame, written: DataFrame) -> DataFrame:
     return told(expected.join(written, "image_path", "left_anti"), "missing").unionByName(told(written.join(expected, "image_path", "left_anti"), "unexpected")).unionByName(told(twice, "repeated"))
 
 
-def write_plate(labels: DataFrame, written: DataFrame, source: str, out: str, size: dict[str, int], sets: list[str], chunk: int = CHUNK, dtype: str = "<i4") -> None:
-    """All fields of a plate at once: labels (image_path, name, [t,] z, y, x, label) of the sets, for the fields of a source store.
+def write_plate(labels: DataFrame, written: DataFrame, source: str, out: str, size: dict[str, int] | DataFrame, sets: list[str], chunk: int = CHUNK, dtype: str = "<i4") -> None:
+    """All fields of a plate at once: labels (image_path, name, [t,] z, y, x, label) of the sets, for the fields of a source store,
+    of one size or each of its own (image_path, size_t, size_z, size_y, size_x).
 
     `written` (image_path) names the fields that were segmented, with labels or without; a missing, unknown or repeated one is
     an error. The plate appears whole or not at all. Acquisitions that the plate doesn't declare are left out."""
-    spark, size = labels.sparkSession, dict.fromkeys(AXES, 1) | size
+    spark = labels.sparkSession
     expected = fields(spark, source).select("image_path")
     if wrong := faults(expected, written).orderBy("fault", "image_path").limit(5).collect():
         raise ValueError(f"the plate isn't whole: {[(r.fault, r.image_path) for r in wrong]}")
-    given = Files(spark, source)
-    parent, _, name = out.rstrip("/").rpartition("/")
-    top, files = Files(spark, parent), Files(spark, f"{out.rstrip('/')}.partial")
-    top.fs.delete(files.at(""), True)
+    if isinstance(size, dict):
+        size = expected.select("image_path", *(F.lit(size.get(a, 1)).cast("long").alias(f"size_{a}") for a in "tzyx"))
+    given, files = Files(spark, source), Files(spark, f"{out.rstrip('/')}.partial")
+    files.fs.delete(files.at(""), True)
     try:
         plate = {k: v for k, v in given.attributes("").items() if k != "omero"}
         declared = {a.get("id") for a in plate["plate"].get("acquisitions") or () if isinstance(a, dict)} - {None}
         wells: dict[str, list[str]] = {}
-        for r in expected.orderBy("image_path").toLocalIterator():
+        for r in size.orderBy("image_path").toLocalIterator():
             well, _, field = r.image_path.rpartition("/")
             wells.setdefault(well, []).append(field)
             for s in sets:
-                put_metadata(files, f"{r.image_path}/labels/{s}", size, chunk, dtype, None, {"image-label": {"version": "0.4"}})
+                put_metadata(files, f"{r.image_path}/labels/{s}", {a: r[f"size_{a}"] for a in "tzyx"} | {"c": 1}, chunk, dtype, None, {"image-label": {"version": "0.4"}})
             files.write_json(f"{r.image_path}/labels/.zattrs", {"labels": sets})
         for well, names in wells.items():
             taken = {str(i.get("path", "")).strip("/"): i.get("acquisition") for i in given.attributes(well)["well"]["images"]}
             images = [{"path": n, **({"acquisition": taken[n]} if taken[n] in declared else {})} for n in names]
             files.write_json(f"{well}/.zattrs", {"well": {"version": "0.4", "images": images}})
-        group = F.concat_ws("/", "image_path", F.lit("labels"), "name")
-        put_chunks(in_levels(with_axes(labels.withColumnRenamed("label", "value")), group, size), files.base, chunk, dtype)
         files.write_json(".zattrs", plate | {"segmentation": {"field_count": sum(map(len, wells.values()))}})
         files.write_json(".zgroup", {"zarr_format": 2})
-        top.install(f"{name}.partial", name)
-    except BaseException:
-        top.fs.delete(files.at(""), True)
-        raise
+        rows = with_axes(labels.withColumnRenamed("label", "value")).join(size.select("image_path", "size_y", "size_x"), "image_path")
+        put_chunks(in_folder(rows, F.concat_ws("/", "image_path", F.lit("labels"), "name"), {}), out, chunk, dtype)
+    finally:
+        files.fs.delete(files.at(""), True)
