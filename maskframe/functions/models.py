@@ -6,10 +6,11 @@ from collections.abc import Callable
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import tiles
+
 # Fixed values: (family, checkpoints, targets, dimensions, least channels).
 MODELS = [
     ("cellpose3", ("cyto3", "cyto2_cp3", "tissuenet_cp3", "livecell_cp3", "yeast_PhC_cp3", "yeast_BF_cp3", "bact_phase_cp3", "bact_fluor_cp3", "deepbacs_cp3", "cyto2", "cyto", "CPx", "transformer_cp3", "neurips_cellpose_default", "neurips_cellpose_transformer", "neurips_grayscale_cyto2", "CP", "TN1", "TN2", "TN3", "LC1", "LC2", "LC3", "LC4"), ("cells",), "3d", 1),
@@ -42,9 +43,9 @@ def cases(steps: DataFrame, models: DataFrame) -> DataFrame:
 
 
 class Segmenter(Protocol):
-    """What a model backend offers: labels of one plane."""
+    """What a model backend offers: labels of one plane, or of one volume if the model sees these at once."""
 
-    def __call__(self, plane: np.ndarray) -> np.ndarray: ...
+    def __call__(self, values: np.ndarray) -> np.ndarray: ...
 
 
 def device(asked: str, has_cuda: bool) -> str:
@@ -69,55 +70,84 @@ def loaded(key: tuple, make: Callable[[], Segmenter]) -> Segmenter:
 
 
 PLANE = ["image_id", "t", "z"]
+# The side of a tile and its halo, and the pixel size that the model of nuclei wants.
+TILE, HALO, MODEL_UM = 1024, 64, 0.5
 
 
-def segmented(pixels: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, on: str = "cpu") -> DataFrame:
-    """Labels (image_id, t, z, y, x, label) of one channel's pixels, plane by plane; make() is called once for each worker."""
+def in_planes(pixels: DataFrame, height: int, width: int) -> DataFrame:
+    """Blocks of one channel's pixels; those without a timepoint or a plane are of the first."""
+    rows = pixels.withColumns({c: F.lit(0).cast(k) for c, k in (("t", "int"), ("z", "long")) if c not in pixels.columns})
+    return tiles.to_blocks(rows.select(*PLANE, "y", "x", "value"), height, width)
+
+
+def label_rows(blocks: DataFrame) -> DataFrame:
+    """What isn't background of label blocks."""
+    return tiles.to_pixels(blocks, "label", "long", sparse=True)
+
 
-    def work(key: tuple, plane: pd.DataFrame) -> pd.DataFrame:
-        values = np.zeros((height, width))
-        values[plane["y"], plane["x"]] = plane["value"]
-        labels = loaded((model, on), make)(values)
+def labeller(model: str, make: Callable[[], Segmenter], on: str) -> Callable[[np.ndarray, dict], np.ndarray]:
+    def work(values: np.ndarray, row: dict | None = None) -> np.ndarray:
+        labels = np.asarray(loaded((model, on), make)(values))
         if labels.shape != values.shape:
-            raise ValueError(f"{model} gave labels of shape {labels.shape} for a plane of {values.shape}")
-        y, x = np.nonzero(labels)
-        rows = pd.DataFrame({"y": y, "x": x, "label": labels[y, x].astype("int64")})
-        return rows.assign(**dict(zip(PLANE, key, strict=True)))[[*PLANE, "y", "x", "label"]]
+            raise ValueError(f"{model} gave labels of shape {labels.shape} for values of {values.shape}")
+        return labels.astype("<i8")
 
-    rows = pixels.withColumns({c: F.lit(0).cast(k) for c, k in (("t", "int"), ("z", "long")) if c not in pixels.columns})
-    return rows.groupBy(*PLANE).applyInPandas(work, "image_id long, t int, z long, y long, x long, label long")
+    return work
 
 
-def segmented_in_tiles(pixels: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, tile: int = 1024, halo: int = 64, on: str = "cpu") -> DataFrame:
-    """As segmented(), but each tile by itself with a halo of pixels around it: a label counts where it lies in the tile's core,
-    and ids run over the tiles in reading order."""
-    from ..operators.postprocess import offset_ids
-    from ..operators.stencil import tiled
+def segmented_planes(blocks: DataFrame, model: str, make: Callable[[], Segmenter], on: str = "cpu") -> DataFrame:
+    """Labels (plane's key, y, x, label) of planes of blocks, plane by plane; make() is called once for each worker."""
+    whole = tiles.retiled(blocks, None).drop(*tiles.CORE)
+    return label_rows(tiles.mapped(whole, labeller(model, make, on)))
 
-    rows = pixels.withColumns({c: F.lit(0).cast(k) for c, k in (("t", "int"), ("z", "long")) if c not in pixels.columns})
-    schema = "image_id long, t int, z long, tile_y long, tile_x long, y long, x long, label long"
 
-    def work(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        y0, x0 = part["y"].min(), part["x"].min()
-        values = np.zeros((part["y"].max() - y0 + 1, part["x"].max() - x0 + 1))
-        values[part["y"] - y0, part["x"] - x0] = part["value"]
-        labels = loaded((model, on), make)(values)
-        y, x = np.nonzero(labels)
-        out = pd.DataFrame({"y": y + y0, "x": x + x0, "label": labels[y, x].astype("int64")})
-        out = out[(out["y"] // tile == key[3]) & (out["x"] // tile == key[4])]
-        return out.assign(**dict(zip([*PLANE, "tile_y", "tile_x"], key, strict=True)))[[*PLANE, "tile_y", "tile_x", "y", "x", "label"]]
+def segmented_tiles(blocks: DataFrame, model: str, make: Callable[[], Segmenter], tile: int = TILE, halo: int = HALO, on: str = "cpu") -> DataFrame:
+    """As segmented_planes(), but each tile by itself with a halo of pixels around it: a label counts where it lies in the tile's
+    core, and ids run over the tiles in reading order."""
+    from ..operators.postprocess import offset_ids
 
-    whole = tiled(rows.select(*PLANE, "y", "x", "value"), tile, halo, height, width)
-    parts = whole.select(*PLANE, F.col("tile_y").cast("long"), F.col("tile_x").cast("long"), "y", "x", "value").groupBy(*PLANE, "tile_y", "tile_x").applyInPandas(work, schema)
-    return offset_ids(parts, PLANE, ["tile_y", "tile_x"]).drop("tile_y", "tile_x")
+    cores = tiles.on_tiles(blocks, tile, halo, labeller(model, make, on))
+    placed = cores.withColumns({"tile_y": F.floor(F.col("y") / tile), "tile_x": F.floor(F.col("x") / tile)})
+    return offset_ids(label_rows(placed), tiles.plane_key(blocks), ["tile_y", "tile_x"]).drop("tile_y", "tile_x")
 
 
-def segmented_at_scale(pixels: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, scale_y: float, scale_x: float, target_um: float = 0.5, on: str = "cpu") -> DataFrame:
-    """As segmented(), but at the model's own pixel size, never finer than the image's: pixels are brought to it and labels back
-    to the image's size, both by the nearest."""
-    from ..operators.stencil import resized_nearest
+def segmented_scaled(blocks: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, scale_y: float | None, scale_x: float | None, target_um: float = MODEL_UM, on: str = "cpu") -> DataFrame:
+    """As segmented_tiles(), but at the model's own pixel size, never finer than the image's: planes are brought to it with
+    antialiasing, and labels back to the image's size by the nearest. An image without scales of y and x is an error."""
+    from ..operators.stencil import resized_nearest, resized_planes
 
+    if not (scale_y and scale_x):
+        raise ValueError(f"{model} needs the image's scales of y and x")
     sizes = [max(1, int(np.rint(n * min(1.0, s / target_um)))) for n, s in ((height, scale_y), (width, scale_x))]
-    rows = pixels.withColumns({c: F.lit(0).cast(k) for c, k in (("t", "int"), ("z", "long")) if c not in pixels.columns})
-    small = resized_nearest(rows.select(*PLANE, "y", "x", "value"), height, width, *sizes)
-    return resized_nearest(segmented(small, model, make, *sizes, on=on), *sizes, height, width)
+    if sizes == [height, width]:
+        return segmented_tiles(blocks, model, make, on=on)
+    return resized_nearest(segmented_tiles(resized_planes(blocks, *sizes), model, make, on=on), *sizes, height, width)
+
+
+def segmented_volumes(blocks: DataFrame, model: str, make: Callable[[], Segmenter], on: str = "cpu") -> DataFrame:
+    """As segmented_planes(), but the model sees all planes of an image's timepoint at once, as an array of z, y and x."""
+    keys = tiles.plane_key(blocks)
+    of = [k for k in keys if k != "z"]
+    planes = tiles.retiled(blocks, None).groupBy(*of, "size_y", "size_x", "dtype").agg(F.array_sort(F.collect_list(F.struct("z", "data"))).alias("planes"))
+    work = labeller(model, make, on)
+
+    def label(row):
+        sides = (row["size_y"], row["size_x"])
+        volume = work(np.stack([np.frombuffer(p["data"], row["dtype"]).reshape(sides) for p in row["planes"]]))
+        for p, plane in zip(row["planes"], volume, strict=True):
+            yield {k: row[k] for k in of} | {"z": p["z"], "y": 0, "x": 0, "height": sides[0], "width": sides[1], "size_y": sides[0], "size_x": sides[1], "dtype": "<i8", "data": plane.tobytes()}
+
+    return label_rows(tiles.each(planes, label, tiles.declared(blocks, keys, tiles.OWN)))
+
+
+def segmented(pixels: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, on: str = "cpu") -> DataFrame:
+    """segmented_planes() of pixel rows."""
+    return segmented_planes(in_planes(pixels, height, width), model, make, on)
+
+
+def segmented_in_tiles(pixels: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, tile: int = TILE, halo: int = HALO, on: str = "cpu") -> DataFrame:
+    return segmented_tiles(in_planes(pixels, height, width), model, make, tile, halo, on)
+
+
+def segmented_at_scale(pixels: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, scale_y: float, scale_x: float, target_um: float = MODEL_UM, on: str = "cpu") -> DataFrame:
+    return segmented_scaled(in_planes(pixels, height, width), model, make, height, width, scale_y, scale_x, target_um, on)

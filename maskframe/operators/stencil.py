@@ -3,6 +3,7 @@ table has them."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +78,49 @@ def resized_nearest(pixels: DataFrame, height: int, width: int, to_height: int,
     return rows.withColumn("tx", F.explode(targets(F.col("x"), width, to_width))).withColumns({"y": F.col("ty"), "x": F.col("tx")}).drop("ty", "tx")
 
 
+def bilinear_weights(n: int, m: int) -> list[tuple[int, int, float]]:
+    """(target, source, weight) of a bilinear resize of n places onto m: a triangle about the target's centre, as wide as a target where
+    there are fewer of these (so that no source is passed over), cut at the ends and brought to a sum of one."""
+    scale, out = n / m, []
+    reach = max(1.0, scale)
+    for k in range(m):
+        centre = scale * (k + 0.5)
+        first, last = max(int(centre - reach + 0.5), 0), min(int(centre + reach + 0.5), n)
+        weights = [max(0.0, 1.0 - abs(j - centre + 0.5) / reach) for j in range(first, last)]
+        out += [(k, j, w / sum(weights)) for j, w in zip(range(first, last), weights, strict=True)]
+    return out
+
+
+def bilinear_matrix(n: int, m: int) -> np.ndarray:
+    out = np.zeros((m, n))
+    for k, j, w in bilinear_weights(n, m):
+        out[k, j] = w
+    return out
+
+
+def resized_bilinear(pixels: DataFrame, height: int, width: int, to_height: int, to_width: int) -> DataFrame:
+    """Bilinear with antialiasing, one axis after the other: each is a join with a table of weights, of a few rows for each target, and
+    a sum that combines before it is shuffled."""
+    spark, out = pixels.sparkSession, pixels
+    for axis, n, m in (("x", width, to_width), ("y", height, to_height)):
+        if n != m:
+            weights = F.broadcast(spark.createDataFrame(bilinear_weights(n, m), "to long, from long, w double"))  # as long as a side of a plane
+            other = [c for c in (*plane_of(pixels), "y", "x") if c != axis]
+            out = out.join(weights, F.col(axis) == F.col("from")).groupBy(*other, F.col("to").alias(axis)).agg(F.sum(F.col("value") * F.col("w")).alias("value"))
+    return out.select(*plane_of(pixels), "y", "x", "value")
+
+
+def resized_planes(blocks: DataFrame, to_height: int, to_width: int) -> DataFrame:
+    """The same for blocks: whole planes (a block for each) of the new size, as 32-bit floats."""
+    keys = tiles.plane_key(blocks)
+
+    def resize(row):
+        values = bilinear_matrix(row["size_y"], to_height) @ tiles.values_of(row).astype(float) @ bilinear_matrix(row["size_x"], to_width).T
+        yield {k: row[k] for k in keys} | {"y": 0, "x": 0, "height": to_height, "width": to_width, "size_y": to_height, "size_x": to_width, "dtype": "<f4", "data": values.astype("<f4").tobytes()}
+
+    return tiles.each(tiles.retiled(blocks, None), resize, tiles.declared(blocks, keys, tiles.OWN))
+
+
 def tiled(points: DataFrame, tile: int, halo: int, height: int, width: int) -> DataFrame:
     """Each place once for every tile whose halo holds it, and whether it lies in the tile's core."""
     def near(v: Column, n: int) -> Column:

@@ -136,8 +136,8 @@ def tables(spark: SparkSession, sf_dir: str, objects: DataFrame | None = None) -
 
 
 def measured(spark: SparkSession, images: DataFrame, labels: DataFrame, pixels: DataFrame, objects: DataFrame, sets: dict[int, str], channels: dict[int, str], size: dict[str, int], store: str, dtype: str, settings: dict | None = None) -> dict[str, DataFrame]:
-    """The eight tables for images (image_id, plate place, scales), labels, pixels and what object_rows makes of them; sets and
-    channels by index."""
+    """The eight tables for images (image_id, plate place, scales; and sides, dtype and channels where each has its own), labels, pixels
+    and what object_rows makes of them; sets and channels by index."""
     texts = lambda of: F.create_map(*(F.lit(x) for pair in of.items() for x in pair))
     each = lambda of, name: images.select("image_id", F.explode(F.array(*map(F.lit, of))).alias(name))
     ids = objects.select(*OBJECT, "object_id")
@@ -150,11 +150,16 @@ def measured(spark: SparkSession, images: DataFrame, labels: DataFrame, pixels:
     named = each(sets, "label_set_index").withColumn("label_name", texts(sets)[F.col("label_set_index")])
     by_name = locations_only("label_name", F.lit(False))
     scale = lambda c: F.col(f"scale_{c}") if f"scale_{c}" in images.columns else F.lit(None)
+    if "channels" in images.columns:
+        told = images.select("image_id", F.posexplode("channels").alias("k", "c"))
+        listed = told.select("image_id", (F.col("k") + 1).alias("channel_index"), F.col("c.name").alias("channel_name"), F.col("c.color").alias("channel_color"))
+    else:
+        listed = each(channels, "channel_index").withColumn("channel_name", texts(channels)[F.col("channel_index")])
     made = {
         "schema_info": spark.createDataFrame([("schema_version", str(SCHEMA_VERSION)), ("coordinate_origin", "zero-based"), ("bbox", "half-open"), ("units", "px, um")], COLUMNS["schema_info"]),
         "measurement_runs": spark.range(1, 2).select(F.col("id").alias("run_id"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("created_utc"), F.lit("0.2.0").alias("software_version"), F.lit(SCHEMA_VERSION).alias("schema_version"), F.lit("parquet").alias("database_format"), F.lit(store).alias("source_store"), F.lit("").alias("output_ome_zarr"), F.lit(json.dumps(settings or {}, sort_keys=True)).alias("settings_json")),
-        "images": images.withColumns({"run_id": F.lit(1), "source_store": F.lit(store), "source_resource_path": path, "output_resource_path": path, "image_name": F.concat(F.lit("field_"), "field_index"), "source_dtype": F.lit(dtype), "scale_t": scale("t"), **{f"scale_{c}_um": scale(c) for c in "zyx"}, **{f"size_{c}": F.lit(n) for c, n in size.items()}}),
-        "channels": each(channels, "channel_index").withColumns({"channel_id": part_id("channel_index"), "channel_name": texts(channels)[F.col("channel_index")]}),
+        "images": images.withColumns({"run_id": F.lit(1), "source_store": F.lit(store), "source_resource_path": path, "output_resource_path": path, "image_name": F.concat(F.lit("field_"), "field_index"), "source_dtype": F.col("dtype") if "dtype" in images.columns else F.lit(dtype), "scale_t": scale("t"), **{f"scale_{c}_um": scale(c) for c in "zyx"}, **{f"size_{c}": F.lit(n) for c, n in size.items()}}),
+        "channels": listed.withColumn("channel_id", part_id("channel_index")),
         "label_sets": named.withColumns({"label_set_id": part_id("label_set_index"), "object_type": object_type("label_name"), "locations_only": by_name, "output_label_path": label_path(F.lit(True), F.concat("image_id", F.lit("/")), "label_name", F.lit(""), F.lit(0))}),
         "objects": objects,
         "intensity_measurements": values,

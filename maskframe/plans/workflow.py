@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import models
-from ..operators import postprocess, spots
-from ..sources import zarr
+from ..operators import postprocess, spots, tiles
+from ..sources import chunks, zarr
 from ..sources.raster import VOXEL
 from . import measurements
-from .settings import SKIP, Settings
+from .settings import DIMENSIONS, SKIP, Settings
 from .snapshots import Snapshots
 
 
@@ -52,15 +52,30 @@ def multistep(cells: DataFrame | None, nuclei: DataFrame | None, foci: list[Data
 Backends = Callable[[str], Callable[[], models.Segmenter]]
 
 
-def segmentation(settings: Settings, pixels: DataFrame, about: dict, backends: Backends) -> tuple[DataFrame, dict[int, str], list[int]]:
-    """The labels that the settings' steps make of the pixels (image_id, t, channel_index, z, y, x, value), the names of their
-    sets, and the sets that hold places only. Cells are segmented or grown from seeds; nuclei and up to four kinds of foci
-    follow; spots are refined if the settings ask for it; then all are matched and numbered."""
+def segmentation(settings: Settings, of: Callable[[int], DataFrame], about: dict, backends: Backends) -> tuple[DataFrame, dict[int, str], list[int]]:
+    """The labels that the settings' steps make of images, the names of their sets, and the sets that hold places only. of(channel)
+    has a channel's blocks (image_id, t, z, ...); all images have the sides and scales that `about` says.
+
+    Cells are segmented or grown from seeds; nuclei and up to four kinds of foci follow; spots are refined if the settings ask for it;
+    then all are matched and numbered. A model of volumes sees whole ones unless the settings keep it to planes; others go plane by
+    plane, star-convex ones tile by tile, and the one of nuclei of any microscope at its own pixel size."""
     settings.check(about["size"]["c"])
-    height, width = about["size"]["y"], about["size"]["x"]
+    height, width, deep = about["size"]["y"], about["size"]["x"], about["size"]["z"] > 1 and settings.dimension_mode != "2d"
     scale_y, scale_x = (about["scales"].get(a) for a in "yx")
     on = models.device(settings.device, has_cuda=False)
-    run = lambda model, channel: models.segmented(pixels.filter(F.col("channel_index") == channel), model, backends(model), height, width, on)
+
+    def run(model: str, channel: int) -> DataFrame:
+        if deep and DIMENSIONS[model] == "3d":
+            return models.segmented_volumes(of(channel), model, backends(model), on)
+        if model == "stardist:SD_Nuclei_Versatile":
+            found = models.segmented_scaled(of(channel), model, backends(model), height, width, scale_y, scale_x, on=on)
+        elif model.startswith("stardist:"):
+            found = models.segmented_tiles(of(channel), model, backends(model), on=on)
+        else:
+            found = models.segmented_planes(of(channel), model, backends(model), on)
+        # a label is one plane's: ids run over the planes
+        return postprocess.offset_ids(found, ["image_id", "t"], ["z"]) if about["size"]["z"] > 1 else found
+
     cells = nuclei = seeds = None
     if settings.seed_model:
         seeds = run(settings.seed_model, settings.seed_channel)
@@ -71,13 +86,14 @@ def segmentation(settings: Settings, pixels: DataFrame, about: dict, backends: B
         nuclei = run(settings.nucleus_model, settings.nucleus_channel)
     foci, names, places = [], {1: "labels_cells", 2: "labels_nuclei", 3: "labels_cytoplasm"}, []
     for k, (_, model, channel) in enumerate(settings.foci):
-        found = run(model, channel)
         kind = next(label for start, label in (("spotiflow:", "spots"), ("stardist:SD_Foci", "foci"), ("cellpose3:", "bacteria")) if model.startswith(start))
+        found = run(model, channel)
         if kind == "spots" and settings.spotiflow_local_refinement:
             if not (scale_y and scale_x):
                 raise ValueError("refinement needs the image's scales of y and x")
             points = found.select("image_id", "t", "z", F.col("label").alias("point"), F.col("y").cast("double").alias("py"), F.col("x").cast("double").alias("px"))
-            found = spots.refined(pixels.filter(F.col("channel_index") == channel).select("image_id", "t", "z", "y", "x", "value"), points, scale_y, scale_x, height, width)
+            seen = tiles.to_pixels(of(channel)).select("image_id", "t", "z", "y", "x", "value")
+            found = spots.masks(spots.outcomes(seen, points, scale_y, scale_x, height, width, native_3d=deep and DIMENSIONS[model] == "3d"))
         elif kind == "spots":
             places.append(4 + k)
         foci.append(found)
@@ -86,44 +102,69 @@ def segmentation(settings: Settings, pixels: DataFrame, about: dict, backends: B
     return labels.drop("slab"), names, places
 
 
+#: What images must share to be segmented together.
+FORM = [*(f"size_{a}" for a in zarr.AXES), *(f"scale_{a}" for a in zarr.AXES), "dtype"]
+
+
+def listed_images(spark, store: str, work: str) -> DataFrame:
+    """The images of a store with their ids (from 1, in order of their paths), places on the plate, forms and channels; written, as
+    ids come from ranges of paths that are ordered each by itself."""
+    places = zarr.fields(spark, store)
+    if not zarr.is_plate(spark, store):
+        places = places.withColumns({"plate_row": F.lit(None).cast("string"), "plate_column": F.lit(None).cast("string"), "field": F.lit("0")})
+    ranged = places.repartitionByRange("image_path").withColumn("part", F.spark_partition_id().cast("long"))
+    ranged.write.mode("overwrite").parquet(f"{work}/places")
+    numbered = measurements.numbered(spark.read.parquet(f"{work}/places"), ["part"], ["image_path"], "image_id")
+    images = numbered.join(chunks.forms(spark, store, places), "image_path").select("image_id", "image_path", F.col("image_path").alias("resource_path"), "plate_row", "plate_column", F.col("field").alias("field_index"), *FORM, "channels")
+    images.write.mode("overwrite").parquet(f"{work}/images")
+    return spark.read.parquet(f"{work}/images")
+
+
 def run(spark, store: str, out: str, settings: Settings, backends: Backends, tables: str | None = None) -> None:
     """A store from pixels to labels and tables: every image, or every field of a plate, is segmented by the settings; the labels are
-    written to `out` (a plate as a plate; an image in the native layout, or with the setting for it as channels behind its own) and measured into the folder `tables`. Labels are
+    written to `out` (a plate as a plate; an image in the native layout; with the setting for it as channels behind the image's own)
+    and measured into the folder `tables`. Images may differ in sides and scales: those of one form go together. Labels are
     written once, beside the output, so that writing and measuring read the same."""
-    plate = zarr.is_plate(spark, store)
-    if plate and settings.include_original_channels:
-        raise ValueError("a plate's labels are written as groups, not as channels beside its own")
-    if plate:
-        pixels, about = zarr.read_plate(spark, store)
-        places = zarr.fields(spark, store)
-    else:
-        pixels, about = zarr.read_image(spark, store)
-        pixels, places = pixels.withColumn("image_path", F.lit("")), zarr.fields(spark, store).withColumns({"plate_row": F.lit(None).cast("string"), "plate_column": F.lit(None).cast("string"), "field": F.lit("0")})
-    scale = lambda a: F.lit(about["scales"].get(a)).cast("double").alias(f"scale_{a}")
-    listed = places.withColumn("group", F.lit(0).cast("long"))
-    images = measurements.numbered(listed, ["group"], ["image_path"], "image_id").select("image_id", "image_path", F.col("image_path").alias("resource_path"), "plate_row", "plate_column", F.col("field").alias("field_index"), *(scale(a) for a in "tzyx"))
-    known = pixels.join(images.select("image_id", "image_path"), "image_path").select("image_id", F.col("t").cast("int").alias("t"), (F.col("c") + 1).cast("int").alias("channel_index"), "z", "y", "x", "value")
-    made, names, points = segmentation(settings, known, about, backends)
-    work = f"{out.rstrip('/')}.labels"
-    made.write.mode("overwrite").parquet(work)
-    labels = spark.read.parquet(work)
+    plate, work = zarr.is_plate(spark, store), f"{out.rstrip('/')}.labels"
     files = zarr.Files(spark, work)
     try:
+        images = listed_images(spark, store, work)
+        ids = images.select("image_id", "image_path")
+        blocks = chunks.read_blocks(spark, store)
+        forms = images.select(*FORM).distinct().collect()
+        made, names, points = None, {}, []
+        for form in forms:
+            same = F.lit(True)
+            for c in FORM:
+                same = same & F.col(c).eqNullSafe(F.lit(form[c]))
+            some = images.filter(same).select("image_id", "image_path")
+            only = {} if len(forms) == 1 else {"images": [r.image_path for r in some.select("image_path").toLocalIterator()]}
+
+            def of(channel, some=some, only=only):
+                own = chunks.read_blocks(spark, store, c=[channel - 1], **only).drop("c")
+                return own.join(some, "image_path").drop("image_path").withColumn("t", F.col("t").cast("int"))
+
+            about = {"size": {a: form[f"size_{a}"] for a in zarr.AXES}, "scales": {a: form[f"scale_{a}"] for a in zarr.AXES if form[f"scale_{a}"] is not None}}
+            part, names, points = segmentation(settings, of, about, backends)
+            made = part if made is None else made.unionByName(part)
+        made.write.mode("overwrite").parquet(f"{work}/labels")
+        labels = spark.read.parquet(f"{work}/labels")
         if settings.write_ome_zarr_labels:
             shown = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))[F.col("set_index")]
-            named = labels.join(images.select("image_id", "image_path"), "image_id").select("image_path", shown.alias("name"), F.col("t").cast("long").alias("t"), "z", "y", "x", "label")
+            named = labels.join(ids, "image_id").select("image_path", shown.alias("name"), F.col("t").cast("long").alias("t"), "z", "y", "x", "label")
             present = [names[r.set_index] for r in labels.select("set_index").distinct().orderBy("set_index").collect()]
             if plate:
-                zarr.write_plate(named, places.select("image_path"), store, out, about["size"] | {"c": 1}, present)
+                zarr.write_plate(named, ids.select("image_path"), store, out, images, [names[k] for k in sorted(names)] if settings.include_original_channels else present, original=tiles.to_pixels(blocks) if settings.include_original_channels else None)
             elif settings.include_original_channels:
+                pixels, about = zarr.read_image(spark, store)
                 rows = labels.withColumn("c", F.array_position(F.array(*map(F.lit, sorted(names))), F.col("set_index")) - 1)
                 sets = [(names[k], None) for k in sorted(names)]
-                zarr.write_image(rows.select("t", "c", "z", "y", "x", F.col("label").alias("value")), out, about["size"] | {"c": len(sets)}, sets, about["scales"], original=zarr.read_image(spark, store))
+                zarr.write_image(rows.select("t", "c", "z", "y", "x", F.col("label").alias("value")), out, about["size"] | {"c": len(sets)}, sets, about["scales"], original=(pixels, about))
             else:
                 zarr.write_native(named.drop("image_path"), out, store, present)
         if tables:
-            channels = {k: n for k, (n, _) in enumerate(about["channels"], 1)}
-            measurements.published(spark, Snapshots(spark, tables), images, labels, known, names, points, channels=channels, size=about["size"], store=store, dtype=about["dtype"], settings=settings.values())
+            known = tiles.to_pixels(blocks).join(ids, "image_path").select("image_id", F.col("t").cast("int").alias("t"), (F.col("c") + 1).cast("int").alias("channel_index"), "z", "y", "x", "value")
+            measurements.published(spark, Snapshots(spark, tables), images, labels, known, names, points, channels={}, size={}, store=store, dtype="", settings=settings.values())
     finally:
         files.fs.delete(files.at(""), True)
 

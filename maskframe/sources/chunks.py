@@ -1,8 +1,10 @@
 """Image stores as a Spark data source of blocks: `spark.read.format("zarr_blocks")` and `df.write.format("zarr_blocks")`.
 
 Reading: a row is a plane's part that one chunk holds (see operators.tiles), of every image of a store or plate, each by its own
-metadata. Filters on image_path, t, c, z, y and x are pushed down: chunks that hold no row of the result aren't opened. Partitions
-are runs of chunks of about `bytesPerPartition` bytes.
+metadata. Options t, c, z, y and x (a list of numbers as JSON, or first:stop) and images (a list of paths) say what is wanted: chunks
+that hold none of it aren't opened. With the option `pushdown` filters on these columns do the same; then each load is to be
+filtered once, as this version of Spark keeps one set of pushed filters for a loaded frame, however often it is used. Partitions are
+runs of chunks of about `bytesPerPartition` bytes.
 
 Writing: tasks write chunks beside the final place (`path`.partial, whose metadata stands there already), each under a name of its own
 that is then moved to the chunk's, so a copy of a task that runs late changes nothing; their commit messages count what they wrote.
@@ -119,19 +121,18 @@ def holds(f: Filter, value) -> bool:
     return True
 
 
+def wanted_places(axis: str, option: str) -> list[Filter]:
+    if ":" in option:
+        ends = [(kind, v) for kind, v in zip((GreaterThanOrEqual, LessThan), option.split(":"), strict=True) if v.strip()]
+        return [kind((axis,), int(v)) for kind, v in ends]
+    return [In((axis,), tuple(json.loads(option)))]
+
+
 class BlocksReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.size = options["path"], int(options.get("bytesPerPartition", BYTES_PER_PARTITION))
         self.images = json.loads(options["images"]) if "images" in options else None
-        self.filters: dict[str, list[Filter]] = {}
-
-    def pushFilters(self, filters):
-        for f in filters:
-            known = isinstance(f, (EqualTo, EqualNullSafe, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, In, IsNotNull))
-            if known and len(f.attribute) == 1 and f.attribute[0] in ("image_path", *AXES) and getattr(f, "value", 0) is not None:
-                self.filters.setdefault(f.attribute[0], []).append(f)
-            else:
-                yield f
+        self.filters: dict[str, list[Filter]] = {a: wanted_places(a, options[a]) for a in AXES if a in options}
 
     def fits(self, name: str, value) -> bool:
         return all(holds(f, value) for f in self.filters.get(name, ()))
@@ -184,6 +185,18 @@ class BlocksReader(DataSourceReader):
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
 
+class PushedReader(BlocksReader):
+    """A reader that takes filters."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            known = isinstance(f, (EqualTo, EqualNullSafe, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, In, IsNotNull))
+            if known and len(f.attribute) == 1 and f.attribute[0] in ("image_path", *AXES) and getattr(f, "value", 0) is not None:
+                self.filters.setdefault(f.attribute[0], []).append(f)
+            else:
+                yield f
+
+
 @dataclass
 class Written(WriterCommitMessage):
     chunks: int
@@ -246,7 +259,7 @@ class Blocks(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> BlocksReader:
-        return BlocksReader(self.options)
+        return PushedReader(self.options) if self.options.get("pushdown", "").lower() == "true" else BlocksReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> BlocksWriter:
         return BlocksWriter(self.options)
@@ -260,7 +273,7 @@ def registered(spark: SparkSession) -> SparkSession:
 
 
 def read_blocks(spark: SparkSession, store: str, **options) -> DataFrame:
-    """The blocks (image_path, t, c, z, and a block's own columns) of all images of a store or plate."""
+    """The blocks (image_path, t, c, z, and a block's own columns) of all images of a store or plate, or of what the options ask for."""
     reader = registered(spark).read.format("zarr_blocks")
     for name, value in options.items():
         reader = reader.option(name, value if isinstance(value, str) else json.dumps(value))

@@ -374,9 +374,10 @@ def faults(expected: DataFrame, written: DataFrame) -> DataFrame:
     return told(expected.join(written, "image_path", "left_anti"), "missing").unionByName(told(written.join(expected, "image_path", "left_anti"), "unexpected")).unionByName(told(twice, "repeated"))
 
 
-def write_plate(labels: DataFrame, written: DataFrame, source: str, out: str, size: dict[str, int] | DataFrame, sets: list[str], chunk: int = CHUNK, dtype: str = "<i4") -> None:
+def write_plate(labels: DataFrame, written: DataFrame, source: str, out: str, size: dict[str, int] | DataFrame, sets: list[str], chunk: int = CHUNK, dtype: str = "<i4", original: DataFrame | None = None) -> None:
     """All fields of a plate at once: labels (image_path, name, [t,] z, y, x, label) of the sets, for the fields of a source store,
-    of one size or each of its own (image_path, size_t, size_z, size_y, size_x).
+    of one size or each of its own (image_path, size_t, size_z, size_y, size_x). With `original` (the fields' pixels, with image_path) a
+    field is an image with the source's channels as whole numbers and one for each set behind these, else a group for each set.
 
     `written` (image_path) names the fields that were segmented, with labels or without; a missing, unknown or repeated one is
     an error. The plate appears whole or not at all. Acquisitions that the plate doesn't declare are left out."""
@@ -395,8 +396,14 @@ def write_plate(labels: DataFrame, written: DataFrame, source: str, out: str, si
         for r in size.orderBy("image_path").toLocalIterator():
             well, _, field = r.image_path.rpartition("/")
             wells.setdefault(well, []).append(field)
+            sides = {a: r[f"size_{a}"] for a in "tzyx"}
+            if original is not None:
+                about = Array(given, r.image_path).about
+                shown = [{"label": n, "active": True} | ({"color": c} if c else {}) for n, c in [*about["channels"], *((s, None) for s in sets)]]
+                put_metadata(files, r.image_path, sides | {"c": len(shown)}, chunk, dtype, about["scales"], {"omero": {"channels": shown}})
+                continue
             for s in sets:
-                put_metadata(files, f"{r.image_path}/labels/{s}", {a: r[f"size_{a}"] for a in "tzyx"} | {"c": 1}, chunk, dtype, None, {"image-label": {"version": "0.4"}})
+                put_metadata(files, f"{r.image_path}/labels/{s}", sides | {"c": 1}, chunk, dtype, None, {"image-label": {"version": "0.4"}})
             files.write_json(f"{r.image_path}/labels/.zattrs", {"labels": sets})
         for well, names in wells.items():
             taken = {str(i.get("path", "")).strip("/"): i.get("acquisition") for i in given.attributes(well)["well"]["images"]}
@@ -404,7 +411,16 @@ def write_plate(labels: DataFrame, written: DataFrame, source: str, out: str, si
             files.write_json(f"{well}/.zattrs", {"well": {"version": "0.4", "images": images}})
         files.write_json(".zattrs", plate | {"segmentation": {"field_count": sum(map(len, wells.values()))}})
         files.write_json(".zgroup", {"zarr_format": 2})
-        rows = with_axes(labels.withColumnRenamed("label", "value")).join(size.select("image_path", "size_y", "size_x"), "image_path")
-        put_chunks(in_folder(rows, F.concat_ws("/", "image_path", F.lit("labels"), "name"), {}), out, chunk, dtype)
+        sides = size.select("image_path", "size_y", "size_x", *(["size_c"] if original is not None else []))
+        rows, folder = labels.withColumnRenamed("label", "value"), F.concat_ws("/", "image_path", F.lit("labels"), "name")
+        if original is not None:
+            after = F.array_position(F.array(*map(F.lit, sets)), F.col("name")) - 1
+            rows, folder = rows.withColumn("c", after), F.col("image_path")
+        rows = with_axes(rows).join(sides, "image_path")
+        if original is not None:
+            both = ["image_path", *AXES, "value", "size_y", "size_x"]
+            moved = rows.withColumns({"c": F.col("c") + F.col("size_c"), "value": F.col("value").cast("double")}).select(*both)
+            rows = original.withColumn("value", S.exact_int("value").cast("double")).join(sides, "image_path").select(*both).unionByName(moved)
+        put_chunks(in_folder(rows, folder, {}), out, chunk, dtype)
     finally:
         files.fs.delete(files.at(""), True)

@@ -67,8 +67,9 @@ def opened(df):
 
 def test_only_the_asked_chunks_are_read(spark, image):
     folder, a = image
-    whole = chunks.read_blocks(spark, f"file://{folder}", bytesPerPartition=1)
-    assert opened(whole) == 2 * 2 * 2 * 3 * 2
+    load = lambda **more: chunks.read_blocks(spark, f"file://{folder}", bytesPerPartition=1, **more)
+    whole = load(pushdown="true")
+    assert opened(load()) == opened(load(pushdown="true")) == 2 * 2 * 2 * 3 * 2
     asked = whole.filter("t = 3 and c = 1 and z < 2 and y >= 8 and x in (0, 5)")
     assert opened(asked) == 2 and "BatchScan" in asked._jdf.queryExecution().executedPlan().toString()
     got = asked.collect()
@@ -79,10 +80,15 @@ def test_only_the_asked_chunks_are_read(spark, image):
         if not f.name.startswith((".", "1.1.0.1.0", "1.1.0.2.0")):
             f.write_bytes(b"broken")
     assert len(asked.collect()) == 4
-    assert whole.filter("t > 17").count() == 0 and whole.filter("c = 0 and image_path = 'other'").count() == 0
+    assert load(pushdown="true").filter("t > 17").count() == 0 and load(pushdown="true").filter("c = 0 and image_path = 'other'").count() == 0
+    # the same by options; frames of one load may be filtered in several ways
+    named = load(t=[3], c=[1], z=":2", y="8:", x=[0, 5])
+    assert opened(named) == 2 and sorted(map(tuple, named.drop("data").collect())) == sorted(map(tuple, asked.drop("data").collect()))
+    assert load(t=[17]).count() == 0 and load(images=[]).count() == 0
+    assert sorted((r.z, r.y) for r in named.filter("z = 0").unionByName(named.filter("y = 8")).collect()) == [(0, 8), (0, 8), (0, 16), (1, 8)]
     # several chunks to a partition, and conditions that aren't pushed down
     assert opened(chunks.read_blocks(spark, f"file://{folder}", bytesPerPartition=4 * 2 * 2 * 8 * 16 * 2)) < 24
-    assert chunks.read_blocks(spark, f"file://{folder}").filter("t = 3 and c = 1 and z < 2 and y >= 8 and x = 0 and (y + z) % 2 = 1").count() == 2
+    assert chunks.read_blocks(spark, f"file://{folder}", pushdown="true").filter("t = 3 and c = 1 and z < 2 and y >= 8 and x = 0 and (y + z) % 2 = 1").count() == 2
 
 
 def test_fields_of_a_plate_have_their_own_forms(spark, tmp_path):
