@@ -6,7 +6,7 @@ from collections.abc import Callable
 from typing import Protocol
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import tiles
@@ -111,9 +111,31 @@ def segmented_tiles(blocks: DataFrame, model: str, make: Callable[[], Segmenter]
     return offset_ids(label_rows(placed), tiles.plane_key(blocks), ["tile_y", "tile_x"]).drop("tile_y", "tile_x")
 
 
-def segmented_scaled(blocks: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, scale_y: float | None, scale_x: float | None, target_um: float = MODEL_UM, on: str = "cpu") -> DataFrame:
+def detected_polygons(blocks: DataFrame, model: str, make: Callable[[], Segmenter], tile: int = TILE, halo: int = HALO, on: str = "cpu") -> DataFrame:
+    """The polygons (plane's key, point, py, px, prob, dist) that a segmenter finds tile by tile: those with their centre in a tile's
+    core, numbered over a plane's tiles in reading order. A segmenter that can't give polygons is an error."""
+    from ..operators.polygons import in_cores
+
+    keys = tiles.plane_key(blocks)
+    more = {"tile_y": "long", "tile_x": "long", "k": "long", "py": "double", "px": "double", "prob": "double", "dist": "array<double>"}
+
+    def find(row):
+        segmenter = loaded((model, on), make)
+        if not hasattr(segmenter, "polygons"):
+            raise RuntimeError(f"{model} gives no polygons; without smooth_stardist_labels labels are restored by the nearest pixel")
+        for k, (y, x, prob, dist) in enumerate(segmenter.polygons(tiles.values_of(row))):
+            yield {n: row[n] for n in keys} | {"tile_y": row["core_y"] // tile, "tile_x": row["core_x"] // tile, "k": k, "py": float(y) + row["y"], "px": float(x) + row["x"], "prob": float(prob), "dist": [float(d) for d in dist]}
+
+    found = in_cores(tiles.each(tiles.retiled(blocks, tile, halo), find, tiles.declared(blocks, keys, more)), tile)
+    order = Window.partitionBy(*keys).orderBy("tile_y", "tile_x", "k")
+    return found.select(*keys, F.row_number().over(order).cast("long").alias("point"), "py", "px", "prob", "dist")
+
+
+def segmented_scaled(blocks: DataFrame, model: str, make: Callable[[], Segmenter], height: int, width: int, scale_y: float | None, scale_x: float | None, target_um: float = MODEL_UM, on: str = "cpu", smooth: bool = False) -> DataFrame:
     """As segmented_tiles(), but at the model's own pixel size, never finer than the image's: planes are brought to it with
-    antialiasing, and labels back to the image's size by the nearest. An image without scales of y and x is an error."""
+    antialiasing, and labels back to the image's size by the nearest, or with `smooth` drawn there anew from the model's polygons. An
+    image without scales of y and x is an error."""
+    from ..operators.polygons import polygons_to_labels
     from ..operators.stencil import resized_nearest, resized_planes
 
     if not (scale_y and scale_x):
@@ -121,7 +143,10 @@ def segmented_scaled(blocks: DataFrame, model: str, make: Callable[[], Segmenter
     sizes = [max(1, int(np.rint(n * min(1.0, s / target_um)))) for n, s in ((height, scale_y), (width, scale_x))]
     if sizes == [height, width]:
         return segmented_tiles(blocks, model, make, on=on)
-    return resized_nearest(segmented_tiles(resized_planes(blocks, *sizes), model, make, on=on), *sizes, height, width)
+    small = resized_planes(blocks, *sizes)
+    if smooth:
+        return polygons_to_labels(detected_polygons(small, model, make, on=on), height, width, height / sizes[0], width / sizes[1])
+    return resized_nearest(segmented_tiles(small, model, make, on=on), *sizes, height, width)
 
 
 def segmented_volumes(blocks: DataFrame, model: str, make: Callable[[], Segmenter], on: str = "cpu") -> DataFrame:

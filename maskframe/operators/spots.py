@@ -2,7 +2,7 @@
 
 A seed's neighbourhood is a join of the seed's offsets with the smoothed pixels; its background, noise, peak and threshold are
 aggregations over that join. What is left for Python is the component around the seed, one row for each candidate, and the
-candidates' competition for places, one plane at a time.
+competition for places of candidates that meet.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.workspace import folder
+from . import graph, tiles
 from .postprocess import PLANE
 from .stencil import binomial_smooth
 
@@ -24,28 +26,82 @@ REACH_UM, CONTRAST_SHARE, NOISE_LEVELS = 1.0, 0.30, 3.0
 DEVIATION = 1.4826
 
 
-def components(pixels: DataFrame, height: int, width: int) -> DataFrame:
-    """8-connected components of positions (image_id, y, x), labelled by their first place in reading order, from 1."""
-
-    def work(plane: pd.DataFrame) -> pd.DataFrame:
-        label = np.full((height + 2, width + 2), np.iinfo(np.int64).max)
-        y, x = plane["y"].to_numpy() + 1, plane["x"].to_numpy() + 1
-        label[y, x] = (y - 1) * width + x
-        mask = np.zeros(label.shape, bool)
-        mask[y, x] = True
-        while True:
-            # the least label of the neighbourhood, then of the place that the label names
-            rows = np.minimum(np.minimum(label[:-2], label[1:-1]), label[2:])
-            low = label.copy()
-            low[1:-1, 1:-1] = np.minimum(np.minimum(rows[:, :-2], rows[:, 1:-1]), rows[:, 2:])
-            low[~mask] = np.iinfo(np.int64).max
-            at = low[mask] - 1
-            low[mask] = np.minimum(low[mask], low[at // width + 1, at % width + 1])
-            if (low == label).all():
-                return pd.DataFrame({"image_id": plane["image_id"].iloc[0], "y": y - 1, "x": x - 1, "label": label[y, x]})
-            label = low
-
-    return pixels.groupBy("image_id").applyInPandas(work, "image_id long, y long, x long, label long")
+def label_mask(mask: np.ndarray) -> np.ndarray:
+    """8-connected components of a mask, labelled from 1 by their first place in reading order (row * width + column + 1); 0 elsewhere.
+
+    Runs of a row are joined with those of the next that they touch; runs then take the least of their neighbours' labels and
+    of what that label's run has, until nothing changes."""
+    wide = np.zeros((mask.shape[0], mask.shape[1] + 2), np.int8)
+    wide[:, 1:-1] = mask
+    turn = np.diff(wide, axis=1)
+    row, first = np.nonzero(turn == 1)
+    last = np.nonzero(turn == -1)[1]  # exclusive; runs stand in the same order
+    stride = mask.shape[1] + 2
+    # of each run, those of the next row that begin no later than it ends and end no sooner than it begins
+    low, high = np.searchsorted(row * stride + last, (row + 1) * stride + first, "left"), np.searchsorted(row * stride + first, (row + 1) * stride + last, "right")
+    n = np.maximum(high - low, 0)
+    a = np.repeat(np.arange(len(row)), n)
+    b = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(n.cumsum() - n, n)
+    root = np.arange(len(row))
+    while True:
+        least = np.minimum(root[a], root[b])
+        now = root.copy()
+        np.minimum.at(now, root[a], least)
+        np.minimum.at(now, root[b], least)
+        while (now[now] != now).any():
+            now = now[now]
+        now = now[root]
+        if (now == root).all():
+            break
+        root = now
+    out = np.zeros(mask.shape, np.int64)
+    out[mask] = np.repeat((row * mask.shape[1] + first + 1)[root], last - first)
+    return out
+
+
+def components_of_blocks(blocks: DataFrame, tile: int = 1024) -> DataFrame:
+    """8-connected components (plane's key, y, x, label) of what isn't 0 in planes of blocks, labelled by their first place in reading
+    order, from 1. Tiles are labelled each by itself; pixels at their edges say which labels of two tiles are one component, and a
+    graph of these labels, not the pixels, is what is joined across tiles."""
+    keys = tiles.plane_key(blocks)
+
+    def label(values: np.ndarray, row: dict) -> np.ndarray:
+        own = label_mask(values != 0)
+        y, x = np.divmod(own - 1, max(1, own.shape[1]))
+        return np.where(own > 0, (y + row["y"]) * row["size_x"] + x + row["x"] + 1, 0)
+
+    cut = tiles.mapped(tiles.retiled(blocks, tile).drop(*tiles.CORE), label)
+
+    def edges(row):
+        """A block's edge pixels at their own places, and at those of their neighbours outside the block."""
+        block, (height, width) = tiles.values_of(row), (row["height"], row["width"])
+        for y, x in np.argwhere(block):
+            if (y in (0, height - 1) and row["height"] < row["size_y"]) or (x in (0, width - 1) and row["width"] < row["size_x"]):
+                for v in (-1, 0, 1):
+                    for u in (-1, 0, 1):
+                        inside = 0 <= y + v < height and 0 <= x + u < width
+                        if not (inside and (v or u)):
+                            yield {k: row[k] for k in keys} | {"y": row["y"] + int(y) + v, "x": row["x"] + int(x) + u, "own": inside, "label": int(block[y, x])}
+
+    # of a block only its frame is looked at
+    def frame(values: np.ndarray, row: dict) -> np.ndarray:
+        out = np.zeros_like(values)
+        for part in (np.s_[0], np.s_[-1], np.s_[:, 0], np.s_[:, -1]):
+            out[part] = values[part]
+        return out
+
+    several = cut.filter("height < size_y or width < size_x")
+    ends = tiles.each(tiles.mapped(several, frame), edges, tiles.declared(blocks, keys, {"y": "long", "x": "long", "own": "boolean", "label": "long"}))
+    met = ends.groupBy(*keys, "y", "x").agg(F.max(F.when(F.col("own"), F.col("label"))).alias("a"), F.collect_set(F.when(~F.col("own"), F.col("label"))).alias("others"))
+    links = met.filter("a is not null").select(*keys, "a", F.explode("others").alias("b"))
+    roots = graph.components(links, keys).withColumnRenamed("id", "label")
+    return tiles.to_pixels(cut, "label", "long", sparse=True).join(roots, [*keys, "label"], "left").select(*keys, "y", "x", F.coalesce("root", "label").alias("label"))
+
+
+def components(pixels: DataFrame, height: int, width: int, tile: int = 1024) -> DataFrame:
+    """components_of_blocks() of positions (plane's key, y, x)."""
+    ones = pixels.withColumn("value", F.lit(1))
+    return components_of_blocks(tiles.to_blocks(ones, height, width, tile, dtype="|u1"), tile)
 
 
 def joined_to_seed(places: set[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -108,30 +164,45 @@ def candidates(smooth: DataFrame, points: DataFrame, ry: float, rx: float, heigh
     return scored.mapInPandas(work, ", ".join(f"{c} {kinds[c]}" for c in (*key, "score")) + ", fallback boolean, mask array<array<int>>")
 
 
-OUTCOME = "point long, label long, fallback boolean, removed long, places array<array<long>>"
+OUTCOME = {"point": "long", "score": "double", "fallback": "boolean", "removed": "long", "places": "array<array<long>>"}
+
+
+def conflicts(found: DataFrame) -> DataFrame:
+    """(plane's key, id, root): the candidates whose masks meet another's, by the least of those that they meet directly or not."""
+    offset = F.explode("mask")
+    places = found.select(*PLANE, "point", "sy", "sx", offset.alias("m")).select(*PLANE, "point", (F.col("sy") + F.col("m")[0]).alias("y"), (F.col("sx") + F.col("m")[1]).alias("x"))
+    first = places.groupBy(*PLANE, "y", "x").agg(F.min("point").alias("a"), F.max("point").alias("last")).filter("a < last").drop("last")
+    return graph.components(places.join(first, [*PLANE, "y", "x"]).select(*PLANE, "a", F.col("point").alias("b")), PLANE)
 
 
 def settled(found: DataFrame) -> DataFrame:
     """What becomes of each candidate: the label it gets in its plane (null if its seed is taken or nothing is left for it), the
-    places it takes and how many others had taken. Candidates choose in order of their scores, equal ones in order of points."""
+    places it takes and how many others had taken. Candidates choose in order of their scores, equal ones in order of points.
+
+    Only candidates whose masks meet depend on each other: they settle group by group, and what meets no other keeps its mask. Labels
+    then number a plane's successful candidates in order of their scores."""
     kinds = dict(found.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in PLANE) + ", " + OUTCOME
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in PLANE), *(f"{n} {k}" for n, k in OUTCOME.items())])
+    groups = conflicts(found).withColumnRenamed("id", "point")
 
-    def contest(key: tuple, plane: pd.DataFrame) -> pd.DataFrame:
-        owner: dict[tuple[int, int], int] = {}
-        rows, last = [], 0
-        for r in plane.sort_values(["score", "point"], ascending=[False, True]).itertuples():
+    def contest(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        taken: set[tuple[int, int]] = set()
+        rows = []
+        for r in group.sort_values(["score", "point"], ascending=[False, True]).itertuples():
             wanted = [(int(r.sy + dy), int(r.sx + dx)) for dy, dx in r.mask]
-            free = [p for p in wanted if p not in owner]
-            if (r.sy, r.sx) in owner or not free:
-                rows.append((*key, r.point, None, r.fallback, 0, []))
-                continue
-            last += 1
-            owner.update(dict.fromkeys(free, last))
-            rows.append((*key, r.point, last, r.fallback, len(wanted) - len(free), [list(p) for p in free]))
-        return pd.DataFrame(rows, columns=[*PLANE, "point", "label", "fallback", "removed", "places"]).astype({"label": "Int64"})
+            free = [] if (r.sy, r.sx) in taken else [p for p in wanted if p not in taken]
+            taken.update(free)
+            rows.append((*key[: len(PLANE)], r.point, r.score, r.fallback, len(wanted) - len(free) if free else 0, [list(p) for p in free]))
+        return pd.DataFrame(rows, columns=[*PLANE, *OUTCOME])
 
-    return found.groupBy(*PLANE).applyInPandas(contest, schema)
+    alone = found.join(groups, [*PLANE, "point"], "left_anti")
+    places = F.transform("mask", lambda m: F.array(F.col("sy") + m[0], F.col("sx") + m[1]).cast("array<bigint>"))
+    kept = alone.select(*PLANE, "point", "score", "fallback", F.lit(0).cast("long").alias("removed"), places.alias("places"))
+    crowd = found.join(groups, [*PLANE, "point"]).groupBy(*PLANE, "root").applyInPandas(contest, schema)
+    whole = kept.unionByName(crowd).withColumn("lost", F.size("places") == 0)
+    order = Window.partitionBy(*PLANE, "lost").orderBy(F.desc("score"), "point")
+    label = F.when(~F.col("lost"), F.row_number().over(order).cast("long"))
+    return whole.withColumn("label", label).select(*PLANE, "point", "label", "fallback", "removed", "places")
 
 
 def planes_of(df: DataFrame) -> DataFrame:
@@ -139,14 +210,15 @@ def planes_of(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.lit(0).cast(k) for c, k in (("t", "int"), ("z", "long")) if c not in df.columns})
 
 
-def outcomes(pixels: DataFrame, points: DataFrame, scale_y: float, scale_x: float, height: int, width: int, native_3d: bool = False) -> DataFrame:
+def outcomes(pixels: DataFrame, points: DataFrame, scale_y: float, scale_x: float, height: int, width: int, native_3d: bool = False, finite: bool = False) -> DataFrame:
     """settled() for points over one channel's smoothed pixels; each plane is refined alone, so a model that finds points in
     whole volumes has no planes to refine and is an error."""
     if native_3d:
         raise ValueError("points of a volume can't be refined plane by plane")
     ry, rx = max(1.0, REACH_UM / scale_y), max(1.0, REACH_UM / scale_x)
-    smooth = binomial_smooth(planes_of(pixels), height, width)
-    return settled(candidates(smooth, planes_of(points), ry, rx, height, width))
+    smooth = binomial_smooth(planes_of(pixels), height, width, finite=finite)
+    # written, as groups of candidates that meet are told first, and candidates aren't to be made twice
+    return settled(written(candidates(smooth, planes_of(points), ry, rx, height, width)))
 
 
 def masks(found: DataFrame) -> DataFrame:
@@ -171,6 +243,12 @@ def totals(found: DataFrame) -> DataFrame:
     )
 
 
-def refined(pixels: DataFrame, points: DataFrame, scale_y: float, scale_x: float, height: int, width: int) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
+    path = folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def refined(pixels: DataFrame, points: DataFrame, scale_y: float, scale_x: float, height: int, width: int, finite: bool = False) -> DataFrame:
     """Masks grown from points over one channel's pixels."""
-    return masks(outcomes(pixels, points, scale_y, scale_x, height, width))
+    return masks(outcomes(pixels, points, scale_y, scale_x, height, width, finite=finite))

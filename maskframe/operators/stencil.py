@@ -110,13 +110,13 @@ def resized_bilinear(pixels: DataFrame, height: int, width: int, to_height: int,
     return out.select(*plane_of(pixels), "y", "x", "value")
 
 
-def resized_planes(blocks: DataFrame, to_height: int, to_width: int) -> DataFrame:
-    """The same for blocks: whole planes (a block for each) of the new size, as 32-bit floats."""
+def resized_planes(blocks: DataFrame, to_height: int, to_width: int, dtype: str = "<f4") -> DataFrame:
+    """The same for blocks: whole planes (a block for each) of the new size."""
     keys = tiles.plane_key(blocks)
 
     def resize(row):
         values = bilinear_matrix(row["size_y"], to_height) @ tiles.values_of(row).astype(float) @ bilinear_matrix(row["size_x"], to_width).T
-        yield {k: row[k] for k in keys} | {"y": 0, "x": 0, "height": to_height, "width": to_width, "size_y": to_height, "size_x": to_width, "dtype": "<f4", "data": values.astype("<f4").tobytes()}
+        yield {k: row[k] for k in keys} | {"y": 0, "x": 0, "height": to_height, "width": to_width, "size_y": to_height, "size_x": to_width, "dtype": dtype, "data": values.astype(dtype).tobytes()}
 
     return tiles.each(tiles.retiled(blocks, None), resize, tiles.declared(blocks, keys, tiles.OWN))
 

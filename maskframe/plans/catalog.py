@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import models
 from ..functions import scalars as S
-from ..operators import geometry, intensity, postprocess, regions, relationships, runs, spots, stencil
+from ..operators import geometry, intensity, polygons, postprocess, regions, relationships, runs, spots, stencil, tiles
 from ..sources import raster
 from ..sources.raster import SIDE, table
 from . import measurements
@@ -344,6 +344,47 @@ def nearest_resize(spark, sf_dir):
     return stencil.resized_nearest(raster.pixels(spark, sf_dir), SIDE, SIDE, 20, 48).select("image_id", "channel_index", "y", "x", "value")
 
 
+def _bilinear_sql(height: int, width: int) -> str:
+    """Weights by the triangle's formula, for each target and source of an axis, and their sums."""
+    def axis(name: str, m: int) -> str:
+        scale, reach = SIDE / m, max(1.0, SIDE / m)
+        return f"""{name} AS (SELECT k, j, w / sum(w) OVER (PARTITION BY k) AS w FROM (SELECT k, j, greatest(0, 1 - abs(j - {scale}::DOUBLE * (k + 0.5::DOUBLE) + 0.5::DOUBLE) / {reach}::DOUBLE) AS w FROM range({m}) a(k), range({SIDE}) b(j)
+            WHERE j >= greatest(trunc({scale}::DOUBLE * (k + 0.5::DOUBLE) - {reach}::DOUBLE + 0.5::DOUBLE), 0) AND j < least(trunc({scale}::DOUBLE * (k + 0.5::DOUBLE) + {reach}::DOUBLE + 0.5::DOUBLE), {SIDE})))"""
+
+    body = "SELECT image_id, channel_index, r.k AS y, c.k AS x, sum(value * r.w * c.w) AS value FROM pixels p JOIN wy r ON r.j = p.y JOIN wx c ON c.j = p.x GROUP BY 1, 2, 3, 4"
+    return sql(body, "value", base=with_more(axis("wy", height) + ",\n" + axis("wx", width)))
+
+
+@query(_bilinear_sql(20, 13))
+def bilinear_shrink(spark, sf_dir):
+    return stencil.resized_bilinear(raster.pixels(spark, sf_dir), SIDE, SIDE, 20, 13).select("image_id", "channel_index", "y", "x", "value")
+
+
+@query(_bilinear_sql(45, 24))
+def bilinear_grow(spark, sf_dir):
+    """Finer rows and coarser columns, over blocks."""
+    blocks = tiles.to_blocks(raster.pixels(spark, sf_dir), SIDE, SIDE)
+    return tiles.to_pixels(stencil.resized_planes(blocks, 45, 24, "<f8")).select("image_id", "channel_index", "y", "x", "value")
+
+
+RAYS = 8
+STARS = f"""stars AS (SELECT image_id, y * 32 + x + 1 AS point, y AS py, x AS px, v % 7 AS prob, k, (1 + (v + k * k) % 5) * 0.8125::DOUBLE AS d FROM sig, range({RAYS}) r(k) WHERE v >= 60),
+corners AS (SELECT *, py * 1.5::DOUBLE + d * 1.5::DOUBLE * sin(k * 2 * pi() / {RAYS}) AS cy, px * 1.25::DOUBLE + d * 1.25::DOUBLE * cos(k * 2 * pi() / {RAYS}) AS cx FROM stars),
+sides AS (SELECT a.image_id, a.point, a.prob, a.cy AS ay, a.cx AS ax, b.cy AS ty, b.cx AS tx FROM corners a JOIN corners b ON a.image_id = b.image_id AND a.point = b.point AND b.k = (a.k + 1) % {RAYS}),
+met AS (SELECT image_id, point, prob, r.y, ax + (r.y - ay) * (tx - ax) / (ty - ay) AS x FROM sides, range(48) r(y) WHERE (ay <= r.y) <> (ty <= r.y)),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY image_id, point, y ORDER BY x) AS n FROM met),
+inside AS (SELECT a.image_id, a.point, a.prob, a.y, q.x FROM ordered a JOIN ordered b ON b.image_id = a.image_id AND b.point = a.point AND b.y = a.y AND b.n = a.n + 1 AND a.n % 2 = 1 JOIN range(40) q(x) ON q.x BETWEEN a.x AND b.x)"""
+
+
+@query(sql("SELECT image_id, y, x, point AS label FROM inside QUALIFY row_number() OVER (PARTITION BY image_id, y, x ORDER BY prob DESC, point DESC) = 1", base=with_more(STARS)))
+def polygon_labels(spark, sf_dir):
+    """Stars about bright places, with rays of uneven lengths, drawn on a grid that is finer by 1.5 and 1.25."""
+    lit = raster.signal(spark, sf_dir).filter("v >= 60")
+    rays = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(RAYS - 1).cast("long")), lambda k: (1 + (F.col("v") + k * k) % 5) * 0.8125)
+    stars = lit.select("image_id", (F.col("y") * SIDE + F.col("x") + 1).alias("point"), F.col("y").cast("double").alias("py"), F.col("x").cast("double").alias("px"), (F.col("v") % 7).cast("double").alias("prob"), rays.alias("dist"))
+    return polygons.polygons_to_labels(stars, 48, 40, 1.5, 1.25)
+
+
 @query(sql("SELECT image_id, set_index, label, y, x, a.k AS tile_y, b.k AS tile_x, y // 16 = a.k AND x // 16 = b.k AS core FROM labels, range(2) a(k), range(2) b(k) WHERE y BETWEEN a.k * 16 - 3 AND a.k * 16 + 18 AND x BETWEEN b.k * 16 - 3 AND b.k * 16 + 18"))
 def halo_tiles(spark, sf_dir):
     return stencil.tiled(raster.labels(spark, sf_dir), 16, 3, SIDE, SIDE).drop("t", "z")
@@ -623,7 +664,8 @@ def bright(spark, sf_dir) -> DataFrame:
     SELECT image_id, y, x, min(label) AS label FROM reach GROUP BY 1, 2, 3"""
 )
 def connected_components(spark, sf_dir):
-    return spots.components(bright(spark, sf_dir), SIDE, SIDE)
+    # in tiles of half a side, so that components go over their edges
+    return spots.components(bright(spark, sf_dir), SIDE, SIDE, tile=16)
 
 
 REFINED = BASE.replace("WITH img", "WITH RECURSIVE img").rstrip() + """,
@@ -644,7 +686,7 @@ walk AS (SELECT DISTINCT image_id, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS
 @query(sql("SELECT image_id, 0 AS t, CAST(0 AS BIGINT) AS z, place // 32 AS y, place % 32 AS x, label FROM (SELECT image_id, label, unnest(got) AS place FROM walk)", base=REFINED))
 def spot_refinement(spark, sf_dir):
     points = raster.signal(spark, sf_dir).filter(F.col("v") >= raster.SPOT_LEVEL).select("image_id", (F.col("y") * SIDE + F.col("x")).alias("point"), F.col("y").cast("double").alias("py"), F.col("x").cast("double").alias("px"))
-    return spots.refined(channel_one(spark, sf_dir), points, 0.5, 0.25, SIDE, SIDE)
+    return spots.refined(channel_one(spark, sf_dir), points, 0.5, 0.25, SIDE, SIDE, finite=True)
 
 
 def _sql_models() -> str:

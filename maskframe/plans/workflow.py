@@ -68,7 +68,7 @@ def segmentation(settings: Settings, of: Callable[[int], DataFrame], about: dict
         if deep and DIMENSIONS[model] == "3d":
             return models.segmented_volumes(of(channel), model, backends(model), on)
         if model == "stardist:SD_Nuclei_Versatile":
-            found = models.segmented_scaled(of(channel), model, backends(model), height, width, scale_y, scale_x, on=on)
+            found = models.segmented_scaled(of(channel), model, backends(model), height, width, scale_y, scale_x, on=on, smooth=settings.smooth_stardist_labels)
         elif model.startswith("stardist:"):
             found = models.segmented_tiles(of(channel), model, backends(model), on=on)
         else:

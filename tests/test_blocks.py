@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from maskframe.operators import stencil, tiles
+from maskframe.operators import polygons, spots, stencil, tiles
 from maskframe.sources import chunks, zarr
 
 
@@ -210,3 +210,134 @@ def test_a_second_copy_of_a_task_changes_nothing(spark, tmp_path):
         writer.write(iter(batches))
     assert stored == {f.name: f.read_bytes() for f in (tmp_path / "out.zarr" / "0").iterdir()} and not (tmp_path / "out.zarr.partial").exists()
     shutil.rmtree(tmp_path / "out.zarr")
+
+
+def plain_components(mask):
+    """Labels by the first place of each 8-connected component, flood by flood."""
+    out, width = np.zeros(mask.shape, int), mask.shape[1]
+    for y, x in np.argwhere(mask):
+        if not out[y, x]:
+            open_ends = [(y, x)]
+            out[y, x] = y * width + x + 1
+            while open_ends:
+                a, b = open_ends.pop()
+                for p in ((a + i, b + j) for i in (-1, 0, 1) for j in (-1, 0, 1)):
+                    if 0 <= p[0] < mask.shape[0] and 0 <= p[1] < width and mask[p] and not out[p]:
+                        out[p] = y * width + x + 1
+                        open_ends.append(p)
+    return out
+
+
+def spiral(n):
+    """One component that winds through every tile many times."""
+    out = np.zeros((n, n), bool)
+    for k in range(0, n // 2, 2):
+        out[k, k : n - k] = out[n - 1 - k, k : n - k] = out[k : n - k, k] = out[k : n - k, n - 1 - k] = True
+        if k + 2 < n // 2:
+            out[k + 1, k] = k == 0 or out[k + 1, k]
+            out[k + 1, k + 1] = True
+    return out
+
+
+def test_components_of_one_mask():
+    rng = np.random.default_rng(47)
+    for mask in [rng.random(rng.integers(1, 30, 2)) < d for d in (0.1, 0.4, 0.6, 0.95) for _ in range(10)] + [spiral(40), np.zeros((5, 5), bool), np.ones((4, 7), bool)]:
+        assert (spots.label_mask(mask) == plain_components(mask)).all()
+
+
+def test_components_across_tiles(spark):
+    rng = np.random.default_rng(48)
+    planes = {0: rng.random((60, 75)) < 0.38, 1: np.pad(spiral(60), ((0, 0), (0, 15))), 2: np.zeros((60, 75), bool), 3: rng.random((60, 75)) < 0.6}
+    rows = spark.createDataFrame([(7, t, int(y), int(x)) for t, m in planes.items() for y, x in np.argwhere(m)], "image_id long, t int, y long, x long")
+    for tile in (13, 32, 100):
+        got = {(r.t, r.y, r.x): r.label for r in spots.components(rows, 60, 75, tile).collect()}
+        assert got == {(t, int(y), int(x)): int(want[y, x]) for t, m in planes.items() for want in [plain_components(m)] for y, x in np.argwhere(m)}
+
+
+def test_components_of_a_large_plane(spark, tmp_path):
+    """4096 by 4096 in tiles of 1024: blobs that go over edges and corners."""
+    rng = np.random.default_rng(49)
+    a = np.zeros((4096, 4096), "u1")
+    for y, x in rng.integers(0, 4090, (1500, 2)):
+        a[y : y + rng.integers(1, 40), x : x + rng.integers(1, 40)] = 1
+    a[1000:1050, :] = a[:, 2040:2050] = 1
+    put_image(tmp_path / "i.zarr", a, (1024, 1024), "yx")
+    found = spots.components_of_blocks(chunks.read_blocks(spark, f"file://{tmp_path}/i.zarr"), 1024)
+    want = spots.label_mask(a != 0)
+    sizes = dict(zip(*np.unique(want[want > 0], return_counts=True), strict=True))
+    assert {r.label: r.n for r in found.groupBy("label").agg(F.count("*").alias("n")).collect()} == sizes and len(sizes) > 500
+
+
+def test_candidates_settle_in_groups_that_meet(spark, monkeypatch):
+    """As one contest of a whole plane, and no group is larger than what meets."""
+    rng = np.random.default_rng(50)
+    rows = []
+    for z in range(3):
+        for point in range(60):
+            sy, sx = (int(v) for v in rng.integers(0, 40, 2))
+            mask = [[0, 0], *({(int(dy), int(dx)) for dy, dx in rng.integers(-2, 3, (rng.integers(0, 9), 2))} - {(0, 0)})]
+            rows.append((1, 0, z, point, sy, sx, float(rng.integers(0, 9)), len(mask) == 1, [list(m) for m in mask]))
+    found = spark.createDataFrame(rows, "image_id long, t int, z long, point long, sy long, sx long, score double, fallback boolean, mask array<array<int>>")
+    got = {(r.z, r.point): (r.label, r.removed, sorted(map(tuple, r.places))) for r in spots.settled(found).collect()}
+    groups = {(r.z, r.id): r.root for r in spots.conflicts(found).collect()}
+    for z in range(3):
+        plane, taken, last = sorted((r for r in rows if r[2] == z), key=lambda r: (-r[6], r[3])), set(), 0
+        places = {r[3]: {(r[4] + dy, r[5] + dx) for dy, dx in r[8]} for r in plane}
+        for r in plane:
+            free = places[r[3]] - taken
+            if (r[4], r[5]) in taken or not free:
+                assert got[z, r[3]] == (None, 0, [])
+                continue
+            last += 1
+            taken |= free
+            assert got[z, r[3]] == (last, len(places[r[3]]) - len(free), sorted(free))
+        meets = lambda a: [b for b in places if b != a and places[a] & places[b]]  # noqa: B023, E731
+        for p in places:
+            assert ((z, p) in groups) == bool(meets(p)) and all(groups[z, p] == groups[z, b] for b in meets(p))
+            if (z, p) in groups:
+                reach, ends = {p}, [p]
+                while ends:
+                    ends += [b for b in meets(ends.pop()) if b not in reach and not reach.add(b)]
+                assert groups[z, p] == min(reach)
+
+
+def test_bilinear_weights():
+    for n, m in ((7, 7), (8, 4), (5, 11), (32, 20), (100, 1), (1, 9)):
+        w = stencil.bilinear_matrix(n, m)
+        assert w.shape == (m, n) and np.allclose(w.sum(axis=1), 1) and (w >= 0).all()
+        # a straight line stays one where the triangle isn't cut
+        line, place = w @ np.arange(n), n / m * (np.arange(m) + 0.5)
+        inside = (place >= 1) & (place <= n - 1)
+        assert m < n or np.allclose(line[inside], place[inside] - 0.5)
+    assert np.allclose(stencil.bilinear_matrix(4, 2), [[3 / 7, 3 / 7, 1 / 7, 0], [0, 1 / 7, 3 / 7, 3 / 7]]) and np.allclose(stencil.bilinear_matrix(2, 4), [[1, 0], [0.75, 0.25], [0.25, 0.75], [0, 1]])
+
+
+def test_bilinear_rows_and_blocks_agree(spark):
+    a = np.random.default_rng(51).integers(0, 99, (2, 11, 17)).astype(float)
+    pixels = spark.createDataFrame([(1, *map(int, p), float(v)) for p, v in np.ndenumerate(a)], "image_id long, z long, y long, x long, value double")
+    for h, w in ((11, 6), (25, 17), (5, 40)):
+        want = {(z, y, x): v for z in (0, 1) for (y, x), v in np.ndenumerate(stencil.bilinear_matrix(11, h) @ a[z] @ stencil.bilinear_matrix(17, w).T)}
+        rows = {(r.z, r.y, r.x): r.value for r in stencil.resized_bilinear(pixels, 11, 17, h, w).collect()}
+        blocks = {(r.z, r.y, r.x): r.value for r in tiles.to_pixels(stencil.resized_planes(tiles.to_blocks(pixels, 11, 17, 8), h, w, "<f8")).collect()}
+        assert rows.keys() == blocks.keys() == want.keys() and all(np.isclose(rows[k], v) and np.isclose(blocks[k], v) for k, v in want.items())
+
+
+def test_polygons_by_even_and_odd_crossings(spark):
+    rng = np.random.default_rng(52)
+    shapes = [(0, k, float(rng.uniform(-3, 33)), float(rng.uniform(-3, 43)), float(rng.integers(0, 4)), [float(d) for d in (rng.uniform(3, 3.4, 16) if k % 2 else rng.choice([1.3, 6.7], 12) + rng.random(12))]) for k in range(25)]
+    shapes += [(1, 1, 5.0, 5.0, 0.5, [2.0, 2.0, 2.0, 2.0]), (1, 2, 9.5, 4.25, 0.5, [3.0, 3.0]), (1, 3, 90.0, 90.0, 1.0, [3.0] * 8)]
+    frame = spark.createDataFrame(shapes, "z long, point long, py double, px double, prob double, dist array<double>")
+    for sy, sx in ((1.0, 1.0), (1.5, 0.75)):
+        got = {(r.z, r.y, r.x): r.label for r in polygons.polygons_to_labels(frame, 40, 50, sy, sx).collect()}
+        want = {}
+        for z, point, py, px, prob, dist in sorted(shapes, key=lambda s: (s[4], s[1])):
+            turn = np.arange(len(dist)) * 2 * np.pi / len(dist)
+            cy, cx = py * sy + np.array(dist) * sy * np.sin(turn), px * sx + np.array(dist) * sx * np.cos(turn)
+            for y in range(40):
+                for x in range(50):
+                    crossed = [cx[i] + (y - cy[i]) * (cx[j] - cx[i]) / (cy[j] - cy[i]) for i in range(len(dist)) for j in [(i + 1) % len(dist)] if (cy[i] <= y) != (cy[j] <= y)]
+                    if len(dist) > 2 and (sum(c < x for c in crossed) % 2 or any(c == x for c in crossed)):
+                        want[z, y, x] = point
+        assert got == want and len({v for v in want.values()}) > 10
+    cut = spark.createDataFrame([(0, 0, 3.0, 9.9), (0, 0, 3.0, 10.0), (0, 1, 3.0, 10.0), (1, 0, 9.0, 4.0)], "tile_y long, tile_x long, py double, px double")
+    assert sorted((r.tile_x, r.px) for r in polygons.in_cores(cut, 10).collect()) == [(0, 9.9), (1, 10.0)]

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from maskframe.operators import geometry
+from maskframe.functions import models
+from maskframe.operators import geometry, tiles
 from maskframe.plans import measurements, workflow
 from maskframe.plans.settings import EXPANSION, FIELDS, SKIP, Settings, command_line, configuration, configuration_errors, model_names, read_configuration, selected_channels, translated
 from maskframe.sources import zarr
@@ -182,3 +183,84 @@ def test_a_run_over_a_plate(spark, tmp_path):
     assert [r.image_path for r in zarr.fields(spark, out).orderBy("image_path").collect()] == fields
     grown = zarr.read_image(spark, out, "A/1/1/labels/labels_cells")[0].filter("value > 0")
     assert grown.count() == spark.sql("SELECT sum(voxel_count) FROM object_features WHERE object_type = 'cells' AND plate_row = 'A' AND field_index = '1'").first()[0] > 18
+
+
+def test_fields_of_several_forms_go_in_one_run(spark, tmp_path):
+    """Sides, scales and channels of each field are its own, in the labels, in the tables, and in a plate with its own channels."""
+    source, out, tables = (f"file://{tmp_path}/{n}" for n in ("plate.zarr", "out.zarr", "tables"))
+    forms = {"A/1/0": (24, 0.5), "A/1/1": (40, 0.25), "B/2/0": (24, 0.5)}
+    for a, (path, (n, scale)) in zip(picture(3), forms.items(), strict=True):
+        zarr.write_image(image_rows(spark, np.pad(a, ((0, 0), (0, n - 24), (0, n - 24)))), f"{source}/{path}", {"c": 2, "y": n, "x": n}, [("Signal", None), ("DNA", None)], {"y": scale, "x": scale}, "<u2", chunk=16)
+    (tmp_path / "plate.zarr" / ".zattrs").write_text(json.dumps({"plate": {"wells": [{"path": "A/1"}, {"path": "B/2"}]}}))
+    for well, names in (("A/1", "01"), ("B/2", "0")):
+        (tmp_path / "plate.zarr" / well / ".zattrs").write_text(json.dumps({"well": {"images": [{"path": n} for n in names]}}))
+    settings = Settings(cell_model="cellpose3:cyto3", remove_border_cells=False, include_original_channels=True)
+    workflow.run(spark, source, out, settings, threshold, tables)
+    measurements.opened(spark, tables)
+    shown = {r.source_resource_path: r for r in spark.sql("SELECT source_resource_path, size_y, size_c, source_dtype, scale_y_um FROM images").collect()}
+    assert {p: (r.size_y, r.size_c, r.source_dtype, r.scale_y_um) for p, r in shown.items()} == {p: (n, 2, "uint16", s) for p, (n, s) in forms.items()}
+    areas = {r.source_resource_path: r.a for r in spark.sql("SELECT source_resource_path, sum(area_um2) AS a FROM objects JOIN images USING (image_id) GROUP BY 1").collect()}
+    assert {p: round(a, 6) for p, a in areas.items()} == {"A/1/0": 22.5, "A/1/1": 3.75, "B/2/0": 22.5}
+    for path, (n, scale) in forms.items():
+        pixels, about = zarr.read_image(spark, out, path)
+        assert about["size"]["y"] == n and about["scales"]["y"] == scale and [c for c, _ in about["channels"]] == ["Signal", "DNA", "labels_cells", "labels_nuclei", "labels_cytoplasm"]
+        counts = {r.c: r.n for r in pixels.filter("value > 0").groupBy("c").agg(F.count("*").alias("n")).collect()}
+        assert counts[0] == counts[2] == 30 * (3 - (path == "A/1/1"))
+
+
+def stars(log=None):
+    """A backend that finds bright pixels, as labels or as polygons, and tells what it was given."""
+
+    def make():
+        class Stars:
+            def __call__(self, values):
+                if log:
+                    with open(log, "a") as f:
+                        f.write(f"{values.shape}\n")
+                return np.where(values > 50, np.arange(1, values.size + 1).reshape(values.shape), 0)
+
+            def polygons(self, values):
+                return [(y, x, values[y, x], [1.5] * 32) for y, x in np.argwhere(values > 50)]
+
+        return Stars()
+
+    return make
+
+
+def blocks_of(spark, a):
+    rows = spark.createDataFrame([(1, 0, *map(int, p), float(v)) for p, v in np.ndenumerate(a)], "image_id long, t int, z long, y long, x long, value double")
+    return tiles.to_blocks(rows, *a.shape[-2:], 16)
+
+
+def test_models_see_tiles_volumes_and_their_own_pixel_size(spark, tmp_path):
+    a = np.zeros((2, 50, 46))
+    a[0, 10, 12] = a[0, 19, 20] = a[1, 30, 40] = 100
+    blocks, log = blocks_of(spark, a), str(tmp_path / "log")
+    backends = lambda model: stars(log)
+    about = {"size": {"t": 1, "c": 1, "z": 2, "y": 50, "x": 46}, "scales": {"y": 0.25, "x": 0.25}}
+    run = lambda about=about, **s: workflow.segmentation(Settings(cell_model=SKIP, **s), lambda c: blocks, about, backends)[0].collect()
+    seen = lambda: {line.strip() for line in open(log)}
+    # volumes at once, unless the settings keep to planes; then labels of two planes differ
+    assert len({r.label for r in run(nucleus_model="cellpose3:nuclei")}) == 3 and seen() == {"(2, 50, 46)"}
+    (tmp_path / "log").unlink()
+    assert len({r.label for r in run(nucleus_model="cellpose3:nuclei", dimension_mode="2d")}) == 3 and seen() == {"(50, 46)"}
+    (tmp_path / "log").unlink()
+    # tiles of 1024 with a halo, as the model of foci has it
+    wide = np.zeros((1, 1030, 40))
+    wide[0, 5, 5] = wide[0, 1025, 7] = 100
+    big = {"size": about["size"] | {"z": 1, "y": 1030, "x": 40}, "scales": {}}
+    found = workflow.segmentation(Settings(cell_model=SKIP, foci_model_1="stardist:SD_Foci_Finn"), lambda c: blocks_of(spark, wide), big, backends)[0].collect()
+    assert {(r.y, r.x) for r in found} == {(5, 5), (1025, 7)} and len({r.label for r in found}) == 2 and len(seen()) == 2 and all(s.endswith(", 40)") and int(s[1:].split(",")[0]) < 1030 for s in seen())
+    # at half a micrometre, and back: by the nearest, or as polygons
+    (tmp_path / "log").unlink()
+    near = models.segmented_scaled(blocks_of(spark, 4 * a), "stardist:SD_Nuclei_Versatile", stars(log), 50, 46, 0.25, 0.25).collect()
+    assert seen() == {"(25, 23)"} and {(r.z, r.y // 2, r.x // 2) for r in near} >= {(0, 5, 6), (0, 9, 10), (1, 15, 20)} and all(r.y < 50 and r.x < 46 for r in near)
+    drawn = models.segmented_scaled(blocks_of(spark, 4 * a), "stardist:SD_Nuclei_Versatile", stars(log), 50, 46, 0.25, 0.25, smooth=True).collect()
+    middle = {k: np.mean([(r.y, r.x) for r in drawn if r.z == 1], axis=0) for k in {r.label for r in drawn if r.z == 1}}
+    assert middle and all(abs(m - np.array([30, 40])).max() < 3 for m in middle.values())
+    with pytest.raises(Exception, match="gives no polygons"):
+        models.segmented_scaled(blocks_of(spark, 4 * a), "m", lambda: lambda v: v > 50, 50, 46, 0.25, 0.25, smooth=True).collect()
+    with pytest.raises(ValueError, match="scales"):
+        run(about | {"scales": {}}, nucleus_model="stardist:SD_Nuclei_Versatile")
+    same = {(r.z, r.y, r.x) for r in models.segmented_tiles(blocks, "m", stars(), 20, 4).collect()}
+    assert same == {(0, 10, 12), (0, 19, 20), (1, 30, 40)}
