@@ -15,6 +15,8 @@ from ..functions import scalars as S
 from ..operators import geometry, intensity, polygons, postprocess, regions, relationships, runs, spots, stencil, tiles
 from ..sources import raster
 from ..sources.raster import SIDE, table
+from ..sources.workspace import folder
+from ..sources.zarr import Files
 from . import measurements
 from .oracles import BASE, MATCH, OVERLAPS, sql, with_more
 
@@ -651,6 +653,23 @@ def missing_fields(spark, sf_dir):
     return missing(expected, expected.filter("field % 5 <> 0"), ["plate_row", "field"]).withColumn("written", F.lit(False))
 
 
+@query("SELECT CAST(l_suppkey AS BIGINT) AS plate, count(DISTINCT l_linenumber) AS fields, count(*) - count(DISTINCT l_linenumber) AS refused, count(DISTINCT l_linenumber) >= 7 AS complete FROM lineitem GROUP BY 1")
+def plate_progress(spark, sf_dir):
+    """Lines as a stream of files: a supplier is a plate, a line's number a field of its seven."""
+    from ..streaming.plate import followed
+
+    schema = table(spark, sf_dir, "lineitem").schema
+    base = folder(spark)
+    source = Files(spark, sf_dir)
+    whole = source.fs.getFileStatus(source.at("lineitem.parquet")).isDirectory()
+    # a stream is of a folder's files
+    stream = spark.readStream.schema(schema)
+    lines = stream.parquet(f"{sf_dir}/lineitem.parquet") if whole else stream.option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    arrivals = lines.select(F.col("l_suppkey").cast("long").alias("plate"), F.col("l_linenumber").cast("long").alias("field"), F.lit(7).cast("long").alias("expected"), F.to_timestamp(F.lit("2024-01-01")).alias("at"))
+    told = followed(arrivals, f"{base}/progress", f"{base}/checkpoint")
+    return told.groupBy("plate").agg(F.sum("fields").alias("fields"), F.sum("refused").alias("refused"), F.max(F.expr("event = 'complete'")).alias("complete"))
+
+
 # Spots, models, stores ---------------------------------------------------------------------------------------------------
 
 

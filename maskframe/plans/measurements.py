@@ -50,6 +50,8 @@ class Lookup:
     on: str
     key: str
     adds: dict[str, str]
+    #: A column of both tables that the key determines: joins name it too, so tables laid out by it meet where they lie.
+    also: str | None = None
 
 
 @dataclass(frozen=True)
@@ -63,8 +65,12 @@ class View:
         out = spark.table(prefix + self.base)
         for n, look in enumerate(self.lookups):
             key = f"__key_{n}"
-            found = spark.table(prefix + look.table).select(F.col(look.key).alias(key), *(F.col(c).alias(a) for c, a in look.adds.items()))
-            out = out.join(found, F.col(look.on) == F.col(key)).drop(key)
+            also = {f"{key}_also": look.also} if look.also else {}
+            found = spark.table(prefix + look.table).select(F.col(look.key).alias(key), *(F.col(c).alias(a) for a, c in also.items()), *(F.col(c).alias(a) for c, a in look.adds.items()))
+            met = F.col(look.on) == F.col(key)
+            for a, c in also.items():
+                met = met & (F.col(c) == F.col(a))
+            out = out.join(found, met).drop(key, *also)
         return out.filter(self.only)
 
 
@@ -74,12 +80,12 @@ def same(*names: str) -> dict[str, str]:
 
 def end(side: str) -> tuple[Lookup, ...]:
     """What a relationship's end is: the kind of its object and the name of its label set."""
-    return Lookup("objects", f"{side}_object_id", "object_id", {"object_type": f"{side}_object_type"}), Lookup("label_sets", f"{side}_label_set_id", "label_set_id", {"label_name": f"{side}_label_name"})
+    return Lookup("objects", f"{side}_object_id", "object_id", {"object_type": f"{side}_object_type"}, "image_id"), Lookup("label_sets", f"{side}_label_set_id", "label_set_id", {"label_name": f"{side}_label_name"}, "image_id")
 
 
 # The views' names and columns, and the kinds that foci and compartments have.
 VIEWS = {
-    "object_features": View("objects", (Lookup("images", "image_id", "image_id", same("image_name", "plate_row", "plate_column", "field_index")), Lookup("label_sets", "label_set_id", "label_set_id", same("label_name", "locations_only")))),
+    "object_features": View("objects", (Lookup("images", "image_id", "image_id", same("image_name", "plate_row", "plate_column", "field_index")), Lookup("label_sets", "label_set_id", "label_set_id", same("label_name", "locations_only"), "image_id"))),
     "intensity_features": View("intensity_measurements", (Lookup("objects", "object_id", "object_id", same("image_id", "label_set_id", "timepoint", "label_value", "object_type")), Lookup("channels", "channel_id", "channel_id", same("channel_index", "channel_name")))),
     "mask_relationships": View("relationships", (*end("source"), *end("target"))),
     "foci_assignments": View("mask_relationships", only="is_primary_for_source and source_object_type in ('spots', 'foci', 'bacteria') and target_object_type in ('cells', 'nuclei', 'cytoplasm')"),
@@ -281,3 +287,28 @@ def opened(spark: SparkSession, out: str, statistics: bool = False, version: int
             store.table(name, version).createOrReplaceTempView(name)
     register_views(spark)
     return version
+
+
+#: The tables that are laid out by image, and what each bucket's rows are sorted by.
+LAYOUT = {"images": ["image_id"], "label_sets": ["image_id", "label_set_id"], "channels": ["image_id", "channel_id"], "objects": ["image_id", "object_id"], "relationships": ["image_id", "source_object_id"]}
+
+
+def laid_out(spark: SparkSession, out: str, buckets: int, version: int | None = None, database: str = "default") -> None:
+    """A version's tables as catalog tables of the database, those that name an image in so many buckets by image, sorted within; and
+    the views over them. Images, label sets, objects and relationships of one image lie in one bucket, so the views' joins shuffle
+    nothing, for which the session is told that tables may meet by a part of the columns that they are joined on."""
+    store = Snapshots(spark, out)
+    version = store.latest() if version is None else version
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    for name in COLUMNS:
+        rows = store.table(name, version, COLUMNS[name])
+        spark.catalog.dropTempView(name)
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        if name in LAYOUT:
+            # a bucket is one task's, and so one file
+            writer = rows.repartition(buckets, "image_id").write.bucketBy(buckets, "image_id").sortBy(*LAYOUT[name])
+        else:
+            writer = rows.write
+        writer.option("path", f"{store.files.base}/{store.laid_out_at(name, version)}").saveAsTable(f"{database}.{name}")
+    spark.sql(f"USE {database}")
+    register_views(spark)

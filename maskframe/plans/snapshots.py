@@ -61,6 +61,10 @@ class Snapshots:
         df.write.parquet(f"{self.files.base}/{place}")
         return place
 
+    def laid_out_at(self, name: str, version: int) -> str:
+        """A new place for a copy of a version's table in another layout; copies are no part of a version."""
+        return f"layouts/{version}-{name}-{uuid.uuid4().hex}"
+
     def commit(self, places: dict[str, str], base: int | None = None, allowed: Callable[[dict[str, str]], bool] = lambda now: True) -> int:
         """A version with these tables beside those of the latest, and its number. `base` is the version that the writer has read:
         tables of `places` that are others now than then are a Conflict, and so is a latest version that isn't allowed."""

@@ -156,3 +156,27 @@ def test_statistics(spark, data, tmp_path):
     finally:
         for name in measurements.COLUMNS:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_tables_laid_out_by_image_meet_without_a_shuffle(spark, data, tmp_path):
+    out = f"file://{tmp_path}/run"
+    measurements.publish(spark, data, out, moments_only=True)
+    measurements.opened(spark, out)
+    shown = {v: sorted(map(tuple, spark.table(v).collect()), key=repr) for v in ("mask_relationships", "object_features", "foci_assignments")}
+    for name in measurements.COLUMNS:
+        spark.catalog.dropTempView(name)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.requireAllClusterKeysForCoPartition")}
+    spark.sql("CREATE DATABASE IF NOT EXISTS laid_out")
+    try:
+        measurements.laid_out(spark, out, 4, database="laid_out")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for view, rows in shown.items():
+            df = spark.table(view)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "Join" in plan, (view, plan)
+            assert sorted(map(tuple, df.collect()), key=repr) == rows
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        spark.sql("USE default")
+        spark.sql("DROP DATABASE laid_out CASCADE")
