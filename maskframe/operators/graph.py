@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.workspace import folder
+from ..sources.workspace import written
 
 
 def components(links: DataFrame, within: list[str]) -> DataFrame:
@@ -15,12 +13,6 @@ def components(links: DataFrame, within: list[str]) -> DataFrame:
 
     Every node points to the least of itself and its neighbours; pointers are doubled until all end at a node that points to
     itself, and links are drawn between these, of which at least half go each time. Steps are written, so lineage stays short."""
-    spark, base = links.sparkSession, folder(links.sparkSession)
-
-    def written(df: DataFrame) -> DataFrame:
-        path = f"{base}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
 
     def to(pointers: DataFrame, node: str, name: str) -> DataFrame:
         return pointers.select(*within, F.col("id").alias(node), F.col("to").alias(name))

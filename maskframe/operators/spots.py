@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.workspace import folder
+from ..sources.workspace import written
 from . import graph, tiles
 from .postprocess import PLANE
 from .stencil import binomial_smooth
@@ -243,12 +243,6 @@ def totals(found: DataFrame) -> DataFrame:
     )
 
 
-def written(df: DataFrame) -> DataFrame:
-    path = folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def refined(pixels: DataFrame, points: DataFrame, scale_y: float, scale_x: float, height: int, width: int, finite: bool = False) -> DataFrame:
     """Masks grown from points over one channel's pixels."""
     return masks(outcomes(pixels, points, scale_y, scale_x, height, width, finite=finite))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import label_path, locations_only, object_type
+from ..functions.scalars import label_path, locations_only, object_type, told_locations
 from ..operators.intensity import intensities
 from ..operators.postprocess import running_sums
 from ..operators.regions import BEYOND_MOMENTS, full_shape
@@ -141,7 +141,7 @@ def tables(spark: SparkSession, sf_dir: str, objects: DataFrame | None = None) -
     return measured(spark, images, labels, pixels, objects, **RASTER)
 
 
-def measured(spark: SparkSession, images: DataFrame, labels: DataFrame, pixels: DataFrame, objects: DataFrame, sets: dict[int, str], channels: dict[int, str], size: dict[str, int], store: str, dtype: str, settings: dict | None = None) -> dict[str, DataFrame]:
+def measured(spark: SparkSession, images: DataFrame, labels: DataFrame, pixels: DataFrame, objects: DataFrame, sets: dict[int, str], channels: dict[int, str], size: dict[str, int], store: str, dtype: str, settings: dict | None = None, points: list[int] | None = None, told: DataFrame | None = None) -> dict[str, DataFrame]:
     """The eight tables for images (image_id, plate place, scales; and sides, dtype and channels where each has its own), labels, pixels
     and what object_rows makes of them; sets and channels by index."""
     texts = lambda of: F.create_map(*(F.lit(x) for pair in of.items() for x in pair))
@@ -154,7 +154,12 @@ def measured(spark: SparkSession, images: DataFrame, labels: DataFrame, pixels:
     pairs = numbered(pairs.withColumn("timepoint", F.col("t")), ["image_id", "t"], ["source_object_id", "target_object_id"], "relationship_id")
     path = F.coalesce("resource_path", F.lit("")) if "resource_path" in images.columns else F.concat_ws("/", "plate_row", "plate_column", "field_index")
     named = each(sets, "label_set_index").withColumn("label_name", texts(sets)[F.col("label_set_index")])
-    by_name = locations_only("label_name", F.lit(False))
+    refined = F.lit(False) if points is None else ~F.col("label_set_index").isin(points)
+    by_name = locations_only("label_name", refined)
+    if told is not None:
+        said = told.groupBy("image_id", "label_set_index").agg(told_locations("points_only").alias("told"))
+        named = named.join(said, ["image_id", "label_set_index"], "left")
+        by_name = locations_only("label_name", refined, "told")
     scale = lambda c: F.col(f"scale_{c}") if f"scale_{c}" in images.columns else F.lit(None)
     if "channels" in images.columns:
         told = images.select("image_id", F.posexplode("channels").alias("k", "c"))
@@ -212,7 +217,7 @@ def published(spark: SparkSession, runs: Snapshots, images: DataFrame, labels: D
     if base and not replace and (only is None or runs.named(base).keys() & only):
         raise Conflict(f"{runs.files.base} exists: version {base}")
     objects = spark.read.parquet(f"{runs.files.base}/{runs.written('_objects', object_rows(labels, images, names, points, moments_only))}")
-    made = measured(spark, images, labels, pixels, objects, sets=names, **about)
+    made = measured(spark, images, labels, pixels, objects, sets=names, points=points, **about)
     return runs.commit({name: runs.written(name, df) for name, df in made.items() if only is None or name in only}, base)
 
 

@@ -12,6 +12,7 @@ from ..functions import models
 from ..operators import postprocess, spots, tiles
 from ..sources import chunks, zarr
 from ..sources.raster import VOXEL
+from ..sources.workspace import written
 from . import measurements
 from .settings import DIMENSIONS, SKIP, Settings
 from .snapshots import Snapshots
@@ -65,6 +66,10 @@ def segmentation(settings: Settings, of: Callable[[int], DataFrame], about: dict
     on = models.device(settings.device, has_cuda=False)
 
     def run(model: str, channel: int) -> DataFrame:
+        """What a model finds, written: several steps read it, and it is to run once."""
+        return written(found_by(model, channel))
+
+    def found_by(model: str, channel: int) -> DataFrame:
         if deep and DIMENSIONS[model] == "3d":
             return models.segmented_volumes(of(channel), model, backends(model), on)
         if model == "stardist:SD_Nuclei_Versatile":

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,3 +26,10 @@ def folder(spark: SparkSession) -> str:
     path = spark._jvm.org.apache.hadoop.fs.Path(out)
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
     return out
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder: what several steps read is worked out once, and lineage ends there."""
+    path = folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

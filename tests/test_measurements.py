@@ -180,3 +180,13 @@ def test_tables_laid_out_by_image_meet_without_a_shuffle(spark, data, tmp_path):
             spark.conf.set(k, v)
         spark.sql("USE default")
         spark.sql("DROP DATABASE laid_out CASCADE")
+
+
+def test_sets_hold_places_if_any_timepoint_says_so(spark, data):
+    told = [(i, 4, t, v) for i, values in {1: (True, False), 2: (False, False), 3: (None, True)}.items() for t, v in enumerate(values)] + [(1, 1, 0, True)]
+    told = spark.createDataFrame(told, "image_id long, label_set_index int, t int, points_only boolean")
+    images, labels, pixels = (f(spark, data) for f in (raster.images, raster.labels, raster.pixels))
+    few = images.filter("image_id between 1 and 4")
+    objects = measurements.object_rows(labels.filter("image_id < 0"), few, raster.SETS, [])
+    rows = measurements.measured(spark, few, labels, pixels, objects, **measurements.RASTER, points=[4], told=told)["label_sets"].collect()
+    assert {(r.image_id, r.label_set_index) for r in rows if r.locations_only} == {(1, 1), (1, 4), (3, 4), (4, 4)}
