@@ -596,26 +596,29 @@ def plain_disclosure(texts, factor=pii.FACTOR):
     who = [{(pii.entity_of(t, *s), s[0]) for s in ss} for (_, t), ss in zip(texts, spans, strict=True)]
     inside = [{w for w, _, _ in pii.places(t or "", ss, lambda w: True)} for (_, t), ss in zip(texts, spans, strict=True)]
     anywhere = [{m.group().lower() for m in pii._TERM.finditer(t or "")} for _, t in texts]
-    n, bits = len(texts), [pii.sketch(t or "") for _, t in texts]
-    witnesses = lambda rows: min(len({bits[r][h] for r in rows}) for h in range(pii.HASHES))
+    n, least = len(texts), [pii.sketch(t or "") for _, t in texts]
+    witnesses = lambda rows: min(len({least[r][h] for r in rows}) for h in range(pii.HASHES))
+    differ = lambda rows: len({least[r][0] for r in rows}) > 1
     named = collections.defaultdict(list)
     for r, es in enumerate(who):
         for e in es:
             named[e].append(r)
-    named = {e: rows for e, rows in named.items() if witnesses(rows) > 1}
+    named = {e: rows for e, rows in named.items() if differ(rows)}
     pairs = {}
     for e, rows in named.items():
         for w in set().union(*(inside[r] for r in rows)):
             both = [r for r in rows if w in inside[r]]
-            if witnesses(both) > 1:
+            if differ(both):
                 pairs[e, w] = both
     out = {}
     for ((e, kind), w), both in pairs.items():
         k, w_docs = witnesses(both), sum(w in x for x in anywhere)
+        if k == 1:
+            continue
         tells = math.log2(len(both) / w_docs * (k - 1) / k * n / len(named[e, kind]))
         with_kind = sum(any(x == kind for _, x in es) for es in who)
         if tells > 0 and tells >= factor * math.log2(n / with_kind) and k * tells >= math.log2(len(pairs)):
-            out[e, w] = (len(both), w_docs, k, tells >= math.log2(n / len(named[e, kind])) - pii.ELSEWHERE)
+            out[e, w] = (len(both), w_docs, k, len(both) * (k - 1) >= 2**-pii.ELSEWHERE * w_docs * k)
     return out
 
 
@@ -664,6 +667,25 @@ def test_disclosure_by_brute_force(spark):
     assert all((i, t) in clean for i, t in texts if not rows[i, t])
 
 
+def test_witnesses_are_counted_however_many_there_are(spark):
+    """A word that stands beside one address in 300 independent documents and in 30 copies of another, and as often elsewhere."""
+    rng = random.Random(31)
+    words = lambda n: " ".join("".join(rng.choice("abcdeinorstu") for _ in range(6)) for _ in range(n))
+    once = words(40)
+    texts = [(i, f"{words(20)} harbour desk mail desk@harbour.example.com {words(10)}") for i in range(300)]
+    texts += [(1000 + i, f"{once} harbour mail desk@harbour.example.com") for i in range(30)]
+    texts += [(2000 + i, f"{words(20)} harbour {words(10)}") for i in range(330)] + [(3000 + i, words(30)) for i in range(3600)]
+    texts += [(9000 + i, f"{words(30)} m{i}@land.example.com") for i in range(400)]
+    want = plain_disclosure(texts)
+    d = docs(spark, texts)
+    got = {(r.entity, r.term): (r.with_both, r.docs_with, r.witnesses, r.alone) for r in pii.judged(d, pii.found(d).cache(), Scratch(spark)).collect()}
+    assert got == want
+    by_word = {w: v for (_, w), v in got.items()}
+    # texts that share no run of three words but this one are told apart by most min-hashes
+    assert by_word["harbour"][:2] == (330, 660) and not by_word["harbour"][3] and by_word["mail"][3] and by_word["desk"][3]
+    assert all(200 < by_word[w][2] < 302 for w in ("harbour", "mail", "desk"))
+
+
 def test_disclosure_of_the_whole_table_by_brute_force(spark):
     """sf0.01 holds no word that discloses: by brute force and by the operator."""
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
