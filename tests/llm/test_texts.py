@@ -700,6 +700,19 @@ def test_disclosure_of_the_whole_table_by_brute_force(spark):
         assert all(f"{k}:{a}:{b}" in spans[i].split(",") for k, a, b in plain_spans(t or ""))
 
 
+def test_marked_words_are_those_that_a_plain_search_finds():
+    table = bytes(k % 5 == 0 for k in range(1 << pii.LOOKUP))
+    rng, odd = random.Random(4), [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+
+    def wanted(word):
+        return table[zlib.crc32(word.encode()) & ((1 << pii.LOOKUP) - 1)] > 0
+
+    for text in ["", "ab", "abc ABC Abc", *("".join(rng.choice(odd) if rng.random() < share else rng.choice("abcZ09 -_\u00e9\u03a3\u0130\t\x1c") for _ in range(200)) for share in (0, 0.3) for _ in range(300))]:
+        hits, spans = pii.marked(text.encode(), table), pii.spans_of(text)
+        assert hits == {w for w in (m.group().lower() for m in pii._TERM.finditer(text)) if wanted(w)}
+        assert pii.standing(text, spans, hits) == pii.places(text, spans, wanted)
+
+
 def test_pii_edges(spark, edges, nothing):
     rows = pii.personal_data(edges).collect()
     assert len(rows) == len(EDGES) and all(r.spans == "" for r in rows) and pii.personal_data(nothing).count() == 0
