@@ -15,7 +15,7 @@ def components(links: DataFrame, within: list[str]) -> DataFrame:
     itself, and links are drawn between these, of which at least half go each time. Steps are written, so lineage stays short."""
 
     def to(pointers: DataFrame, node: str, name: str) -> DataFrame:
-        return pointers.select(*within, F.col("id").alias(node), F.col("to").alias(name))
+        return pointers.select(*within, F.col("id").alias(node), F.col("to").alias(name)).hint("merge")
 
     left = written(links.filter("a <> b").select(*within, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     roots = None

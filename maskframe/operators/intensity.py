@@ -14,7 +14,7 @@ def intensities(labels: DataFrame, pixels: DataFrame) -> DataFrame:
     Labels and pixels meet by position once and combine to counts by value, so a task holds an object's distinct values, not
     its voxels; the deviations come from the same values, which stay where they are."""
     keys = [*OBJECT, "channel_index"]
-    counts = labels.join(pixels, VOXEL).groupBy(*keys, "value").agg(F.count("*").alias("k"))
+    counts = labels.join(pixels.hint("merge"), VOXEL).groupBy(*keys, "value").agg(F.count("*").alias("k"))
     names = ["intensity_p10", "intensity_p25", "intensity_median", "intensity_p75", "intensity_p90"]
     once = counts.groupBy(*keys).agg(
         F.sum("k").alias("sample_count"),

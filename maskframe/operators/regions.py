@@ -31,7 +31,7 @@ def objects(labels: DataFrame, images: DataFrame) -> DataFrame:
     )
     flat = F.col("bbox_max_z_px") - F.col("bbox_min_z_px") == 1
     size = F.col("voxel_count").cast("double")
-    out = sums.join(scales, "image_id")
+    out = sums.join(scales.hint("merge"), "image_id")
     return out.select(
         *sums.columns,
         F.when(flat, 2).otherwise(3).alias("spatial_dimensions"),
@@ -138,7 +138,7 @@ def perimeters(labels: DataFrame) -> DataFrame:
 
 def relational_shape(labels: DataFrame, images: DataFrame) -> DataFrame:
     """All shape features that need no geometry beyond neighbourhoods; those of planes are null for volumes."""
-    table = moment_shape(objects(labels, images)).join(quads(labels), OBJECT, "left").join(perimeters(labels), OBJECT, "left")
+    table = moment_shape(objects(labels, images)).join(quads(labels).hint("merge"), OBJECT, "left").join(perimeters(labels).hint("merge"), OBJECT, "left")
     flat = lambda c: F.when(F.col("spatial_dimensions") == 2, c)
     return table.withColumns(
         {
@@ -161,10 +161,10 @@ def full_shape(labels: DataFrame, images: DataFrame, moments_only: bool = False)
 
     if moments_only:
         return moment_shape(objects(labels, images))
-    table = relational_shape(labels, images).join(geometry.shapes(labels), OBJECT, "left")
+    table = relational_shape(labels, images).join(geometry.shapes(labels).hint("merge"), OBJECT, "left")
     scales = images.select("image_id", *((usable_scale(f"scale_{c}") if f"scale_{c}" in images.columns else F.lit(None).cast("double")).alias(f"s{c}") for c in AXES))
     surfaces = geometry.surfaces(labels, scales).select(*OBJECT, "surface_area_um2")
-    table = table.join(surfaces, OBJECT, "left")
+    table = table.join(surfaces.hint("merge"), OBJECT, "left")
     flat = F.col("spatial_dimensions") == 2
     in_plane, in_space = (lambda c: F.when(flat, F.col(c))), (lambda c: F.when(~flat, F.col(c)))
     out = {}
@@ -203,9 +203,9 @@ def label_statistics(labels: DataFrame, voxels_per_image: int, images: DataFrame
         return out
     scales = images.select("image_id", *((usable_scale(f"scale_{c}") if f"scale_{c}" in images.columns else F.lit(None).cast("double")).alias(f"s{c}") for c in AXES))
     wanted = scales.select("*", F.lit(0).alias("t"), F.explode(F.array(*map(F.lit, sets or []))).alias("set_index"))
-    present = labels.select("image_id", "t").distinct().join(scales, "image_id").select("image_id", "sz", "sy", "sx", "t", F.explode(F.array(*map(F.lit, sets or []))).alias("set_index"))
+    present = labels.select("image_id", "t").distinct().join(scales.hint("merge"), "image_id").select("image_id", "sz", "sy", "sx", "t", F.explode(F.array(*map(F.lit, sets or []))).alias("set_index"))
     deep = labels.groupBy("image_id").agg((F.max("z") > F.min("z")).alias("deep"))
-    whole = wanted.unionByName(present).distinct().join(out, group, "left").join(deep, "image_id", "left")
+    whole = wanted.unionByName(present).distinct().join(out.hint("merge"), group, "left").join(deep.hint("merge"), "image_id", "left")
     unit = F.when(F.coalesce("deep", F.lit(False)), F.col("sz") * F.col("sy") * F.col("sx")).otherwise(F.col("sy") * F.col("sx"))
     median = F.col("median_size") * F.col("unit")
     counted = [c for c in out.columns if c not in group]

@@ -29,12 +29,12 @@ def relationships(labels: DataFrame, objects: DataFrame) -> DataFrame:
     extra = [c for c in ("object_id",) if c in objects.columns]
     ways = F.explode(F.array(*(F.struct(*(F.col(f"{x}_{c}").alias(f"{s}_{c}") for s, x in zip(("source", "target"), way, strict=True) for c in ("set", "label"))) for way in (("source", "target"), ("target", "source")))))
     directed = overlaps(labels).select("image_id", "t", "overlap_voxels", ways.alias("w")).select("image_id", "t", "w.*", "overlap_voxels")
-    side = lambda s: objects.select("image_id", "t", F.col("set_index").alias(f"{s}_set"), F.col("label").alias(f"{s}_label"), *(F.col(c).alias(f"{s}_{c}") for c in (*extra, "voxel_count", "spatial_dimensions", "centroid_z_px", "centroid_y_px", "centroid_x_px", "centroid_z_um", "centroid_y_um", "centroid_x_um", "pixel_um2", "voxel_um3")))
+    side = lambda s: objects.select("image_id", "t", F.col("set_index").alias(f"{s}_set"), F.col("label").alias(f"{s}_label"), *(F.col(c).alias(f"{s}_{c}") for c in (*extra, "voxel_count", "spatial_dimensions", "centroid_z_px", "centroid_y_px", "centroid_x_px", "centroid_z_um", "centroid_y_um", "centroid_x_um", "pixel_um2", "voxel_um3"))).hint("merge")
     both = directed.join(side("source"), ["image_id", "t", "source_set", "source_label"]).join(side("target"), ["image_id", "t", "target_set", "target_label"])
     n, whole_s, whole_t = F.col("overlap_voxels"), F.col("source_voxel_count"), F.col("target_voxel_count")
     best = F.max("overlap_voxels").over(Window.partitionBy("image_id", "t", "source_set", "source_label", "target_set"))
     at = [F.rint(f"source_centroid_{c}_px").cast("long").alias(c) for c in "zyx"]
-    hit = labels.select(*VOXEL, F.col("set_index").alias("target_set"), F.col("label").alias("target_label"), F.lit(True).alias("hit"))
+    hit = labels.select(*VOXEL, F.col("set_index").alias("target_set"), F.col("label").alias("target_label"), F.lit(True).alias("hit")).hint("merge")
     near = both.select("*", *at).join(hit, [*VOXEL, "target_set", "target_label"], "left")
     flat = (F.col("source_spatial_dimensions") == 2) & (F.col("target_spatial_dimensions") == 2)
     away = lambda c: F.pow(F.col(f"source_centroid_{c}_um") - F.col(f"target_centroid_{c}_um"), 2)

@@ -95,7 +95,7 @@ def components_of_blocks(blocks: DataFrame, tile: int = 1024) -> DataFrame:
     met = ends.groupBy(*keys, "y", "x").agg(F.max(F.when(F.col("own"), F.col("label"))).alias("a"), F.collect_set(F.when(~F.col("own"), F.col("label"))).alias("others"))
     links = met.filter("a is not null").select(*keys, "a", F.explode("others").alias("b"))
     roots = graph.components(links, keys).withColumnRenamed("id", "label")
-    return tiles.to_pixels(cut, "label", "long", sparse=True).join(roots, [*keys, "label"], "left").select(*keys, "y", "x", F.coalesce("root", "label").alias("label"))
+    return tiles.to_pixels(cut, "label", "long", sparse=True).join(roots.hint("merge"), [*keys, "label"], "left").select(*keys, "y", "x", F.coalesce("root", "label").alias("label"))
 
 
 def components(pixels: DataFrame, height: int, width: int, tile: int = 1024) -> DataFrame:
@@ -131,7 +131,7 @@ def candidates(smooth: DataFrame, points: DataFrame, ry: float, rx: float, heigh
     seeds = points.select(*PLANE, "point", whole("py", height).alias("sy"), whole("px", width).alias("sx"))
     around = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(d).alias("d")) for dy, dx, d in offsets)))
     places = seeds.select("*", around.alias("o")).select("*", (F.col("sy") + F.col("o.dy")).alias("y"), (F.col("sx") + F.col("o.dx")).alias("x"))
-    seen = places.join(smooth.select(*PLANE, "y", "x", "value"), [*PLANE, "y", "x"])
+    seen = places.join(smooth.select(*PLANE, "y", "x", "value").hint("merge"), [*PLANE, "y", "x"])
     key = [*PLANE, "point", "sy", "sx"]
     rings = [F.col("o.d").between(1.0, 2.25), F.col("o.d") > 1, F.lit(True)]
     middle = lambda c: F.percentile(c, F.lit(0.5))
@@ -171,7 +171,7 @@ def conflicts(found: DataFrame) -> DataFrame:
     """(plane's key, id, root): the candidates whose masks meet another's, by the least of those that they meet directly or not."""
     offset = F.explode("mask")
     places = found.select(*PLANE, "point", "sy", "sx", offset.alias("m")).select(*PLANE, "point", (F.col("sy") + F.col("m")[0]).alias("y"), (F.col("sx") + F.col("m")[1]).alias("x"))
-    first = places.groupBy(*PLANE, "y", "x").agg(F.min("point").alias("a"), F.max("point").alias("last")).filter("a < last").drop("last")
+    first = places.groupBy(*PLANE, "y", "x").agg(F.min("point").alias("a"), F.max("point").alias("last")).filter("a < last").drop("last").hint("merge")
     return graph.components(places.join(first, [*PLANE, "y", "x"]).select(*PLANE, "a", F.col("point").alias("b")), PLANE)
 
 
@@ -183,7 +183,7 @@ def settled(found: DataFrame) -> DataFrame:
     then number a plane's successful candidates in order of their scores."""
     kinds = dict(found.dtypes)
     schema = ", ".join([*(f"{c} {kinds[c]}" for c in PLANE), *(f"{n} {k}" for n, k in OUTCOME.items())])
-    groups = conflicts(found).withColumnRenamed("id", "point")
+    groups = conflicts(found).withColumnRenamed("id", "point").hint("merge")
 
     def contest(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         taken: set[tuple[int, int]] = set()

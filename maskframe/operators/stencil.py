@@ -23,8 +23,8 @@ def binomial_smooth(pixels: DataFrame, height: int, width: int, tile: int = 512,
     rows = pixels.select(*plane, "y", "x", F.col("value").cast("double").alias("value"))
     known = F.coalesce(~F.isnan("value") & (F.abs("value") != float("inf")), F.lit(False))
     if not finite and not (odd := rows.filter(~known).select(*plane).distinct()).isEmpty():
-        fill = rows.join(odd, plane, "left_semi").groupBy(*plane).agg(F.percentile(F.when(known, F.col("value")), F.lit(0.5)).alias("fill"))
-        rows = rows.join(fill, plane, "left").withColumn("value", F.when(known, F.col("value")).otherwise(F.coalesce("fill", F.lit(0.0)))).drop("fill")
+        fill = rows.join(odd.hint("merge"), plane, "left_semi").groupBy(*plane).agg(F.percentile(F.when(known, F.col("value")), F.lit(0.5)).alias("fill"))
+        rows = rows.join(fill.hint("merge"), plane, "left").withColumn("value", F.when(known, F.col("value")).otherwise(F.coalesce("fill", F.lit(0.0)))).drop("fill")
     blocks = tiles.to_blocks(rows, height, width, tile)
     return tiles.to_pixels(tiles.mapped(blocks, tiles.binomial) if max(height, width) <= tile else tiles.smoothed(blocks, tile))
 
@@ -36,7 +36,7 @@ def stretched(pixels: DataFrame) -> DataFrame:
     low = F.col("p")[0]
     high = F.when(F.col("p")[1] <= low, low + 1.0).otherwise(F.col("p")[1])
     scaled = (F.col("value") - low) * 255.0 / (high - low)
-    return pixels.join(ends, ["image_id", "channel_index"]).withColumn("value", F.floor(F.least(F.greatest(scaled, F.lit(0.0)), F.lit(255.0))).cast("int")).drop("p")
+    return pixels.join(ends.hint("merge"), ["image_id", "channel_index"]).withColumn("value", F.floor(F.least(F.greatest(scaled, F.lit(0.0)), F.lit(255.0))).cast("int")).drop("p")
 
 
 def projected(pixels: DataFrame) -> DataFrame:

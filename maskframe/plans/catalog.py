@@ -127,7 +127,7 @@ whole AS (SELECT a.k, count(*) - any_value(o.n) AS filled FROM around a JOIN (SE
 )
 def hull_shape(spark, sf_dir):
     labels, images = inputs(spark, sf_dir)
-    out = regions.objects(labels, images).join(geometry.shapes(labels), raster.OBJECT)
+    out = regions.objects(labels, images).join(geometry.shapes(labels).hint("merge"), raster.OBJECT)
     return out.select(*raster.OBJECT, F.col("convex_size").alias("convex_area_px2"), (F.col("voxel_count") / F.col("convex_size")).alias("solidity"), F.col("filled_size").alias("filled_area_px2"), "feret_diameter_max_px")
 
 
@@ -158,7 +158,7 @@ filled AS (SELECT image_id, label, count(*) - any_value(o) AS filled FROM around
 )
 def volume_shape(spark, sf_dir):
     volumes, images = raster.volumes(spark, sf_dir), raster.images(spark, sf_dir)
-    out = regions.objects(volumes, images).join(geometry.shapes(volumes), raster.OBJECT)
+    out = regions.objects(volumes, images).join(geometry.shapes(volumes).hint("merge"), raster.OBJECT)
     return out.select(*raster.OBJECT, "volume_voxels", F.col("convex_size").alias("convex_volume_voxels"), (F.col("voxel_count") / F.col("convex_size")).alias("solidity"), F.col("filled_size").alias("filled_volume_voxels"), F.col("euler_number_3d").alias("euler_number"))
 
 

@@ -37,3 +37,25 @@ def test_query(spark, data, duck, name):
     assert sorted(names) == columns and not any("HUGEINT" in k for k in kinds)
     at = [names.index(c) for c in columns]
     assert rows == sorted((tuple(plain(r[i]) for i in at) for r in result.fetchall()), key=repr)
+
+
+def parts(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["volume_relationships", "nucleus_matching", "compartments", "plane_ids", "mask_overlaps", "hull_shape", "intensity_measurements", "spot_refinement"])
+def test_no_table_made_of_pixels_is_broadcast(spark, data, name):
+    """Spark takes what a generator makes for as small as what it is made of."""
+    plan = parts(QUERIES[name](spark, data))
+    assert plan.count("BroadcastExchange") == plan.count("/nation.parquet]") + plan.count("/region.parquet]")
+
+
+@pytest.mark.parametrize("name", ["nearest_seed_expansion", "perimeter_and_circularity", "surface_areas", "moment_shape", "euler_and_crofton", "overlap_counts", "polygon_labels", "points_to_labels", "bilinear_shrink", "binomial_smooth"])
+def test_pixels_are_dealt_by_image_once(spark, data, monkeypatch, name):
+    """However many images there are, a task makes and holds so many of them, and what it makes isn't shuffled again."""
+    from maskframe.sources import raster
+
+    monkeypatch.setattr(raster, "IMAGES_AT_ONCE", 2)
+    plan = parts(QUERIES[name](spark, data))
+    assert "ENSURE_REQUIREMENTS" not in plan.replace("BroadcastExchange", "") and "Exchange hashpartitioning(image_id" in plan
+    assert ", 5), REPARTITION_BY_NUM" in plan
