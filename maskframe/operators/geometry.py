@@ -15,6 +15,8 @@ from ..sources.raster import OBJECT
 
 #: No point: larger than any place.
 FAR = np.int64(1) << 40
+#: Forms that a task keeps the measures of.
+FORMS = 1024
 #: Rows up to which an object's points are compared all with all.
 LOW = 16
 
@@ -227,9 +229,10 @@ def shapes(labels: DataFrame) -> DataFrame:
     """Of each object the size of its hull and of itself without holes; the largest diameter if it is flat, else the Euler number.
 
     Flat objects of like height are measured together, by their rows' ends; only those with a gap in a row are looked at one by one
-    for holes, as are volumes."""
+    for holes, as are volumes, and of these equal forms once."""
 
     def work(batches):
+        known: dict[tuple, tuple] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -252,9 +255,14 @@ def shapes(labels: DataFrame) -> DataFrame:
                     convex[some], wide[some] = convex_and_feret(*ends)
             for i in np.flatnonzero(deep | gaps).tolist():
                 mask = mask_of(batch.column(4)[i].as_py())
-                full[i] = filled(mask if deep[i] else mask[0]).sum()
+                form = mask.shape, np.packbits(mask).tobytes()
+                if form not in known:
+                    if len(known) >= FORMS:
+                        known.clear()
+                    known[form] = (filled(mask).sum(), convex_volume(mask), euler_3d(mask)) if deep[i] else (filled(mask[0]).sum(), 0, 0)
+                full[i], hull, number = known[form]
                 if deep[i]:
-                    convex[i], euler[i] = convex_volume(mask), euler_3d(mask)
+                    convex[i], euler[i] = hull, number
             out = [pa.array(convex), pa.array(full), pa.array(wide, mask=deep), pa.array(euler, mask=~deep)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *out], names=[c.split(" ")[0] for c in SHAPES.split(", ")])
 
@@ -333,4 +341,4 @@ def surfaces(labels: DataFrame, scales: DataFrame) -> DataFrame:
                 out.append((float((tables[tuple(spacing)][state] * n).sum()), float((corners * n).sum() / 8 * np.prod(spacing))))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *(pa.array([r[i] for r in out], pa.float64()) for i in range(2))], names=[c.split(" ")[0] for c in SURFACES.split(", ")])
 
-    return deep.join(scales.select("image_id", "sz", "sy", "sx"), "image_id").select(*OBJECT, "states", "sz", "sy", "sx").mapInArrow(work, SURFACES)
+    return deep.join(scales.select("image_id", "sz", "sy", "sx").hint("merge"), "image_id").select(*OBJECT, "states", "sz", "sy", "sx").mapInArrow(work, SURFACES)
