@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.raster import VOXEL
+from ..sources.workspace import written
 
 PLACE = ["image_id", "t"]
 
@@ -23,30 +24,39 @@ def border_labels(labels: DataFrame, height: int, width: int) -> DataFrame:
 
 
 def without_border(labels: DataFrame, height: int, width: int) -> DataFrame:
-    return labels.join(border_labels(labels, height, width), [*PLACE, "set_index", "label"], "left_anti")
+    return labels.join(border_labels(labels, height, width).hint("merge"), [*PLACE, "set_index", "label"], "left_anti")
+
+
+def met(labels: DataFrame) -> DataFrame:
+    """Each voxel's cell (set 1) and nucleus (set 2), null where there is none; one aggregation, as a voxel has one label of each set at most."""
+    own = lambda k: F.max(F.when(F.col("set_index") == k, F.col("label")))
+    return labels.filter(F.col("set_index").isin(1, 2)).groupBy(*VOXEL).agg(own(1).alias("cell"), own(2).alias("nucleus"))
+
+
+def pairings(voxels: DataFrame, first_id: int = 1) -> DataFrame:
+    """matches() of what met() gives. A nucleus' counts by cell, and by none, say its home and its size at once, so nothing is joined."""
+    counts = voxels.filter("nucleus is not null").groupBy(*PLACE, "nucleus", "cell").agg(F.count("*").alias("n"))
+    homes = counts.groupBy(*PLACE, "nucleus").agg(F.max_by("cell", F.when(F.col("cell").isNotNull(), F.struct("n", -F.col("cell")))).alias("cell"), F.sum("n").alias("size"))
+    chosen = homes.filter("cell is not null").groupBy(*PLACE, "cell").agg(F.max_by("nucleus", F.struct("size", -F.col("nucleus"))).alias("nucleus"))
+    return chosen.withColumn("new_id", F.dense_rank().over(Window.partitionBy(*PLACE).orderBy("cell")) + F.lit(first_id - 1))
 
 
 def matches(cells: DataFrame, nuclei: DataFrame, first_id: int = 1) -> DataFrame:
     """(image_id, t, cell, nucleus, new_id): each nucleus goes to the cell it overlaps most (ties: lowest cell), each cell
     keeps its largest nucleus by full size (ties: lowest nucleus), and matched cells are numbered densely by id."""
-    pairs = cells.withColumnRenamed("label", "cell").join(nuclei.withColumnRenamed("label", "nucleus"), VOXEL).groupBy(*PLACE, "nucleus", "cell").agg(F.count("*").alias("n"))
-    home = pairs.groupBy(*PLACE, "nucleus").agg(F.max_by("cell", F.struct("n", -F.col("cell"))).alias("cell"))
-    sizes = nuclei.groupBy(*PLACE, F.col("label").alias("nucleus")).agg(F.count("*").alias("size"))
-    chosen = home.join(sizes, [*PLACE, "nucleus"]).groupBy(*PLACE, "cell").agg(F.max_by("nucleus", F.struct("size", -F.col("nucleus"))).alias("nucleus"))
-    return chosen.withColumn("new_id", F.dense_rank().over(Window.partitionBy(*PLACE).orderBy("cell")) + F.lit(first_id - 1))
+    return pairings(met(cells.withColumn("set_index", F.lit(1)).unionByName(nuclei.withColumn("set_index", F.lit(2)))), first_id)
 
 
 def matched_labels(labels: DataFrame, first_id: int = 1) -> DataFrame:
     """Cells, nuclei and cytoplasm (sets 1, 2, 3) that share ids. A retained nucleus keeps its voxels outside its cell;
     cytoplasm is a matched cell's voxels that no retained nucleus covers."""
-    cells, nuclei = of_set(labels, 1), of_set(labels, 2)
-    found = matches(cells, nuclei, first_id)
-    ids = lambda c: found.select(*PLACE, F.col(c).alias("label"), F.col("new_id"))
-    renamed = lambda df, c: df.join(ids(c), [*PLACE, "label"]).select(*VOXEL, F.col("new_id").cast("long").alias("label"))
-    new_cells, new_nuclei = renamed(cells, "cell"), renamed(nuclei, "nucleus")
-    cytoplasm = new_cells.join(new_nuclei.select(*VOXEL), VOXEL, "left_anti")
-    parts = [d.withColumn("set_index", F.lit(k)) for k, d in ((1, new_cells), (2, new_nuclei), (3, cytoplasm))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    voxels = met(labels)
+    found = pairings(voxels, first_id)
+    ids = lambda c: found.select(*PLACE, c, F.col("new_id").cast("long").alias(f"new_{c}")).hint("merge")
+    new = voxels.join(ids("cell"), [*PLACE, "cell"], "left").join(ids("nucleus"), [*PLACE, "nucleus"], "left")
+    cell, nucleus = F.col("new_cell"), F.col("new_nucleus")
+    parts = F.explode(F.array(*(F.struct(F.lit(k).alias("set_index"), v.alias("label")) for k, v in ((1, cell), (2, nucleus), (3, F.when(nucleus.isNull(), cell))))))
+    return new.select(*VOXEL, parts.alias("p")).select(*VOXEL, "p.label", "p.set_index").filter("label is not null")
 
 
 def expanded(seeds: DataFrame, distance: float, scale_y: float | None, scale_x: float | None, height: int, width: int) -> DataFrame:
@@ -90,16 +100,16 @@ def running_sums(rows: DataFrame, within: list[str], order: list[str], value: st
     earlier = Window.partitionBy(*within).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(*within, "range", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("start"))
     inside = Window.partitionBy(*within, "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return ranged.withColumn("sum", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(starts, [*within, "range"]).withColumn("before", F.col("start") + F.col("sum")).drop("range", "sum", "start")
+    return ranged.withColumn("sum", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(starts.hint("merge"), [*within, "range"]).withColumn("before", F.col("start") + F.col("sum")).drop("range", "sum", "start")
 
 
 def offset_ids(labels: DataFrame, within: list[str], slab: list[str]) -> DataFrame:
     """Ids made unique over slabs: a positive label grows by the largest ids of all slabs before it in its group.
 
-    The running sum is over one row for each slab; the voxels only join it."""
-    tops = labels.groupBy(*within, *slab).agg(F.max("label").alias("top"))
+    The running sum is over one row for each slab, which is written, so the labels are made for it once; the voxels only join it."""
+    tops = written(labels.groupBy(*within, *slab).agg(F.max("label").alias("top")))
     offsets = running_sums(tops, within, slab, "top").select(*within, *slab, F.col("before").alias("offset"))
-    return labels.join(offsets, [*within, *slab]).withColumn("label", F.col("label") + F.col("offset")).drop("offset")
+    return labels.join(offsets.hint("merge"), [*within, *slab]).withColumn("label", F.col("label") + F.col("offset")).drop("offset")
 
 
 def same_shape(first: tuple[int, ...], second: tuple[int, ...]) -> None:
@@ -125,7 +135,7 @@ def points_to_labels(points: DataFrame, height: int, width: int) -> DataFrame:
     numbered = rounded.withColumn("label", F.row_number().over(Window.partitionBy(*PLANE).orderBy("point")).cast("long")).drop("point")
     around = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in range(-2, 3) for dx in range(-2, 3) if abs(dy) + abs(dx) <= 2)))
     reach = numbered.select(*PLANE, (F.col("y") + F.lit(0)).alias("y0"), F.col("x").alias("x0"), around.alias("a")).select(*PLANE, (F.col("y0") + F.col("a.dy")).alias("y"), (F.col("x0") + F.col("a.dx")).alias("x"))
-    crowd = reach.groupBy(*PLANE, "y", "x").agg(F.count("*").alias("n")).filter("n > 1")
+    crowd = reach.groupBy(*PLANE, "y", "x").agg(F.count("*").alias("n")).filter("n > 1").hint("merge")
     alone = numbered.join(crowd, [*PLANE, "y", "x"], "left_anti")
     crowded = numbered.join(crowd, [*PLANE, "y", "x"], "left_semi")
     schema = "image_id long, t int, z long, label long, y long, x long"
