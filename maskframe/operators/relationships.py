@@ -11,12 +11,13 @@ PAIR = ["image_id", "t", "source_set", "source_label", "target_set", "target_lab
 
 
 def overlaps(labels: DataFrame) -> DataFrame:
-    """Shared voxels of each pair of objects, the lower label set first. Labels meet by voxel in one aggregation; a voxel has one
-    label of each set at most, so it makes at most a row for each pair of sets."""
-    met = labels.groupBy(*VOXEL).agg(F.sort_array(F.collect_list(F.struct("set_index", "label"))).alias("m")).filter("size(m) > 1")
-    pair = F.expr("explode(flatten(transform(sequence(1, size(m) - 1), i -> transform(slice(m, i + 1, size(m)), b -> struct(m[i - 1] as a, b as b)))))")
-    rows = met.select("image_id", "t", pair.alias("p"))
-    sides = [F.col(f"p.{k}.{c}").alias(f"{s}_{n}") for k, s in (("a", "source"), ("b", "target")) for c, n in (("set_index", "set"), ("label", "label"))]
+    """Shared voxels of each pair of objects, the lower label set first. Labels are ordered by voxel once, and each meets those that
+    come after it at its voxel; a voxel has one label of each set at most, so it makes at most a row for each pair of sets."""
+    after = Window.partitionBy(*VOXEL).orderBy("set_index", "label").rowsBetween(1, Window.unboundedFollowing)
+    one = F.struct("set_index", "label")
+    met = labels.select("image_id", "t", one.alias("a"), F.collect_list(one).over(after).alias("later"))
+    rows = met.select("image_id", "t", "a", F.explode("later").alias("b"))
+    sides = [F.col(f"{k}.{c}").alias(f"{s}_{n}") for k, s in (("a", "source"), ("b", "target")) for c, n in (("set_index", "set"), ("label", "label"))]
     return rows.select("image_id", "t", *sides).groupBy(*PAIR).agg(F.count("*").alias("overlap_voxels"))
 
 

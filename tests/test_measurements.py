@@ -208,3 +208,19 @@ def test_sizes_are_made_once(spark, tmp_path):
     out = measurements.numbered(rows, ["g"], ["k"], "id", sizes).orderBy("g", "k").collect()
     assert [r.id for r in out] == list(range(1, 6)) and [r.g for r in out] == [1, 2, 2, 5000, 5000]
     assert log.read_text() == "run\n"
+
+
+def test_overlaps_hold_no_voxel_in_a_hash_table(spark):
+    """Labels of a voxel meet in order: no aggregation of a list for each voxel, which goes by sorted runs from the 129th on. As many
+    pairs as by hand, with four sets at one voxel, and voxels that differ in one coordinate only."""
+    from collections import Counter
+    from itertools import combinations
+
+    from maskframe.operators.relationships import PAIR, overlaps
+
+    voxels = {(i, t, z, y, x): [(s, (y + s * x) % 3 + 1) for s in (4, 1, 3, 2) if (y * s + x + z) % 4 or s == 1] for i in (1, 2) for t in (0, 1) for z in (0, 1) for y in range(3) for x in range(4)}
+    labels = spark.createDataFrame([(v[0], v[1], s, label, *v[2:]) for v, held in voxels.items() for s, label in held], "image_id long, t int, set_index int, label long, z long, y long, x long")
+    found = overlaps(labels)
+    by_hand = Counter((*v[:2], *a, *b) for v, held in voxels.items() for a, b in combinations(sorted(held), 2))
+    assert {tuple(r[c] for c in PAIR): r.overlap_voxels for r in found.collect()} == by_hand
+    assert "ObjectHashAggregate" not in found._jdf.queryExecution().executedPlan().toString()
